@@ -1,0 +1 @@
+"""Streaming entry points (see README: the feature jobs are daily batches)."""
