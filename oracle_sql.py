@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from trackwise.functions.binning import interval_bounds
 from trackwise.plans.complex import ACC_NEG_BOUNDS, ACC_POS_BOUNDS, SPEED_BOUNDS
-from trackwise.schemas import (COMPLEX_ACC_RUNS, COMPLEX_ACC_STATS, COMPLEX_COLUMNS,
+from trackwise.schemas import (COMPLEX_ACC_RUNS, COMPLEX_ACC_STATS, COMPLEX_COLUMNS, COMPLEX_TYPES,
                                COMPLEX_HEAD, COMPLEX_HOURS, COMPLEX_NORM_RUNS,
                                COMPLEX_NORM_STATS, COMPLEX_SPEED_BINS, COMPLEX_SPEED_STATS,
                                COMPLEX_TURN, ROLLUP_COLUMNS, SIMPLE_COLUMNS, SIMPLE_HOURS,
@@ -142,7 +142,197 @@ def q_simple_trip_features() -> str:
     return with_ctes(FIXTURES, J1_ROWS, _j1_agg()) + "\n" + present(SIMPLE_TYPES, "j1")
 
 
+# --------------------------------------------------------------------------
+# J2
+# --------------------------------------------------------------------------
+def _bin_case(x: str, bounds) -> str:
+    parts = []
+    for i, (a, b) in enumerate(bounds):
+        conds = []
+        if a != float("-inf"):
+            conds.append(f"{x} > {lit(a)}")
+        if b != float("inf"):
+            conds.append(f"{x} <= {lit(b)}")
+        parts.append(f"WHEN {' AND '.join(conds) or 'TRUE'} THEN {i}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def _wrap(d: str) -> str:
+    return f"(CASE WHEN abs({d}) > 180 THEN {d} - sign({d})*360e0 ELSE CAST({d} AS DOUBLE) END)"
+
+
+def _xy(lat, lon, lat0, lon0, dt):
+    x = f"({gps_dist(lat0, lon, lat0, lon0)}*sign({lon}-{lon0})*1000e0/NULLIF({dt}, 0))"
+    y = f"({gps_dist(lat, lon0, lat0, lon0)}*sign({lat}-{lat0})*1000e0/NULLIF({dt}, 0))"
+    return x, y
+
+
+_AX, _AY = _xy("p_lat", "p_lon", "lat", "lon", "time_stamp - p_ts")
+_CX, _CY = _xy("n_lat", "n_lon", "lat", "lon", "n_ts - time_stamp")
+_ORDER2 = ("time_stamp ASC NULLS FIRST, lat ASC NULLS FIRST, lon ASC NULLS FIRST, "
+           "heading ASC NULLS FIRST, speed ASC NULLS FIRST, tid ASC NULLS FIRST, vid ASC NULLS FIRST")
+
+J2_ROWS = f"""
+j2_join AS (SELECT g.imei, t.tid, t.vid, t.start AS tripnumber,
+                   CAST(trunc(g.time_stamp/1000e0) AS INTEGER) AS time_stamp,
+                   g.lat, g.lon, g.direction AS heading, g.speed
+            FROM gps_points g
+            JOIN (SELECT * FROM trip_stat WHERE deviceid IN (SELECT imei FROM cohort)) t
+              ON g.imei = t.deviceid AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) >= t.start
+             AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) <= t.s_end),
+j2_clean AS (SELECT * FROM j2_join WHERE imei IS NOT NULL AND tid IS NOT NULL AND vid IS NOT NULL
+               AND tripnumber IS NOT NULL AND time_stamp IS NOT NULL AND lat IS NOT NULL
+               AND lon IS NOT NULL AND heading IS NOT NULL AND speed IS NOT NULL AND lat <> 0),
+j2_raw AS (SELECT imei, tripnumber, count(*) AS raw_rows FROM j2_clean GROUP BY imei, tripnumber),
+j2_dist AS (SELECT DISTINCT * FROM j2_clean),
+j2_cnt AS (SELECT imei, tripnumber, count(*) AS n FROM j2_dist GROUP BY imei, tripnumber),
+j2_rows AS (SELECT d.* FROM j2_dist d JOIN j2_raw r USING (imei, tripnumber) JOIN j2_cnt c USING (imei, tripnumber)
+            WHERE r.raw_rows > 60 AND c.n > 15),
+j2_nb AS (SELECT *, row_number() OVER w AS rn,
+     lag(time_stamp) OVER w AS p_ts, lag(lat) OVER w AS p_lat, lag(lon) OVER w AS p_lon,
+     lead(time_stamp) OVER w AS n_ts, lead(lat) OVER w AS n_lat, lead(lon) OVER w AS n_lon,
+     lead(heading) OVER w AS n_heading, lead(speed) OVER w AS n_speed
+   FROM j2_rows WINDOW w AS (PARTITION BY imei, tripnumber ORDER BY {_ORDER2})),
+j2_v AS (SELECT *,
+     CASE WHEN n_ts IS NULL THEN 0e0 ELSE {gps_dist("n_lat", "n_lon", "lat", "lon")} END AS am,
+     CASE WHEN n_ts IS NULL THEN 0e0 ELSE (n_speed - speed)/NULLIF(n_ts - time_stamp, 0) END AS gps_acc,
+     {hour("time_stamp")} AS hour,
+     CASE WHEN n_ts IS NULL THEN 0e0 ELSE {_wrap("n_heading - heading")}/NULLIF(n_ts - time_stamp, 0) END AS angle_delta,
+     CASE WHEN p_ts IS NOT NULL AND n_ts IS NOT NULL THEN {_AX} END AS ax,
+     CASE WHEN p_ts IS NOT NULL AND n_ts IS NOT NULL THEN {_AY} END AS ay,
+     CASE WHEN p_ts IS NOT NULL AND n_ts IS NOT NULL THEN {_CX} END AS cx,
+     CASE WHEN p_ts IS NOT NULL AND n_ts IS NOT NULL THEN {_CY} END AS cy
+   FROM j2_nb),
+j2_k AS (SELECT *,
+     sqrt(cx*cx + cy*cy) AS speed_cal,
+     CASE WHEN cx > 0 THEN (pi()/2 - atan(cy/cx))*180e0/pi()
+          WHEN cx < 0 THEN (3*pi()/2 - atan(cy/cx))*180e0/pi()
+          WHEN cx = 0 AND cy > 0 THEN 0e0*180e0/pi()
+          WHEN cx = 0 AND cy < 0 THEN pi()*180e0/pi() END AS heading_cal,
+     (sqrt(cx*cx + cy*cy) - sqrt(ax*ax + ay*ay))/9.8e0 AS tan_acc,
+     2e0*(ax*(0e0-cy) + 0e0*(cy-ay) + cx*(ay-0e0)) AS d_,
+     (ax*ax+ay*ay)*(0e0-cy) + (0e0)*(cy-ay) + (cx*cx+cy*cy)*(ay-0e0) AS nux,
+     (ax*ax+ay*ay)*(cx-0e0) + (0e0)*(ax-cx) + (cx*cx+cy*cy)*(0e0-ax) AS nuy
+   FROM j2_v),
+j2_k2 AS (SELECT *,
+     CASE WHEN n_ts IS NULL THEN 0e0
+          ELSE {_wrap("lead(heading_cal) OVER (PARTITION BY imei, tripnumber ORDER BY rn) - heading_cal")}/NULLIF(n_ts - time_stamp, 0)
+     END AS angle_cal_delta,
+     CASE WHEN d_ <> 0 THEN sqrt((ax - nux/d_)*(ax - nux/d_) + (ay - nuy/d_)*(ay - nuy/d_)) END AS radius
+   FROM j2_k),
+j2_k3 AS (SELECT *,
+     CASE WHEN cx IS NULL OR ax IS NULL THEN NULL
+          WHEN d_ = 0 THEN (CASE WHEN nux <> 0 AND nuy <> 0 THEN 0e0 END)
+          ELSE (CASE WHEN angle_delta < 0 OR (angle_delta = 0 AND angle_cal_delta < 0) THEN -1e0 ELSE 1e0 END)
+               * (speed_cal*speed_cal) / NULLIF(radius, 0)
+     END / 9.8e0 AS norm_acc0
+   FROM j2_k2),
+j2_k4 AS (SELECT * EXCLUDE (norm_acc0), CASE WHEN norm_acc0 = 0 THEN 0e0 ELSE norm_acc0 END AS norm_acc,
+     CASE WHEN angle_delta > 3 THEN 'R' WHEN angle_delta < -3 THEN 'L'
+          WHEN angle_delta IS NULL THEN 'X' ELSE 'N' END AS st
+   FROM j2_k3),
+j2_isl AS (SELECT *, rn - row_number() OVER (PARTITION BY imei, tripnumber, st ORDER BY rn) AS isl FROM j2_k4),
+j2_turn AS (SELECT *,
+     count(*) OVER (PARTITION BY imei, tripnumber, st, isl) AS run_len,
+     min(rn) OVER (PARTITION BY imei, tripnumber, st, isl) AS run_first
+   FROM j2_isl),
+j2_kin AS (SELECT *,
+     st = 'R' AND run_len >= 3 AS in_right, st = 'L' AND run_len >= 3 AS in_left,
+     st = 'R' AND run_len >= 3 AND rn = run_first AS start_right,
+     st = 'L' AND run_len >= 3 AND rn = run_first AS start_left
+   FROM j2_turn)
+"""
+
+
+def _bin_runs(name: str, x: str, cond: str, bounds, threshold: int, names, reverse: bool) -> str:
+    n = len(names)
+    cols = ", ".join(
+        f"CAST(count_if(b = {n - 1 - i if reverse else i} AND len >= {threshold}) AS BIGINT) AS {nm}"
+        for i, nm in enumerate(names))
+    return f"""
+{name}_f AS (SELECT imei, tripnumber, rn, {_bin_case(x, bounds)} AS b,
+               row_number() OVER (PARTITION BY imei, tripnumber ORDER BY rn) AS frn
+             FROM j2_kin WHERE {cond}),
+{name}_g AS (SELECT *, frn - row_number() OVER (PARTITION BY imei, tripnumber, b ORDER BY rn) AS g FROM {name}_f),
+{name}_r AS (SELECT imei, tripnumber, b, g, count(*) AS len FROM {name}_g GROUP BY imei, tripnumber, b, g),
+{name} AS (SELECT imei, tripnumber, {cols} FROM {name}_r GROUP BY imei, tripnumber)
+"""
+
+
+def _stats(x: str, prefix: str, where: str | None = None, pct: bool = True) -> list[str]:
+    f = f" FILTER (WHERE {where})" if where else ""
+    out = [f"avg({x}){f} AS {prefix}_mean", f"stddev_samp({x}){f} AS {prefix}_sd"]
+    q = f"quantile_cont({x}, {PROBS}){f}"
+    for i, nm in enumerate(quantile_names(prefix, pct)):
+        out.append(f"({q})[{i + 1}] AS {nm}")
+    return out
+
+
+def _j2_agg() -> str:
+    hours = [f"sum(CASE WHEN hour = {h} THEN am ELSE 0e0 END) AS {n}" for h, n in enumerate(COMPLEX_HOURS)]
+    sbins = [f"CAST(count_if(speed > {lit(a)}{'' if b == float('inf') else f' AND speed <= {lit(b)}'}) AS BIGINT) AS {n}"
+             for (a, b), n in zip(SPEED_BOUNDS, COMPLEX_SPEED_BINS)]
+    cols = [
+        "arg_min(vid, rn) AS vid", "min(time_stamp) AS start_time", "max(time_stamp) AS end_time",
+        "max(time_stamp) - any_value(tripnumber) AS dura", "CAST(count(*) AS BIGINT) AS dura_valid",
+        "arg_min(lat, rn) AS lat_st", "arg_min(lon, rn) AS lon_st",
+        "arg_max(lat, rn) AS lat_end", "arg_max(lon, rn) AS lon_end", "sum(am) AS mileage",
+        *hours,
+        *_stats("speed", "speed"),
+        "CAST(count_if(speed = 0) AS BIGINT) AS speed_0",
+        "avg(speed) FILTER (WHERE speed > 0) AS speed_mean_drive",
+        "stddev_samp(speed) FILTER (WHERE speed > 0) AS speed_sd_drive",
+        *sbins,
+        *_stats("tan_acc", "acc_overall"),
+        "CAST(count_if(tan_acc > 0) AS BIGINT) AS acc_pos_dura",
+        "CAST(count_if(tan_acc < 0) AS BIGINT) AS acc_neg_dura",
+        "avg(tan_acc) FILTER (WHERE tan_acc > 0) AS acc_pos_mean",
+        "avg(tan_acc) FILTER (WHERE tan_acc < 0) AS acc_neg_mean",
+        "stddev_samp(tan_acc) FILTER (WHERE tan_acc > 0) AS acc_pos_sd",
+        "stddev_samp(tan_acc) FILTER (WHERE tan_acc < 0) AS acc_neg_sd",
+        *[c for c in _stats("tan_acc", "acc_pos", "tan_acc > 0")[2:]],
+        *[c for c in _stats("tan_acc", "acc_neg", "tan_acc < 0")[2:]],
+    ]
+    for name, member, start in (("turn", "in_right OR in_left", "start_right OR start_left"),
+                                ("turn_left", "in_left", "start_left"),
+                                ("turn_right", "in_right", "start_right")):
+        cols += [f"CAST(count_if({member}) AS BIGINT) AS {name}_dura",
+                 f"CAST(count_if({start}) AS BIGINT) AS {name}_times",
+                 *_stats("speed", f"{name}_speed", member, pct=False)]
+    cols += [
+        *_stats("norm_acc", "turn_overall"),
+        "avg(norm_acc) FILTER (WHERE norm_acc > 0) AS turn_right_mean",
+        "avg(norm_acc) FILTER (WHERE norm_acc < 0) AS turn_left_mean",
+        "stddev_samp(norm_acc) FILTER (WHERE norm_acc > 0) AS turn_right_sd",
+        "stddev_samp(norm_acc) FILTER (WHERE norm_acc < 0) AS turn_left_sd",
+        *_stats("norm_acc", "turn_right", "norm_acc > 0")[2:],
+        *_stats("norm_acc", "turn_left", "norm_acc < 0")[2:],
+    ]
+    runs = [
+        _bin_runs("r_acc_pos", "tan_acc", "tan_acc > 0", ACC_POS_BOUNDS, 1, run_bin_names("acc_pos"), False),
+        _bin_runs("r_acc_neg", "tan_acc", "tan_acc < 0", ACC_NEG_BOUNDS, 2, run_bin_names("acc_neg"), True),
+        _bin_runs("r_turn_right", "norm_acc", "norm_acc > 0", ACC_POS_BOUNDS, 1, run_bin_names("turn_right"), False),
+        _bin_runs("r_turn_left", "norm_acc", "norm_acc < 0", ACC_NEG_BOUNDS, 1, run_bin_names("turn_left"), True),
+    ]
+    run_cols = [f"COALESCE({n}, 0) AS {n}" for n in COMPLEX_ACC_RUNS + COMPLEX_NORM_RUNS]
+    return ",\n".join(r.strip() for r in runs) + f""",
+j2_trip AS (SELECT imei, tripnumber, {', '.join(cols)} FROM j2_kin GROUP BY imei, tripnumber),
+j2 AS (SELECT t.*, {gps_dist("lat_st", "lon_st", "lat_end", "lon_end")} AS fly_dist,
+          t.mileage / NULLIF({gps_dist("lat_st", "lon_st", "lat_end", "lon_end")}, 0) AS curv_overall,
+          {', '.join(run_cols)}
+       FROM j2_trip t
+       LEFT JOIN r_acc_pos USING (imei, tripnumber) LEFT JOIN r_acc_neg USING (imei, tripnumber)
+       LEFT JOIN r_turn_right USING (imei, tripnumber) LEFT JOIN r_turn_left USING (imei, tripnumber))
+"""
+
+
+def j2_query(columns: list[str]) -> str:
+    types = {c: COMPLEX_TYPES[c] for c in columns}
+    return with_ctes(FIXTURES, J2_ROWS, _j2_agg()) + "\n" + present(types, "j2")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "simple_trip_features": q_simple_trip_features(),
+        "complex_trip_features": j2_query(COMPLEX_COLUMNS),
     }

@@ -113,3 +113,23 @@ assert len(SIMPLE_COLUMNS) == 58, len(SIMPLE_COLUMNS)
 assert len(ROLLUP_COLUMNS) == 57, len(ROLLUP_COLUMNS)
 assert len(COMPLEX_COLUMNS) == 284, len(COMPLEX_COLUMNS)
 assert len(set(COMPLEX_COLUMNS)) == 284
+
+# Output types of the kinematic table: ids text, times whole seconds,
+# counts BIGINT, everything measured DOUBLE.
+COMPLEX_COUNT_COLUMNS = (
+    ["dura_valid", "speed_0", "acc_pos_dura", "acc_neg_dura"] + COMPLEX_SPEED_BINS
+    + COMPLEX_ACC_RUNS + COMPLEX_NORM_RUNS
+    + [f"{p}_{s}" for p in ("turn", "turn_left", "turn_right") for s in ("dura", "times")])
+
+
+def complex_type(name: str) -> str:
+    if name in ("imei", "vid"):
+        return "string"
+    if name in ("tripnumber", "start_time", "end_time", "dura"):
+        return "int"
+    if name in COMPLEX_COUNT_COLUMNS:
+        return "long"
+    return "double"
+
+
+COMPLEX_TYPES = {c: complex_type(c) for c in COMPLEX_COLUMNS}
