@@ -107,7 +107,17 @@ j1_kept AS (SELECT * FROM j1_dist WHERE am < 10e0)
 """.format(am=gps_dist("lat", "lon", "lat_0", "lon_0"))
 
 
-def _j1_agg(group: str = "imei, vid, tripnumber") -> str:
+def day_key(epoch_s: str, fmt: str = "%Y%m%d") -> str:
+    return f"strftime(DATE '1970-01-01' + CAST(floor(({epoch_s})/86400e0) AS INTEGER), '{fmt}')"
+
+
+J1_ROWS_BY_DAY = J1_ROWS.replace(
+    "g.time_stamp/1000e0 AS time_stamp",
+    "g.time_stamp/1000e0 AS time_stamp, " + day_key("t.start") + " AS stat_date").replace(
+    "WHERE t.start > 0", "WHERE t.start > 0 AND " + day_key("g.time_stamp/1000e0") + " = " + day_key("t.start"))
+
+
+def _j1_agg(group: str = "imei, vid, tripnumber", extra: str = "") -> str:
     hours = ", ".join(f"sum(CASE WHEN {hour('time_stamp')} = {h} THEN am ELSE 0e0 END) AS {n}"
                       for h, n in enumerate(SIMPLE_HOURS))
     bins = [f"CAST(sum(CASE WHEN ceil(speed/10e0) = {k} THEN 1 ELSE 0 END) AS BIGINT) AS {n}"
@@ -124,7 +134,7 @@ j1_ord AS (SELECT *,
 j1 AS (SELECT {group}, min(time_stamp) AS start_time, max(time_stamp) AS end_time,
    max(s_end) - min(tripnumber) AS dura, CAST(count(DISTINCT time_stamp) AS BIGINT) AS dura_valid,
    any_value(f_lat) AS lat_st, any_value(f_lon) AS lon_st, any_value(l_lat) AS lat_end, any_value(l_lon) AS lon_end,
-   sum(am) AS mileage, {hours}, {', '.join(bins)}
+   sum(am) AS mileage, {hours}, {', '.join(bins)}{extra}
    FROM j1_ord GROUP BY {group})
 """
 
@@ -331,8 +341,124 @@ def j2_query(columns: list[str]) -> str:
     return with_ctes(FIXTURES, J2_ROWS, _j2_agg()) + "\n" + present(types, "j2")
 
 
+ROW_TYPES = {"tid": "string", "vid": "string", "imei": "string", "deviceid": "string",
+             "tripnumber": "int", "s_end": "int", "start": "int", "direction": "int", "heading": "int",
+             "hour": "int", "stat_date": "string", "VIN": "string", "imei_1": "string", "day": "string",
+             "valid_start_utc": "long", "valid_end_utc": "long", "dura": "int", "dura_valid": "long"}
+
+
+def _types(cols, **override) -> dict[str, str]:
+    return {c: override.get(c, ROW_TYPES.get(c, "double")) for c in cols}
+
+
+def q(ctes: list[str], cols, src: str, **override) -> str:
+    return with_ctes(FIXTURES, *ctes) + "\n" + present(_types(cols, **override), src)
+
+
+TRIP_ROW_COLS = ["tid", "vid", "tripnumber", "s_end", "imei", "lat", "lon", "speed", "direction", "time_stamp"]
+DIST_COLS = ["tid", "vid", "tripnumber", "imei", "time_stamp", "lat", "lon", "speed", "lat_0", "lon_0", "am"]
+J2_ROW_COLS = ["imei", "tid", "vid", "tripnumber", "time_stamp", "lat", "lon", "heading", "speed"]
+TURN_RUN_COLS = [c for c in COMPLEX_TURN if c.endswith("_dura") or c.endswith("_times")]
+TURN_SPEED_COLS = [c for c in COMPLEX_TURN if c not in TURN_RUN_COLS]
+ROLLUP_TYPES = {c: ("long" if c in SIMPLE_SPEED_BINS else "double") for c in ROLLUP_COLUMNS}
+ROLLUP_TYPES.update({"imei": "string", "VIN": "string", "valid_start": "long", "valid_end": "long",
+                     "first_time": "int", "last_time": "int", "valid_days": "long", "no_trip": "long",
+                     "dura": "long", "dura_valid": "long"})
+
+J3_JOIN = f"""
+j3_join AS (SELECT v.imei, v.VIN, v.valid_start_utc, v.valid_end_utc, j1.imei AS imei_1, j1.* EXCLUDE (imei),
+              {day_key("j1.tripnumber", "%Y-%m-%d")} AS day
+            FROM validity v JOIN j1 ON v.imei = j1.imei AND v.valid_start_utc <= j1.tripnumber
+             AND v.valid_end_utc >= j1.end_time),
+j3_speed AS (SELECT *,
+    ({" + ".join(f"{n}*{10 * k + 5}" for k, n in enumerate(SIMPLE_SPEED_BINS[1:-1]))} + speed_200_Inf*205)
+      / NULLIF(dura_valid, 0) AS speed_mean,
+    mileage*3600 / NULLIF(end_time - start_time, 0) AS speed
+    FROM j3_join),
+j3_ok AS (SELECT * FROM j3_speed WHERE speed / NULLIF(speed_mean, 0) <= 1.5e0),
+j3 AS (SELECT imei, VIN, min(valid_start_utc) AS valid_start, max(valid_end_utc) AS valid_end,
+    min(tripnumber) AS first_time, max(tripnumber) AS last_time,
+    CAST(count(DISTINCT day) AS BIGINT) AS valid_days, CAST(count(DISTINCT tripnumber) AS BIGINT) AS no_trip,
+    CAST(sum(dura) AS BIGINT) AS dura, CAST(sum(dura_valid) AS BIGINT) AS dura_valid, sum(mileage) AS mileage,
+    {", ".join(f"sum({c}) AS {c}" for c in SIMPLE_HOURS)},
+    {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in SIMPLE_SPEED_BINS)}
+    FROM j3_ok GROUP BY imei, VIN)
+"""
+
+
+def _csv_field(c: str, t: str) -> str:
+    if t == "double":
+        return f"COALESCE(printf('%.9f', round({c}, 9)), '')"
+    return f"COALESCE(CAST({c} AS VARCHAR), '')"
+
+
+J2_TRUNC_JOIN = """
+j2t AS (SELECT g.imei, t.tid, t.vid, t.start AS tripnumber,
+               CAST(trunc(g.time_stamp/1000e0) AS INTEGER) AS time_stamp,
+               g.lat, g.lon, g.direction AS heading, g.speed
+        FROM gps_points g JOIN trip_stat t
+          ON g.imei = t.deviceid AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) >= t.start
+         AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) <= t.s_end)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
+    j1_full = [J1_ROWS, _j1_agg()]
+    kin = [J2_ROWS]
     return {
+        "scan_trips": q([f"s AS (SELECT *, {day_key('start')} AS stat_date FROM trip_stat)"],
+                        ["tid", "vid", "deviceid", "start", "s_end", "stat_date"], "s"),
+        "scan_points": q([f"""s AS (SELECT imei, lat, lon, lat AS alat, lon AS alon, speed, direction,
+                               0 AS altitude, 1e0 AS pdop, time_stamp, 1 AS protocal_type,
+                               {day_key('time_stamp/1000e0')} AS stat_date FROM gps_points)"""],
+                         ["imei", "lat", "lon", "alat", "alon", "speed", "direction", "altitude", "pdop",
+                          "time_stamp", "protocal_type", "stat_date"], "s",
+                         altitude="int", time_stamp="long", protocal_type="int"),
+        "date_range_backfill": with_ctes(FIXTURES, J1_ROWS_BY_DAY,
+                                         _j1_agg(extra=", any_value(stat_date) AS stat_date")) + "\n"
+                               + present({**SIMPLE_TYPES, "stat_date": "string"}, "j1"),
+        "trip_points": q([J1_ROWS], TRIP_ROW_COLS, "j1_join"),
+        "trip_points_trunc": q([J2_TRUNC_JOIN], J2_ROW_COLS, "j2t", time_stamp="int"),
+        "trip_points_outer": q([f"""o AS (SELECT t.tid, t.vid, t.start AS tripnumber, t.s_end, g.imei, g.lat, g.lon,
+                                      g.speed, g.direction, g.time_stamp/1000e0 AS time_stamp
+                                      FROM gps_points g RIGHT JOIN (SELECT * FROM trip_stat WHERE start > 0) t
+                                        ON g.imei = t.deviceid AND g.time_stamp/1000e0 >= t.start
+                                       AND g.time_stamp/1000e0 <= t.s_end)"""], TRIP_ROW_COLS, "o"),
+        "cohort_trips": q(["ct AS (SELECT tid, vid, deviceid, start, s_end FROM trip_stat "
+                           "WHERE deviceid IN (SELECT imei FROM cohort))"],
+                          ["tid", "vid", "deviceid", "start", "s_end"], "ct"),
+        "point_distance": q([J1_ROWS], DIST_COLS, "j1_dist"),
+        "jump_filter": q([J1_ROWS], DIST_COLS, "j1_kept"),
+        "trip_hour_mileage": q(j1_full, ["imei", "vid", "tripnumber", "mileage", *SIMPLE_HOURS], "j1"),
+        "trip_speed_hist": q(j1_full, ["imei", "vid", "tripnumber", *SIMPLE_SPEED_BINS], "j1",
+                             **{n: "long" for n in SIMPLE_SPEED_BINS}),
+        "simple_trip_features": q_simple_trip_features(),
+        "validity_join": q(j1_full + [J3_JOIN], ["imei", "VIN", "valid_start_utc", "valid_end_utc", "imei_1",
+                                                 "vid", "tripnumber", "start_time", "end_time", "dura",
+                                                 "dura_valid", "mileage", "day"], "j3_join"),
+        "plausible_trips": q(j1_full + [J3_JOIN], ["imei", "VIN", "imei_1", "tripnumber", "speed_mean", "speed"],
+                             "j3_ok"),
+        "vehicle_rollup": with_ctes(FIXTURES, *j1_full, J3_JOIN) + "\n" + present(ROLLUP_TYPES, "j3"),
+        "vehicle_csv_line": with_ctes(FIXTURES, *j1_full, J3_JOIN) + "\nSELECT concat_ws(',', "
+                            + ", ".join(_csv_field(c, ROLLUP_TYPES[c]) for c in ROLLUP_COLUMNS)
+                            + ") AS df_concat FROM j3",
+        "clean_points": q(kin, J2_ROW_COLS, "j2_kin", time_stamp="int"),
+        "clean_distance": q(kin, ["imei", "tripnumber", "time_stamp", "lat", "lon", "am", "hour"], "j2_kin",
+                            time_stamp="int"),
+        "kinematics": q(kin, ["imei", "tripnumber", "time_stamp", "lat", "lon", "speed_cal", "heading_cal",
+                              "tan_acc", "norm_acc", "gps_acc"], "j2_kin", time_stamp="int"),
+        "turn_rate": q(kin, ["imei", "tripnumber", "time_stamp", "lat", "lon", "angle_delta",
+                             "angle_cal_delta"], "j2_kin", time_stamp="int"),
+        "complex_trip_head": j2_query(COMPLEX_HEAD),
+        "complex_hour_mileage": j2_query(["imei", "tripnumber", *COMPLEX_HOURS]),
+        "complex_speed_hist": j2_query(["imei", "tripnumber", *COMPLEX_SPEED_BINS]),
+        "speed_stats": j2_query(["imei", "tripnumber", *COMPLEX_SPEED_STATS]),
+        "acc_stats": j2_query(["imei", "tripnumber", *COMPLEX_ACC_STATS]),
+        "norm_stats": j2_query(["imei", "tripnumber", *COMPLEX_NORM_STATS]),
+        "turn_runs": j2_query(["imei", "tripnumber", *TURN_RUN_COLS]),
+        "turn_speed_stats": j2_query(["imei", "tripnumber", *TURN_SPEED_COLS]),
+        "acc_bin_runs": j2_query(["imei", "tripnumber", *COMPLEX_ACC_RUNS]),
+        "norm_bin_runs": j2_query(["imei", "tripnumber", *COMPLEX_NORM_RUNS]),
         "simple_trip_features": q_simple_trip_features(),
         "complex_trip_features": j2_query(COMPLEX_COLUMNS),
     }

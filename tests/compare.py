@@ -23,7 +23,7 @@ def run_oracle(con, sql: str) -> pd.DataFrame:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):

@@ -18,8 +18,11 @@ def hour_of_day(ts: Column, tz: str | None = "UTC") -> Column:
     return F.hour(F.timestamp_seconds(secs))
 
 
-def day_string(ts: Column, fmt: str = "yyyy-MM-dd") -> Column:
-    """Calendar day of an epoch-seconds value in the session zone."""
+def day_string(ts: Column, fmt: str = "yyyy-MM-dd", tz: str | None = "UTC") -> Column:
+    """Calendar day of an epoch-seconds value: in UTC (default, arithmetic) or,
+    with tz=None, in the session zone like from_unixtime(ts, fmt)."""
+    if tz == "UTC":
+        return F.date_format(F.date_from_unix_date(F.floor(ts / F.lit(86400)).cast("int")), fmt)
     return F.from_unixtime(F.floor(ts), fmt)
 
 

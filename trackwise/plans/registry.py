@@ -1,9 +1,11 @@
 """Registered queries: each job stage over the stand-in inputs.
 
 Every query reads the test tables (``events``, ``customer``) and derives its
-inputs with Spark, so its work grows with the tables. Doubles are rounded to
-9 places on output for the cross-engine check (the jobs themselves do not
-round).
+inputs with Spark, so its work grows with the tables. Queries that exercise
+a reader or a writer first stage the derived inputs as files under the
+shared folder (``spark.checkpoint.dir``) and read them back. Doubles are
+rounded to 9 places on output for the cross-engine check (the jobs
+themselves do not round).
 """
 
 from __future__ import annotations
@@ -14,9 +16,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackwise.plans import backfill
 from trackwise.plans import complex as j2
+from trackwise.plans import rollup as j3
 from trackwise.plans import simple as j1
+from trackwise.schemas import (COMPLEX_ACC_RUNS, COMPLEX_ACC_STATS, COMPLEX_COLUMNS,
+                               COMPLEX_HEAD, COMPLEX_HOURS, COMPLEX_NORM_RUNS,
+                               COMPLEX_NORM_STATS, COMPLEX_SPEED_BINS, COMPLEX_SPEED_STATS,
+                               COMPLEX_TURN, SIMPLE_HOURS, SIMPLE_SPEED_BINS)
+from trackwise.session import staging_path
 from trackwise.sources import fixtures as fx
+from trackwise.sources import readers, sinks
+
+# Day range of the date-range queries: all days of the stand-in data.
+FIRST_DAY, LAST_DAY = "2024-01-01", "2024-12-31"
+
+TRIP_ROW_COLS = ["tid", "vid", "tripnumber", "s_end", "imei", "lat", "lon", "speed",
+                 "direction", "time_stamp"]
+DIST_COLS = ["tid", "vid", "tripnumber", "imei", "time_stamp", "lat", "lon", "speed",
+             "lat_0", "lon_0", "am"]
+TURN_RUN_COLS = [c for c in COMPLEX_TURN if c.endswith("_dura") or c.endswith("_times")]
+TURN_SPEED_COLS = [c for c in COMPLEX_TURN if c not in TURN_RUN_COLS]
 
 
 def present(df: DataFrame, digits: int = 9) -> DataFrame:
@@ -41,20 +61,223 @@ def _trips(spark, sf_dir):
     return fx.trip_stat(spark, sf_dir)
 
 
+def _staged_trips(spark, sf_dir) -> str:
+    """Trip table written as day directories of header-less CSV."""
+    path = staging_path(spark, "trip_stat")
+    (fx.with_trip_day(fx.trip_stat(spark, sf_dir, full_schema=True))
+     .write.mode("overwrite").partitionBy("stat_date").option("header", False).csv(path))
+    return path
+
+
+def _staged_points(spark, sf_dir) -> str:
+    """GPS points written as day directories of parquet (all 11 columns)."""
+    path = staging_path(spark, "gps")
+    (fx.with_point_day(fx.gps_points(spark, sf_dir, full_schema=True))
+     .write.mode("overwrite").partitionBy("stat_date").parquet(path))
+    return path
+
+
+# --- sources ----------------------------------------------------------------
+
+def scan_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_trip_stat(spark, _staged_trips(spark, sf_dir))
+
+
+def scan_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(readers.read_gps_points(spark, _staged_points(spark, sf_dir)))
+
+
+def date_range_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = staging_path(spark, "simple_features")
+    backfill.run_simple(spark, trips_base=_staged_trips(spark, sf_dir),
+                        points_base=_staged_points(spark, sf_dir), out_base=out,
+                        first_day=FIRST_DAY, last_day=LAST_DAY)
+    return present(readers.read_trip_features(spark, out))
+
+
+# --- joins ------------------------------------------------------------------
+
+def trip_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = j1.seconds_points(_points(spark, sf_dir), ("direction",))
+    return present(j1.assign_trips(pts, _trips(spark, sf_dir)).select(*TRIP_ROW_COLS))
+
+
+def trip_points_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(j2.trip_points_trunc(_points(spark, sf_dir), _trips(spark, sf_dir)))
+
+
+def trip_points_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trackwise.operators.range_join import points_in_intervals_outer
+    pts = j1.seconds_points(_points(spark, sf_dir), ("direction",))
+    trips = (_trips(spark, sf_dir)
+             .select("tid", "vid", "deviceid", F.col("start").alias("tripnumber"), "s_end")
+             .where(F.col("tripnumber") > 0))
+    out = points_in_intervals_outer(pts, trips, point_key="imei", interval_key="deviceid",
+                                    ts="time_stamp", start="tripnumber", end="s_end",
+                                    interval_id=["tid", "vid", "deviceid", "tripnumber", "s_end"])
+    return present(out.select(*TRIP_ROW_COLS))
+
+
+def cohort_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx.cohort(spark, sf_dir).createOrReplaceTempView("trackwise_cohort")
+    cohort = readers.read_cohort(spark, "trackwise_cohort")
+    return j2.cohort_trips(_trips(spark, sf_dir), cohort).select("tid", "vid", "deviceid", "start", "s_end")
+
+
 # --- J1 ---------------------------------------------------------------------
 
+def _simple_rows(spark, sf_dir):
+    return j1.simple_rows(_points(spark, sf_dir), _trips(spark, sf_dir))
+
+
+def point_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(j1.expand_rows(_simple_rows(spark, sf_dir)).select(*DIST_COLS))
+
+
+def jump_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = j1.expand_rows(_simple_rows(spark, sf_dir))
+    return present(rows.where(F.col("am") < j1.JUMP_KM).select(*DIST_COLS))
+
+
+def _simple(spark, sf_dir):
+    return j1.simple_trip_features(_points(spark, sf_dir), _trips(spark, sf_dir))
+
+
+def trip_hour_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(_simple(spark, sf_dir).select("imei", "vid", "tripnumber", "mileage", *SIMPLE_HOURS))
+
+
+def trip_speed_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(_simple(spark, sf_dir).select("imei", "vid", "tripnumber", *SIMPLE_SPEED_BINS))
+
+
 def simple_trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(j1.simple_trip_features(_points(spark, sf_dir), _trips(spark, sf_dir)))
+    return present(_simple(spark, sf_dir))
+
+
+# --- J3 ---------------------------------------------------------------------
+
+def _validity(spark, sf_dir):
+    # windows arrive as datetime text; epoch bounds are derived from it
+    v = fx.validity(spark, sf_dir).drop("valid_start_utc", "valid_end_utc")
+    return readers.validity_from_datetimes(v)
+
+
+def validity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = j3.validity_join(_simple(spark, sf_dir), _validity(spark, sf_dir))
+    return present(out.select("imei", "VIN", "valid_start_utc", "valid_end_utc", "imei_1", "vid",
+                              "tripnumber", "start_time", "end_time", "dura", "dura_valid",
+                              "mileage", "day"))
+
+
+def plausible_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = j3.plausible_trips(j3.validity_join(_simple(spark, sf_dir), _validity(spark, sf_dir)))
+    return present(out.select("imei", "VIN", "imei_1", "tripnumber", "speed_mean", "speed"))
+
+
+def vehicle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up over the day-partitioned feature dataset written by the backfill."""
+    out = staging_path(spark, "simple_features")
+    sinks.write_day_partitioned(
+        backfill.simple_for_days(fx.with_point_day(_points(spark, sf_dir)),
+                                 fx.with_trip_day(_trips(spark, sf_dir)), FIRST_DAY, LAST_DAY),
+        out)
+    feats = readers.read_trip_features(spark, out)
+    return present(j3.vehicle_features(feats, _validity(spark, sf_dir)))
+
+
+def vehicle_csv_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vehicles = j3.vehicle_features(_simple(spark, sf_dir), _validity(spark, sf_dir))
+    path = staging_path(spark, "vehicle_lines")
+    sinks.write_lines(j3.vehicle_lines(vehicles, float_digits=9), path)
+    return spark.read.text(path).select(F.col("value").alias("df_concat"))
 
 
 # --- J2 ---------------------------------------------------------------------
 
+def _kin(spark, sf_dir):
+    rows = j2.clean_rows(_points(spark, sf_dir), _trips(spark, sf_dir), fx.cohort(spark, sf_dir))
+    return j2.kinematic_rows(rows)
+
+
+def _complex(spark, sf_dir):
+    return j2.aggregate_trips(_kin(spark, sf_dir))
+
+
+def clean_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(_kin(spark, sf_dir).select(*j2.ROW_COLS))
+
+
+def clean_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(_kin(spark, sf_dir).select("imei", "tripnumber", "time_stamp", "lat", "lon",
+                                             "am", "hour"))
+
+
+def kinematics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(_kin(spark, sf_dir).select("imei", "tripnumber", "time_stamp", "lat", "lon",
+                                             "speed_cal", "heading_cal", "tan_acc", "norm_acc",
+                                             "gps_acc"))
+
+
+def turn_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(_kin(spark, sf_dir).select("imei", "tripnumber", "time_stamp", "lat", "lon",
+                                             "angle_delta", "angle_cal_delta"))
+
+
+def _complex_part(columns: list[str]):
+    cols = [c for c in ["imei", "tripnumber"] if c not in columns] + columns
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return present(_complex(spark, sf_dir).select(*cols))
+    return q
+
+
+complex_trip_head = _complex_part(COMPLEX_HEAD)
+complex_hour_mileage = _complex_part(COMPLEX_HOURS)
+complex_speed_hist = _complex_part(COMPLEX_SPEED_BINS)
+speed_stats = _complex_part(COMPLEX_SPEED_STATS)
+acc_stats = _complex_part(COMPLEX_ACC_STATS)
+norm_stats = _complex_part(COMPLEX_NORM_STATS)
+turn_runs = _complex_part(TURN_RUN_COLS)
+turn_speed_stats = _complex_part(TURN_SPEED_COLS)
+acc_bin_runs = _complex_part(COMPLEX_ACC_RUNS)
+norm_bin_runs = _complex_part(COMPLEX_NORM_RUNS)
+
+
 def complex_trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(j2.complex_trip_features(_points(spark, sf_dir), _trips(spark, sf_dir),
-                                            fx.cohort(spark, sf_dir)))
+    return present(_complex(spark, sf_dir).select(*COMPLEX_COLUMNS))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "scan_trips": scan_trips,
+    "scan_points": scan_points,
+    "date_range_backfill": date_range_backfill,
+    "trip_points": trip_points,
+    "trip_points_trunc": trip_points_trunc,
+    "trip_points_outer": trip_points_outer,
+    "cohort_trips": cohort_trips,
+    "point_distance": point_distance,
+    "jump_filter": jump_filter,
+    "trip_hour_mileage": trip_hour_mileage,
+    "trip_speed_hist": trip_speed_hist,
     "simple_trip_features": simple_trip_features,
+    "validity_join": validity_join,
+    "plausible_trips": plausible_trips,
+    "vehicle_rollup": vehicle_rollup,
+    "vehicle_csv_line": vehicle_csv_line,
+    "clean_points": clean_points,
+    "clean_distance": clean_distance,
+    "complex_trip_head": complex_trip_head,
+    "complex_hour_mileage": complex_hour_mileage,
+    "complex_speed_hist": complex_speed_hist,
+    "speed_stats": speed_stats,
+    "kinematics": kinematics,
+    "turn_rate": turn_rate,
+    "acc_stats": acc_stats,
+    "norm_stats": norm_stats,
+    "turn_runs": turn_runs,
+    "turn_speed_stats": turn_speed_stats,
+    "acc_bin_runs": acc_bin_runs,
+    "norm_bin_runs": norm_bin_runs,
     "complex_trip_features": complex_trip_features,
 }

@@ -71,5 +71,8 @@ def read_validity(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def read_trip_features(spark: SparkSession, base: str, days: Iterable[str] | None = None) -> DataFrame:
-    """Trip-feature dataset written day-partitioned by the feature jobs."""
-    return _days(spark.read.option("basePath", base).parquet(base), days)
+    """Trip-feature dataset written day-partitioned by the feature jobs.
+
+    The day value stays text (yyyyMMdd) rather than an inferred number."""
+    df = spark.read.option("basePath", base).parquet(base)
+    return _days(df.withColumn("stat_date", F.col("stat_date").cast("string")), days)
