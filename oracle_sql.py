@@ -31,11 +31,14 @@ def lit(x: float) -> str:
 
 
 def present(cols: dict[str, str], src: str, order_free: bool = True) -> str:
-    """SELECT with doubles rounded to 9 places (-0 folded to 0)."""
+    """SELECT with doubles rounded to 9 places (-0 folded to 0).
+
+    Values of magnitude >= 1e6 (epoch seconds) are kept as they are: there
+    9 places are below double precision and rounding would only add error."""
     out = []
     for c, t in cols.items():
         if t == "double":
-            r = f"round({c}, 9)"
+            r = f"(CASE WHEN abs({c}) >= 1e6 THEN {c} ELSE round({c}, 9) END)"
             out.append(f"CASE WHEN {r} = 0 THEN 0.0::DOUBLE ELSE {r} END AS {c}")
         else:
             out.append(c)

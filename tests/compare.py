@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 import pandas as pd
 
+EXACT = os.environ.get("EXACT") == "1"
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -28,7 +31,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v

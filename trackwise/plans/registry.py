@@ -40,11 +40,13 @@ TURN_SPEED_COLS = [c for c in COMPLEX_TURN if c not in TURN_RUN_COLS]
 
 
 def present(df: DataFrame, digits: int = 9) -> DataFrame:
-    """Round doubles to ``digits`` places and fold -0.0 into 0.0."""
+    """Round doubles to ``digits`` places and fold -0.0 into 0.0 (magnitudes
+    >= 1e6, i.e. epoch seconds, are left as they are)."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            r = F.round(F.col(f.name), digits)
+            x = F.col(f.name)
+            r = F.when(F.abs(x) >= 1e6, x).otherwise(F.round(x, digits))
             out.append(F.when(r == 0, F.lit(0.0)).otherwise(r).alias(f.name))
         else:
             out.append(F.col(f.name))
