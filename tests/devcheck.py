@@ -15,13 +15,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from compare import diff, duck, run_oracle  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
-from trackwise.session import build_session  # noqa: E402
 
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:]
-    spark = build_session("local[8]", extra={"spark.sql.shuffle.partitions": "8"})
+    # a plain session, as the driver's check uses (no tuned settings)
+    from pyspark.sql import SparkSession
+    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)

@@ -142,6 +142,7 @@ def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
     k = p1.select(
         *rows.columns,
         "n_time_stamp",
+        (~has_prev).alias("is_first"), (~has_next).alias("is_last"),
         F.when(has_next, gps_dist("n_lat", "n_lon", "lat", "lon")).otherwise(F.lit(0.0)).alias("am"),
         F.when(has_next, (c("n_speed") - c("speed")) / dt_next).otherwise(F.lit(0.0)).alias("gps_acc"),
         hour_of_day(c("time_stamp"), tz).alias("hour"),
@@ -213,12 +214,15 @@ def aggregate_trips(kin: DataFrame) -> DataFrame:
     """One 284-column row per trip (plus stat_date when present)."""
     c = F.col
     day = ["stat_date"] if "stat_date" in kin.columns else []
-    order = F.struct(*ORDER)
+    first, last = c("is_first"), c("is_last")
     pos, neg = c("tan_acc") > 0, c("tan_acc") < 0
     rgt, lft = c("norm_acc") > 0, c("norm_acc") < 0
     in_turn = c("in_right") | c("in_left")
     aggs = [
-        F.min(order).alias("_first"), F.max(order).alias("_last"),
+        F.first(F.when(first, c("vid")), ignorenulls=True).alias("vid"),
+        F.min("time_stamp").alias("start_time"), F.max("time_stamp").alias("end_time"),
+        *[F.max(F.when(flag, c(x))).alias(f"{x}_{sfx}")
+          for flag, sfx in ((first, "st"), (last, "end")) for x in ("lat", "lon")],
         F.count(F.lit(1)).alias("dura_valid"), F.sum("am").alias("mileage"),
         *[F.sum(F.when(c("hour") == h, c("am")).otherwise(F.lit(0.0))).alias(n)
           for h, n in enumerate(COMPLEX_HOURS)],
@@ -257,11 +261,7 @@ def aggregate_trips(kin: DataFrame) -> DataFrame:
     g = kin.groupBy(*TRIP_KEY, *day).agg(*aggs)
     g = g.select(
         "*",
-        c("_first.vid").alias("vid"), c("_first.time_stamp").alias("start_time"),
-        c("_last.time_stamp").alias("end_time"),
-        (c("_last.time_stamp") - c("tripnumber")).alias("dura"),
-        c("_first.lat").alias("lat_st"), c("_first.lon").alias("lon_st"),
-        c("_last.lat").alias("lat_end"), c("_last.lon").alias("lon_end"),
+        (c("end_time") - c("tripnumber")).alias("dura"),
         *_q("speed"), *_q("acc_overall"), *_q("acc_pos"), *_q("acc_neg"),
         *_q("turn_speed", False), *_q("turn_left_speed", False), *_q("turn_right_speed", False),
         *_q("turn_overall"), *_q("turn_right"), *_q("turn_left"),

@@ -165,31 +165,35 @@ def _validity(spark, sf_dir):
     return readers.validity_from_datetimes(v)
 
 
+def _feature_table(spark, sf_dir) -> DataFrame:
+    """The basic-feature dataset as the roll-up reads it: written day-partitioned
+    to the shared folder by the date-range job, read back (lineage cut)."""
+    out = staging_path(spark, "simple_features")
+    sinks.write_day_partitioned(
+        backfill.simple_for_days(fx.with_point_day(_points(spark, sf_dir)),
+                                 fx.with_trip_day(_trips(spark, sf_dir)), FIRST_DAY, LAST_DAY),
+        out)
+    return readers.read_trip_features(spark, out)
+
+
 def validity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = j3.validity_join(_simple(spark, sf_dir), _validity(spark, sf_dir))
+    out = j3.validity_join(_feature_table(spark, sf_dir), _validity(spark, sf_dir))
     return present(out.select("imei", "VIN", "valid_start_utc", "valid_end_utc", "imei_1", "vid",
                               "tripnumber", "start_time", "end_time", "dura", "dura_valid",
                               "mileage", "day"))
 
 
 def plausible_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = j3.plausible_trips(j3.validity_join(_simple(spark, sf_dir), _validity(spark, sf_dir)))
+    out = j3.validity_join(j3.plausible_trips(_feature_table(spark, sf_dir)), _validity(spark, sf_dir))
     return present(out.select("imei", "VIN", "imei_1", "tripnumber", "speed_mean", "speed"))
 
 
 def vehicle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roll-up over the day-partitioned feature dataset written by the backfill."""
-    out = staging_path(spark, "simple_features")
-    sinks.write_day_partitioned(
-        backfill.simple_for_days(fx.with_point_day(_points(spark, sf_dir)),
-                                 fx.with_trip_day(_trips(spark, sf_dir)), FIRST_DAY, LAST_DAY),
-        out)
-    feats = readers.read_trip_features(spark, out)
-    return present(j3.vehicle_features(feats, _validity(spark, sf_dir)))
+    return present(j3.vehicle_features(_feature_table(spark, sf_dir), _validity(spark, sf_dir)))
 
 
 def vehicle_csv_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vehicles = j3.vehicle_features(_simple(spark, sf_dir), _validity(spark, sf_dir))
+    vehicles = j3.vehicle_features(_feature_table(spark, sf_dir), _validity(spark, sf_dir))
     path = staging_path(spark, "vehicle_lines")
     sinks.write_lines(j3.vehicle_lines(vehicles, float_digits=9), path)
     return spark.read.text(path).select(F.col("value").alias("df_concat"))

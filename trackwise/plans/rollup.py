@@ -1,8 +1,8 @@
 """Per-vehicle roll-up of the basic trip features inside validity windows.
 
-Plan: trip features (day-partitioned, read with partition pruning) join the
-validity windows on imei with the containment test as residual -> trip
-speeds and the plausibility filter -> one aggregate per (imei, VIN) with
+Plan: trip features (day-partitioned, read with partition pruning) -> trip
+speeds and the plausibility filter -> join with the validity windows on
+imei, containment test as residual -> one aggregate per (imei, VIN) with
 partial aggregation (the two distinct counts are planned by Spark as an
 expand + two-level aggregate, so a vehicle with very many trips is still
 split across tasks before the final merge).
@@ -49,12 +49,15 @@ def histogram_speed(df: DataFrame) -> "F.Column":
     return F.try_divide(total, F.col("dura_valid"))
 
 
-def plausible_trips(joined: DataFrame, max_ratio: float = MAX_SPEED_RATIO) -> DataFrame:
+def plausible_trips(features: DataFrame, max_ratio: float = MAX_SPEED_RATIO) -> DataFrame:
     """Adds speed_mean (histogram) and speed (mileage over time span, km/h) and
     keeps trips whose ratio speed / speed_mean is at most ``max_ratio``. An
-    undefined ratio (zero time span or zero histogram speed) fails the test."""
-    out = joined.withColumns({
-        "speed_mean": histogram_speed(joined),
+    undefined ratio (zero time span or zero histogram speed) fails the test.
+
+    The test reads trip columns only, so it runs before the validity join:
+    the same rows survive and the join gets less input."""
+    out = features.withColumns({
+        "speed_mean": histogram_speed(features),
         "speed": F.try_divide(F.col("mileage") * F.lit(3600),
                               F.col("end_time") - F.col("start_time")),
     })
@@ -80,7 +83,7 @@ def rollup(trips: DataFrame) -> DataFrame:
 def vehicle_features(features: DataFrame, validity: DataFrame,
                      max_ratio: float = MAX_SPEED_RATIO) -> DataFrame:
     feats = features.select(*SIMPLE_COLUMNS)
-    return rollup(plausible_trips(validity_join(feats, validity), max_ratio))
+    return rollup(validity_join(plausible_trips(feats, max_ratio), validity))
 
 
 def vehicle_lines(vehicles: DataFrame, float_digits: int | None = None) -> DataFrame:

@@ -104,27 +104,39 @@ def simple_rows(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
 
 
 def aggregate_trips(rows: DataFrame, tz: str | None = "UTC", by_day: bool = False) -> DataFrame:
-    """Per (imei, vid, tripnumber) features from successor rows (kept > 0)."""
-    kept = rows.where(F.col("kept") > 0)
+    """Per (imei, vid, tripnumber) features from successor rows (kept > 0).
+
+    First/last rows and new seconds are flagged by a window on the group
+    (same hash partitioning, local sort only), so the aggregate needs only
+    fixed-width buffers: a partial+final hash aggregate with no exchange.
+    """
+    day = _day_cols(rows, by_day)
+    group = ["imei", "tripnumber", "vid"]
+    w = Window.partitionBy(*group).orderBy(*[F.asc_nulls_first(c) for c in
+                                              ["time_stamp", "lat", "lon", "speed", "tid", "s_end"]])
+    kept = rows.where(F.col("kept") > 0).select(
+        "*",
+        F.lag(F.lit(1)).over(w).isNull().alias("_first"),
+        F.lead(F.lit(1)).over(w).isNull().alias("_last"),
+        (~F.lag("time_stamp").over(w).eqNullSafe(F.col("time_stamp"))).alias("_new_second"),
+    )
     am_kept = F.when(F.col("last_kept"), F.col("am")).otherwise(F.lit(0.0))
     hour = hour_of_day(F.col("time_stamp"), tz)
-    order = F.struct("time_stamp", "lat", "lon", "speed", "tid", "s_end")
-    day = _day_cols(rows, by_day)
     aggs = [
         F.min("time_stamp").alias("start_time"),
         F.max("time_stamp").alias("end_time"),
         (F.max("s_end") - F.min("tripnumber")).alias("dura"),
-        F.count_distinct("time_stamp").alias("dura_valid"),
-        F.min(order).alias("_first"),
-        F.max(order).alias("_last"),
+        F.count_if("_new_second").alias("dura_valid"),
+        F.max(F.when(F.col("_first"), F.col("lat"))).alias("lat_st"),
+        F.max(F.when(F.col("_first"), F.col("lon"))).alias("lon_st"),
+        F.max(F.when(F.col("_last"), F.col("lat"))).alias("lat_end"),
+        F.max(F.when(F.col("_last"), F.col("lon"))).alias("lon_end"),
         F.sum(am_kept).alias("mileage"),
     ]
     aggs += [F.sum(F.when(hour == h, am_kept).otherwise(F.lit(0.0))).alias(n)
              for h, n in enumerate(SIMPLE_HOURS)]
     aggs += ceil_bin_counts(F.col("speed"), F.col("kept"), SIMPLE_SPEED_BINS)
-    out = kept.groupBy("imei", "vid", "tripnumber", *day).agg(*aggs)
-    out = out.withColumns({"lat_st": F.col("_first.lat"), "lon_st": F.col("_first.lon"),
-                           "lat_end": F.col("_last.lat"), "lon_end": F.col("_last.lon")})
+    out = kept.groupBy(*group, *day).agg(*aggs)
     return out.select(*SIMPLE_COLUMNS, *day)
 
 

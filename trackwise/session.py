@@ -18,6 +18,11 @@ RECOMMENDED_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(100 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the feature plans alias hundreds of generated expressions; constraint
+    # inference over them grows combinatorially in the optimizer
+    "spark.sql.constraintPropagation.enabled": "false",
+    # a skewed join partition may be split even if that costs an extra shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
