@@ -1,0 +1,125 @@
+"""Per-trip kinematic features on literal rows."""
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from helpers import points, trip
+from trackwise.functions.binning import bin_index
+from trackwise.operators.sequence import filtered_run_start, in_run_at_least, run_start_at_least
+from trackwise.plans import complex as j2
+
+
+def kin(spark, rows):
+    return j2.kinematic_rows(j2.clean_rows(points(spark, rows), trip(spark)))
+
+
+def feats(spark, rows):
+    return j2.complex_trip_features(points(spark, rows), trip(spark)).collect()
+
+
+def north_line(n=61, heading=0, speed=10.0):
+    return [(30.0 + i * 1e-4, 120.0, speed, heading, i) for i in range(n)]
+
+
+def test_straight_north_line(spark):
+    rows = kin(spark, north_line()).orderBy("time_stamp").collect()
+    mid = rows[1:-1]
+    assert all(r["norm_acc"] is None for r in rows)           # D = 0 with a zero numerator
+    assert all(abs(r["tan_acc"]) < 1e-9 for r in mid)
+    assert all(r["heading_cal"] == 0.0 for r in mid)
+    assert rows[0]["speed_cal"] is None and rows[-1]["speed_cal"] is None
+    assert rows[-1]["am"] == 0.0 and rows[-1]["angle_delta"] == 0.0
+
+
+def test_raw_row_guard(spark):
+    assert len(feats(spark, north_line(60))) == 0
+    assert len(feats(spark, north_line(61))) == 1
+
+
+def test_distinct_row_guard(spark):
+    # 61 raw rows, 15 distinct -> none; 16 distinct -> one row
+    base = north_line(15)
+    rows = base + [base[-1]] * (61 - 15)
+    assert len(feats(spark, rows)) == 0
+    base = north_line(16)
+    rows = base + [base[-1]] * (61 - 16)
+    out = feats(spark, rows)
+    assert len(out) == 1 and out[0]["dura_valid"] == 16
+
+
+def test_no_fix_and_incomplete_rows_are_removed(spark):
+    rows = north_line(70)
+    rows[5] = (0.0, 0.0, 10.0, 0, 5)
+    rows[6] = (30.0006, 120.0, None, 0, 6)
+    out = feats(spark, rows)[0]
+    assert out["dura_valid"] == 68
+
+
+def test_same_second_other_position_gives_null_kinematics(spark):
+    rows = north_line(61)
+    rows.append((30.5, 120.1, 10.0, 0, 30))     # dt = 0 against row 30
+    k = kin(spark, rows).where(F.col("time_stamp") % 100 == (rows[30][4] + 1704067200) % 100).collect()
+    assert len(k) == 2
+    out = feats(spark, rows)
+    assert len(out) == 1
+
+
+def test_turn_run_threshold(spark):
+    # heading deltas 4,4,4,0,4,4 then 0: one right run of 3 rows (the run of 2 does not count)
+    heads = [0, 4, 8, 12, 12, 16, 20] + [20] * 54
+    rows = [(30.0 + i * 1e-4, 120.0, 10.0 + i, h, i) for i, h in enumerate(heads)]
+    out = feats(spark, rows)[0]
+    assert out["turn_right_times"] == 1 and out["turn_right_dura"] == 3
+    assert out["turn_left_times"] == 0 and out["turn_dura"] == 3
+    assert out["turn_right_speed_mean"] == pytest.approx((10 + 11 + 12) / 3)
+
+
+def test_wrapped_turn_350_to_10_is_right(spark):
+    heads = [350, 0, 10, 20, 30] + [30] * 56
+    rows = [(30.0 + i * 1e-4, 120.0, 10.0, h, i) for i, h in enumerate(heads)]
+    out = feats(spark, rows)[0]
+    assert out["turn_right_times"] == 1 and out["turn_right_dura"] == 4
+
+
+def _runs(spark, values, bounds, threshold):
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], "g int, t int, x double")
+    w = Window.partitionBy("g").orderBy("t")
+    sign = F.col("x") > 0 if bounds[0][0] == 0 else F.col("x") < 0
+    df = df.withColumn("b", F.when(sign, bin_index(F.col("x"), bounds)))
+    df = df.withColumn("start", filtered_run_start("b", threshold, w))
+    return {r["b"]: r["n"] for r in df.where("start").groupBy("b").agg(F.count("*").alias("n")).collect()}
+
+
+def test_positive_bin_runs_skip_other_rows(spark):
+    # .01, -.2, .02, .31: the negative row is removed first, so .01 and .02 form one run
+    got = _runs(spark, [0.01, -0.2, 0.02, 0.31], j2.ACC_POS_BOUNDS, 1)
+    assert got == {0: 1, 6: 1}
+
+
+def test_negative_bin_runs_threshold_two(spark):
+    # -.01, -.02, -.2: one run of 2 in (-0.05, 0], a single row in (-0.25, -0.2]
+    got = _runs(spark, [-0.01, -0.02, -0.2], j2.ACC_NEG_BOUNDS, 2)
+    idx_00_05 = len(j2.ACC_NEG_BOUNDS) - 1
+    assert got == {idx_00_05: 1}
+
+
+def test_run_stencils(spark):
+    states = list("RRRNRRLLLLXRRR")
+    df = spark.createDataFrame([(1, i, s if s != "X" else None) for i, s in enumerate(states)],
+                               "g int, t int, s string")
+    w = Window.partitionBy("g").orderBy("t")
+    out = df.select("t", in_run_at_least("s", "R", 3, w).alias("inr"),
+                    run_start_at_least("s", "R", 3, w).alias("st"),
+                    in_run_at_least("s", "L", 3, w).alias("inl")).orderBy("t").collect()
+    assert [r["inr"] for r in out] == [c == "R" for c in "RRRNNNNNNNNRRR"]
+    assert [i for i, r in enumerate(out) if r["st"]] == [0, 11]
+    assert sum(r["inl"] for r in out) == 4
+
+
+def test_partition_count_does_not_change_results(spark):
+    rows = [(30.0 + i * 1e-4 + (i % 7) * 3e-5, 120.0 + (i % 5) * 2e-5, float(i % 40), (i * 17) % 360, i)
+            for i in range(80)]
+    a = j2.complex_trip_features(points(spark, rows).repartition(1), trip(spark)).collect()
+    b = j2.complex_trip_features(points(spark, rows).repartition(7), trip(spark)).collect()
+    assert a == b

@@ -35,8 +35,10 @@ GPS_SCHEMA = T.StructType([
     T.StructField("protocal_type", T.IntegerType()),
 ])
 # Positional types applied to a file-schema read (character/numeric/integer).
+# time_stamp stays epoch milliseconds here; the kinematic job truncates
+# time_stamp / 1000 to whole seconds itself.
 GPS_POSITIONAL_TYPES = ["string", "double", "double", "double", "double", "double",
-                        "int", "int", "double", "int", "int"]
+                        "int", "int", "double", "bigint", "int"]
 
 COHORT_SCHEMA = T.StructType([T.StructField("imei", T.StringType())])
 
