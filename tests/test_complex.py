@@ -86,7 +86,7 @@ def _runs(spark, values, bounds, threshold):
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], "g int, t int, x double")
     w = Window.partitionBy("g").orderBy("t")
     sign = F.col("x") > 0 if bounds[0][0] == 0 else F.col("x") < 0
-    df = df.withColumn("b", F.when(sign, bin_index(F.col("x"), bounds)))
+    df = df.withColumn("b", F.when(sign, bin_index("x", bounds)))
     df = df.withColumn("start", filtered_run_start("b", threshold, w))
     return {r["b"]: r["n"] for r in df.where("start").groupBy("b").agg(F.count("*").alias("n")).collect()}
 

@@ -65,7 +65,8 @@ def test_interval_bounds_modes():
 def test_ceil_speed_bins(spark):
     from trackwise.schemas import SIMPLE_SPEED_BINS
     df = spark.createDataFrame([(0.0,), (10.0,), (10.1,), (200.0,), (200.1,), (None,)], "speed double")
-    row = df.agg(*binning.ceil_bin_counts(F.col("speed"), F.lit(1), SIMPLE_SPEED_BINS)).first().asDict()
+    df = df.withColumn("one", F.lit(1))
+    row = df.agg(*binning.ceil_bin_counts("speed", "one", SIMPLE_SPEED_BINS)).first().asDict()
     ones = {k for k, v in row.items() if v == 1}
     assert ones == {"speed_0", "speed_0_10", "speed_10_20", "speed_190_200", "speed_200_Inf"}
     assert sum(row.values()) == 5

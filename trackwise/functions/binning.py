@@ -42,39 +42,56 @@ def interval_bounds(lo: float, hi: float, gap: float, inf_plus: bool = True,
     return list(zip(arith_seq(lo, hi - gap, gap), arith_seq(lo + gap, hi, gap)))
 
 
-def in_interval(x: Column, a: float, b: float) -> Column:
-    cond = F.lit(True) if a == -INF else (x > F.lit(a))
-    return cond if b == INF else cond & (x <= F.lit(b))
+def sql_double(v: float) -> str:
+    """Exact SQL text of a double (shortest round-trip digits, D suffix)."""
+    return f"{float(v)!r}D"
 
 
-def bin_index(x: Column, bounds: list[tuple[float, float]]) -> Column:
-    """Index of the first interval (a, b] holding x; NULL when none does."""
-    expr = None
-    for i, (a, b) in enumerate(bounds):
-        cond = in_interval(x, a, b)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
+def interval_sql(x: str, a: float, b: float) -> str:
+    """SQL condition x in (a, b]; infinite ends are left open."""
+    conds = []
+    if a != -INF:
+        conds.append(f"`{x}` > {sql_double(a)}")
+    if b != INF:
+        conds.append(f"`{x}` <= {sql_double(b)}")
+    return " AND ".join(conds) or "TRUE"
 
 
-def count_in_intervals(x: Column, bounds, names: list[str]) -> list[Column]:
-    """One count per interval (a, b], as BIGINT aggregates."""
-    return [F.count_if(in_interval(x, a, b)).alias(n) for (a, b), n in zip(bounds, names)]
+# The generated families below are built as SQL text: one expression per
+# output column is one call into the JVM, where building the same trees
+# from Column objects costs one call per node.
 
+def bin_index(x: str, bounds: list[tuple[float, float]]) -> Column:
+    """Index of the first interval (a, b] holding column ``x``; NULL when none does."""
+    whens = " ".join(f"WHEN {interval_sql(x, a, b)} THEN {i}" for i, (a, b) in enumerate(bounds))
+    return F.expr(f"CASE {whens} END")
 
-def ceil_bin_counts(x: Column, weight: Column, names: list[str], width: float = 10.0) -> list[Column]:
+
+def count_in_intervals(x: str, bounds, names: list[str]) -> list[Column]:
+    """One count per interval (a, b] of column ``x``, as BIGINT aggregates."""
+    return [F.expr(f"count_if({interval_sql(x, a, b)}) AS `{n}`") for (a, b), n in zip(bounds, names)]
+
+
+def ceil_bin_counts(x: str, weight: str, names: list[str], width: float = 10.0) -> list[Column]:
     """Counts by ceil(x / width) == k for k = 0..len(names)-2, then x > (len-2)*width.
 
-    NULL x counts nowhere. ``weight`` is the number of rows a row stands for.
+    NULL x counts nowhere. Column ``weight`` is the number of rows a row stands for.
     """
     top = len(names) - 2
-    k = F.ceil(x / F.lit(width))
-    cols = [F.sum(F.when(k == i, weight).otherwise(F.lit(0))).cast("long").alias(n)
+    k = f"ceil(`{x}` / {sql_double(width)})"
+    cols = [F.expr(f"CAST(sum(CASE WHEN {k} = {i} THEN `{weight}` ELSE 0 END) AS BIGINT) AS `{n}`")
             for i, n in enumerate(names[:-1])]
-    cols.append(F.sum(F.when(x > F.lit(top * width), weight).otherwise(F.lit(0)))
-                .cast("long").alias(names[-1]))
+    cols.append(F.expr(f"CAST(sum(CASE WHEN `{x}` > {sql_double(top * width)} THEN `{weight}` ELSE 0 END)"
+                       f" AS BIGINT) AS `{names[-1]}`"))
     return cols
 
 
+def sums_by_value(x: str, key: str, values, names: list[str]) -> list[Column]:
+    """sum(x where key = v, else 0) for each v: e.g. distance per hour of day."""
+    return [F.expr(f"sum(CASE WHEN `{key}` = {v} THEN `{x}` ELSE 0D END) AS `{n}`")
+            for v, n in zip(values, names)]
+
+
 def quantiles(x: Column) -> Column:
     """Exact 11-point quantiles as one array aggregate.
 
@@ -84,6 +101,6 @@ def quantiles(x: Column) -> Column:
     return F.percentile(x, QUANTILE_PROBS)
 
 
-def quantile_columns(arr: Column, names: list[str]) -> list[Column]:
-    """Spread a quantile array into its 11 named columns."""
-    return [arr.getItem(i).alias(n) for i, n in enumerate(names)]
+def quantile_columns(arr: str, names: list[str]) -> list[Column]:
+    """Spread the quantile array column ``arr`` into its 11 named columns."""
+    return [F.expr(f"`{arr}`[{i}] AS `{n}`") for i, n in enumerate(names)]

@@ -34,8 +34,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackwise.functions.binning import bin_index, count_in_intervals, interval_bounds, \
-    quantile_columns, quantiles
+from trackwise.functions.binning import (bin_index, count_in_intervals, interval_bounds,
+                                         quantile_columns, quantiles, sums_by_value)
 from trackwise.functions.geo import (GRAVITY, gps_dist, heading_of, norm,
                                      normal_acc_over_radius, velocity, wrap_heading_diff)
 from trackwise.functions.timefmt import hour_of_day
@@ -172,12 +172,12 @@ def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
         "turn_state": (F.when(c("angle_delta") > turn_threshold, F.lit("R"))
                        .when(c("angle_delta") < -turn_threshold, F.lit("L"))
                        .otherwise(F.lit("N"))),
-        "acc_pos_bin": F.when(c("tan_acc") > 0, bin_index(c("tan_acc"), ACC_POS_BOUNDS)),
-        "acc_neg_bin": F.when(c("tan_acc") < 0, bin_index(c("tan_acc"), ACC_NEG_BOUNDS)),
+        "acc_pos_bin": F.when(c("tan_acc") > 0, bin_index("tan_acc", ACC_POS_BOUNDS)),
+        "acc_neg_bin": F.when(c("tan_acc") < 0, bin_index("tan_acc", ACC_NEG_BOUNDS)),
     })
     k2 = k2.withColumns({
-        "norm_pos_bin": F.when(c("norm_acc") > 0, bin_index(c("norm_acc"), ACC_POS_BOUNDS)),
-        "norm_neg_bin": F.when(c("norm_acc") < 0, bin_index(c("norm_acc"), ACC_NEG_BOUNDS)),
+        "norm_pos_bin": F.when(c("norm_acc") > 0, bin_index("norm_acc", ACC_POS_BOUNDS)),
+        "norm_neg_bin": F.when(c("norm_acc") < 0, bin_index("norm_acc", ACC_NEG_BOUNDS)),
     })
 
     # pass 3: episodes and bin runs (lag/lead on the same window)
@@ -201,12 +201,13 @@ def _stats(x, prefix: str, pct_suffix: bool = True):
 
 
 def _q(prefix: str, pct_suffix: bool = True):
-    return quantile_columns(F.col(f"_q_{prefix}"), quantile_names(prefix, pct_suffix))
+    return quantile_columns(f"_q_{prefix}", quantile_names(prefix, pct_suffix))
 
 
 def _run_counts(flag: str, bin_col: str, names: list[str], reverse: bool):
+    """Runs per bin; the negative families are named from the bin next to 0 outwards."""
     n = len(names)
-    return [F.count_if(F.col(flag) & (F.col(bin_col) == (n - 1 - i if reverse else i))).alias(nm)
+    return [F.expr(f"count_if(`{flag}` AND `{bin_col}` = {n - 1 - i if reverse else i}) AS `{nm}`")
             for i, nm in enumerate(names)]
 
 
@@ -224,13 +225,12 @@ def aggregate_trips(kin: DataFrame) -> DataFrame:
         *[F.max(F.when(flag, c(x))).alias(f"{x}_{sfx}")
           for flag, sfx in ((first, "st"), (last, "end")) for x in ("lat", "lon")],
         F.count(F.lit(1)).alias("dura_valid"), F.sum("am").alias("mileage"),
-        *[F.sum(F.when(c("hour") == h, c("am")).otherwise(F.lit(0.0))).alias(n)
-          for h, n in enumerate(COMPLEX_HOURS)],
+        *sums_by_value("am", "hour", range(24), COMPLEX_HOURS),
         *_stats(c("speed"), "speed"),
         F.count_if(c("speed") == 0).alias("speed_0"),
         F.avg(F.when(c("speed") > 0, c("speed"))).alias("speed_mean_drive"),
         F.stddev_samp(F.when(c("speed") > 0, c("speed"))).alias("speed_sd_drive"),
-        *count_in_intervals(c("speed"), SPEED_BOUNDS, COMPLEX_SPEED_BINS),
+        *count_in_intervals("speed", SPEED_BOUNDS, COMPLEX_SPEED_BINS),
         *_stats(c("tan_acc"), "acc_overall"),
         F.count_if(pos).alias("acc_pos_dura"), F.count_if(neg).alias("acc_neg_dura"),
         F.avg(F.when(pos, c("tan_acc"))).alias("acc_pos_mean"),

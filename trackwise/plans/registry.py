@@ -44,13 +44,13 @@ def present(df: DataFrame, digits: int = 9) -> DataFrame:
     >= 1e6, i.e. epoch seconds, are left as they are)."""
     out = []
     for f in df.schema.fields:
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            x = F.col(f.name)
-            r = F.when(F.abs(x) >= 1e6, x).otherwise(F.round(x, digits))
-            out.append(F.when(r == 0, F.lit(0.0)).otherwise(r).alias(f.name))
+            r = f"CASE WHEN abs({c}) >= 1000000D THEN {c} ELSE round({c}, {digits}) END"
+            out.append(f"CASE WHEN {r} = 0 THEN 0D ELSE {r} END AS {c}")
         else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            out.append(c)
+    return df.selectExpr(*out)
 
 
 # --- inputs -----------------------------------------------------------------

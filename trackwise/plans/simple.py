@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackwise.functions.binning import ceil_bin_counts
+from trackwise.functions.binning import ceil_bin_counts, sums_by_value
 from trackwise.functions.geo import gps_dist
 from trackwise.functions.timefmt import hour_of_day
 from trackwise.operators.copies import collapse_copies, expand_copies
@@ -120,8 +120,11 @@ def aggregate_trips(rows: DataFrame, tz: str | None = "UTC", by_day: bool = Fals
         F.lead(F.lit(1)).over(w).isNull().alias("_last"),
         (~F.lag("time_stamp").over(w).eqNullSafe(F.col("time_stamp"))).alias("_new_second"),
     )
-    am_kept = F.when(F.col("last_kept"), F.col("am")).otherwise(F.lit(0.0))
-    hour = hour_of_day(F.col("time_stamp"), tz)
+    kept = kept.withColumns({
+        "_am_kept": F.when(F.col("last_kept"), F.col("am")).otherwise(F.lit(0.0)),
+        "_hour": hour_of_day(F.col("time_stamp"), tz),
+    })
+    am_kept = F.col("_am_kept")
     aggs = [
         F.min("time_stamp").alias("start_time"),
         F.max("time_stamp").alias("end_time"),
@@ -133,9 +136,8 @@ def aggregate_trips(rows: DataFrame, tz: str | None = "UTC", by_day: bool = Fals
         F.max(F.when(F.col("_last"), F.col("lon"))).alias("lon_end"),
         F.sum(am_kept).alias("mileage"),
     ]
-    aggs += [F.sum(F.when(hour == h, am_kept).otherwise(F.lit(0.0))).alias(n)
-             for h, n in enumerate(SIMPLE_HOURS)]
-    aggs += ceil_bin_counts(F.col("speed"), F.col("kept"), SIMPLE_SPEED_BINS)
+    aggs += sums_by_value("_am_kept", "_hour", range(24), SIMPLE_HOURS)
+    aggs += ceil_bin_counts("speed", "kept", SIMPLE_SPEED_BINS)
     out = kept.groupBy(*group, *day).agg(*aggs)
     return out.select(*SIMPLE_COLUMNS, *day)
 
