@@ -14,8 +14,17 @@ from pyspark.sql import types as T
 
 
 def write_day_partitioned(df: DataFrame, base: str, day_col: str = "stat_date",
-                          max_records_per_file: int | None = None) -> None:
-    """Parquet under base/stat_date=YYYYMMDD/, overwriting only the days present."""
+                          max_records_per_file: int | None = None,
+                          cluster_key: str | None = "imei") -> None:
+    """Parquet under base/stat_date=YYYYMMDD/, overwriting only the days present.
+
+    With ``cluster_key`` the rows are range-partitioned on (day, key) first,
+    so each task writes a contiguous run of days: a run over many days gives
+    about tasks + days files instead of tasks x days. The shuffle moves
+    feature rows (one per trip), not points.
+    """
+    if cluster_key is not None and cluster_key in df.columns:
+        df = df.repartitionByRange(day_col, cluster_key)
     w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(day_col))
     if max_records_per_file:
