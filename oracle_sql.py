@@ -9,14 +9,12 @@ Doubles are rounded to 9 places on output (cross-engine float noise).
 
 from __future__ import annotations
 
-from trackwise.functions.binning import interval_bounds
 from trackwise.plans.complex import ACC_NEG_BOUNDS, ACC_POS_BOUNDS, SPEED_BOUNDS
 from trackwise.schemas import (COMPLEX_ACC_RUNS, COMPLEX_ACC_STATS, COMPLEX_COLUMNS, COMPLEX_TYPES,
                                COMPLEX_HEAD, COMPLEX_HOURS, COMPLEX_NORM_RUNS,
                                COMPLEX_NORM_STATS, COMPLEX_SPEED_BINS, COMPLEX_SPEED_STATS,
                                COMPLEX_TURN, ROLLUP_COLUMNS, SIMPLE_COLUMNS, SIMPLE_HOURS,
-                               SIMPLE_SPEED_BINS, quantile_names, run_bin_names, stat_block,
-                               turn_block)
+                               SIMPLE_SPEED_BINS, quantile_names, run_bin_names)
 
 PROBS = "[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]"
 
@@ -339,9 +337,22 @@ j2 AS (SELECT t.*, {gps_dist("lat_st", "lon_st", "lat_end", "lon_end")} AS fly_d
 """
 
 
-def j2_query(columns: list[str]) -> str:
+def j2_query(columns: list[str], by_day: bool = False) -> str:
     types = {c: COMPLEX_TYPES[c] for c in columns}
-    return with_ctes(FIXTURES, J2_ROWS, _j2_agg()) + "\n" + present(types, "j2")
+    if not by_day:
+        return with_ctes(FIXTURES, J2_ROWS, _j2_agg()) + "\n" + present(types, "j2")
+    # one run per day: points and trips of the same day only; day of the trip start
+    rows = J2_ROWS.replace(
+        "g.lat, g.lon, g.direction AS heading, g.speed\n",
+        "g.lat, g.lon, g.direction AS heading, g.speed, " + day_key("t.start") + " AS stat_date\n", 1
+    ).replace(
+        "AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) <= t.s_end)",
+        "AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) <= t.s_end\n             AND "
+        + day_key("g.time_stamp/1000e0") + " = " + day_key("t.start") + ")", 1)
+    agg = _j2_agg().replace("j2_trip AS (SELECT imei, tripnumber, ",
+                            "j2_trip AS (SELECT imei, tripnumber, any_value(stat_date) AS stat_date, ", 1)
+    assert rows != J2_ROWS and "stat_date" in agg
+    return with_ctes(FIXTURES, rows, agg) + "\n" + present({**types, "stat_date": "string"}, "j2")
 
 
 ROW_TYPES = {"tid": "string", "vid": "string", "imei": "string", "deviceid": "string",
@@ -464,4 +475,11 @@ def oracle_sql() -> dict[str, str]:
         "norm_bin_runs": j2_query(["imei", "tripnumber", *COMPLEX_NORM_RUNS]),
         "simple_trip_features": q_simple_trip_features(),
         "complex_trip_features": j2_query(COMPLEX_COLUMNS),
+        "complex_date_range_backfill": j2_query(COMPLEX_COLUMNS, by_day=True),
+        "scan_points_positional": q([f"""s AS (SELECT imei, lat, lon, lat AS alat, lon AS alon, speed, direction,
+                               0 AS altitude, 1e0 AS pdop, time_stamp, 1 AS protocal_type,
+                               {day_key('time_stamp/1000e0')} AS stat_date FROM gps_points)"""],
+                         ["imei", "lat", "lon", "alat", "alon", "speed", "direction", "altitude", "pdop",
+                          "time_stamp", "protocal_type", "stat_date"], "s",
+                         altitude="int", time_stamp="long", protocal_type="int"),
     }

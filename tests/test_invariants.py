@@ -1,7 +1,6 @@
 """Invariants of the feature tables on the stand-in data."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from trackwise.plans import complex as j2
 from trackwise.plans import simple as j1

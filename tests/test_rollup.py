@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from trackwise.plans import rollup as j3
-from trackwise.schemas import ROLLUP_COLUMNS, SIMPLE_COLUMNS, SIMPLE_HOURS, SIMPLE_SPEED_BINS
+from trackwise.schemas import ROLLUP_COLUMNS, SIMPLE_COLUMNS, SIMPLE_SPEED_BINS
 
 
 def feature_rows(spark, rows):

@@ -3,8 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from trackwise.schemas import GPS_SCHEMA
 from trackwise.sources import readers, sinks
 

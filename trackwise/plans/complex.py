@@ -42,9 +42,8 @@ from trackwise.functions.timefmt import hour_of_day
 from trackwise.operators.copies import collapse_copies
 from trackwise.operators.range_join import DEFAULT_BUCKET_SECONDS, points_in_intervals
 from trackwise.operators.sequence import filtered_run_start, in_run_at_least, run_start_at_least
-from trackwise.schemas import (COMPLEX_ACC_RUNS, COMPLEX_COLUMNS, COMPLEX_HOURS,
-                               COMPLEX_NORM_RUNS, COMPLEX_SPEED_BINS, quantile_names,
-                               run_bin_names)
+from trackwise.schemas import (COMPLEX_COLUMNS, COMPLEX_HOURS, COMPLEX_SPEED_BINS,
+                               quantile_names, run_bin_names)
 
 # Fixed values of the feature definition.
 MIN_RAW_ROWS = 60          # a trip needs more raw rows than this

@@ -89,6 +89,11 @@ def scan_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(readers.read_gps_points(spark, _staged_points(spark, sf_dir)))
 
 
+def scan_points_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GPS parquet read with the file's own schema, re-typed by position."""
+    return present(readers.read_gps_points(spark, _staged_points(spark, sf_dir), positional_cast=True))
+
+
 def date_range_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = staging_path(spark, "simple_features")
     backfill.run_simple(spark, trips_base=_staged_trips(spark, sf_dir),
@@ -254,9 +259,23 @@ def complex_trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(_complex(spark, sf_dir).select(*COMPLEX_COLUMNS))
 
 
+def complex_date_range_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinematic job as a date-range run: CSV trips and parquet points from
+    day directories (file schema, positional types), cohort from a parquet
+    table, output written day-partitioned and read back."""
+    cohort_path = staging_path(spark, "cohort")
+    fx.cohort(spark, sf_dir).write.parquet(cohort_path)
+    out = staging_path(spark, "complex_features")
+    backfill.run_complex(spark, trips_base=_staged_trips(spark, sf_dir),
+                         points_base=_staged_points(spark, sf_dir), out_base=out,
+                         first_day=FIRST_DAY, last_day=LAST_DAY, cohort_source=cohort_path)
+    return present(readers.read_trip_features(spark, out).select(*COMPLEX_COLUMNS, "stat_date"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_trips": scan_trips,
     "scan_points": scan_points,
+    "scan_points_positional": scan_points_positional,
     "date_range_backfill": date_range_backfill,
     "trip_points": trip_points,
     "trip_points_trunc": trip_points_trunc,
@@ -286,4 +305,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "acc_bin_runs": acc_bin_runs,
     "norm_bin_runs": norm_bin_runs,
     "complex_trip_features": complex_trip_features,
+    "complex_date_range_backfill": complex_date_range_backfill,
 }

@@ -50,13 +50,6 @@ HOURS = range(24)
 DECILES = range(10, 100, 10)
 
 
-def _num(x: float) -> str:
-    """Render a bound the way the column names spell it (10 -> '10', inf -> 'Inf')."""
-    if x == float("inf"):
-        return "Inf"
-    return str(int(x)) if float(x).is_integer() else repr(x)
-
-
 # J1 speed histogram: ceil(speed/10) == 0 .. 20, then > 200.
 SIMPLE_SPEED_BINS = ["speed_0"] + [f"speed_{10 * k}_{10 * k + 10}" for k in range(20)] + ["speed_200_Inf"]
 SIMPLE_HOURS = [f"m_{h}" for h in HOURS]

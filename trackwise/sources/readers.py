@@ -42,11 +42,11 @@ def read_gps_points(spark: SparkSession, base: str, days: Iterable[str] | None =
     """GPS parquet with the fixed schema, or with the file schema re-typed by position."""
     if not positional_cast:
         return _days(spark.read.schema(_with_day(GPS_SCHEMA)).parquet(base), days)
-    df = _days(spark.read.parquet(base), days)
+    df = spark.read.parquet(base)
     data_cols = [c for c in df.columns if c != "stat_date"]
     typed = [F.col(c).cast(t).alias(n) for c, t, n in
              zip(data_cols, GPS_POSITIONAL_TYPES, GPS_SCHEMA.fieldNames())]
-    return df.select(*typed, "stat_date")
+    return _days(df.select(*typed, F.col("stat_date").cast("string").alias("stat_date")), days)
 
 
 def read_cohort(spark: SparkSession, source: str) -> DataFrame:
