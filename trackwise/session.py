@@ -23,6 +23,11 @@ RECOMMENDED_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
     # a skewed join partition may be split even if that costs an extra shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the kinematic aggregate (exact quantiles) consumes the window output,
+    # already sorted by trip: a sort aggregate streams one trip at a time with
+    # no re-sort, where the object-hash aggregate re-sorts its input once a
+    # task holds more than 128 trips
+    "spark.sql.execution.useObjectHashAggregateExec": "false",
 }
 
 
