@@ -57,3 +57,23 @@ def test_csv_line_keeps_null_fields(spark):
 def test_histogram_speed_weights(spark):
     f = feature_rows(spark, [{"speed_0_10": 2, "speed_200_Inf": 2, "dura_valid": 4}])
     assert f.select(j3.histogram_speed(f)).first()[0] == (2 * 5 + 2 * 205) / 4
+
+
+def test_salted_validity_join_equals_plain_join(spark):
+    # one hot vehicle with many trips, two overlapping windows
+    trips = [trip(1000 + 20 * i, 1010 + 20 * i, 40.0 + i % 30) for i in range(200)]
+    f = feature_rows(spark, trips)
+    v = spark.createDataFrame([("1", "VIN1", "a", "b", 1000, 3000), ("1", "VIN1", "a", "b", 2000, 5000)],
+                              "imei string, VIN string, valid_start string, valid_end string, "
+                              "valid_start_utc bigint, valid_end_utc bigint")
+    key = ["imei", "VIN", "tripnumber", "valid_start_utc"]
+    plain = sorted(tuple(r) for r in j3.validity_join(f, v, salt_buckets=1).select(*key).collect())
+    salted = sorted(tuple(r) for r in j3.validity_join(f, v, salt_buckets=16).select(*key).collect())
+    assert plain == salted and len(plain) > 200
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = j3.validity_join(f, v)._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -8,8 +8,9 @@ expand + two-level aggregate, so a vehicle with very many trips is still
 split across tasks before the final merge).
 
 The validity table is per vehicle; it is broadcast only when Spark measures
-it under the broadcast threshold, otherwise the join is a shuffle join whose
-skewed partitions AQE splits.
+it under the broadcast threshold, otherwise the join is a shuffle join on
+(imei, salt): trips are salted so a hot vehicle is split over several tasks,
+and the aggregate that follows combines partial results map-side.
 """
 
 from __future__ import annotations
@@ -26,16 +27,36 @@ MAX_SPEED_RATIO = 1.5
 VALIDITY_COLUMNS = ["imei", "VIN", "valid_start", "valid_end", "valid_start_utc", "valid_end_utc"]
 
 
-def validity_join(features: DataFrame, validity: DataFrame) -> DataFrame:
+# Salt buckets of the validity join: a device with a large share of all trips
+# is split over this many join keys.
+SALT_BUCKETS = 16
+
+
+def validity_join(features: DataFrame, validity: DataFrame,
+                  salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Trips lying inside a validity window of their device: the window must
     start no later than the trip start and end no earlier than its end.
-    The features' device column is renamed imei_1; a ``day`` column is added."""
+    The features' device column is renamed imei_1; a ``day`` column is added.
+
+    Skew: each trip gets a salt from its start time and every window is
+    replicated to all salts (windows are per vehicle, so the copy is small
+    and is still broadcast when Spark measures it under the threshold); a
+    (trip, window) pair matches under exactly one salt. A device with a
+    third of all trips is spread over ``salt_buckets`` join keys instead of
+    one task, without relying on AQE settings.
+    """
     v = validity.select(*VALIDITY_COLUMNS)
     f = (features.withColumnRenamed("imei", "imei_1")
          .withColumn("day", day_string(F.col("tripnumber"))))
+    if salt_buckets > 1:
+        v = v.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        f = f.withColumn("_salt", F.pmod(F.xxhash64("tripnumber", "end_time"), F.lit(salt_buckets)).cast("int"))
     cond = ((v["imei"] == f["imei_1"]) & (v["valid_start_utc"] <= f["tripnumber"])
             & (v["valid_end_utc"] >= f["end_time"]))
-    return v.join(f, cond, "inner")
+    if salt_buckets > 1:
+        cond = cond & (v["_salt"] == f["_salt"])
+    out = v.join(f, cond, "inner")
+    return out.drop(v["_salt"]).drop(f["_salt"]) if salt_buckets > 1 else out
 
 
 def histogram_speed(df: DataFrame) -> "F.Column":
