@@ -11,41 +11,41 @@ def one(spark, col):
 
 
 def test_haversine_one_degree_of_longitude_on_equator(spark):
-    d = one(spark, geo.gps_dist(F.lit(0.0), F.lit(1.0), F.lit(0.0), F.lit(0.0)))
+    d = one(spark, geo.gps_dist("0D", "1D", "0D", "0D"))
     assert d == pytest.approx(2 * math.pi * 6378.178 / 360, abs=1e-9)
     assert round(d, 4) == 111.3202
 
 
 def test_haversine_zero_for_same_point(spark):
-    assert one(spark, geo.gps_dist(F.lit(30.1), F.lit(120.2), F.lit(30.1), F.lit(120.2))) == 0.0
+    assert one(spark, geo.gps_dist("30.1D", "120.2D", "30.1D", "120.2D")) == 0.0
 
 
 @pytest.mark.parametrize("d,expected", [(20, 20), (-340, 20), (340, -20), (180, 180), (-180, -180), (0, 0)])
 def test_heading_difference_is_wrapped(spark, d, expected):
     # 350 -> 10 is +20, 10 -> 350 is -20; a change of exactly 180 keeps its sign
-    assert one(spark, geo.wrap_heading_diff(F.lit(d))) == expected
+    assert one(spark, geo.wrap_heading_diff(str(d))) == expected
 
 
 @pytest.mark.parametrize("x,y,expected", [(0.0, 1.0, 0.0), (1.0, 0.0, 90.0), (0.0, -1.0, 180.0),
                                           (-1.0, 0.0, 270.0), (1.0, 1.0, 45.0), (-1.0, 1.0, 315.0),
                                           (0.0, 0.0, None)])
 def test_heading_of_vector_clockwise_from_north(spark, x, y, expected):
-    got = one(spark, geo.heading_of(F.lit(x), F.lit(y)))
+    got = one(spark, geo.heading_of(f"{x!r}D", f"{y!r}D"))
     assert got == pytest.approx(expected) if expected is not None else got is None
 
 
 def test_circumradius_collinear_cases(spark):
     # straight motion through the origin: D = 0, centre numerators non-zero -> radius infinite -> 0
-    v = one(spark, geo.normal_acc_over_radius(F.lit(-1.0), F.lit(1.0), F.lit(1.0), F.lit(-1.0), F.lit(2.0)))
+    v = one(spark, geo.normal_acc_over_radius("-1D", "1D", "1D", "-1D", "2D"))
     assert v == 0.0
     # axis-aligned straight motion: a numerator is 0 -> undefined -> NULL
-    v = one(spark, geo.normal_acc_over_radius(F.lit(0.0), F.lit(-1.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)))
+    v = one(spark, geo.normal_acc_over_radius("0D", "-1D", "0D", "1D", "1D"))
     assert v is None
 
 
 def test_circumradius_right_angle(spark):
     # A=(-1,0), B=(0,0), C=(0,1): circle through them has radius sqrt(2)/2
-    v = one(spark, geo.normal_acc_over_radius(F.lit(-1.0), F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)))
+    v = one(spark, geo.normal_acc_over_radius("-1D", "0D", "0D", "1D", "1D"))
     assert v == pytest.approx(1 / (math.sqrt(2) / 2))
 
 

@@ -1,6 +1,9 @@
-"""Geometry and kinematics as Column -> Column expressions.
+"""Geometry and kinematics as Spark SQL expressions.
 
-Everything here compiles to JVM expressions (whole-stage codegen); there is
+Each function takes SQL expression text for its inputs (a column name is
+valid SQL text) and returns a Column; the ``*_sql`` builders return the text
+itself so larger expressions compose without a round trip to the JVM per
+node. Everything compiles to JVM expressions (whole-stage codegen); there is
 no Python on the executors. Operation order follows the job definitions so
 results agree bit-for-bit where only IEEE basic operations are involved.
 """
@@ -18,90 +21,106 @@ GRAVITY = 9.8
 PI = math.pi
 
 
-def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.col(x)
+def _d(v: float) -> str:
+    """Exact SQL double literal."""
+    return f"{float(v)!r}D"
 
 
-def rad(x) -> Column:
+def rad_sql(x: str) -> str:
     """Degrees to radians as x * pi / 180 (same rounding as the definition)."""
-    return _c(x) * F.lit(PI) / F.lit(180.0)
+    return f"(({x}) * {_d(PI)} / 180D)"
 
 
-def sq(x: Column) -> Column:
-    return x * x
+def gps_dist_sql(lat: str, lon: str, lat0: str, lon0: str) -> str:
+    """Great-circle (haversine) distance in km between (lat, lon) and (lat0, lon0):
+    2 R asin(sqrt(cos(lat0) cos(lat) sin^2((lon-lon0)/2) + sin^2((lat-lat0)/2)))."""
+    la, lo, la0, lo0 = rad_sql(lat), rad_sql(lon), rad_sql(lat0), rad_sql(lon0)
+    s1 = f"sin(({lo} - {lo0}) / 2D)"
+    s2 = f"sin(({la} - {la0}) / 2D)"
+    inner = f"cos({la0}) * cos({la}) * ({s1} * {s1}) + ({s2} * {s2})"
+    return f"(asin(sqrt({inner})) * 2D * {_d(EARTH_RADIUS_KM)})"
 
 
-def gps_dist(lat, lon, lat0, lon0) -> Column:
-    """Great-circle (haversine) distance in km between (lat, lon) and (lat0, lon0).
-
-    2 * R * asin(sqrt(cos(lat0) cos(lat) sin^2((lon-lon0)/2) + sin^2((lat-lat0)/2)))
-    """
-    la, lo, la0, lo0 = rad(lat), rad(lon), rad(lat0), rad(lon0)
-    inner = (F.cos(la0) * F.cos(la) * sq(F.sin((lo - lo0) / F.lit(2.0)))
-             + sq(F.sin((la - la0) / F.lit(2.0))))
-    return F.asin(F.sqrt(inner)) * F.lit(2.0) * F.lit(EARTH_RADIUS_KM)
-
-
-def planar_offset(lat, lon, lat0, lon0) -> tuple[Column, Column]:
+def planar_offset_sql(lat: str, lon: str, lat0: str, lon0: str) -> tuple[str, str]:
     """Local planar offset (km) of (lat, lon) from the origin (lat0, lon0).
 
     X runs east along the origin's parallel, Y north along its meridian; the
     signs come from the coordinate differences.
     """
-    y_dist = gps_dist(lat, lon0, lat0, lon0)
-    x_dist = gps_dist(lat0, lon, lat0, lon0)
-    return (x_dist * F.signum(_c(lon) - _c(lon0)),
-            y_dist * F.signum(_c(lat) - _c(lat0)))
-
+    y_dist = gps_dist_sql(lat, lon0, lat0, lon0)
+    x_dist = gps_dist_sql(lat0, lon, lat0, lon0)
+    return (f"({x_dist} * signum(({lon}) - ({lon0})))",
+            f"({y_dist} * signum(({lat}) - ({lat0})))")
 
-def velocity(lat, lon, lat0, lon0, dt) -> tuple[Column, Column]:
-    """Offset of (lat, lon) from (lat0, lon0) in metres per second of dt.
 
-    dt = 0 yields NULL components (division by zero has no value here).
-    """
-    x, y = planar_offset(lat, lon, lat0, lon0)
-    dt = F.nullif(_c(dt).cast("double"), F.lit(0.0))
-    return x * F.lit(1000.0) / dt, y * F.lit(1000.0) / dt
+def velocity_sql(lat: str, lon: str, lat0: str, lon0: str, dt: str) -> tuple[str, str]:
+    """Offset of (lat, lon) from (lat0, lon0) in metres per second of dt;
+    dt = 0 yields NULL components (division by zero has no value here)."""
+    x, y = planar_offset_sql(lat, lon, lat0, lon0)
+    d = f"nullif(CAST(({dt}) AS DOUBLE), 0D)"
+    return f"({x} * 1000D / {d})", f"({y} * 1000D / {d})"
 
 
-def norm(x: Column, y: Column) -> Column:
-    return F.sqrt(x * x + y * y)
+def norm_sql(x: str, y: str) -> str:
+    return f"sqrt(({x}) * ({x}) + ({y}) * ({y}))"
 
 
-def heading_of(x: Column, y: Column) -> Column:
+def heading_sql(x: str, y: str) -> str:
     """Clockwise angle from north in degrees for the vector (x, y); NULL for (0, 0)."""
-    angle = (F.when(x > 0, F.lit(PI / 2) - F.atan(y / x))
-             .when(x < 0, F.lit(3 * PI / 2) - F.atan(y / x))
-             .when((x == 0) & (y > 0), F.lit(0.0))
-             .when((x == 0) & (y < 0), F.lit(PI)))
-    return angle * F.lit(180.0) / F.lit(PI)
+    angle = (f"CASE WHEN ({x}) > 0 THEN {_d(PI / 2)} - atan(({y}) / ({x}))"
+             f" WHEN ({x}) < 0 THEN {_d(3 * PI / 2)} - atan(({y}) / ({x}))"
+             f" WHEN ({x}) = 0 AND ({y}) > 0 THEN 0D"
+             f" WHEN ({x}) = 0 AND ({y}) < 0 THEN {_d(PI)} END")
+    return f"(({angle}) * 180D / {_d(PI)})"
 
 
-def wrap_heading_diff(d: Column) -> Column:
+def wrap_sql(d: str) -> str:
     """Heading change folded into [-180, 180]: |d| > 180 -> d - sign(d) * 360."""
-    return F.when(F.abs(d) > 180, d - F.signum(d) * F.lit(360.0)).otherwise(d.cast("double"))
+    return f"(CASE WHEN abs({d}) > 180 THEN ({d}) - signum({d}) * 360D ELSE CAST(({d}) AS DOUBLE) END)"
 
 
-def normal_acc_over_radius(ax: Column, ay: Column, cx: Column, cy: Column,
-                           speed2: Column) -> Column:
+def normal_acc_over_radius_sql(ax: str, ay: str, cx: str, cy: str, speed2: str) -> str:
     """speed2 / R for the circle through A, the origin B and C.
 
     R follows the circumcentre construction. When the three points are
     collinear (D = 0) the radius is infinite if both centre numerators are
     non-zero, giving 0, and undefined otherwise, giving NULL.
     """
-    a2 = ax * ax + ay * ay
-    c2 = cx * cx + cy * cy
+    a2 = f"({ax} * {ax} + {ay} * {ay})"
+    c2 = f"({cx} * {cx} + {cy} * {cy})"
     # B = (0, 0): the general D / Ux / Uy terms with B's coordinates dropped.
-    d = F.lit(2.0) * (ax * (F.lit(0.0) - cy) + cx * ay)
-    num_ux = a2 * (F.lit(0.0) - cy) + c2 * ay
-    num_uy = a2 * cx + c2 * (F.lit(0.0) - ax)
-    ux = num_ux / F.nullif(d, F.lit(0.0))
-    uy = num_uy / F.nullif(d, F.lit(0.0))
-    radius = F.sqrt(sq(ax - ux) + sq(ay - uy))
-    return (F.when(d == 0, F.when((num_ux != 0) & (num_uy != 0), F.lit(0.0)))
-            .otherwise(F.try_divide(speed2, radius)))
-
-
-def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    d = f"(2D * ({ax} * (0D - {cy}) + {cx} * {ay}))"
+    num_ux = f"({a2} * (0D - {cy}) + {c2} * {ay})"
+    num_uy = f"({a2} * {cx} + {c2} * (0D - {ax}))"
+    ux = f"({num_ux} / nullif({d}, 0D))"
+    uy = f"({num_uy} / nullif({d}, 0D))"
+    radius = f"sqrt(({ax} - {ux}) * ({ax} - {ux}) + ({ay} - {uy}) * ({ay} - {uy}))"
+    return (f"(CASE WHEN {d} = 0 THEN (CASE WHEN {num_ux} <> 0 AND {num_uy} <> 0 THEN 0D END)"
+            f" ELSE try_divide({speed2}, {radius}) END)")
+
+
+# --- Column wrappers ----------------------------------------------------------
+
+def gps_dist(lat: str, lon: str, lat0: str, lon0: str) -> Column:
+    return F.expr(gps_dist_sql(lat, lon, lat0, lon0))
+
+
+def velocity(lat: str, lon: str, lat0: str, lon0: str, dt: str) -> tuple[Column, Column]:
+    x, y = velocity_sql(lat, lon, lat0, lon0, dt)
+    return F.expr(x), F.expr(y)
+
+
+def norm(x: str, y: str) -> Column:
+    return F.expr(norm_sql(x, y))
+
+
+def heading_of(x: str, y: str) -> Column:
+    return F.expr(heading_sql(x, y))
+
+
+def wrap_heading_diff(d: str) -> Column:
+    return F.expr(wrap_sql(d))
+
+
+def normal_acc_over_radius(ax: str, ay: str, cx: str, cy: str, speed2: str) -> Column:
+    return F.expr(normal_acc_over_radius_sql(ax, ay, cx, cy, speed2))

@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 from trackwise.functions.binning import (bin_index, count_in_intervals, interval_bounds,
                                          quantile_columns, quantiles, sums_by_value)
-from trackwise.functions.geo import (GRAVITY, gps_dist, heading_of, norm,
-                                     normal_acc_over_radius, velocity, wrap_heading_diff)
+from trackwise.functions.geo import (GRAVITY, gps_dist, gps_dist_sql, heading_sql, norm_sql,
+                                     normal_acc_over_radius_sql, velocity_sql, wrap_sql)
 from trackwise.functions.timefmt import hour_of_day
 from trackwise.operators.copies import collapse_copies
 from trackwise.operators.range_join import DEFAULT_BUCKET_SECONDS, points_in_intervals
@@ -132,45 +132,40 @@ def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
         *[F.lead(x, 1).over(w).alias(f"n_{x}") for x in ("time_stamp", "lat", "lon", "heading", "speed")],
     ).where((c("raw_rows") > min_raw_rows) & (c("clean_rows") > min_clean_rows))
 
-    has_prev, has_next = c("p_time_stamp").isNotNull(), c("n_time_stamp").isNotNull()
-    mid = has_prev & has_next
-    dt_next = F.nullif(c("n_time_stamp") - c("time_stamp"), F.lit(0))
-    dt_prev = c("time_stamp") - c("p_time_stamp")
-    ax, ay = velocity("p_lat", "p_lon", "lat", "lon", dt_prev)
-    cx, cy = velocity("n_lat", "n_lon", "lat", "lon", c("n_time_stamp") - c("time_stamp"))
+    has_prev, has_next = "p_time_stamp IS NOT NULL", "n_time_stamp IS NOT NULL"
+    mid = f"({has_prev} AND {has_next})"
+    dt_next = "nullif(n_time_stamp - time_stamp, 0)"
+    ax, ay = velocity_sql("p_lat", "p_lon", "lat", "lon", "time_stamp - p_time_stamp")
+    cx, cy = velocity_sql("n_lat", "n_lon", "lat", "lon", "n_time_stamp - time_stamp")
+    e = F.expr
     k = p1.select(
         *rows.columns,
         "n_time_stamp",
-        (~has_prev).alias("is_first"), (~has_next).alias("is_last"),
-        F.when(has_next, gps_dist("n_lat", "n_lon", "lat", "lon")).otherwise(F.lit(0.0)).alias("am"),
-        F.when(has_next, (c("n_speed") - c("speed")) / dt_next).otherwise(F.lit(0.0)).alias("gps_acc"),
+        e(f"NOT {has_prev}").alias("is_first"), e(f"NOT {has_next}").alias("is_last"),
+        e(f"CASE WHEN {has_next} THEN {gps_dist_sql('n_lat', 'n_lon', 'lat', 'lon')} ELSE 0D END").alias("am"),
+        e(f"CASE WHEN {has_next} THEN (n_speed - speed) / {dt_next} ELSE 0D END").alias("gps_acc"),
         hour_of_day(c("time_stamp"), tz).alias("hour"),
-        F.when(mid, ax).alias("ax"), F.when(mid, ay).alias("ay"),
-        F.when(mid, cx).alias("cx"), F.when(mid, cy).alias("cy"),
-        F.when(has_next, wrap_heading_diff(c("n_heading") - c("heading")) / dt_next)
-        .otherwise(F.lit(0.0)).alias("angle_delta"),
+        *[e(f"CASE WHEN {mid} THEN {v} END").alias(n) for n, v in
+          (("ax", ax), ("ay", ay), ("cx", cx), ("cy", cy))],
+        e(f"CASE WHEN {has_next} THEN {wrap_sql('n_heading - heading')} / {dt_next} ELSE 0D END")
+        .alias("angle_delta"),
     ).withColumns({
-        "speed_cal": norm(c("cx"), c("cy")),
-        "heading_cal": heading_of(c("cx"), c("cy")),
-        "tan_acc": (norm(c("cx"), c("cy")) - norm(c("ax"), c("ay"))) / F.lit(GRAVITY),
+        "speed_cal": e(norm_sql("cx", "cy")),
+        "heading_cal": e(heading_sql("cx", "cy")),
+        "tan_acc": e(f"({norm_sql('cx', 'cy')} - {norm_sql('ax', 'ay')}) / {GRAVITY!r}D"),
     })
 
     # pass 2: computed heading of the next row
-    has_next = c("n_time_stamp").isNotNull()
-    dt_next = F.nullif(c("n_time_stamp") - c("time_stamp"), F.lit(0))
     k2 = k.withColumn("n_heading_cal", F.lead("heading_cal", 1).over(w)).withColumn(
         "angle_cal_delta",
-        F.when(has_next, wrap_heading_diff(c("n_heading_cal") - c("heading_cal")) / dt_next)
-        .otherwise(F.lit(0.0)))
-    left = (c("angle_delta") < 0) | ((c("angle_delta") == 0) & (c("angle_cal_delta") < 0))
-    sign = F.when(left, F.lit(-1.0)).otherwise(F.lit(1.0))
-    norm_acc = normal_acc_over_radius(c("ax"), c("ay"), c("cx"), c("cy"),
-                                      sign * (c("speed_cal") * c("speed_cal"))) / F.lit(GRAVITY)
+        e(f"CASE WHEN {has_next} THEN {wrap_sql('n_heading_cal - heading_cal')} / {dt_next} ELSE 0D END"))
+    sign = "CASE WHEN angle_delta < 0 OR (angle_delta = 0 AND angle_cal_delta < 0) THEN -1D ELSE 1D END"
+    norm_acc = (f"({normal_acc_over_radius_sql('ax', 'ay', 'cx', 'cy', f'({sign}) * (speed_cal * speed_cal)')})"
+                f" / {GRAVITY!r}D")
+    t = f"{float(turn_threshold)!r}D"
     k2 = k2.withColumns({
-        "norm_acc": F.when(norm_acc == 0, F.lit(0.0)).otherwise(norm_acc),
-        "turn_state": (F.when(c("angle_delta") > turn_threshold, F.lit("R"))
-                       .when(c("angle_delta") < -turn_threshold, F.lit("L"))
-                       .otherwise(F.lit("N"))),
+        "norm_acc": e(f"CASE WHEN {norm_acc} = 0 THEN 0D ELSE {norm_acc} END"),
+        "turn_state": e(f"CASE WHEN angle_delta > {t} THEN 'R' WHEN angle_delta < -{t} THEN 'L' ELSE 'N' END"),
         "acc_pos_bin": F.when(c("tan_acc") > 0, bin_index("tan_acc", ACC_POS_BOUNDS)),
         "acc_neg_bin": F.when(c("tan_acc") < 0, bin_index("tan_acc", ACC_NEG_BOUNDS)),
     })
