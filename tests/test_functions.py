@@ -81,3 +81,13 @@ def test_day_keys(spark):
     assert one(spark, timefmt.day_keys("2024-01-30", "2024-02-02")) == [
         "20240130", "20240131", "20240201", "20240202"]
     assert one(spark, timefmt.utc_day_key(F.lit(1704067200 + 86399.5))) == "20240101"
+
+
+def test_hour_of_day_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        assert one(spark, timefmt.hour_of_day(F.lit(1704067200 + 60), tz=None)) == 8
+        assert one(spark, timefmt.hour_of_day(F.lit(1704067200 + 60))) == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

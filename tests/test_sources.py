@@ -46,3 +46,20 @@ def test_dynamic_partition_overwrite_keeps_other_days(spark):
 def test_csv_line_fixed_decimals(spark):
     df = spark.createDataFrame([(1, 0.1, None)], "a int, b double, c string")
     assert sinks.csv_line(df, float_digits=3).first()[0] == "1,0.100,"
+
+
+def test_validity_windows_from_csv_datetimes(spark):
+    d = tempfile.mkdtemp(prefix="tw-valid-")
+    with open(f"{d}/v.csv", "w") as fh:
+        fh.write("imei,VIN,valid_start,valid_end\n")
+        fh.write("42,VIN42,2024-01-01 00:00:00,2024-01-02 12:30:00\n")
+    r = readers.read_validity(spark, d, fmt="csv").first()
+    assert r["imei"] == "42" and r["VIN"] == "VIN42"
+    assert r["valid_start_utc"] == 1704067200 and r["valid_end_utc"] == 1704067200 + 86400 + 12 * 3600 + 1800
+
+
+def test_text_sink_round_trip(spark):
+    d = tempfile.mkdtemp(prefix="tw-lines-") + "/out"
+    lines = spark.createDataFrame([("a,1",), ("b,",)], "df_concat string")
+    sinks.write_lines(lines, d)
+    assert sorted(r[0] for r in spark.read.text(d).collect()) == ["a,1", "b,"]
