@@ -101,6 +101,12 @@ def quantiles(x: Column) -> Column:
     return F.percentile(x, QUANTILE_PROBS)
 
 
+def quantiles_sql(x: str) -> str:
+    """SQL text of :func:`quantiles` over the expression ``x``."""
+    probs = ", ".join(sql_double(p) for p in QUANTILE_PROBS)
+    return f"percentile({x}, array({probs}))"
+
+
 def quantile_columns(arr: str, names: list[str]) -> list[Column]:
     """Spread the quantile array column ``arr`` into its 11 named columns."""
     return [F.expr(f"`{arr}`[{i}] AS `{n}`") for i, n in enumerate(names)]

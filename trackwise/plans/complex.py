@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackwise.functions.binning import (bin_index, count_in_intervals, interval_bounds,
-                                         quantile_columns, quantiles, sums_by_value)
-from trackwise.functions.geo import (GRAVITY, gps_dist, gps_dist_sql, heading_sql, norm_sql,
+                                         quantile_columns, quantiles_sql, sums_by_value)
+from trackwise.functions.geo import (GRAVITY, gps_dist_sql, heading_sql, norm_sql,
                                      normal_acc_over_radius_sql, velocity_sql, wrap_sql)
 from trackwise.functions.timefmt import hour_of_day
 from trackwise.operators.copies import collapse_copies
@@ -188,80 +188,80 @@ def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
     )
 
 
-def _stats(x, prefix: str, pct_suffix: bool = True):
-    """mean, sd and the quantile array of one block."""
-    return [F.avg(x).alias(f"{prefix}_mean"), F.stddev_samp(x).alias(f"{prefix}_sd"),
-            quantiles(x).alias(f"_q_{prefix}")]
+def _stats(x: str, prefix: str) -> list[str]:
+    """mean, sd and the quantile array of one block (SQL text over ``x``)."""
+    return [f"avg({x}) AS `{prefix}_mean`", f"stddev_samp({x}) AS `{prefix}_sd`",
+            f"{quantiles_sql(x)} AS `_q_{prefix}`"]
 
 
 def _q(prefix: str, pct_suffix: bool = True):
     return quantile_columns(f"_q_{prefix}", quantile_names(prefix, pct_suffix))
 
 
-def _run_counts(flag: str, bin_col: str, names: list[str], reverse: bool):
+def _run_counts(flag: str, bin_col: str, names: list[str], reverse: bool) -> list[str]:
     """Runs per bin; the negative families are named from the bin next to 0 outwards."""
     n = len(names)
-    return [F.expr(f"count_if(`{flag}` AND `{bin_col}` = {n - 1 - i if reverse else i}) AS `{nm}`")
+    return [f"count_if(`{flag}` AND `{bin_col}` = {n - 1 - i if reverse else i}) AS `{nm}`"
             for i, nm in enumerate(names)]
 
 
 def aggregate_trips(kin: DataFrame) -> DataFrame:
-    """One 284-column row per trip (plus stat_date when present)."""
-    c = F.col
+    """One 284-column row per trip (plus stat_date when present).
+
+    The ~180 aggregates are written as SQL text (one JVM call each)."""
     day = ["stat_date"] if "stat_date" in kin.columns else []
-    first, last = c("is_first"), c("is_last")
-    pos, neg = c("tan_acc") > 0, c("tan_acc") < 0
-    rgt, lft = c("norm_acc") > 0, c("norm_acc") < 0
-    in_turn = c("in_right") | c("in_left")
+    only = lambda cond, x: f"CASE WHEN {cond} THEN {x} END"
+    in_turn = "(in_right OR in_left)"
     aggs = [
-        F.first(F.when(first, c("vid")), ignorenulls=True).alias("vid"),
-        F.min("time_stamp").alias("start_time"), F.max("time_stamp").alias("end_time"),
-        *[F.max(F.when(flag, c(x))).alias(f"{x}_{sfx}")
-          for flag, sfx in ((first, "st"), (last, "end")) for x in ("lat", "lon")],
-        F.count(F.lit(1)).alias("dura_valid"), F.sum("am").alias("mileage"),
-        *sums_by_value("am", "hour", range(24), COMPLEX_HOURS),
-        *_stats(c("speed"), "speed"),
-        F.count_if(c("speed") == 0).alias("speed_0"),
-        F.avg(F.when(c("speed") > 0, c("speed"))).alias("speed_mean_drive"),
-        F.stddev_samp(F.when(c("speed") > 0, c("speed"))).alias("speed_sd_drive"),
-        *count_in_intervals("speed", SPEED_BOUNDS, COMPLEX_SPEED_BINS),
-        *_stats(c("tan_acc"), "acc_overall"),
-        F.count_if(pos).alias("acc_pos_dura"), F.count_if(neg).alias("acc_neg_dura"),
-        F.avg(F.when(pos, c("tan_acc"))).alias("acc_pos_mean"),
-        F.avg(F.when(neg, c("tan_acc"))).alias("acc_neg_mean"),
-        F.stddev_samp(F.when(pos, c("tan_acc"))).alias("acc_pos_sd"),
-        F.stddev_samp(F.when(neg, c("tan_acc"))).alias("acc_neg_sd"),
-        quantiles(F.when(pos, c("tan_acc"))).alias("_q_acc_pos"),
-        quantiles(F.when(neg, c("tan_acc"))).alias("_q_acc_neg"),
+        f"first({only('is_first', 'vid')}, true) AS vid",
+        "min(time_stamp) AS start_time", "max(time_stamp) AS end_time",
+        f"max({only('is_first', 'lat')}) AS lat_st", f"max({only('is_first', 'lon')}) AS lon_st",
+        f"max({only('is_last', 'lat')}) AS lat_end", f"max({only('is_last', 'lon')}) AS lon_end",
+        "count(1) AS dura_valid", "sum(am) AS mileage",
+        *_stats("speed", "speed"),
+        "count_if(speed = 0) AS speed_0",
+        f"avg({only('speed > 0', 'speed')}) AS speed_mean_drive",
+        f"stddev_samp({only('speed > 0', 'speed')}) AS speed_sd_drive",
+        *_stats("tan_acc", "acc_overall"),
+        "count_if(tan_acc > 0) AS acc_pos_dura", "count_if(tan_acc < 0) AS acc_neg_dura",
+        f"avg({only('tan_acc > 0', 'tan_acc')}) AS acc_pos_mean",
+        f"avg({only('tan_acc < 0', 'tan_acc')}) AS acc_neg_mean",
+        f"stddev_samp({only('tan_acc > 0', 'tan_acc')}) AS acc_pos_sd",
+        f"stddev_samp({only('tan_acc < 0', 'tan_acc')}) AS acc_neg_sd",
+        f"{quantiles_sql(only('tan_acc > 0', 'tan_acc'))} AS _q_acc_pos",
+        f"{quantiles_sql(only('tan_acc < 0', 'tan_acc'))} AS _q_acc_neg",
         *_run_counts("acc_pos_run", "acc_pos_bin", run_bin_names("acc_pos"), False),
         *_run_counts("acc_neg_run", "acc_neg_bin", run_bin_names("acc_neg"), True),
     ]
-    for name, member, start in (("turn", in_turn, c("start_right") | c("start_left")),
-                                ("turn_left", c("in_left"), c("start_left")),
-                                ("turn_right", c("in_right"), c("start_right"))):
-        aggs += [F.count_if(member).alias(f"{name}_dura"), F.count_if(start).alias(f"{name}_times"),
-                 *_stats(F.when(member, c("speed")), f"{name}_speed")]
+    for name, member, start in (("turn", in_turn, "(start_right OR start_left)"),
+                                ("turn_left", "in_left", "start_left"),
+                                ("turn_right", "in_right", "start_right")):
+        aggs += [f"count_if({member}) AS {name}_dura", f"count_if({start}) AS {name}_times",
+                 *_stats(only(member, "speed"), f"{name}_speed")]
     aggs += [
-        *_stats(c("norm_acc"), "turn_overall"),
-        F.avg(F.when(rgt, c("norm_acc"))).alias("turn_right_mean"),
-        F.avg(F.when(lft, c("norm_acc"))).alias("turn_left_mean"),
-        F.stddev_samp(F.when(rgt, c("norm_acc"))).alias("turn_right_sd"),
-        F.stddev_samp(F.when(lft, c("norm_acc"))).alias("turn_left_sd"),
-        quantiles(F.when(rgt, c("norm_acc"))).alias("_q_turn_right"),
-        quantiles(F.when(lft, c("norm_acc"))).alias("_q_turn_left"),
+        *_stats("norm_acc", "turn_overall"),
+        f"avg({only('norm_acc > 0', 'norm_acc')}) AS turn_right_mean",
+        f"avg({only('norm_acc < 0', 'norm_acc')}) AS turn_left_mean",
+        f"stddev_samp({only('norm_acc > 0', 'norm_acc')}) AS turn_right_sd",
+        f"stddev_samp({only('norm_acc < 0', 'norm_acc')}) AS turn_left_sd",
+        f"{quantiles_sql(only('norm_acc > 0', 'norm_acc'))} AS _q_turn_right",
+        f"{quantiles_sql(only('norm_acc < 0', 'norm_acc'))} AS _q_turn_left",
         *_run_counts("norm_pos_run", "norm_pos_bin", run_bin_names("turn_right"), False),
         *_run_counts("norm_neg_run", "norm_neg_bin", run_bin_names("turn_left"), True),
     ]
-    g = kin.groupBy(*TRIP_KEY, *day).agg(*aggs)
+    g = kin.groupBy(*TRIP_KEY, *day).agg(
+        *sums_by_value("am", "hour", range(24), COMPLEX_HOURS), *[F.expr(a) for a in aggs],
+        *count_in_intervals("speed", SPEED_BOUNDS, COMPLEX_SPEED_BINS))
+    fly = gps_dist_sql("lat_st", "lon_st", "lat_end", "lon_end")
     g = g.select(
         "*",
-        (c("end_time") - c("tripnumber")).alias("dura"),
+        F.expr("end_time - tripnumber AS dura"),
+        F.expr(f"{fly} AS fly_dist"),
+        F.expr(f"try_divide(mileage, {fly}) AS curv_overall"),
         *_q("speed"), *_q("acc_overall"), *_q("acc_pos"), *_q("acc_neg"),
         *_q("turn_speed", False), *_q("turn_left_speed", False), *_q("turn_right_speed", False),
         *_q("turn_overall"), *_q("turn_right"), *_q("turn_left"),
     )
-    g = g.withColumn("fly_dist", gps_dist("lat_st", "lon_st", "lat_end", "lon_end"))
-    g = g.withColumn("curv_overall", F.try_divide(c("mileage"), c("fly_dist")))
     return g.select(*COMPLEX_COLUMNS, *day)
 
 
