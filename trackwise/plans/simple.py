@@ -1,8 +1,10 @@
 """Per-trip basic features (58 columns).
 
 Plan: points (ms -> s) -> collapse exact copies (map-side combine) ->
-bucketed point-in-trip join -> ONE window on (imei, tripnumber) for the
-successor point -> jump filter -> one aggregate on the same partitioning.
+bucketed point-in-trip join -> ONE exchange on (imei, tripnumber) -> window
+for the successor point -> jump filter -> local sort + window on
+(imei, tripnumber, vid) for first/last/new-second flags -> hash aggregate on
+the same partitioning (fixed-width buffers, no further exchange).
 
 Semantics kept from the job definition:
 * the successor of a trip's last point defaults to (0, 0), so the last
