@@ -11,6 +11,8 @@ failed or partial run safe to repeat.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,25 @@ def day_key(day: str) -> str:
     return day.replace("-", "")
 
 
+def day_chunks(first_day: str, last_day: str, chunk_days: int | None) -> list[tuple[str, str]]:
+    """Consecutive [first, last] day ranges of at most ``chunk_days`` days."""
+    a = dt.date.fromisoformat(_iso(first_day))
+    b = dt.date.fromisoformat(_iso(last_day))
+    if not chunk_days:
+        return [(a.isoformat(), b.isoformat())]
+    out = []
+    while a <= b:
+        e = min(b, a + dt.timedelta(days=chunk_days - 1))
+        out.append((a.isoformat(), e.isoformat()))
+        a = e + dt.timedelta(days=1)
+    return out
+
+
+def _iso(day: str) -> str:
+    d = day.replace("-", "")
+    return f"{d[:4]}-{d[4:6]}-{d[6:]}"
+
+
 def in_days(df: DataFrame, first_day: str, last_day: str) -> DataFrame:
     return df.where(F.col("stat_date").between(day_key(first_day), day_key(last_day)))
 
@@ -44,11 +65,17 @@ def complex_for_days(points: DataFrame, trips: DataFrame, cohort: DataFrame | No
 
 
 def run_simple(spark: SparkSession, *, trips_base: str, points_base: str, out_base: str,
-               first_day: str, last_day: str) -> None:
-    """Read the day directories of both inputs, compute, write day-partitioned."""
+               first_day: str, last_day: str, chunk_days: int | None = None) -> None:
+    """Read the day directories of both inputs, compute, write day-partitioned.
+
+    With ``chunk_days`` the range runs as consecutive jobs of that many days,
+    each committed on its own: a failure loses at most one chunk, and
+    re-running the range (or a chunk) replaces exactly its days.
+    """
     pts = readers.read_gps_points(spark, points_base)
     trips = readers.read_trip_stat(spark, trips_base)
-    sinks.write_day_partitioned(simple_for_days(pts, trips, first_day, last_day), out_base)
+    for a, b in day_chunks(first_day, last_day, chunk_days):
+        sinks.write_day_partitioned(simple_for_days(pts, trips, a, b), out_base)
 
 
 def run_complex(spark: SparkSession, *, trips_base: str, points_base: str, out_base: str,
