@@ -8,9 +8,10 @@ time bucket to the key: each interval is expanded to the buckets it touches
 range test stays as a residual predicate. A (point, interval) pair matches in
 exactly one bucket, so no duplicates arise.
 
-Broadcast is left to Spark's size checks (autoBroadcastJoinThreshold on
-estimated size, AQE on measured shuffle size); beyond the threshold the
-join is a shuffle join on (key, bucket) whose partitions AQE can split.
+Broadcast only behind a measured size check of the expanded interval side
+(operators.broadcast.size_checked: its UnsafeRow size against the session's
+broadcast threshold); beyond the threshold the join is a shuffle join on
+(key, bucket), which spreads a hot device over its hours.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trackwise.operators.broadcast import size_checked
+
 DEFAULT_BUCKET_SECONDS = 3600
 
 
@@ -29,16 +32,21 @@ def _bucket(col, seconds: int):
 def points_in_intervals(points: DataFrame, intervals: DataFrame, *, point_key: str,
                         interval_key: str, ts: str, start: str, end: str,
                         extra_keys: tuple[tuple[str, str], ...] = (),
-                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                        check_broadcast: bool = True) -> DataFrame:
     """Inner join of points with intervals: key equal and start <= ts <= end.
 
     ``extra_keys`` are additional (point column, interval column) equalities,
-    e.g. the day partition. Output has every column of both inputs.
+    e.g. the day partition. Output has every column of both inputs. With
+    ``check_broadcast`` the expanded interval side is measured first and
+    broadcast only if it fits the broadcast threshold (see operators.broadcast).
     """
     iv = (intervals
           .where(F.col(start) <= F.col(end))
           .withColumn("_bucket", F.explode(F.sequence(_bucket(start, bucket_seconds),
                                                       _bucket(end, bucket_seconds)))))
+    if check_broadcast:
+        iv = size_checked(iv)
     pt = points.withColumn("_pbucket", _bucket(ts, bucket_seconds))
     cond = [pt[point_key] == iv[interval_key], pt["_pbucket"] == iv["_bucket"],
             pt[ts] >= iv[start], pt[ts] <= iv[end]]

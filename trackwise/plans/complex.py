@@ -39,6 +39,7 @@ from trackwise.functions.binning import (bin_index, count_in_intervals, interval
 from trackwise.functions.geo import (GRAVITY, gps_dist_sql, heading_sql, norm_sql,
                                      normal_acc_over_radius_sql, velocity_sql, wrap_sql)
 from trackwise.functions.timefmt import hour_of_day
+from trackwise.operators.broadcast import size_checked
 from trackwise.operators.copies import collapse_copies
 from trackwise.operators.range_join import DEFAULT_BUCKET_SECONDS, points_in_intervals
 from trackwise.operators.sequence import filtered_run_start, in_run_at_least, run_start_at_least
@@ -79,7 +80,8 @@ def cohort_trips(trips: DataFrame, cohort: DataFrame | None) -> DataFrame:
     """Trips of devices in the cohort (semi join: cohort duplicates do not multiply)."""
     if cohort is None:
         return trips
-    return trips.join(cohort.select(F.col("imei").alias("deviceid")), "deviceid", "left_semi")
+    ids = size_checked(cohort.select(F.col("imei").alias("deviceid")))
+    return trips.join(ids, "deviceid", "left_semi")
 
 
 def trip_points_trunc(points: DataFrame, trips: DataFrame, cohort: DataFrame | None = None, *,

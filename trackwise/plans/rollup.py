@@ -7,8 +7,9 @@ partial aggregation (the two distinct counts are planned by Spark as an
 expand + two-level aggregate, so a vehicle with very many trips is still
 split across tasks before the final merge).
 
-The validity table is per vehicle; it is broadcast only when Spark measures
-it under the broadcast threshold, otherwise the join is a shuffle join on
+The validity table is per vehicle; it is broadcast only when its measured
+size (operators.broadcast) fits the broadcast threshold, otherwise the join
+is a shuffle join on
 (imei, salt): trips are salted so a hot vehicle is split over several tasks,
 and the aggregate that follows combines partial results map-side.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackwise.functions.timefmt import day_string
+from trackwise.operators.broadcast import size_checked
 from trackwise.schemas import ROLLUP_COLUMNS, SIMPLE_COLUMNS, SIMPLE_HOURS, SIMPLE_SPEED_BINS
 from trackwise.sources.sinks import csv_line
 
@@ -38,9 +40,9 @@ def validity_join(features: DataFrame, validity: DataFrame,
     start no later than the trip start and end no earlier than its end.
     The features' device column is renamed imei_1; a ``day`` column is added.
 
-    Skew: each trip gets a salt from its start time and every window is
+    Skew: each trip gets a salt from a hash of its start and end and every window is
     replicated to all salts (windows are per vehicle, so the copy is small
-    and is still broadcast when Spark measures it under the threshold); a
+    and is still broadcast when its measured size fits the threshold); a
     (trip, window) pair matches under exactly one salt. A device with a
     third of all trips is spread over ``salt_buckets`` join keys instead of
     one task, without relying on AQE settings.
@@ -51,6 +53,7 @@ def validity_join(features: DataFrame, validity: DataFrame,
     if salt_buckets > 1:
         v = v.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
         f = f.withColumn("_salt", F.pmod(F.xxhash64("tripnumber", "end_time"), F.lit(salt_buckets)).cast("int"))
+    v = size_checked(v)
     cond = ((v["imei"] == f["imei_1"]) & (v["valid_start_utc"] <= f["tripnumber"])
             & (v["valid_end_utc"] >= f["end_time"]))
     if salt_buckets > 1:
