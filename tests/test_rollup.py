@@ -67,13 +67,22 @@ def test_salted_validity_join_equals_plain_join(spark):
                               "imei string, VIN string, valid_start string, valid_end string, "
                               "valid_start_utc bigint, valid_end_utc bigint")
     key = ["imei", "VIN", "tripnumber", "valid_start_utc"]
-    plain = sorted(tuple(r) for r in j3.validity_join(f, v, salt_buckets=1).select(*key).collect())
-    salted = sorted(tuple(r) for r in j3.validity_join(f, v, salt_buckets=16).select(*key).collect())
-    assert plain == salted and len(plain) > 200
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.select(*key).collect())
+
+    # small window table: broadcast as is, no salt
+    small = j3.validity_join(f, v)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "_salt" not in plan
+    broadcast_rows = rows(small)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = j3.validity_join(f, v)._jdf.queryExecution().executedPlan().toString()
+        plain = rows(j3.validity_join(f, v, salt_buckets=1))
+        salted_df = j3.validity_join(f, v, salt_buckets=16)
+        plan = salted_df._jdf.queryExecution().executedPlan().toString()
         assert "_salt" in plan and "SortMergeJoin" in plan
+        assert plain == rows(salted_df) == broadcast_rows and len(plain) > 200
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

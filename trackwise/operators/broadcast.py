@@ -46,10 +46,14 @@ def unsafe_size_bound(df: DataFrame) -> int:
     return int(total or 0)
 
 
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when the measured size of ``df`` is at most ``max_bytes``
+    (default: the session's broadcast threshold; -1 means never)."""
+    limit = broadcast_threshold(df) if max_bytes is None else max_bytes
+    return limit >= 0 and unsafe_size_bound(df) <= limit
+
+
 def size_checked(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``df`` hinted for broadcast when its measured size is at most ``max_bytes``
     (default: the session's broadcast threshold), else hinted for a shuffle join."""
-    limit = broadcast_threshold(df) if max_bytes is None else max_bytes
-    if limit >= 0 and unsafe_size_bound(df) <= limit:
-        return F.broadcast(df)
-    return df.hint("merge")
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df.hint("merge")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackwise.functions.timefmt import day_string
-from trackwise.operators.broadcast import size_checked
+from trackwise.operators.broadcast import fits_broadcast
 from trackwise.schemas import ROLLUP_COLUMNS, SIMPLE_COLUMNS, SIMPLE_HOURS, SIMPLE_SPEED_BINS
 from trackwise.sources.sinks import csv_line
 
@@ -40,26 +40,32 @@ def validity_join(features: DataFrame, validity: DataFrame,
     start no later than the trip start and end no earlier than its end.
     The features' device column is renamed imei_1; a ``day`` column is added.
 
-    Skew: each trip gets a salt from a hash of its start and end and every window is
-    replicated to all salts (windows are per vehicle, so the copy is small
-    and is still broadcast when its measured size fits the threshold); a
-    (trip, window) pair matches under exactly one salt. A device with a
-    third of all trips is spread over ``salt_buckets`` join keys instead of
-    one task, without relying on AQE settings.
+    The window table is measured first (operators.broadcast): if it fits the
+    broadcast threshold it is broadcast as is (a broadcast join has no skew).
+    Otherwise both sides are salted for a shuffle join on (imei, salt): each
+    trip gets a salt from a hash of its start and end, every window is
+    replicated to all ``salt_buckets`` salts, and a (trip, window) pair
+    matches under exactly one salt, so a device with a third of all trips is
+    spread over that many join keys instead of one task.
     """
     v = validity.select(*VALIDITY_COLUMNS)
     f = (features.withColumnRenamed("imei", "imei_1")
          .withColumn("day", day_string(F.col("tripnumber"))))
-    if salt_buckets > 1:
-        v = v.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        f = f.withColumn("_salt", F.pmod(F.xxhash64("tripnumber", "end_time"), F.lit(salt_buckets)).cast("int"))
-    v = size_checked(v)
-    cond = ((v["imei"] == f["imei_1"]) & (v["valid_start_utc"] <= f["tripnumber"])
-            & (v["valid_end_utc"] >= f["end_time"]))
-    if salt_buckets > 1:
-        cond = cond & (v["_salt"] == f["_salt"])
-    out = v.join(f, cond, "inner")
-    return out.drop(v["_salt"]).drop(f["_salt"]) if salt_buckets > 1 else out
+
+    def contained(w: DataFrame, t: DataFrame):
+        return ((w["imei"] == t["imei_1"]) & (w["valid_start_utc"] <= t["tripnumber"])
+                & (w["valid_end_utc"] >= t["end_time"]))
+
+    if fits_broadcast(v):
+        b = F.broadcast(v)
+        return b.join(f, contained(b, f), "inner")
+    if salt_buckets <= 1:
+        m = v.hint("merge")
+        return m.join(f, contained(m, f), "inner")
+    vs = v.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))).hint("merge")
+    fs = f.withColumn("_salt", F.pmod(F.xxhash64("tripnumber", "end_time"), F.lit(salt_buckets)).cast("int"))
+    out = vs.join(fs, contained(vs, fs) & (vs["_salt"] == fs["_salt"]), "inner")
+    return out.drop(vs["_salt"]).drop(fs["_salt"])
 
 
 def histogram_speed(df: DataFrame) -> "F.Column":
