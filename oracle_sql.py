@@ -28,7 +28,7 @@ def lit(x: float) -> str:
     return f"{x:.17e}"
 
 
-def present(cols: dict[str, str], src: str, order_free: bool = True) -> str:
+def present(cols: dict[str, str], src: str) -> str:
     """SELECT with doubles rounded to 9 places (-0 folded to 0).
 
     Values of magnitude >= 1e6 (epoch seconds) are kept as they are: there

@@ -4,7 +4,6 @@ import random
 
 import pytest
 from pyspark.sql import Window
-from pyspark.sql import functions as F
 
 from trackwise.operators.sequence import filtered_run_start, in_run_at_least, run_start_at_least
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackwise.functions.timefmt import epoch_seconds
-from trackwise.schemas import GPS_POSITIONAL_TYPES, GPS_SCHEMA, TRIP_COLUMNS, TRIP_SCHEMA
+from trackwise.schemas import (COHORT_SCHEMA, GPS_POSITIONAL_TYPES, GPS_SCHEMA, TRIP_COLUMNS,
+                               TRIP_SCHEMA)
 
 DAY_FIELD = T.StructField("stat_date", T.StringType())
 
@@ -51,7 +52,7 @@ def read_gps_points(spark: SparkSession, base: str, days: Iterable[str] | None =
 
 def read_cohort(spark: SparkSession, source: str) -> DataFrame:
     """Cohort of device ids from a catalog table name or a parquet path."""
-    df = spark.read.parquet(source) if "/" in source else spark.table(source)
+    df = spark.read.schema(COHORT_SCHEMA).parquet(source) if "/" in source else spark.table(source)
     return df.select(F.col("imei").cast("string").alias("imei"))
 
 
