@@ -33,17 +33,38 @@ def broadcast_threshold(df: DataFrame) -> int:
     return int(m.group(1)) * _UNITS.get(m.group(2).lower(), 1)
 
 
-def unsafe_size_bound(df: DataFrame) -> int:
-    """Upper bound of the bytes ``df`` takes as UnsafeRows in a broadcast relation."""
+def _row_bytes(df: DataFrame):
     fields = df.schema.fields
     fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields) + ROW_OVERHEAD_BYTES
-    var = [F.coalesce(F.ceil(F.octet_length(F.col(f.name)) / 8) * 8, F.lit(0))
-           for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    per_row = F.lit(fixed)
-    for v in var:
-        per_row = per_row + v
-    total = df.select(F.sum(per_row).alias("b")).first()["b"]
-    return int(total or 0)
+    per_row = F.lit(fixed).cast("long")
+    for f in fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            per_row = per_row + F.coalesce(F.ceil(F.octet_length(F.col(f.name)) / 8) * 8, F.lit(0))
+    return per_row
+
+
+def unsafe_size_bounds(*dfs: DataFrame) -> list[int]:
+    """Upper bounds of the bytes each DataFrame takes as UnsafeRows in a
+    broadcast relation, measured together in one job."""
+    parts = [df.select(F.lit(i).alias("_side"), _row_bytes(df).alias("_bytes")) for i, df in enumerate(dfs)]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    sums = {r["_side"]: r["b"] for r in union.groupBy("_side").agg(F.sum("_bytes").alias("b")).collect()}
+    return [int(sums.get(i) or 0) for i in range(len(dfs))]
+
+
+def unsafe_size_bound(df: DataFrame) -> int:
+    """Upper bound of the bytes ``df`` takes as UnsafeRows in a broadcast relation."""
+    return unsafe_size_bounds(df)[0]
+
+
+def fits_broadcast_all(*dfs: DataFrame, max_bytes: int | None = None) -> list[bool]:
+    """:func:`fits_broadcast` for several sides, measured in one job."""
+    limit = broadcast_threshold(dfs[0]) if max_bytes is None else max_bytes
+    if limit < 0:
+        return [False] * len(dfs)
+    return [b <= limit for b in unsafe_size_bounds(*dfs)]
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:

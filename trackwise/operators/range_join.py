@@ -29,23 +29,35 @@ def _bucket(col, seconds: int):
         else F.floor(col / F.lit(seconds)).cast("long")
 
 
+def expand_intervals(intervals: DataFrame, start: str, end: str,
+                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """One row per (interval, time bucket it touches), bucket in ``_bucket``."""
+    return (intervals
+            .where(F.col(start) <= F.col(end))
+            .withColumn("_bucket", F.explode(F.sequence(_bucket(start, bucket_seconds),
+                                                        _bucket(end, bucket_seconds)))))
+
+
 def points_in_intervals(points: DataFrame, intervals: DataFrame, *, point_key: str,
                         interval_key: str, ts: str, start: str, end: str,
                         extra_keys: tuple[tuple[str, str], ...] = (),
                         bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                        check_broadcast: bool = True) -> DataFrame:
+                        check_broadcast: bool = True,
+                        broadcast: bool | None = None) -> DataFrame:
     """Inner join of points with intervals: key equal and start <= ts <= end.
 
     ``extra_keys`` are additional (point column, interval column) equalities,
     e.g. the day partition. Output has every column of both inputs. With
     ``check_broadcast`` the expanded interval side is measured first and
-    broadcast only if it fits the broadcast threshold (see operators.broadcast).
+    broadcast only if it fits the broadcast threshold (see operators.broadcast);
+    ``broadcast`` passes a decision already measured by the caller.
     """
-    iv = (intervals
-          .where(F.col(start) <= F.col(end))
-          .withColumn("_bucket", F.explode(F.sequence(_bucket(start, bucket_seconds),
-                                                      _bucket(end, bucket_seconds)))))
-    if check_broadcast:
+    iv = expand_intervals(intervals, start, end, bucket_seconds)
+    if broadcast is True:
+        iv = F.broadcast(iv)
+    elif broadcast is False:
+        iv = iv.hint("merge")
+    elif check_broadcast:
         iv = size_checked(iv)
     pt = points.withColumn("_pbucket", _bucket(ts, bucket_seconds))
     cond = [pt[point_key] == iv[interval_key], pt["_pbucket"] == iv["_bucket"],

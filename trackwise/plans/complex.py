@@ -39,9 +39,10 @@ from trackwise.functions.binning import (bin_index, count_in_intervals, interval
 from trackwise.functions.geo import (GRAVITY, gps_dist_sql, heading_sql, norm_sql,
                                      normal_acc_over_radius_sql, velocity_sql, wrap_sql)
 from trackwise.functions.timefmt import hour_of_day
-from trackwise.operators.broadcast import size_checked
+from trackwise.operators.broadcast import fits_broadcast_all, size_checked
 from trackwise.operators.copies import collapse_copies
-from trackwise.operators.range_join import DEFAULT_BUCKET_SECONDS, points_in_intervals
+from trackwise.operators.range_join import (DEFAULT_BUCKET_SECONDS, expand_intervals,
+                                           points_in_intervals)
 from trackwise.operators.sequence import filtered_run_start, in_run_at_least, run_start_at_least
 from trackwise.schemas import (COMPLEX_COLUMNS, COMPLEX_HOURS, COMPLEX_SPEED_BINS,
                                quantile_names, run_bin_names)
@@ -94,14 +95,27 @@ def trip_points_trunc(points: DataFrame, trips: DataFrame, cohort: DataFrame | N
 
 
 def _assign(pts, trips, cohort, by_day, bucket_seconds):
+    """Bucketed point-in-trip join of the cohort's trips.
+
+    Both broadcast candidates (cohort ids, hour-expanded trips) are measured
+    in one job; the trips are measured before the cohort restriction, which
+    can only make them smaller, so the bound holds for the joined side.
+    """
     day = ["stat_date"] if by_day else []
-    tr = cohort_trips(trips, cohort).select(
-        "tid", "vid", "deviceid", F.col("start").alias("tripnumber"), "s_end",
-        *[F.col(d).alias("trip_day") for d in day])
+    tr = trips.select("tid", "vid", "deviceid", F.col("start").alias("tripnumber"), "s_end",
+                      *[F.col(d).alias("trip_day") for d in day])
+    expanded = expand_intervals(tr, "tripnumber", "s_end", bucket_seconds)
+    if cohort is None:
+        (small_trips,) = fits_broadcast_all(expanded)
+    else:
+        ids = cohort.select(F.col("imei").alias("deviceid"))
+        small_ids, small_trips = fits_broadcast_all(ids, expanded)
+        tr = tr.join(F.broadcast(ids) if small_ids else ids.hint("merge"), "deviceid", "left_semi")
     extra = (("stat_date", "trip_day"),) if day else ()
     joined = points_in_intervals(pts, tr, point_key="imei", interval_key="deviceid",
                                  ts="time_stamp", start="tripnumber", end="s_end",
-                                 extra_keys=extra, bucket_seconds=bucket_seconds)
+                                 extra_keys=extra, bucket_seconds=bucket_seconds,
+                                 broadcast=small_trips)
     return joined.drop("deviceid", "s_end", *(["trip_day"] if day else []))
 
 
