@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import diff, duck, run_oracle
+from trackwise.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
