@@ -39,9 +39,9 @@ from trackwise.llm.batches import documents, text_slices
 
 WINDOW = 2048
 END_ID = 1
-SENTENCE_CUT, OTHER_CUT = 8, 24
+SENTENCE_CUT, OTHER_CUT = 3, 10
 #: where no sentence ends, a cut is possible after so many ids
-STRIDE = 64
+STRIDE = 32
 #: entries in a task's cache of tokenised words
 CACHE_WORDS = 1_000_000
 
