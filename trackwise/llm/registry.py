@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trackwise.llm.decontaminate import OP3_SQL, op3_decontamination
+from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
 from trackwise.llm.url_filter import OP4_SQL, op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
+    "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_decontamination": OP3_SQL,
     "op4_url_filter": OP4_SQL,
 }
