@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from trackwise.llm.decontaminate import OP3_SQL, op3_decontamination
 from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
+from trackwise.llm.simhash import op1_simhash
 from trackwise.llm.url_filter import OP4_SQL, op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
     "op8_license_scan": op8_license_scan,
