@@ -3,7 +3,9 @@ tables in the shared folder."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,12 @@ def text_slices(batches, key: str, text: str, limit: int = SLICE_BYTES) -> Itera
         yield keys, texts
 
 
+def worker_state() -> dict:
+    """A dict of this Python worker that lives on from task to task, for caches."""
+    name = "trackwise_worker_state"
+    return sys.modules.setdefault(name, ModuleType(name)).__dict__
+
+
 def write_table(df: DataFrame, name: str) -> str:
     """Write ``df`` as Parquet under the shared folder and return the path."""
     path = staging_path(df.sparkSession, name)

@@ -35,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackwise.llm.batches import documents, text_slices
+from trackwise.llm.batches import documents, text_slices, worker_state
 
 WINDOW = 2048
 END_ID = 1
 SENTENCE_CUT, OTHER_CUT = 3, 10
 #: where no sentence ends, a cut is possible after so many ids
 STRIDE = 32
-#: entries in a task's cache of tokenised words
+#: entries in a worker's cache of tokenised words
 CACHE_WORDS = 1_000_000
 
 PIECE = "{key} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -63,6 +63,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.encoder = Tokenizer.from_file(path)
         self.tail = re.compile(rb"([a-z])([.,]+)(?=[ \n])")
+        # words that the normaliser keeps and the pre-tokeniser does not split
+        self.plain = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+        # byte-level alphabet: bytes without a printable Latin-1 character are U+0100 and up
+        blank = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+        self.alphabet = {b: 0x100 + i for i, b in enumerate(blank)}
         self.reset()
 
     def reset(self) -> None:
@@ -75,11 +80,21 @@ class WordTokenizer:
             return text.split()
         return self.tail.sub(rb"\1 \2", text.lower()).split()
 
+    def word_ids(self, word: bytes) -> list[int] | None:
+        """Ids of a plain word by the model alone; None for others."""
+        if not self.plain(word.decode("utf-8", "replace")):
+            return None
+        symbols = word.decode() if word.isascii() else word.decode("latin-1").translate(self.alphabet)
+        return [t.id for t in self.encoder.model.tokenize(symbols)]
+
     def add(self, new: list[bytes]) -> None:
         if not new:
             return
-        ids = [e.ids for e in self.encoder.encode_batch([w.decode("utf-8", "replace") for w in new],
-                                                        add_special_tokens=False)]
+        ids = list(map(self.word_ids, new))
+        other = [i for i, x in enumerate(ids) if x is None]
+        for i, e in zip(other, self.encoder.encode_batch_fast([new[i].decode("utf-8", "replace") for i in other],
+                                                              add_special_tokens=False)):
+            ids[i] = e.ids
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         start = len(self.flat) + np.cumsum(size) - size
         self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))])
@@ -161,7 +176,10 @@ def _pack_partition(batches, path: str, window: int, key_type: pa.DataType):
     from pyspark import TaskContext
 
     serial = TaskContext.get().partitionId() << 32
-    tokens = WordTokenizer(path)
+    state = worker_state()
+    if ("tokenizer", path) not in state:
+        state["tokenizer", path] = WordTokenizer(path)
+    tokens = state["tokenizer", path]
     ids, spans = np.empty(0, np.uint32), []               # carried: ids, (key, start in the document, length, ids of the document)
     pos, kind = np.empty(0, np.int64), np.empty(0, np.int64)
 
