@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trackwise.llm.decontaminate import OP3_SQL, op3_decontamination
+from trackwise.llm.embeddings import op10_embedding_dedup
 from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
 from trackwise.llm.simhash import op1_simhash
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE: dict[str, str] = {
