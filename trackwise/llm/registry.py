@@ -11,10 +11,12 @@ from trackwise.llm.embeddings import op10_embedding_dedup
 from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
 from trackwise.llm.simhash import op1_simhash
+from trackwise.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from trackwise.llm.url_filter import OP4_SQL, op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
     "op8_license_scan": op8_license_scan,
@@ -23,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_substring_dedup": OP2_SQL,
     "op3_decontamination": OP3_SQL,
     "op4_url_filter": OP4_SQL,
 }
