@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trackwise.llm.decontaminate import OP3_SQL, op3_decontamination
 from trackwise.llm.embeddings import op10_embedding_dedup
+from trackwise.llm.html_text import op6_html_extraction
 from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
 from trackwise.llm.simhash import op1_simhash
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
+    "op6_html_extraction": op6_html_extraction,
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
