@@ -13,6 +13,7 @@ from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
 from trackwise.llm.simhash import op1_simhash
 from trackwise.llm.substring_dedup import OP2_SQL, op2_substring_dedup
+from trackwise.llm.toxicity import op5_toxicity
 from trackwise.llm.url_filter import OP4_SQL, op4_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
+    "op5_toxicity": op5_toxicity,
     "op6_html_extraction": op6_html_extraction,
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
