@@ -11,6 +11,7 @@ from trackwise.llm.embeddings import op10_embedding_dedup
 from trackwise.llm.html_text import op6_html_extraction
 from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
+from trackwise.llm.pii import op7_pii_surrogates
 from trackwise.llm.simhash import op1_simhash
 from trackwise.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from trackwise.llm.toxicity import op5_toxicity
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_toxicity": op5_toxicity,
     "op6_html_extraction": op6_html_extraction,
+    "op7_pii_surrogates": op7_pii_surrogates,
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,

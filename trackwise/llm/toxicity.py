@@ -29,8 +29,10 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -169,20 +171,21 @@ def severity(model: dict | None, text: bytes) -> float:
     return math.fsum(1 / (1 + math.exp(min(500.0, c - score))) for c in model["cuts"])
 
 
-def score(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str = "text", reject: float = REJECT) -> DataFrame:
-    """(key, severity, grade: the nearest one, rejected) of every row."""
-    from pyspark.sql.pandas.types import to_arrow_type
+def severity_of(spark: SparkSession, model: dict | None):
+    """Column function: the expected severity of a text column."""
+    sent = spark.sparkContext.broadcast(model)
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    key_type = to_arrow_type(rows.schema["key"].dataType)
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    @F.pandas_udf("double")
+    def expected(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([severity(sent.value, (t or "").encode()) for t in texts], dtype="float64")
 
-    def run(batches):
-        for keys, texts in text_slices(batches, "key", "text"):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, key_type), pa.array([severity(sent.value, t) for t in texts], pa.float64())], ["key", "severity"])
+    return expected
 
-    scored = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, severity double")
+
+def score(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str = "text", reject: float = REJECT) -> DataFrame:
+    """(key, severity, grade: the nearest one, rejected) of every row."""
+    scored = docs.select(F.col(key).alias("key"), severity_of(docs.sparkSession, model)(F.col(text)).alias("severity"))
     return scored.select(F.col("key").alias(key), "severity", F.round("severity").cast("int").alias("grade"),
                          (F.col("severity") >= reject).alias("rejected"))
 
