@@ -47,6 +47,8 @@ WINDOW = 50
 #: the rounds: words that repeat are merged first; later, equal neighbours are
 #: rare and stay as they are (more symbols, the same result)
 ROUNDS = ("run",) + ("pair",) * 7
+#: symbols of fewer words are shared by chance and not sent
+LEAST_SYMBOL = 4
 #: bytes of text parsed at once
 SLICE = 2_000_000
 CACHE_WORDS = 800_000
@@ -79,7 +81,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 class Parse:
     """Symbols of the last round over texts laid end to end: name, words that
-    decided it [lo, hi), all as positions in ``hashes``."""
+    decided it [lo, hi) as positions in ``hashes``, number of words it stands for."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, rounds=ROUNDS):
         ends = np.cumsum(counts)
@@ -89,14 +91,15 @@ class Parse:
         size = n + len(counts) + 1
         name, lo, hi = np.zeros(size, U), np.full(size, -FAR), np.full(size, FAR)
         name[at], lo[at], hi[at] = hashes, np.arange(n), np.arange(1, n + 1)
+        span = np.ones(size, np.int64)
         for r, kind in enumerate(rounds):
-            name, lo, hi = (self._runs if kind == "run" else self._pairs)(name, lo, hi, r)
+            name, lo, hi, span = (self._runs if kind == "run" else self._pairs)(name, lo, hi, span, r)
         real = name > 0
-        self.name, self.lo, self.hi = name[real], lo[real], hi[real]
+        self.name, self.lo, self.hi, self.span = name[real], lo[real], hi[real], span[real]
         self.begin, self.end = ends - counts, ends
 
     @staticmethod
-    def _runs(name, lo, hi, r):
+    def _runs(name, lo, hi, span, r):
         new = np.concatenate(([True], (name[1:] != name[:-1]) | (name[1:] == 0)))
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(name)) - 1
@@ -107,10 +110,10 @@ class Parse:
         # that a run ends here is known from both neighbours
         left, right = lo[np.maximum(first - 1, 0)], hi[np.minimum(last + 1, len(name) - 1)]
         keep = out == 0
-        return out, np.where(keep, lo[first], left), np.where(keep, hi[last], right)
+        return out, np.where(keep, lo[first], left), np.where(keep, hi[last], right), np.add.reduceat(span, first)
 
     @staticmethod
-    def _pairs(name, lo, hi, r):
+    def _pairs(name, lo, hi, span, r):
         coin = (mix(name + U(r * 2 + 1)) >> U(17)) & U(1)
         real = name > 0
         merge = np.zeros(len(name), bool)
@@ -124,12 +127,13 @@ class Parse:
         left = np.concatenate(([-FAR], lo[:-1]))
         new_hi = np.where(merge | (alone & (coin == 0)), right, hi)
         new_lo = np.where(alone & (coin == 1), left, lo)
+        span = span + np.where(merge, np.append(span[1:], 0), 0)
         keep = ~taken
-        return out[keep], new_lo[keep], new_hi[keep]
+        return out[keep], new_lo[keep], new_hi[keep], span[keep]
 
     def stable(self, window: int):
         """(name, text, lo, hi) of the symbols that some window can hold."""
-        ok = self.hi - self.lo <= window
+        ok = (self.hi - self.lo <= window) & (self.span >= min(LEAST_SYMBOL, window // 8))
         lo = self.lo[ok]
         return self.name[ok], np.searchsorted(self.end, lo, "right"), lo, self.hi[ok]
 
@@ -217,8 +221,23 @@ def _groups(keys: tuple[np.ndarray, ...], ids: np.ndarray):
     return order, own[first][group], own[last][group]
 
 
-def _by_id(ids: np.ndarray, a: np.ndarray):
-    """Record batches (id, names) of the entries of each id."""
+def _to_ids(ids: np.ndarray, a: np.ndarray, buckets: int):
+    """Entries on their way to the texts: by bucket of the id."""
+    part = ids % buckets
+    order = np.lexsort((ids, part))
+    ids, a, part = ids[order], a[order], part[order]
+    begin = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(ids) else np.empty(0, np.int64)
+    spans = list(zip(begin.tolist(), np.append(begin[1:], len(ids)).tolist()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[begin], pa.int32()), pa.array(np.zeros(len(begin), bool)),
+         pa.array([np.diff(ids[i:j], prepend=0).tobytes() for i, j in spans], pa.binary()),
+         pa.array([a[i:j].tobytes() for i, j in spans], pa.binary()), pa.array([b""] * len(spans), pa.binary())],
+        ["bucket", "known", "ids", "a", "b"])
+
+
+def _by_id(batches):
+    """One row (id, names) for each id of the partition."""
+    ids, a, _, _ = _received(batches)
     order = np.argsort(ids, kind="stable")
     ids, a = ids[order], a[order]
     begin = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else np.empty(0, np.int64)
@@ -240,7 +259,7 @@ def _unique(ids: np.ndarray, a: np.ndarray, b: np.ndarray):
 
 def _symbols(batches, window: int, buckets: int):
     """Step 1: stable symbols, once a slice; those of two documents of the slice are known to be shared."""
-    for keys, texts in text_slices(batches, "id", "text", SLICE):
+    for keys, texts in text_slices(batches, "id", "body", SLICE):
         words = [t.split() for t in texts]
         counts = np.array([len(w) for w in words])
         parse = Parse(word_hashes([w for own in words for w in own]), counts)
@@ -258,19 +277,19 @@ def _symbols(batches, window: int, buckets: int):
                     buckets)
 
 
-def _shared_symbols(batches):
+def _shared_symbols(batches, buckets: int):
     ids, name, _, known = _received(batches)
     order, least, greatest = _groups((name[~known],), ids[~known])
     own, found = ids[~known][order], name[~known][order]
     both = least != greatest
-    yield from _by_id(np.concatenate((ids[known], own[both])), np.concatenate((name[known], found[both])))
+    yield _to_ids(np.concatenate((ids[known], own[both])), np.concatenate((name[known], found[both])), buckets)
 
 
 def _joined(batches):
-    """(id, text, names) rows in slices."""
+    """(id, body, names) rows in slices."""
     ids, texts, names, size = [], [], [], 0
     for batch in batches:
-        text = batch.column("text").cast(pa.binary())
+        text = batch.column("body").cast(pa.binary())
         for r in range(batch.num_rows):
             t = text[r].as_py() or b""
             if ids and size + len(t) > SLICE:
@@ -278,7 +297,7 @@ def _joined(batches):
                 ids, texts, names, size = [], [], [], 0
             ids.append(batch.column("id")[r].as_py())
             texts.append(t)
-            names.append(np.frombuffer(b"".join(batch.column("names")[r].as_py() or ()), U))
+            names.append(np.frombuffer(batch.column("names")[r].as_py() or b"", U))
             size += len(t)
     if ids:
         yield ids, texts, names
@@ -305,13 +324,13 @@ def _candidate_windows(batches, window: int, buckets: int):
         yield _send(key, a, b, key > least, buckets)
 
 
-def _repeats(batches):
+def _repeats(batches, buckets: int):
     ids, a, b, known = _received(batches)
     new = ~known
     order, least, _ = _groups((b[new], a[new]), ids[new])
     own, found = ids[new][order], a[new][order]
     above = own > least
-    yield from _by_id(np.concatenate((ids[known], own[above])), np.concatenate((a[known], found[above])))
+    yield _to_ids(np.concatenate((ids[known], own[above])), np.concatenate((a[known], found[above])), buckets)
 
 
 def _cut(batches, window: int):
@@ -340,15 +359,19 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     """(key, n_words, n_removed, kept: the remaining words, joined by one space) of every row."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("body"))
     named = texts.where("id IS NOT NULL")
-    shared = (named.mapInArrow(lambda it: _symbols(it, window, buckets), SENT).repartition(buckets, "bucket")
-              .mapInArrow(_shared_symbols, "id long, names binary").groupBy("id").agg(F.collect_list("names").alias("names")))
-    repeats = (named.join(shared, "id").mapInArrow(lambda it: _candidate_windows(it, window, buckets), SENT)
-               .repartition(buckets, "bucket").mapInArrow(_repeats, "id long, names binary")
-               .groupBy("id").agg(F.collect_list("names").alias("names")))
-    marked = named.join(repeats, "id", "left")      # the exchange of ``named`` serves both joins
-    rest = texts.where("id IS NULL").withColumn("names", F.lit(None).cast("array<binary>"))
+    dealt = named.repartition(buckets, "id")         # one exchange of the texts for both joins
+
+    def gather(sent: DataFrame, judge) -> DataFrame:
+        """(id, names): what the buckets of ``sent`` find, by id."""
+        found = sent.repartition(buckets, "bucket").mapInArrow(lambda it: judge(it, buckets), SENT)
+        return found.repartition(buckets, "bucket").mapInArrow(_by_id, "id long, names binary")
+
+    shared = gather(named.mapInArrow(lambda it: _symbols(it, window, buckets), SENT), _shared_symbols)
+    repeats = gather(dealt.join(shared, "id").mapInArrow(lambda it: _candidate_windows(it, window, buckets), SENT), _repeats)
+    marked = dealt.join(repeats, "id", "left")
+    rest = texts.where("id IS NULL").withColumn("names", F.lit(None).cast("binary"))
     return (marked.unionByName(rest)
             .mapInArrow(lambda it: _cut(it, window), "id long, n_words long, n_removed long, kept string")
             .withColumnRenamed("id", key))
