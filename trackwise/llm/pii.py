@@ -55,12 +55,13 @@ PARTS = {"lat": "bar den for gal hol ker lan mor nel per ros sel tal ver wil zan
 
 _first = "|".join(n for ns in FIRST.values() for n in ns)
 _title = "|".join(TITLES)
+_word = r"\p{Lu}\p{Ll}{1,24}+"
+_keys = "password|passwd|pwd|secret|token|api_key|apikey"
 _edge = r"(?<![\w.@+-])"
-#: all entities; guards and possessive repeats keep it linear on long texts
-PATTERN = "|".join((
+# guards, bounds and possessive repeats keep the patterns linear on long texts
+_numbers = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}+(?<=\.)[A-Za-z]{2,24}+(?![A-Za-z0-9-])",
     _edge + r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    r"(?<=\b(?:password|passwd|pwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[0-9A-Za-z_/+-]{8,128}+",
     _edge + r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![\w-]|\.\d)",
     _edge + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     _edge + r"[0-9](?:[ -]?[0-9]){12,18}(?![\w-]|\.\d)",
@@ -68,11 +69,28 @@ PATTERN = "|".join((
     r"(?<![\w)+-])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![\w])",
     _edge + r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])",
     _edge + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
-    rf"(?<=\b(?:{_title})[.]? )\p{{Lu}}\p{{Ll}}{{1,24}}+(?!\p{{L}})",
-    rf"(?<=\b(?:{_title})[.]? \p{{Lu}}\p{{Ll}}{{1,24}} )\p{{Lu}}\p{{Ll}}{{1,24}}+(?!\p{{L}})",
-    rf"(?<=\b(?:{_first}) )\p{{Lu}}\p{{Ll}}{{1,24}}+(?!\p{{L}})",
-    rf"\b(?:{_first})(?= \p{{Lu}}\p{{Ll}})",
+)
+#: spans of a text
+SPANS = "|".join((
+    *_numbers,
+    rf"(?<![A-Za-z0-9_])(?:{_keys}) {{0,2}}[=:] {{0,2}}[\"']?[0-9A-Za-z_/+-]{{8,128}}+",
+    rf"(?<!\p{{L}})(?:{_title})[.]? {_word}(?: {_word})?(?!\p{{L}})",
+    rf"(?<!\p{{L}})(?:{_first}) {_word}(?!\p{{L}})",
+))
+#: entities of a span
+PATTERN = "|".join((
+    *_numbers,
+    rf"(?<=^(?:{_keys}) {{0,2}}[=:] {{0,2}}[\"']?)[0-9A-Za-z_/+-]{{8,128}}+",
+    rf"(?<=^(?:{_title})[.]? ){_word}(?!\p{{L}})",
+    rf"(?<=^(?:{_title})[.]? \p{{Lu}}\p{{Ll}}{{1,24}} ){_word}(?!\p{{L}})",
+    rf"(?<=^(?:{_first}) ){_word}(?!\p{{L}})",
+    rf"^(?:{_first})(?= \p{{Lu}}\p{{Ll}})",
 ))
+#: what every text with a span holds
+CANDIDATE = " OR ".join((
+    "contains(text, '@')", "text rlike '[0-9]'", "contains(text, 'AKIA')",
+    *(f"contains(text, '{k}')" for k in _keys.split("|")),
+    rf"text rlike '(?<!\\p{{L}})(?=\\p{{Lu}})(?:{_title}|{_first})[.]? \\p{{Lu}}'"))
 
 
 def _luhn(digits: str) -> str:
@@ -210,24 +228,34 @@ def pseudonymise(docs: DataFrame, key: str = "doc_id", text: str = "text", secre
     """All columns of every row with surrogates in ``text``, and the number of its entities in ``count``."""
     columns = [c for c in docs.columns if c != count]
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.struct(*columns).alias("row"))
-    found = through_table(rows.where(F.col("text").rlike(PATTERN)).select(
-        "key", F.xxhash64("text").alias("th"), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("forms"), "row"),
+    candidate = F.coalesce(F.expr(CANDIDATE), F.lit(False))
+    found = through_table(rows.where(candidate).select(
+        "key", F.xxhash64("text").alias("th"), F.regexp_extract_all("text", F.lit(SPANS), F.lit(0)).alias("spans"), "row"),
         "entity_texts")
-    forms = (found.select(F.explode("forms").alias("form")).distinct()
-             .withColumn("kind", F.expr(KIND)).where("kind IS NOT NULL").withColumn("norm", F.expr(NORM)))
-    forms = through_table(forms, "forms")
+    spans = through_table(found.select(F.explode("spans").alias("span")).distinct().select(
+        "span", F.regexp_extract_all("span", F.lit(PATTERN), F.lit(0)).alias("forms"),
+        F.split("span", PATTERN, -1).alias("pieces")), "spans")
+    forms = through_table(spans.select(F.explode("forms").alias("form")).distinct()
+                          .withColumn("kind", F.expr(KIND)).where("kind IS NOT NULL")
+                          .withColumn("norm", F.expr(NORM)), "forms")
     surrogates = distinct_surrogates(forms.select("kind", "norm").distinct(), secret)
-    rendered = through_table(forms.join(surrogates, ["kind", "norm"]).select("form", F.expr(RENDER).alias("new")), "rendered")
-    places = found.select("key", "th", F.posexplode("forms").alias("at", "form")).join(rendered, "form")
+    rendered = forms.join(surrogates, ["kind", "norm"]).select("form", F.expr(RENDER).alias("new"))
+    parts = (spans.select("span", F.posexplode("forms").alias("at", "form")).join(rendered, "form")
+             .groupBy("span").agg(F.map_from_entries(F.collect_set(F.struct("at", "new"))).alias("new")))
+    renewed = through_table(spans.join(parts, "span").select("span", F.struct(F.expr(
+        "concat(pieces[0], array_join(transform(forms, (f, i) -> concat(coalesce(new[i], f), pieces[i + 1])), ''))").alias("text"),
+        F.size("new").alias("n")).alias("new")), "renewed")
+    places = found.select("key", "th", F.posexplode("spans").alias("at", "span")).join(renewed, "span")
     new = places.groupBy("key", "th").agg(F.map_from_entries(F.collect_set(F.struct("at", "new"))).alias("new"))
     new = new.select(F.col("key").alias("new_key"), F.col("th").alias("new_th"), "new")
     joined = found.join(new, (F.col("th") == F.col("new_th")) & F.col("key").eqNullSafe(F.col("new_key")), "left")
-    replaced = joined.withColumn("pieces", F.split(F.col("row")[text], PATTERN, -1)).withColumn("text", F.expr(
-        "concat(pieces[0], array_join(transform(forms, (f, i) -> concat(coalesce(new[i], f), pieces[i + 1])), ''))")).select(
+    # without a replacement the text is not cut again
+    replaced = joined.withColumn("pieces", F.when(F.col("new").isNotNull(), F.split(F.col("row")[text], SPANS, -1))).withColumn(
+        "text", F.when(F.col("new").isNotNull(), F.expr("concat(pieces[0], array_join(transform(spans, "
+                       "(s, i) -> concat(coalesce(new[i].text, s), pieces[i + 1])), ''))")).otherwise(F.col("row")[text])).select(
         *((F.col("text") if c == text else F.col("row")[c]).alias(c) for c in columns),
-        F.coalesce(F.size("new"), F.lit(0)).cast("long").alias(count))
-    clean = rows.where(F.col("text").isNull() | ~F.col("text").rlike(PATTERN)).select(
-        *(F.col("row")[c].alias(c) for c in columns), F.lit(0).cast("long").alias(count))
+        F.coalesce(F.expr("aggregate(map_values(new), 0, (s, x) -> s + x.n)"), F.lit(0)).cast("long").alias(count))
+    clean = rows.where(~candidate).select(*(F.col("row")[c].alias(c) for c in columns), F.lit(0).cast("long").alias(count))
     return replaced.unionByName(clean)
 
 
