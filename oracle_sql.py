@@ -9,13 +9,19 @@ Doubles are rounded to 9 places on output (cross-engine float noise).
 
 from __future__ import annotations
 
-from trackwise.plans.complex import ACC_NEG_BOUNDS, ACC_POS_BOUNDS, SPEED_BOUNDS
 from trackwise.schemas import (COMPLEX_ACC_RUNS, COMPLEX_ACC_STATS, COMPLEX_COLUMNS, COMPLEX_TYPES,
                                COMPLEX_HEAD, COMPLEX_HOURS, COMPLEX_NORM_RUNS,
                                COMPLEX_NORM_STATS, COMPLEX_SPEED_BINS, COMPLEX_SPEED_STATS,
                                COMPLEX_TURN, ROLLUP_COLUMNS, SIMPLE_COLUMNS, SIMPLE_HOURS,
                                SIMPLE_SPEED_BINS, quantile_names, run_bin_names)
 
+# The bins (a, b] of the feature definition. Every end is an
+# arithmetic sequence of its own: from + i * by, in double precision.
+INF = float("inf")
+SPEED_BOUNDS = [(10.0 * i, 10.0 * i + 10.0) for i in range(20)] + [(200.0, INF)]
+ACC_POS_BOUNDS = [(0 + i * 0.05, 0.05 + i * 0.05 if i < 19 else 1.0) for i in range(20)] + [(1.0, INF)]
+ACC_NEG_BOUNDS = [(-INF, -1.0)] + [(min(-1 + i * 0.05, -0.05), min(-1 + (i + 1) * 0.05, 0.0)) for i in range(20)]
+
 PROBS = "[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]"
 
 
@@ -54,24 +60,31 @@ c AS (SELECT *,
   CAST(sum((event_id*53)%21-10) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cx,
   CAST(sum((event_id*13)%21-10) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS ch FROM e),
 gps_points AS (SELECT CAST(user_id AS VARCHAR) AS imei,
-  CASE WHEN event_id%101=0 THEN 0e0 WHEN event_id%97=0 THEN 31e0+user_id*1e-2+cy*2e-5 ELSE 30e0+user_id*1e-2+cy*2e-5 END AS lat,
-  CASE WHEN event_id%101=0 THEN 0e0 ELSE 120e0+cx*2e-5 END AS lon,
-  CASE WHEN event_id%83=0 THEN NULL WHEN event_type='error' THEN 0e0 WHEN value>240e0 THEN 240e0 ELSE value END AS speed,
+  CASE WHEN event_id%103=0 THEN NULL WHEN event_id%101=0 THEN 0e0 WHEN event_id%97=0 THEN 31e0+user_id*1e-2+cy*2e-5 ELSE 30e0+user_id*1e-2+cy*2e-5 END AS lat,
+  CASE WHEN event_id%103=0 THEN NULL WHEN event_id%101=0 THEN 0e0 ELSE 120e0+cx*2e-5 END AS lon,
+  CASE WHEN event_id%83=0 THEN NULL WHEN event_type='error' THEN 0e0 ELSE value END AS speed,
   CAST((ch+36000)%360 AS INTEGER) AS direction,
-  CAST((1704067200+user_id*600+seq)*1000+(event_id%4)*250 AS BIGINT) AS time_stamp
-  FROM (SELECT * FROM c UNION ALL SELECT * FROM c WHERE event_id%89=0) c2),
+  CAST((1704067200+user_id*599+seq)*1000+(event_id%4)*250 AS BIGINT) AS time_stamp
+  FROM (SELECT * FROM c UNION ALL SELECT * FROM c WHERE event_id%89=0 OR event_id%103=0) c2),
 trip_stat AS (
   SELECT CAST(user_id AS VARCHAR) AS deviceid, CAST(user_id AS VARCHAR) AS tid, CAST(100000+user_id AS VARCHAR) AS vid,
-         CAST(1704067200+user_id*600 AS INTEGER) AS start, CAST(1704067200+user_id*600+66 AS INTEGER) AS s_end
+         CAST(1704067200+user_id*599 AS INTEGER) AS start, CAST(1704067200+user_id*599+66 AS INTEGER) AS s_end
+  FROM (SELECT DISTINCT user_id FROM events) u
+  UNION ALL
+  SELECT CAST(user_id AS VARCHAR), CASE WHEN user_id%7<>3 THEN CAST(500000+user_id AS VARCHAR) END, CAST(100000+user_id AS VARCHAR),
+         CAST(1704067200+user_id*599+67 AS INTEGER), CAST(1704067200+user_id*599+400 AS INTEGER)
   FROM (SELECT DISTINCT user_id FROM events) u
   UNION ALL
-  SELECT CAST(user_id AS VARCHAR), CAST(500000+user_id AS VARCHAR), CAST(100000+user_id AS VARCHAR),
-         CAST(1704067200+user_id*600+67 AS INTEGER), CAST(1704067200+user_id*600+400 AS INTEGER)
-  FROM (SELECT DISTINCT user_id FROM events) u),
+  SELECT CAST(user_id AS VARCHAR), CAST(user_id AS VARCHAR), CAST(100000+user_id AS VARCHAR),
+         CAST(1704067200+user_id*599 AS INTEGER), CAST(1704067200+user_id*599+CASE user_id%5 WHEN 2 THEN 66 ELSE 50 END AS INTEGER)
+  FROM (SELECT DISTINCT user_id FROM events WHERE user_id%5 IN (2, 4)) u),
+trip_days AS (SELECT t.*, d.stat_date FROM trip_stat t,
+  unnest(list_distinct([strftime(DATE '1970-01-01' + CAST(start // 86400 AS INTEGER), '%Y%m%d'),
+                        strftime(DATE '1970-01-01' + CAST(s_end // 86400 AS INTEGER), '%Y%m%d')])) d(stat_date)),
 cohort AS (SELECT CAST(c_custkey AS VARCHAR) AS imei FROM customer WHERE c_custkey%10<>3),
 validity AS (SELECT CAST(c_custkey AS VARCHAR) AS imei, c_name AS VIN,
-   CAST(1704067200+c_custkey*600 AS BIGINT) AS valid_start_utc,
-   CAST(1704067200+c_custkey*600+(c_custkey%5)*50 AS BIGINT) AS valid_end_utc
+   CAST(1704067200+c_custkey*599 AS BIGINT) AS valid_start_utc,
+   CAST(1704067200+c_custkey*599+(c_custkey%5)*50 AS BIGINT) AS valid_end_utc
    FROM customer WHERE c_custkey%10<>3)
 """
 
@@ -81,7 +94,8 @@ def gps_dist(lat: str, lon: str, lat0: str, lon0: str) -> str:
     la, lo, la0, lo0 = r(lat), r(lon), r(lat0), r(lon0)
     s1 = f"sin(({lo}-{lo0})/2e0)"
     s2 = f"sin(({la}-{la0})/2e0)"
-    return f"(asin(sqrt(cos({la0})*cos({la})*({s1}*{s1})+({s2}*{s2})))*2e0*6378.178e0)"
+    inner = f"(cos({la0})*cos({la})*({s1}*{s1})+({s2}*{s2}))"
+    return f"(CASE WHEN {inner} BETWEEN 0 AND 1 THEN asin(sqrt({inner}))*2e0*6378.178e0 END)"
 
 
 def hour(ts: str) -> str:
@@ -95,7 +109,7 @@ J1_ROWS = """
 j1_join AS (SELECT t.tid, t.vid, t.start AS tripnumber, t.s_end, g.imei, g.lat, g.lon, g.speed,
                    g.direction, g.time_stamp/1000e0 AS time_stamp
             FROM gps_points g JOIN trip_stat t
-              ON g.imei = t.deviceid AND g.time_stamp/1000e0 >= t.start AND g.time_stamp/1000e0 <= t.s_end
+              ON g.imei = t.deviceid AND g.time_stamp/1000e0 >= t.start AND g.time_stamp/1000e0 <= t.s_end /*day*/
             WHERE t.start > 0),
 j1_lead AS (SELECT *,
    lead(lat, 1, 0e0) OVER w AS lat_0, lead(lon, 1, 0e0) OVER w AS lon_0
@@ -112,13 +126,16 @@ def day_key(epoch_s: str, fmt: str = "%Y%m%d") -> str:
     return f"strftime(DATE '1970-01-01' + CAST(floor(({epoch_s})/86400e0) AS INTEGER), '{fmt}')"
 
 
-J1_ROWS_BY_DAY = J1_ROWS.replace(
-    "g.time_stamp/1000e0 AS time_stamp",
-    "g.time_stamp/1000e0 AS time_stamp, " + day_key("t.start") + " AS stat_date").replace(
-    "WHERE t.start > 0", "WHERE t.start > 0 AND " + day_key("g.time_stamp/1000e0") + " = " + day_key("t.start"))
+def by_day(sql: str) -> str:
+    """The same computation, one run per day: trips as listed under a day with the
+    points of that day, the day in every partition and group."""
+    out = sql.replace("imei, tripnumber", "imei, tripnumber, stat_date").replace(
+        "imei, vid, tripnumber", "imei, vid, tripnumber, stat_date")
+    return out.replace("t.start AS tripnumber", "t.start AS tripnumber, t.stat_date").replace(
+        "trip_stat", "trip_days").replace("/*day*/", "AND " + day_key("g.time_stamp/1000e0") + " = t.stat_date")
 
 
-def _j1_agg(group: str = "imei, vid, tripnumber", extra: str = "") -> str:
+def _j1_agg(group: str = "imei, vid, tripnumber") -> str:
     hours = ", ".join(f"sum(CASE WHEN {hour('time_stamp')} = {h} THEN am ELSE 0e0 END) AS {n}"
                       for h, n in enumerate(SIMPLE_HOURS))
     bins = [f"CAST(sum(CASE WHEN ceil(speed/10e0) = {k} THEN 1 ELSE 0 END) AS BIGINT) AS {n}"
@@ -135,7 +152,7 @@ j1_ord AS (SELECT *,
 j1 AS (SELECT {group}, min(time_stamp) AS start_time, max(time_stamp) AS end_time,
    max(s_end) - min(tripnumber) AS dura, CAST(count(DISTINCT time_stamp) AS BIGINT) AS dura_valid,
    any_value(f_lat) AS lat_st, any_value(f_lon) AS lon_st, any_value(l_lat) AS lat_end, any_value(l_lon) AS lon_end,
-   sum(am) AS mileage, {hours}, {', '.join(bins)}{extra}
+   sum(am) AS mileage, {hours}, {', '.join(bins)}
    FROM j1_ord GROUP BY {group})
 """
 
@@ -190,7 +207,7 @@ j2_join AS (SELECT g.imei, t.tid, t.vid, t.start AS tripnumber,
             FROM gps_points g
             JOIN (SELECT * FROM trip_stat WHERE deviceid IN (SELECT imei FROM cohort)) t
               ON g.imei = t.deviceid AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) >= t.start
-             AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) <= t.s_end),
+             AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) <= t.s_end /*day*/),
 j2_clean AS (SELECT * FROM j2_join WHERE imei IS NOT NULL AND tid IS NOT NULL AND vid IS NOT NULL
                AND tripnumber IS NOT NULL AND time_stamp IS NOT NULL AND lat IS NOT NULL
                AND lon IS NOT NULL AND heading IS NOT NULL AND speed IS NOT NULL AND lat <> 0),
@@ -337,22 +354,12 @@ j2 AS (SELECT t.*, {gps_dist("lat_st", "lon_st", "lat_end", "lon_end")} AS fly_d
 """
 
 
-def j2_query(columns: list[str], by_day: bool = False) -> str:
+def j2_query(columns: list[str], daily: bool = False) -> str:
     types = {c: COMPLEX_TYPES[c] for c in columns}
-    if not by_day:
+    if not daily:
         return with_ctes(FIXTURES, J2_ROWS, _j2_agg()) + "\n" + present(types, "j2")
-    # one run per day: points and trips of the same day only; day of the trip start
-    rows = J2_ROWS.replace(
-        "g.lat, g.lon, g.direction AS heading, g.speed\n",
-        "g.lat, g.lon, g.direction AS heading, g.speed, " + day_key("t.start") + " AS stat_date\n", 1
-    ).replace(
-        "AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) <= t.s_end)",
-        "AND CAST(trunc(g.time_stamp/1000e0) AS INTEGER) <= t.s_end\n             AND "
-        + day_key("g.time_stamp/1000e0") + " = " + day_key("t.start") + ")", 1)
-    agg = _j2_agg().replace("j2_trip AS (SELECT imei, tripnumber, ",
-                            "j2_trip AS (SELECT imei, tripnumber, any_value(stat_date) AS stat_date, ", 1)
-    assert rows != J2_ROWS and "stat_date" in agg
-    return with_ctes(FIXTURES, rows, agg) + "\n" + present({**types, "stat_date": "string"}, "j2")
+    return (with_ctes(FIXTURES, by_day(J2_ROWS), by_day(_j2_agg())) + "\n"
+            + present({**types, "stat_date": "string"}, "j2"))
 
 
 ROW_TYPES = {"tid": "string", "vid": "string", "imei": "string", "deviceid": "string",
@@ -418,18 +425,20 @@ j2t AS (SELECT g.imei, t.tid, t.vid, t.start AS tripnumber,
 
 def oracle_sql() -> dict[str, str]:
     j1_full = [J1_ROWS, _j1_agg()]
+    j1_daily = [by_day(J1_ROWS), by_day(_j1_agg())]
     kin = [J2_ROWS]
     return {
-        "scan_trips": q([f"s AS (SELECT *, {day_key('start')} AS stat_date FROM trip_stat)"],
-                        ["tid", "vid", "deviceid", "start", "s_end", "stat_date"], "s"),
+        "scan_trips": q([], ["tid", "vid", "deviceid", "start", "s_end", "stat_date"], "trip_days"),
+        "trips_per_day": with_ctes(FIXTURES, """r AS (SELECT min(strptime(stat_date, '%Y%m%d')) AS a, max(strptime(stat_date, '%Y%m%d')) AS b FROM trip_days),
+d AS (SELECT strftime(unnest(generate_series(a, b, INTERVAL 1 DAY)), '%Y%m%d') AS stat_date FROM r)""")
+                         + "\nSELECT d.stat_date, count(t.start) AS trips FROM d LEFT JOIN trip_days t USING (stat_date) GROUP BY ALL",
         "scan_points": q([f"""s AS (SELECT imei, lat, lon, lat AS alat, lon AS alon, speed, direction,
                                0 AS altitude, 1e0 AS pdop, time_stamp, 1 AS protocal_type,
                                {day_key('time_stamp/1000e0')} AS stat_date FROM gps_points)"""],
                          ["imei", "lat", "lon", "alat", "alon", "speed", "direction", "altitude", "pdop",
                           "time_stamp", "protocal_type", "stat_date"], "s",
                          altitude="int", time_stamp="long", protocal_type="int"),
-        "date_range_backfill": with_ctes(FIXTURES, J1_ROWS_BY_DAY,
-                                         _j1_agg(extra=", any_value(stat_date) AS stat_date")) + "\n"
+        "date_range_backfill": with_ctes(FIXTURES, *j1_daily) + "\n"
                                + present({**SIMPLE_TYPES, "stat_date": "string"}, "j1"),
         "trip_points": q([J1_ROWS], TRIP_ROW_COLS, "j1_join"),
         "trip_points_trunc": q([J2_TRUNC_JOIN], J2_ROW_COLS, "j2t", time_stamp="int"),
@@ -447,13 +456,13 @@ def oracle_sql() -> dict[str, str]:
         "trip_speed_hist": q(j1_full, ["imei", "vid", "tripnumber", *SIMPLE_SPEED_BINS], "j1",
                              **{n: "long" for n in SIMPLE_SPEED_BINS}),
         "simple_trip_features": q_simple_trip_features(),
-        "validity_join": q(j1_full + [J3_JOIN], ["imei", "VIN", "valid_start_utc", "valid_end_utc", "imei_1",
+        "validity_join": q(j1_daily + [J3_JOIN], ["imei", "VIN", "valid_start_utc", "valid_end_utc", "imei_1",
                                                  "vid", "tripnumber", "start_time", "end_time", "dura",
                                                  "dura_valid", "mileage", "day"], "j3_join"),
-        "plausible_trips": q(j1_full + [J3_JOIN], ["imei", "VIN", "imei_1", "tripnumber", "speed_mean", "speed"],
+        "plausible_trips": q(j1_daily + [J3_JOIN], ["imei", "VIN", "imei_1", "tripnumber", "speed_mean", "speed"],
                              "j3_ok"),
-        "vehicle_rollup": with_ctes(FIXTURES, *j1_full, J3_JOIN) + "\n" + present(ROLLUP_TYPES, "j3"),
-        "vehicle_csv_line": with_ctes(FIXTURES, *j1_full, J3_JOIN) + "\nSELECT concat_ws(',', "
+        "vehicle_rollup": with_ctes(FIXTURES, *j1_daily, J3_JOIN) + "\n" + present(ROLLUP_TYPES, "j3"),
+        "vehicle_csv_line": with_ctes(FIXTURES, *j1_daily, J3_JOIN) + "\nSELECT concat_ws(',', "
                             + ", ".join(_csv_field(c, ROLLUP_TYPES[c]) for c in ROLLUP_COLUMNS)
                             + ") AS df_concat FROM j3",
         "clean_points": q(kin, J2_ROW_COLS, "j2_kin", time_stamp="int"),
@@ -475,7 +484,7 @@ def oracle_sql() -> dict[str, str]:
         "norm_bin_runs": j2_query(["imei", "tripnumber", *COMPLEX_NORM_RUNS]),
         "simple_trip_features": q_simple_trip_features(),
         "complex_trip_features": j2_query(COMPLEX_COLUMNS),
-        "complex_date_range_backfill": j2_query(COMPLEX_COLUMNS, by_day=True),
+        "complex_date_range_backfill": j2_query(COMPLEX_COLUMNS, daily=True),
         "scan_points_positional": q([f"""s AS (SELECT imei, lat, lon, lat AS alat, lon AS alon, speed, direction,
                                0 AS altitude, 1e0 AS pdop, time_stamp, 1 AS protocal_type,
                                {day_key('time_stamp/1000e0')} AS stat_date FROM gps_points)"""],

@@ -5,8 +5,9 @@ from trackwise.operators.broadcast import broadcast_threshold, size_checked, uns
 
 def test_size_bound_counts_fields_and_strings(spark):
     df = spark.createDataFrame([("abc", 1), ("abcdefghij", 2)], "s string, n int")
-    # per row: 8 (null bits) + 2*8 (fields) + 16 (overhead) + strings rounded to 8: 8 and 16
-    assert unsafe_size_bound(df) == 2 * (8 + 16 + 16) + 8 + 16
+    # per row: 8 (null bits) + 2*8 (fields) + strings rounded to 8 (8 and 16), all once
+    # more for the key copy, + 16 (overhead)
+    assert unsafe_size_bound(df) == 2 * (2 * (8 + 16) + 16) + 2 * (8 + 16)
 
 
 def test_threshold_parsing(spark):

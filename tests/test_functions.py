@@ -23,40 +23,40 @@ def test_haversine_zero_for_same_point(spark):
 @pytest.mark.parametrize("d,expected", [(20, 20), (-340, 20), (340, -20), (180, 180), (-180, -180), (0, 0)])
 def test_heading_difference_is_wrapped(spark, d, expected):
     # 350 -> 10 is +20, 10 -> 350 is -20; a change of exactly 180 keeps its sign
-    assert one(spark, geo.wrap_heading_diff(str(d))) == expected
+    assert one(spark, F.expr(geo.wrap_sql(str(d)))) == expected
 
 
 @pytest.mark.parametrize("x,y,expected", [(0.0, 1.0, 0.0), (1.0, 0.0, 90.0), (0.0, -1.0, 180.0),
                                           (-1.0, 0.0, 270.0), (1.0, 1.0, 45.0), (-1.0, 1.0, 315.0),
                                           (0.0, 0.0, None)])
 def test_heading_of_vector_clockwise_from_north(spark, x, y, expected):
-    got = one(spark, geo.heading_of(f"{x!r}D", f"{y!r}D"))
+    got = one(spark, F.expr(geo.heading_sql(f"{x!r}D", f"{y!r}D")))
     assert got == pytest.approx(expected) if expected is not None else got is None
 
 
 def test_circumradius_collinear_cases(spark):
     # straight motion through the origin: D = 0, centre numerators non-zero -> radius infinite -> 0
-    v = one(spark, geo.normal_acc_over_radius("-1D", "1D", "1D", "-1D", "2D"))
+    v = one(spark, F.expr(geo.normal_acc_over_radius_sql("-1D", "1D", "1D", "-1D", "2D")))
     assert v == 0.0
     # axis-aligned straight motion: a numerator is 0 -> undefined -> NULL
-    v = one(spark, geo.normal_acc_over_radius("0D", "-1D", "0D", "1D", "1D"))
+    v = one(spark, F.expr(geo.normal_acc_over_radius_sql("0D", "-1D", "0D", "1D", "1D")))
     assert v is None
 
 
 def test_circumradius_right_angle(spark):
     # A=(-1,0), B=(0,0), C=(0,1): circle through them has radius sqrt(2)/2
-    v = one(spark, geo.normal_acc_over_radius("-1D", "0D", "0D", "1D", "1D"))
+    v = one(spark, F.expr(geo.normal_acc_over_radius_sql("-1D", "0D", "0D", "1D", "1D")))
     assert v == pytest.approx(1 / (math.sqrt(2) / 2))
 
 
 def test_interval_bounds_modes():
-    b = binning.interval_bounds(0, 200, 10, inf_plus=True, inf_minus=False)
+    b = binning.interval_bounds(0, 200, 10, above=True)
     assert len(b) == 21 and b[0] == (0, 10) and b[-1] == (200, math.inf)
-    b = binning.interval_bounds(-1, 0, 0.05, inf_plus=False, inf_minus=True)
+    b = binning.interval_bounds(-1, 0, 0.05, below=True)
     assert len(b) == 21 and b[0] == (-math.inf, -1) and b[-1][1] == 0
-    b = binning.interval_bounds(0, 1, 0.5, inf_plus=True, inf_minus=True)
+    b = binning.interval_bounds(0, 1, 0.5, below=True, above=True)
     assert b == [(-math.inf, 0), (0, 0.5), (0.5, 1), (1, math.inf)]
-    b = binning.interval_bounds(0, 1, 0.5, inf_plus=False, inf_minus=False)
+    b = binning.interval_bounds(0, 1, 0.5)
     assert b == [(0, 0.5), (0.5, 1)]
     # sequence arithmetic, not decimal: 3 * 0.05
     assert binning.interval_bounds(0, 1, 0.05)[3][0] == 3 * 0.05
@@ -87,7 +87,27 @@ def test_hour_of_day_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
     try:
-        assert one(spark, timefmt.hour_of_day(F.lit(1704067200 + 60), tz=None)) == 8
-        assert one(spark, timefmt.hour_of_day(F.lit(1704067200 + 60))) == 0
+        assert one(spark, timefmt.hour_of_day(F.lit(1704067200 + 60))) == 8
+        assert one(spark, timefmt.hour_of_day(F.lit(1704067200 + 60), tz="UTC")) == 0
+        assert one(spark, timefmt.hour_of_day(F.lit(1704067200 + 60), tz="Asia/Tokyo")) == 9
+        assert one(spark, timefmt.day_string(F.lit(1704067200 - 3600))) == "2024-01-01"
+        assert one(spark, timefmt.day_string(F.lit(1704067200 - 3600), tz="UTC")) == "2023-12-31"
+        assert one(spark, timefmt.day_string(F.lit(1704067200), tz="America/New_York")) == "2023-12-31"
+        text = F.lit("2024-01-01 08:00:00")
+        assert one(spark, timefmt.epoch_seconds(text)) == one(spark, timefmt.epoch_seconds(text, tz="Asia/Shanghai")) == 1704067200
+        assert one(spark, timefmt.epoch_seconds(text, tz="UTC")) == 1704067200 + 8 * 3600
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_a_distance_that_is_no_number_is_null(spark):
+    assert one(spark, geo.gps_dist("double('NaN')", "1D", "0D", "0D")) is None
+    df = spark.range(200).selectExpr("95D + id / 10D AS la", "180D - (95D + id / 10D) AS lb")
+    bad = df.select(geo.gps_dist("la", "0D", "lb", "180D").alias("d")).where("isnan(d)")
+    assert bad.count() == 0
+
+
+def test_bin_index_of_a_value_between_the_bins(spark):
+    bounds = [(0.0, 1.0), (1.5, 2.0)]
+    df = spark.createDataFrame([(0.5,), (1.2,), (2.0,), (9.0,), (None,)], "x double")
+    assert [r[0] for r in df.select(binning.bin_index("x", bounds)).collect()] == [0, -1, 1, -1, None]

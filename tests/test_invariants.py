@@ -23,7 +23,7 @@ def complex_(spark):
 
 
 def test_counts_match_fixture_notes(simple, complex_):
-    assert len(simple) == 218 and len(complex_) == 97
+    assert len(simple) == 218 and len(complex_) == 108
 
 
 def test_hour_mileage_sums_to_mileage(simple, complex_):

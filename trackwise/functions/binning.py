@@ -25,21 +25,18 @@ def arith_seq(start: float, stop: float, step: float) -> list[float]:
     return [min(v, stop) for v in vals] if step > 0 else [max(v, stop) for v in vals]
 
 
-def interval_bounds(lo: float, hi: float, gap: float, inf_plus: bool = True,
-                    inf_minus: bool = False) -> list[tuple[float, float]]:
-    """Half-open-left intervals (a, b] covering [lo, hi] in steps of gap.
-
-    inf_plus appends (hi, +Inf]; inf_minus prepends (-Inf, lo]. All four edge
-    modes are supported.
-    """
-    if inf_plus and not inf_minus:
-        return list(zip(arith_seq(lo, hi, gap), arith_seq(lo + gap, hi, gap) + [INF]))
-    if inf_plus and inf_minus:
-        s = arith_seq(lo, hi, gap)
-        return list(zip([-INF] + s, s + [INF]))
-    if inf_minus:
-        return list(zip([-INF] + arith_seq(lo, hi - gap, gap), arith_seq(lo, hi, gap)))
-    return list(zip(arith_seq(lo, hi - gap, gap), arith_seq(lo + gap, hi, gap)))
+def interval_bounds(lo: float, hi: float, gap: float, below: bool = False,
+                    above: bool = False) -> list[tuple[float, float]]:
+    """Intervals (a, b] of width ``gap`` over [lo, hi]; ``below`` adds (-Inf, lo],
+    ``above`` adds (hi, Inf]. Lower and upper ends are two sequences, each between
+    its own finite ends, so neighbours may differ by one unit in the last place."""
+    lower = arith_seq(lo, hi if above else hi - gap, gap)
+    upper = arith_seq(lo if below else lo + gap, hi, gap)
+    if below:
+        lower = [-INF, *lower]
+    if above:
+        upper = [*upper, INF]
+    return list(zip(lower, upper))
 
 
 def sql_double(v: float) -> str:
@@ -62,9 +59,10 @@ def interval_sql(x: str, a: float, b: float) -> str:
 # from Column objects costs one call per node.
 
 def bin_index(x: str, bounds: list[tuple[float, float]]) -> Column:
-    """Index of the first interval (a, b] holding column ``x``; NULL when none does."""
+    """Index of the first interval (a, b] holding column ``x``; -1 when none does
+    (the one-ulp gaps between bounds), NULL for NULL."""
     whens = " ".join(f"WHEN {interval_sql(x, a, b)} THEN {i}" for i, (a, b) in enumerate(bounds))
-    return F.expr(f"CASE {whens} END")
+    return F.expr(f"CASE {whens} WHEN `{x}` IS NOT NULL THEN -1 END")
 
 
 def count_in_intervals(x: str, bounds, names: list[str]) -> list[Column]:
@@ -92,15 +90,6 @@ def sums_by_value(x: str, key: str, values, names: list[str]) -> list[Column]:
             for v, n in zip(values, names)]
 
 
-def quantiles(x: Column) -> Column:
-    """Exact 11-point quantiles as one array aggregate.
-
-    Linear interpolation between order statistics (position (n-1)p); NULLs are
-    ignored and an empty group gives NULL. Never approximate.
-    """
-    return F.percentile(x, QUANTILE_PROBS)
-
-
 def quantiles_sql(x: str) -> str:
     """SQL text of :func:`quantiles` over the expression ``x``."""
     probs = ", ".join(sql_double(p) for p in QUANTILE_PROBS)

@@ -33,12 +33,13 @@ def rad_sql(x: str) -> str:
 
 def gps_dist_sql(lat: str, lon: str, lat0: str, lon0: str) -> str:
     """Great-circle (haversine) distance in km between (lat, lon) and (lat0, lon0):
-    2 R asin(sqrt(cos(lat0) cos(lat) sin^2((lon-lon0)/2) + sin^2((lat-lat0)/2)))."""
+    2 R asin(sqrt(cos(lat0) cos(lat) sin^2((lon-lon0)/2) + sin^2((lat-lat0)/2))).
+    NULL where that is not a number (coordinates out of range, e.g. a latitude over 90)."""
     la, lo, la0, lo0 = rad_sql(lat), rad_sql(lon), rad_sql(lat0), rad_sql(lon0)
     s1 = f"sin(({lo} - {lo0}) / 2D)"
     s2 = f"sin(({la} - {la0}) / 2D)"
     inner = f"cos({la0}) * cos({la}) * ({s1} * {s1}) + ({s2} * {s2})"
-    return f"(asin(sqrt({inner})) * 2D * {_d(EARTH_RADIUS_KM)})"
+    return f"nanvl(asin(sqrt({inner})) * 2D * {_d(EARTH_RADIUS_KM)}, CAST(NULL AS DOUBLE))"
 
 
 def planar_offset_sql(lat: str, lon: str, lat0: str, lon0: str) -> tuple[str, str]:
@@ -103,24 +104,3 @@ def normal_acc_over_radius_sql(ax: str, ay: str, cx: str, cy: str, speed2: str)
 
 def gps_dist(lat: str, lon: str, lat0: str, lon0: str) -> Column:
     return F.expr(gps_dist_sql(lat, lon, lat0, lon0))
-
-
-def velocity(lat: str, lon: str, lat0: str, lon0: str, dt: str) -> tuple[Column, Column]:
-    x, y = velocity_sql(lat, lon, lat0, lon0, dt)
-    return F.expr(x), F.expr(y)
-
-
-def norm(x: str, y: str) -> Column:
-    return F.expr(norm_sql(x, y))
-
-
-def heading_of(x: str, y: str) -> Column:
-    return F.expr(heading_sql(x, y))
-
-
-def wrap_heading_diff(d: str) -> Column:
-    return F.expr(wrap_sql(d))
-
-
-def normal_acc_over_radius(ax: str, ay: str, cx: str, cy: str, speed2: str) -> Column:
-    return F.expr(normal_acc_over_radius_sql(ax, ay, cx, cy, speed2))

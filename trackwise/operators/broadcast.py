@@ -4,8 +4,8 @@ Spark's static size estimate of a derived side (e.g. trips expanded to the
 hour buckets they span) does not see how many rows the expansion produces.
 Before a join, :func:`size_checked` measures the side with one aggregate:
 an upper bound of its in-memory size as UnsafeRows (null bitset, 8 bytes per
-field, variable-length data rounded to 8 bytes, plus per-row hash-table
-overhead). At or under the session's broadcast threshold the side is hinted
+field, variable-length data rounded to 8 bytes; twice, for the key that the
+hash relation stores beside the row; plus per-row hash-table overhead). At or under the session's broadcast threshold the side is hinted
 ``broadcast``; above it ``merge``, so the join is a shuffle join and Spark
 cannot broadcast it on a low estimate. The side being measured is the small
 one (trips, cohort, validity windows); the points are never scanned for it.
@@ -35,11 +35,12 @@ def broadcast_threshold(df: DataFrame) -> int:
 
 def _row_bytes(df: DataFrame):
     fields = df.schema.fields
-    fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields) + ROW_OVERHEAD_BYTES
+    # the relation stores the key columns beside the row: at most the row once more
+    fixed = 2 * (8 * ((len(fields) + 63) // 64) + 8 * len(fields)) + ROW_OVERHEAD_BYTES
     per_row = F.lit(fixed).cast("long")
     for f in fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            per_row = per_row + F.coalesce(F.ceil(F.octet_length(F.col(f.name)) / 8) * 8, F.lit(0))
+            per_row = per_row + 2 * F.coalesce(F.ceil(F.octet_length(F.col(f.name)) / 8) * 8, F.lit(0))
     return per_row
 
 

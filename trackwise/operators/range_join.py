@@ -11,7 +11,9 @@ exactly one bucket, so no duplicates arise.
 Broadcast only behind a measured size check of the expanded interval side
 (operators.broadcast.size_checked: its UnsafeRow size against the session's
 broadcast threshold); beyond the threshold the join is a shuffle join on
-(key, bucket), which spreads a hot device over its hours.
+(key, bucket), which spreads a hot device over its hours. Buckets are an hour
+wide; an interval of more than FAN_OUT hours is expanded to buckets FAN_OUT
+times as wide (and so on), so every interval costs a bounded number of rows.
 """
 
 from __future__ import annotations
@@ -24,18 +26,27 @@ from trackwise.operators.broadcast import size_checked
 DEFAULT_BUCKET_SECONDS = 3600
 
 
-def _bucket(col, seconds: int):
-    return F.floor(F.col(col) / F.lit(seconds)).cast("long") if isinstance(col, str) \
-        else F.floor(col / F.lit(seconds)).cast("long")
+#: an interval is expanded to at most FAN_OUT + 1 buckets; longer ones use
+#: buckets FAN_OUT (or FAN_OUT ** 2, ...) times as wide
+FAN_OUT = 64
+LEVELS = 4
+
+
+def _width(level, seconds: int):
+    return F.lit(seconds).cast("long") * F.pow(F.lit(FAN_OUT), level).cast("long")
 
 
 def expand_intervals(intervals: DataFrame, start: str, end: str,
                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """One row per (interval, time bucket it touches), bucket in ``_bucket``."""
-    return (intervals
-            .where(F.col(start) <= F.col(end))
-            .withColumn("_bucket", F.explode(F.sequence(_bucket(start, bucket_seconds),
-                                                        _bucket(end, bucket_seconds)))))
+    """One row per (interval, time bucket it touches): width level in ``_level``,
+    bucket in ``_bucket``."""
+    span = (F.col(end) - F.col(start)) / F.lit(bucket_seconds)
+    level = F.lit(LEVELS - 1)
+    for i in reversed(range(LEVELS - 1)):
+        level = F.when(span <= FAN_OUT ** (i + 1), F.lit(i)).otherwise(level)
+    at = lambda c: F.floor(F.col(c) / _width(F.col("_level"), bucket_seconds)).cast("long")
+    return (intervals.where(F.col(start) <= F.col(end)).withColumn("_level", level)
+            .withColumn("_bucket", F.explode(F.sequence(at(start), at(end)))))
 
 
 def points_in_intervals(points: DataFrame, intervals: DataFrame, *, point_key: str,
@@ -50,7 +61,9 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, *, point_key: s
     e.g. the day partition. Output has every column of both inputs. With
     ``check_broadcast`` the expanded interval side is measured first and
     broadcast only if it fits the broadcast threshold (see operators.broadcast);
-    ``broadcast`` passes a decision already measured by the caller.
+    ``broadcast`` passes a decision already measured by the caller. Points are
+    probed once per level of bucket width that the intervals use (one, unless
+    some interval spans more than FAN_OUT buckets).
     """
     iv = expand_intervals(intervals, start, end, bucket_seconds)
     if broadcast is True:
@@ -59,11 +72,16 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, *, point_key: s
         iv = iv.hint("merge")
     elif check_broadcast:
         iv = size_checked(iv)
-    pt = points.withColumn("_pbucket", _bucket(ts, bucket_seconds))
-    cond = [pt[point_key] == iv[interval_key], pt["_pbucket"] == iv["_bucket"],
+    used = sorted(r[0] for r in expand_intervals(intervals, start, end, bucket_seconds)
+                  .select("_level").distinct().collect()) or [0]          # at most LEVELS rows
+    probe = [F.struct(F.lit(i).alias("l"), F.floor(F.col(ts) / F.lit(bucket_seconds * FAN_OUT ** i)).cast("long").alias("b"))
+             for i in used]
+    pt = points.withColumn("_probe", probe[0] if len(probe) == 1 else F.explode(F.array(*probe)))
+    pt = pt.withColumns({"_plevel": F.col("_probe.l"), "_pbucket": F.col("_probe.b")}).drop("_probe")
+    cond = [pt[point_key] == iv[interval_key], pt["_pbucket"] == iv["_bucket"], pt["_plevel"] == iv["_level"],
             pt[ts] >= iv[start], pt[ts] <= iv[end]]
     cond += [pt[a] == iv[b] for a, b in extra_keys]
-    return pt.join(iv, cond, "inner").drop("_bucket", "_pbucket")
+    return pt.join(iv, cond, "inner").drop("_bucket", "_pbucket", "_level", "_plevel")
 
 
 def points_in_intervals_outer(points: DataFrame, intervals: DataFrame, *, point_key: str,
@@ -74,13 +92,14 @@ def points_in_intervals_outer(points: DataFrame, intervals: DataFrame, *, point_
     with NULL point columns.
 
     Built as the bucketed inner join plus the intervals that have no match
-    (anti join on ``interval_id``), so the bucket expansion cannot leave one
-    NULL row per empty bucket.
+    (null-safe anti join on ``interval_id``), so the bucket expansion cannot leave
+    one NULL row per empty bucket and an interval with NULL ids finds its matches.
     """
     inner = points_in_intervals(points, intervals, point_key=point_key,
                                 interval_key=interval_key, ts=ts, start=start, end=end,
                                 bucket_seconds=bucket_seconds)
-    matched = inner.select(*interval_id).distinct()
-    unmatched = intervals.join(matched, interval_id, "left_anti")
+    matched = inner.select(*[F.col(c).alias(f"_m_{c}") for c in interval_id]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in interval_id]
+    unmatched = intervals.join(matched, same, "left_anti")
     null_points = [F.lit(None).cast(f.dataType).alias(f.name) for f in points.schema.fields]
     return inner.unionByName(unmatched.select("*", *null_points))

@@ -3,10 +3,12 @@
 Instead of one job per day, the day range is a predicate on the partition
 column (``stat_date BETWEEN first AND last``, yyyyMMdd strings compare in
 date order) so Spark prunes the directories, and the day is part of the
-point-in-trip join key so every day is computed exactly as a single-day
-run would. Output goes to one directory per day with dynamic partition
-overwrite: re-running a range replaces those days only, which makes a
-failed or partial run safe to repeat.
+point-in-trip join key and of every window and aggregate key, so every day is
+computed exactly as a single-day run would (a trip listed under two days is
+two trips). Output goes to one directory per day with dynamic partition
+overwrite: re-running a range replaces those days only, and a day of the range
+that has no rows any more loses its directory, which makes a failed or partial
+run safe to repeat.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackwise.functions.timefmt import day_keys
 from trackwise.plans import complex as j2
 from trackwise.plans import simple as j1
 from trackwise.sources import readers, sinks
@@ -65,22 +68,45 @@ def complex_for_days(points: DataFrame, trips: DataFrame, cohort: DataFrame | No
 
 
 def run_simple(spark: SparkSession, *, trips_base: str, points_base: str, out_base: str,
-               first_day: str, last_day: str, chunk_days: int | None = None) -> None:
+               first_day: str, last_day: str, chunk_days: int | None = None, **options) -> None:
     """Read the day directories of both inputs, compute, write day-partitioned.
 
     With ``chunk_days`` the range runs as consecutive jobs of that many days,
     each committed on its own: a failure loses at most one chunk, and
-    re-running the range (or a chunk) replaces exactly its days.
+    re-running the range (or a chunk) replaces exactly its days. ``options``
+    go to :func:`simple_for_days` (e.g. ``tz``).
     """
     pts = readers.read_gps_points(spark, points_base)
     trips = readers.read_trip_stat(spark, trips_base)
     for a, b in day_chunks(first_day, last_day, chunk_days):
-        sinks.write_day_partitioned(simple_for_days(pts, trips, a, b), out_base)
+        sinks.write_day_partitioned(simple_for_days(pts, trips, a, b, **options), out_base,
+                                    days=(day_key(a), day_key(b)))
 
 
 def run_complex(spark: SparkSession, *, trips_base: str, points_base: str, out_base: str,
-                first_day: str, last_day: str, cohort_source: str | None = None) -> None:
+                first_day: str, last_day: str, cohort_source: str | None = None,
+                chunk_days: int | None = None, **options) -> None:
+    """As :func:`run_simple` for the kinematic features of the cohort's trips."""
     pts = readers.read_gps_points(spark, points_base, positional_cast=True)
     trips = readers.read_trip_stat(spark, trips_base)
     cohort = readers.read_cohort(spark, cohort_source) if cohort_source else None
-    sinks.write_day_partitioned(complex_for_days(pts, trips, cohort, first_day, last_day), out_base)
+    for a, b in day_chunks(first_day, last_day, chunk_days):
+        sinks.write_day_partitioned(complex_for_days(pts, trips, cohort, a, b, **options), out_base,
+                                    days=(day_key(a), day_key(b)))
+
+
+def day_range(*tables: DataFrame) -> tuple[str, str] | None:
+    """First and last stat_date of the tables (None: no rows), one aggregate over the day column."""
+    days = None
+    for t in tables:
+        d = t.select("stat_date")
+        days = d if days is None else days.unionByName(d)
+    first, last = days.agg(F.min("stat_date"), F.max("stat_date")).first()
+    return (first, last) if first else None
+
+
+def trips_per_day(trips: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """(stat_date, trips) of every day of the range, days without trips included."""
+    days = trips.sparkSession.range(1).select(F.explode(day_keys(_iso(first_day), _iso(last_day))).alias("stat_date"))
+    counts = in_days(trips, first_day, last_day).groupBy("stat_date").agg(F.count("*").alias("n"))
+    return days.join(counts, "stat_date", "left").select("stat_date", F.coalesce("n", F.lit(0)).alias("trips"))

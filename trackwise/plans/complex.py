@@ -3,11 +3,15 @@
 Plan (no Python on executors):
 
   points -> truncate to whole seconds -> drop incomplete rows and no-fix
-  points -> collapse exact copies (map-side combine; the copy count keeps
-  the raw-row guard exact) -> cohort semi-join on trips -> bucketed
-  point-in-trip join -> exchange ONCE on (imei, tripnumber) -> three Window
-  passes with one identical spec (one sort) -> aggregate on the same
-  partitioning (no further exchange).
+  points -> cohort semi-join on trips -> bucketed point-in-trip join (a
+  broadcast join where the cohort's trips fit, so nothing moves before it)
+  -> collapse equal rows of the nine job columns (map-side combine, one
+  exchange of the distinct matched rows; the copy count keeps the raw-row
+  guard exact) -> exchange on (imei, tripnumber[, stat_date]) -> three
+  Window passes with one identical spec (one sort) -> aggregate on the same
+  partitioning (no further exchange). Where the trips do not fit a
+  broadcast, the points are limited to the cohort and their copies collapsed
+  before the shuffle join.
 
 Row-level definitions, for the rows of one trip sorted by time:
 
@@ -56,9 +60,9 @@ ACC_POS_MIN_RUN = 1        # run-length threshold per bin: acceleration > 0
 ACC_NEG_MIN_RUN = 2        # acceleration < 0
 NORM_MIN_RUN = 1           # normal acceleration, both signs
 
-SPEED_BOUNDS = interval_bounds(0, 200, 10, inf_plus=True, inf_minus=False)
-ACC_POS_BOUNDS = interval_bounds(0, 1, 0.05, inf_plus=True, inf_minus=False)
-ACC_NEG_BOUNDS = interval_bounds(-1, 0, 0.05, inf_plus=False, inf_minus=True)
+SPEED_BOUNDS = interval_bounds(0, 200, 10, above=True)
+ACC_POS_BOUNDS = interval_bounds(0, 1, 0.05, above=True)
+ACC_NEG_BOUNDS = interval_bounds(-1, 0, 0.05, below=True)
 
 ROW_COLS = ["imei", "tid", "vid", "tripnumber", "time_stamp", "lat", "lon", "heading", "speed"]
 POINT_COLS = ["imei", "time_stamp", "lat", "lon", "heading", "speed"]
@@ -66,8 +70,8 @@ TRIP_KEY = ["imei", "tripnumber"]
 ORDER = ["time_stamp", "lat", "lon", "heading", "speed", "tid", "vid"]
 
 
-def trip_window():
-    return Window.partitionBy(*TRIP_KEY).orderBy(*[F.asc_nulls_first(c) for c in ORDER])
+def trip_window(day: list[str] = ()):
+    return Window.partitionBy(*TRIP_KEY, *day).orderBy(*[F.asc_nulls_first(c) for c in ORDER])
 
 
 def truncated_points(points: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -94,23 +98,28 @@ def trip_points_trunc(points: DataFrame, trips: DataFrame, cohort: DataFrame | N
     return _assign(pts, trips, cohort, by_day, bucket_seconds).select(*ROW_COLS, *day)
 
 
-def _assign(pts, trips, cohort, by_day, bucket_seconds):
+def _assign(pts, trips, cohort, by_day, bucket_seconds, before_shuffle=None):
     """Bucketed point-in-trip join of the cohort's trips.
 
-    Both broadcast candidates (cohort ids, hour-expanded trips) are measured
-    in one job; the trips are measured before the cohort restriction, which
-    can only make them smaller, so the bound holds for the joined side.
+    Both broadcast candidates (cohort ids, the cohort's hour-expanded trips)
+    are measured in one job. ``before_shuffle`` reduces the points where they
+    have to be shuffled for the join.
     """
     day = ["stat_date"] if by_day else []
     tr = trips.select("tid", "vid", "deviceid", F.col("start").alias("tripnumber"), "s_end",
                       *[F.col(d).alias("trip_day") for d in day])
-    expanded = expand_intervals(tr, "tripnumber", "s_end", bucket_seconds)
+    expand = lambda df: expand_intervals(df, "tripnumber", "s_end", bucket_seconds)
     if cohort is None:
-        (small_trips,) = fits_broadcast_all(expanded)
+        (small_trips,) = fits_broadcast_all(expand(tr))
     else:
         ids = cohort.select(F.col("imei").alias("deviceid"))
-        small_ids, small_trips = fits_broadcast_all(ids, expanded)
-        tr = tr.join(F.broadcast(ids) if small_ids else ids.hint("merge"), "deviceid", "left_semi")
+        small_ids, small_trips = fits_broadcast_all(ids, expand(tr.join(ids, "deviceid", "left_semi")))
+        ids = F.broadcast(ids) if small_ids else ids.hint("merge")
+        tr = tr.join(ids, "deviceid", "left_semi")
+        if not small_trips:
+            pts = pts.join(ids.withColumnRenamed("deviceid", "imei"), "imei", "left_semi")
+    if not small_trips and before_shuffle:
+        pts = before_shuffle(pts)
     extra = (("stat_date", "trip_day"),) if day else ()
     joined = points_in_intervals(pts, tr, point_key="imei", interval_key="deviceid",
                                  ts="time_stamp", start="tripnumber", end="s_end",
@@ -126,17 +135,18 @@ def clean_rows(points: DataFrame, trips: DataFrame, cohort: DataFrame | None = N
     day = ["stat_date"] if by_day else []
     pts = (truncated_points(points, tuple(day))
            .dropna(subset=POINT_COLS).where(F.col("lat") != 0))
-    pts = collapse_copies(pts, POINT_COLS + day)
     trips = trips.dropna(subset=["tid", "vid", "start"])
-    return _assign(pts, trips, cohort, by_day, bucket_seconds)
+    rows = _assign(pts, trips, cohort, by_day, bucket_seconds,
+                   before_shuffle=lambda p: collapse_copies(p, POINT_COLS + day))
+    return collapse_copies(rows, ROW_COLS + day)
 
 
 def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
-                   min_clean_rows: int = MIN_CLEAN_ROWS, tz: str | None = "UTC",
+                   min_clean_rows: int = MIN_CLEAN_ROWS, tz: str | None = None,
                    turn_threshold: float = TURN_DEG_PER_S,
                    turn_min_rows: int = TURN_MIN_ROWS) -> DataFrame:
     """Row-level kinematics of the trips passing both size guards."""
-    w = trip_window()
+    w = trip_window(["stat_date"] if "stat_date" in rows.columns else [])
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     c = F.col
     # pass 1: guards and neighbours
@@ -282,7 +292,7 @@ def aggregate_trips(kin: DataFrame) -> DataFrame:
 
 
 def complex_trip_features(points: DataFrame, trips: DataFrame, cohort: DataFrame | None = None,
-                          *, by_day: bool = False, tz: str | None = "UTC",
+                          *, by_day: bool = False, tz: str | None = None,
                           bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     rows = clean_rows(points, trips, cohort, by_day=by_day, bucket_seconds=bucket_seconds)
     return aggregate_trips(kinematic_rows(rows, tz=tz))

@@ -28,8 +28,8 @@ from trackwise.session import staging_path
 from trackwise.sources import fixtures as fx
 from trackwise.sources import readers, sinks
 
-# Day range of the date-range queries: all days of the stand-in data.
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-12-31"
+#: zone of hours and days in the queries, whatever the session's
+TZ = "UTC"
 
 TRIP_ROW_COLS = ["tid", "vid", "tripnumber", "s_end", "imei", "lat", "lon", "speed",
                  "direction", "time_stamp"]
@@ -96,12 +96,23 @@ def scan_points_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def date_range_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = staging_path(spark, "simple_features")
-    backfill.run_simple(spark, trips_base=_staged_trips(spark, sf_dir),
-                        points_base=_staged_points(spark, sf_dir), out_base=out,
-                        first_day=FIRST_DAY, last_day=LAST_DAY)
+    trips, points = _staged_trips(spark, sf_dir), _staged_points(spark, sf_dir)
+    first, last = _days(spark, trips, points)
+    backfill.run_simple(spark, trips_base=trips, points_base=points, out_base=out,
+                        first_day=first, last_day=last, tz=TZ)
     return present(readers.read_trip_features(spark, out))
 
 
+def _days(spark, trips_base: str, points_base: str) -> tuple[str, str]:
+    """First and last day of the staged inputs."""
+    return backfill.day_range(readers.read_trip_stat(spark, trips_base), readers.read_gps_points(spark, points_base))
+
+
+def trips_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = readers.read_trip_stat(spark, _staged_trips(spark, sf_dir))
+    return backfill.trips_per_day(trips, *backfill.day_range(trips))
+
+
 # --- joins ------------------------------------------------------------------
 
 def trip_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +158,7 @@ def jump_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _simple(spark, sf_dir):
-    return j1.simple_trip_features(_points(spark, sf_dir), _trips(spark, sf_dir))
+    return j1.simple_trip_features(_points(spark, sf_dir), _trips(spark, sf_dir), tz=TZ)
 
 
 def trip_hour_mileage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,38 +178,37 @@ def simple_trip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _validity(spark, sf_dir):
     # windows arrive as datetime text; epoch bounds are derived from it
     v = fx.validity(spark, sf_dir).drop("valid_start_utc", "valid_end_utc")
-    return readers.validity_from_datetimes(v)
+    return readers.validity_from_datetimes(v, tz=TZ)
 
 
 def _feature_table(spark, sf_dir) -> DataFrame:
     """The basic-feature dataset as the roll-up reads it: written day-partitioned
-    to the shared folder by the date-range job, read back (lineage cut)."""
+    to the shared folder for all days of the tables, read back (lineage cut)."""
     out = staging_path(spark, "simple_features")
     sinks.write_day_partitioned(
-        backfill.simple_for_days(fx.with_point_day(_points(spark, sf_dir)),
-                                 fx.with_trip_day(_trips(spark, sf_dir)), FIRST_DAY, LAST_DAY),
-        out)
+        j1.simple_trip_features(fx.with_point_day(_points(spark, sf_dir)),
+                                fx.with_trip_day(_trips(spark, sf_dir)), by_day=True, tz=TZ), out)
     return readers.read_trip_features(spark, out)
 
 
 def validity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = j3.validity_join(_feature_table(spark, sf_dir), _validity(spark, sf_dir))
+    out = j3.validity_join(_feature_table(spark, sf_dir), _validity(spark, sf_dir), tz=TZ)
     return present(out.select("imei", "VIN", "valid_start_utc", "valid_end_utc", "imei_1", "vid",
                               "tripnumber", "start_time", "end_time", "dura", "dura_valid",
                               "mileage", "day"))
 
 
 def plausible_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = j3.validity_join(j3.plausible_trips(_feature_table(spark, sf_dir)), _validity(spark, sf_dir))
+    out = j3.validity_join(j3.plausible_trips(_feature_table(spark, sf_dir)), _validity(spark, sf_dir), tz=TZ)
     return present(out.select("imei", "VIN", "imei_1", "tripnumber", "speed_mean", "speed"))
 
 
 def vehicle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(j3.vehicle_features(_feature_table(spark, sf_dir), _validity(spark, sf_dir)))
+    return present(j3.vehicle_features(_feature_table(spark, sf_dir), _validity(spark, sf_dir), tz=TZ))
 
 
 def vehicle_csv_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vehicles = j3.vehicle_features(_feature_table(spark, sf_dir), _validity(spark, sf_dir))
+    vehicles = j3.vehicle_features(_feature_table(spark, sf_dir), _validity(spark, sf_dir), tz=TZ)
     path = staging_path(spark, "vehicle_lines")
     sinks.write_lines(j3.vehicle_lines(vehicles, float_digits=9), path)
     return spark.read.text(path).select(F.col("value").alias("df_concat"))
@@ -208,7 +218,7 @@ def vehicle_csv_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _kin(spark, sf_dir):
     rows = j2.clean_rows(_points(spark, sf_dir), _trips(spark, sf_dir), fx.cohort(spark, sf_dir))
-    return j2.kinematic_rows(rows)
+    return j2.kinematic_rows(rows, tz=TZ)
 
 
 def _complex(spark, sf_dir):
@@ -266,9 +276,10 @@ def complex_date_range_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     cohort_path = staging_path(spark, "cohort")
     fx.cohort(spark, sf_dir).write.parquet(cohort_path)
     out = staging_path(spark, "complex_features")
-    backfill.run_complex(spark, trips_base=_staged_trips(spark, sf_dir),
-                         points_base=_staged_points(spark, sf_dir), out_base=out,
-                         first_day=FIRST_DAY, last_day=LAST_DAY, cohort_source=cohort_path)
+    trips, points = _staged_trips(spark, sf_dir), _staged_points(spark, sf_dir)
+    first, last = _days(spark, trips, points)
+    backfill.run_complex(spark, trips_base=trips, points_base=points, out_base=out,
+                         first_day=first, last_day=last, cohort_source=cohort_path, tz=TZ)
     return present(readers.read_trip_features(spark, out).select(*COMPLEX_COLUMNS, "stat_date"))
 
 
@@ -277,6 +288,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_points": scan_points,
     "scan_points_positional": scan_points_positional,
     "date_range_backfill": date_range_backfill,
+    "trips_per_day": trips_per_day,
     "trip_points": trip_points,
     "trip_points_trunc": trip_points_trunc,
     "trip_points_outer": trip_points_outer,

@@ -2,10 +2,11 @@
 
 Plan: trip features (day-partitioned, read with partition pruning) -> trip
 speeds and the plausibility filter -> join with the validity windows on
-imei, containment test as residual -> one aggregate per (imei, VIN) with
-partial aggregation (the two distinct counts are planned by Spark as an
-expand + two-level aggregate, so a vehicle with very many trips is still
-split across tasks before the final merge).
+imei, containment test as residual -> aggregates per (imei, VIN, trip number),
+per (imei, VIN, day) and per (imei, VIN). The day is a function of the trip
+number, so the distinct trips and days are row counts of the finer levels: no
+row is expanded, and a vehicle with very many trips stays split until the last,
+partially aggregated level.
 
 The validity table is per vehicle; it is broadcast only when its measured
 size (operators.broadcast) fits the broadcast threshold, otherwise the join
@@ -35,10 +36,11 @@ SALT_BUCKETS = 16
 
 
 def validity_join(features: DataFrame, validity: DataFrame,
-                  salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                  salt_buckets: int = SALT_BUCKETS, tz: str | None = None) -> DataFrame:
     """Trips lying inside a validity window of their device: the window must
     start no later than the trip start and end no earlier than its end.
-    The features' device column is renamed imei_1; a ``day`` column is added.
+    The features' device column is renamed imei_1; a ``day`` column (of ``tz``,
+    default the session zone) is added.
 
     The window table is measured first (operators.broadcast): if it fits the
     broadcast threshold it is broadcast as is (a broadcast join has no skew).
@@ -50,7 +52,7 @@ def validity_join(features: DataFrame, validity: DataFrame,
     """
     v = validity.select(*VALIDITY_COLUMNS)
     f = (features.withColumnRenamed("imei", "imei_1")
-         .withColumn("day", day_string(F.col("tripnumber"))))
+         .withColumn("day", day_string(F.col("tripnumber"), tz=tz)))
 
     def contained(w: DataFrame, t: DataFrame):
         return ((w["imei"] == t["imei_1"]) & (w["valid_start_utc"] <= t["tripnumber"])
@@ -96,24 +98,32 @@ def plausible_trips(features: DataFrame, max_ratio: float = MAX_SPEED_RATIO) ->
 
 def rollup(trips: DataFrame) -> DataFrame:
     """57 columns per (imei, VIN)."""
-    sums = [F.sum(c).alias(c) for c in ["dura", "dura_valid", "mileage"] + SIMPLE_HOURS]
-    sums += [F.sum(c).cast("long").alias(c) for c in SIMPLE_SPEED_BINS]
-    out = trips.groupBy("imei", "VIN").agg(
+    def sums(cast: bool) -> list:
+        out = [F.sum(c).alias(c) for c in ["dura", "dura_valid", "mileage"] + SIMPLE_HOURS]
+        return out + [(F.sum(c).cast("long") if cast else F.sum(c)).alias(c) for c in SIMPLE_SPEED_BINS]
+
+    vehicle = ["imei", "VIN"]
+    bounds = [F.min("valid_start_utc").alias("valid_start_utc"), F.max("valid_end_utc").alias("valid_end_utc")]
+    by_trip = trips.groupBy(*vehicle, "tripnumber").agg(F.min("day").alias("day"), *bounds, *sums(False))
+    by_day = by_trip.groupBy(*vehicle, "day").agg(
+        F.count("tripnumber").alias("no_trip"), F.min("tripnumber").alias("first_time"),
+        F.max("tripnumber").alias("last_time"), *bounds, *sums(False))
+    out = by_day.groupBy(*vehicle).agg(
         F.min("valid_start_utc").alias("valid_start"),
         F.max("valid_end_utc").alias("valid_end"),
-        F.min("tripnumber").alias("first_time"),
-        F.max("tripnumber").alias("last_time"),
-        F.count_distinct("day").alias("valid_days"),
-        F.count_distinct("tripnumber").alias("no_trip"),
-        *sums,
+        F.min("first_time").alias("first_time"),
+        F.max("last_time").alias("last_time"),
+        F.count("day").alias("valid_days"),
+        F.sum("no_trip").alias("no_trip"),
+        *sums(True),
     )
     return out.select(*ROLLUP_COLUMNS)
 
 
 def vehicle_features(features: DataFrame, validity: DataFrame,
-                     max_ratio: float = MAX_SPEED_RATIO) -> DataFrame:
+                     max_ratio: float = MAX_SPEED_RATIO, tz: str | None = None) -> DataFrame:
     feats = features.select(*SIMPLE_COLUMNS)
-    return rollup(validity_join(plausible_trips(feats, max_ratio), validity))
+    return rollup(validity_join(plausible_trips(feats, max_ratio), validity, tz=tz))
 
 
 def vehicle_lines(vehicles: DataFrame, float_digits: int | None = None) -> DataFrame:

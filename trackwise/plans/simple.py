@@ -1,10 +1,13 @@
 """Per-trip basic features (58 columns).
 
-Plan: points (ms -> s) -> collapse exact copies (map-side combine) ->
-bucketed point-in-trip join -> ONE exchange on (imei, tripnumber) -> window
-for the successor point -> jump filter -> local sort + window on
-(imei, tripnumber, vid) for first/last/new-second flags -> hash aggregate on
-the same partitioning (fixed-width buffers, no further exchange).
+Plan: points (ms -> s) -> bucketed point-in-trip join (a broadcast join where
+the trips fit, so nothing moves before it) -> collapse exact copies of the
+joined rows (map-side combine, one exchange of the distinct matched rows) ->
+exchange on (imei, tripnumber[, stat_date]) -> window for the successor point
+-> jump filter -> local sort + window on (imei, tripnumber, vid) for
+first/last/new-second flags -> hash aggregate on the same partitioning
+(fixed-width buffers, no further exchange). Where the trips do not fit a
+broadcast, copies are collapsed before the shuffle join as well.
 
 Semantics kept from the job definition:
 * the successor of a trip's last point defaults to (0, 0), so the last
@@ -13,8 +16,12 @@ Semantics kept from the job definition:
 * fractional seconds are kept (closed interval [start, s_end]).
 
 Copies: with c copies of a row, c - 1 of them have a copy as successor
-(distance 0, always kept) and one has the next distinct row. A collapsed
-row therefore stands for ``kept = c - 1 + [am < jump]`` rows.
+(distance 0, kept) and one has the next distinct row. A collapsed row
+therefore stands for ``kept = c - 1 + [am < jump]`` rows; without a position
+the distance between copies is NULL too and none of them is kept.
+
+With ``by_day`` every window is keyed by the day as well: a trip listed under
+two days is two trips, as in two runs of one day each.
 """
 
 from __future__ import annotations
@@ -25,14 +32,17 @@ from pyspark.sql import functions as F
 from trackwise.functions.binning import ceil_bin_counts, sums_by_value
 from trackwise.functions.geo import gps_dist
 from trackwise.functions.timefmt import hour_of_day
+from trackwise.operators.broadcast import fits_broadcast
 from trackwise.operators.copies import collapse_copies, expand_copies
-from trackwise.operators.range_join import DEFAULT_BUCKET_SECONDS, points_in_intervals
+from trackwise.operators.range_join import (DEFAULT_BUCKET_SECONDS, expand_intervals,
+                                           points_in_intervals)
 from trackwise.schemas import SIMPLE_COLUMNS, SIMPLE_HOURS, SIMPLE_SPEED_BINS
 
 JUMP_KM = 10.0
 POINT_COLS = ["imei", "lat", "lon", "speed", "time_stamp"]
 TRIP_KEY = ["imei", "tripnumber"]
 ORDER = ["time_stamp", "lat", "lon", "speed", "vid", "tid", "s_end"]
+ROW_COLS = ["imei", "tid", "vid", "tripnumber", "s_end", "lat", "lon", "speed", "time_stamp"]
 
 
 def _day_cols(df: DataFrame, by_day: bool) -> list[str]:
@@ -46,43 +56,55 @@ def seconds_points(points: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 
 def assign_trips(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                 broadcast: bool | None = None) -> DataFrame:
     """Points (seconds) joined to the trips whose [start, s_end] contains them.
 
     Trips with start <= 0 are not trips. With ``by_day`` the points and trips
     of the same stat_date are matched only (one run per day).
     """
     day = _day_cols(trips, by_day)
-    tr = (trips.select("tid", "vid", "deviceid", F.col("start").alias("tripnumber"), "s_end",
-                       *[F.col(d).alias("trip_day") for d in day])
-          .where(F.col("tripnumber") > 0))
+    tr = numbered_trips(trips, by_day)
     extra = (("stat_date", "trip_day"),) if day else ()
     joined = points_in_intervals(points, tr, point_key="imei", interval_key="deviceid",
                                  ts="time_stamp", start="tripnumber", end="s_end",
-                                 extra_keys=extra, bucket_seconds=bucket_seconds)
+                                 extra_keys=extra, bucket_seconds=bucket_seconds,
+                                 broadcast=broadcast)
     joined = joined.drop("deviceid")
     return joined.drop("trip_day") if day else joined
 
 
+def numbered_trips(trips: DataFrame, by_day: bool) -> DataFrame:
+    """Trips with a positive start, which is their number."""
+    day = [F.col(d).alias("trip_day") for d in _day_cols(trips, by_day)]
+    return (trips.select("tid", "vid", "deviceid", F.col("start").alias("tripnumber"), "s_end", *day)
+            .where(F.col("tripnumber") > 0))
+
+
 def trip_point_rows(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Distinct (trip, point) rows with a ``copies`` weight."""
     day = _day_cols(points, by_day)
-    pts = collapse_copies(seconds_points(points, tuple(day)), POINT_COLS + day)
-    return assign_trips(pts, trips, by_day=by_day, bucket_seconds=bucket_seconds)
+    pts = seconds_points(points, tuple(day))
+    small = fits_broadcast(expand_intervals(numbered_trips(trips, by_day), "tripnumber", "s_end", bucket_seconds))
+    if not small:       # the points are shuffled for the join: without their copies
+        pts = collapse_copies(pts, POINT_COLS + day)
+    rows = assign_trips(pts, trips, by_day=by_day, bucket_seconds=bucket_seconds, broadcast=small)
+    return collapse_copies(rows, ROW_COLS + day)
 
 
 def successor_rows(rows: DataFrame, jump_km: float = JUMP_KM) -> DataFrame:
     """Adds lat_0/lon_0 (successor, default 0), am (km to it) and ``kept``."""
-    w = Window.partitionBy(*TRIP_KEY).orderBy(*[F.asc_nulls_first(c) for c in ORDER])
+    w = Window.partitionBy(*TRIP_KEY, *_day_cols(rows, True)).orderBy(*[F.asc_nulls_first(c) for c in ORDER])
     lat0 = F.lead("lat", 1, 0.0).over(w)
     lon0 = F.lead("lon", 1, 0.0).over(w)
     out = rows.select("*", lat0.alias("lat_0"), lon0.alias("lon_0"))
     out = out.withColumn("am", gps_dist("lat", "lon", "lat_0", "lon_0"))
     last_kept = F.coalesce(F.col("am") < F.lit(jump_km), F.lit(False))
+    copies_kept = F.coalesce(gps_dist("lat", "lon", "lat", "lon") < F.lit(jump_km), F.lit(False))
     return out.withColumns({
         "last_kept": last_kept,
-        "kept": F.col("copies") - 1 + last_kept.cast("long"),
+        "kept": F.when(copies_kept, F.col("copies") - 1).otherwise(F.lit(0)) + last_kept.cast("long"),
     })
 
 
@@ -105,7 +127,7 @@ def simple_rows(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
                                           bucket_seconds=bucket_seconds), jump_km)
 
 
-def aggregate_trips(rows: DataFrame, tz: str | None = "UTC", by_day: bool = False) -> DataFrame:
+def aggregate_trips(rows: DataFrame, tz: str | None = None, by_day: bool = False) -> DataFrame:
     """Per (imei, vid, tripnumber) features from successor rows (kept > 0).
 
     First/last rows and new seconds are flagged by a window on the group
@@ -113,7 +135,7 @@ def aggregate_trips(rows: DataFrame, tz: str | None = "UTC", by_day: bool = Fals
     fixed-width buffers: a partial+final hash aggregate with no exchange.
     """
     day = _day_cols(rows, by_day)
-    group = ["imei", "tripnumber", "vid"]
+    group = ["imei", "tripnumber", "vid", *day]
     w = Window.partitionBy(*group).orderBy(*[F.asc_nulls_first(c) for c in
                                               ["time_stamp", "lat", "lon", "speed", "tid", "s_end"]])
     kept = rows.where(F.col("kept") > 0).select(
@@ -140,12 +162,12 @@ def aggregate_trips(rows: DataFrame, tz: str | None = "UTC", by_day: bool = Fals
     ]
     aggs += sums_by_value("_am_kept", "_hour", range(24), SIMPLE_HOURS)
     aggs += ceil_bin_counts("speed", "kept", SIMPLE_SPEED_BINS)
-    out = kept.groupBy(*group, *day).agg(*aggs)
+    out = kept.groupBy(*group).agg(*aggs)
     return out.select(*SIMPLE_COLUMNS, *day)
 
 
 def simple_trip_features(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
-                         jump_km: float = JUMP_KM, tz: str | None = "UTC",
+                         jump_km: float = JUMP_KM, tz: str | None = None,
                          bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """The 58-column per-trip table (plus stat_date with ``by_day``)."""
     rows = simple_rows(points, trips, by_day=by_day, jump_km=jump_km,

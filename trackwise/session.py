@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -43,17 +45,28 @@ def build_session(master: str = "local[*]", app: str = "trackwise",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir).
 
-    Set only when unset (local runs, tests): then a fresh folder under the
-    system temp dir is created and registered as the checkpoint dir.
+    Where it is unset, a local run (tests) gets a fresh folder under the system
+    temp dir, removed when Python ends; on a cluster that is an error, as every
+    executor would write to its own disk.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="trackwise-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         sc.setCheckpointDir(path)
     return path
 
 
+def is_local(master: str) -> bool:
+    """True for masters whose executors are this process (local, local[8], not local-cluster)."""
+    return master == "local" or master.startswith("local[")
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder name under the shared folder."""
-    return os.path.join(shared_dir(spark), "trackwise-staging", f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique folder name under the shared folder, below the application's
+    own staging folder (one folder to remove once the application's results are read)."""
+    return os.path.join(shared_dir(spark), "trackwise-staging", spark.sparkContext.applicationId,
+                        f"{name}-{uuid.uuid4().hex}")

@@ -13,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackwise.functions.timefmt import utc_day_key
+from trackwise.functions.timefmt import day_string, utc_day_key
 
 # Fixed values of the stand-in data definition.
 EPOCH0 = 1704067200          # 2024-01-01 00:00:00 UTC
-USER_STRIDE = 600            # seconds between consecutive users' tracks
+USER_STRIDE = 599            # seconds between consecutive users' tracks (some cross midnight)
 TRIP1_END = 66               # first trip: [start, start + 66]
 TRIP2_START, TRIP2_END = 67, 400
+OTHER_END = 50               # second s_end of the first trip where it is listed twice
 TRIP2_ID_OFFSET, VID_OFFSET = 500000, 100000
 
 
@@ -44,16 +45,16 @@ def gps_points(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> D
         _running((e * 53) % 21 - 10, running).alias("cx"),
         _running((e * 13) % 21 - 10, running).alias("ch"),
     )
-    c2 = c.unionByName(c.where(e % 89 == 0))
+    c2 = c.unionByName(c.where((e % 89 == 0) | (e % 103 == 0)))
     u = F.col("user_id")
     lat_tail = u * F.lit(1e-2)
-    lat = (F.when(e % 101 == 0, F.lit(0.0))
+    lat = (F.when(e % 103 == 0, F.lit(None).cast("double"))
+           .when(e % 101 == 0, F.lit(0.0))
            .when(e % 97 == 0, F.lit(31.0) + lat_tail + F.col("cy") * F.lit(2e-5))
            .otherwise(F.lit(30.0) + lat_tail + F.col("cy") * F.lit(2e-5)))
-    lon = F.when(e % 101 == 0, F.lit(0.0)).otherwise(F.lit(120.0) + F.col("cx") * F.lit(2e-5))
+    lon = F.when(e % 103 == 0, F.lit(None).cast("double")).when(e % 101 == 0, F.lit(0.0)).otherwise(F.lit(120.0) + F.col("cx") * F.lit(2e-5))
     speed = (F.when(e % 83 == 0, F.lit(None).cast("double"))
              .when(F.col("event_type") == "error", F.lit(0.0))
-             .when(F.col("value") > 240.0, F.lit(240.0))
              .otherwise(F.col("value")))
     ts = (F.lit(EPOCH0) + u * USER_STRIDE + F.col("seq")) * 1000 + (e % 4) * 250
     out = c2.select(
@@ -69,7 +70,10 @@ def gps_points(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> D
 
 
 def trip_stat(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> DataFrame:
-    """Two trips per user: [t0, t0+66] and [t0+67, t0+400], t0 = EPOCH0 + 600 * user."""
+    """Two trips per user: [t0, t0+66] and [t0+67, t0+400], t0 = EPOCH0 + USER_STRIDE * user.
+
+    Some first trips are listed twice, as they are (user % 5 = 2) or with another
+    end (user % 5 = 4); some second trips have no tid (user % 7 = 3)."""
     users = table(spark, sf_dir, "events").select("user_id").distinct()
     u = F.col("user_id")
     t0 = F.lit(EPOCH0) + u * USER_STRIDE
@@ -77,11 +81,14 @@ def trip_stat(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> Da
                          (u + VID_OFFSET).cast("string").alias("vid"),
                          t0.cast("int").alias("start"), (t0 + TRIP1_END).cast("int").alias("s_end"))
     second = users.select(u.cast("string").alias("deviceid"),
-                          (u + TRIP2_ID_OFFSET).cast("string").alias("tid"),
+                          F.when(u % 7 != 3, (u + TRIP2_ID_OFFSET).cast("string")).alias("tid"),
                           (u + VID_OFFSET).cast("string").alias("vid"),
                           (t0 + TRIP2_START).cast("int").alias("start"),
                           (t0 + TRIP2_END).cast("int").alias("s_end"))
-    trips = first.unionByName(second)
+    again = first.where(F.col("tid").cast("long") % 5 == 2)
+    other = (first.where(F.col("tid").cast("long") % 5 == 4)
+             .withColumn("s_end", (F.col("start") + OTHER_END).cast("int")))
+    trips = first.unionByName(second).unionByName(again).unionByName(other)
     if full_schema:
         nulls = {c: F.lit(None).cast(t) for c, t in [
             ("actual_start", "int"), ("dura", "double"), ("period", "int"),
@@ -95,8 +102,10 @@ def trip_stat(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> Da
 
 
 def with_trip_day(trips: DataFrame) -> DataFrame:
-    """Partition value stat_date (yyyyMMdd, UTC) of the trip start."""
-    return trips.withColumn("stat_date", utc_day_key(F.col("start")))
+    """One row per UTC day (stat_date, yyyyMMdd) that the trip touches at its start or
+    end: a trip over midnight is listed under two days."""
+    return trips.withColumn("stat_date", F.explode(F.array_distinct(F.array(
+        utc_day_key(F.col("start")), utc_day_key(F.col("s_end"))))))
 
 
 def with_point_day(points: DataFrame) -> DataFrame:
@@ -116,7 +125,7 @@ def validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = start + (k % 5) * 50
     return (table(spark, sf_dir, "customer").where(k % 10 != 3)
             .select(k.cast("string").alias("imei"), F.col("c_name").alias("VIN"),
-                    F.from_unixtime(start).alias("valid_start"),
-                    F.from_unixtime(end).alias("valid_end"),
+                    day_string(start, "yyyy-MM-dd HH:mm:ss", "Etc/UTC").alias("valid_start"),
+                    day_string(end, "yyyy-MM-dd HH:mm:ss", "Etc/UTC").alias("valid_end"),
                     start.cast("long").alias("valid_start_utc"),
                     end.cast("long").alias("valid_end_utc")))

@@ -56,19 +56,20 @@ def read_cohort(spark: SparkSession, source: str) -> DataFrame:
     return df.select(F.col("imei").cast("string").alias("imei"))
 
 
-def validity_from_datetimes(df: DataFrame, fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
-    """Add epoch bounds valid_start_utc / valid_end_utc to windows given as datetime text."""
+def validity_from_datetimes(df: DataFrame, fmt: str = "yyyy-MM-dd HH:mm:ss", tz: str | None = None) -> DataFrame:
+    """Add epoch bounds valid_start_utc / valid_end_utc to windows given as datetime
+    text of ``tz`` (default: the session zone)."""
     return df.withColumns({
         "imei": F.col("imei").cast("string"),
-        "valid_start_utc": epoch_seconds(F.col("valid_start"), fmt),
-        "valid_end_utc": epoch_seconds(F.col("valid_end"), fmt),
+        "valid_start_utc": epoch_seconds(F.col("valid_start"), fmt, tz),
+        "valid_end_utc": epoch_seconds(F.col("valid_end"), fmt, tz),
     })
 
 
-def read_validity(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_validity(spark: SparkSession, path: str, fmt: str = "parquet", tz: str | None = None) -> DataFrame:
     """Validity windows (imei, VIN, valid_start, valid_end) from parquet or CSV with header."""
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-    return validity_from_datetimes(reader.format(fmt).load(path))
+    return validity_from_datetimes(reader.format(fmt).load(path), tz=tz)
 
 
 def read_trip_features(spark: SparkSession, base: str, days: Iterable[str] | None = None) -> DataFrame:

@@ -1,35 +1,53 @@
 """Writers for the job outputs.
 
 Outputs are written under one directory per day with dynamic partition
-overwrite, so re-running a day (after a failure or a late feed) replaces
-exactly that day and nothing else. File counts follow the data (AQE
-coalesces small shuffle partitions) instead of forcing one task per output.
+overwrite, so re-running days (after a failure or a late feed) replaces
+exactly those days and nothing else; a requested day that has no rows any
+more loses its old directory. File counts follow the data (AQE splits and
+coalesces the partitions of the rebalanced rows) instead of forcing one task
+per output.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _day_files(spark: SparkSession, base: str, day_col: str) -> dict[str, tuple]:
+    """Day -> names of its files, for the day directories below ``base``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    dirs = [d.getPath() for d in fs.listStatus(path) if d.getPath().getName().startswith(f"{day_col}=")]
+    return {d.getName().split("=", 1)[1]: tuple(sorted(f.getPath().getName() for f in fs.listStatus(d))) for d in dirs}
+
+
 def write_day_partitioned(df: DataFrame, base: str, day_col: str = "stat_date",
-                          max_records_per_file: int | None = None,
-                          cluster_key: str | None = "imei") -> None:
-    """Parquet under base/stat_date=YYYYMMDD/, overwriting only the days present.
-
-    With ``cluster_key`` the rows are range-partitioned on (day, key) first,
-    so each task writes a contiguous run of days: a run over many days gives
-    about tasks + days files instead of tasks x days. The shuffle moves
-    feature rows (one per trip), not points.
+                          days: tuple[str, str] | None = None) -> None:
+    """Parquet under base/stat_date=YYYYMMDD/, overwriting the days present.
+
+    The rows are rebalanced by day (AQE sizes the partitions; no sampling, so
+    the plan runs once): a run over many days gives about tasks + days files
+    instead of tasks x days. The shuffle moves feature rows (one per trip), not
+    points. ``days`` (first, last) are the days the rows were computed for:
+    directories of this range that the write left as they were had no rows this
+    time and are removed.
     """
-    if cluster_key is not None and cluster_key in df.columns:
-        df = df.repartitionByRange(day_col, cluster_key)
-    w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(day_col))
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(base)
+    spark = df.sparkSession
+    before = _day_files(spark, base, day_col) if days else {}
+    (df.hint("rebalance", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(day_col).parquet(base))
+    if not days:
+        return
+    after = _day_files(spark, base, day_col)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for day, files in before.items():
+        if days[0] <= day <= days[1] and after.get(day) == files:
+            p = path(f"{base}/{day_col}={day}")
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _field_text(c: str, dtype: T.DataType, float_digits: int | None) -> Column:
