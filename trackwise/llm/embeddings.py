@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackwise.llm.batches import through_table
-from trackwise.llm.components import connected_components, union, find
+from trackwise.llm.components import connected_components, find, union
 
 COSINE = 0.98
 PIVOT_SAMPLE = 4096
@@ -67,7 +67,7 @@ class Cover:
         while radius >= node["radius"] and radius > least:
             radius /= 2              # a level that one centre covers has one node
         if len(rows) > 1 and node["radius"] > least:
-            left, far = rows, distance
+            left = rows
             while len(left):         # the next centre is any row that no centre of the level covers
                 c = int(left[0])
                 far = self._distance(left, c)
@@ -254,3 +254,20 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", label: str = "label
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: links by self-join, components by walking the links
+OP10_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),
+r(id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id),
+n AS (SELECT a AS id, count(*) AS n_links FROM l GROUP BY a)
+SELECT id AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
+FROM c LEFT JOIN n USING (id)
+"""

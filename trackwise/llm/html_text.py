@@ -45,10 +45,14 @@ CLOSES = {**dict.fromkeys("dd dt".split(), frozenset(("dd", "dt"))), "li": froze
 PAGE = frozenset("html body main article".split())
 # Parts of class names, ids and roles of what is not article text.
 NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsored promo promotion
-    banner sidebar comment comments commentlist disqus respond reply replies cookie cookies consent gdpr notice notices
-    alert popup modal overlay newsletter subscribe subscription signup social share sharing related recommended
+    banner sidebar comment comments commentlist disqus respond reply replies reviews discussion cookie cookies consent
+    gdpr notice notices alert announcement disclaimer popup modal overlay newsletter subscribe subscription signup social share sharing related recommended
     recommendations breadcrumb breadcrumbs pagination pager menu nav navbar navigation navigate footer masthead toolbar
     widget login search contentinfo complementary dialog""".split())
+# A class that begins so tells the state of an element ("with-sidebar");
+# a header so named is the article's own.
+STATES = frozenset("has with without no is show hide js".split())
+OWN = frozenset("article entry post story content".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![\w=-])(hidden)(?![\w=-])""")
@@ -67,8 +71,11 @@ def _marked(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
         elif name == "role" and value == "main":
             main = True
         elif name in ("class", "id", "role") and tag not in PAGE or name == "class" and tag == "article" and in_article:
-            parts = re.split(r"[^a-z0-9]+", value)
-            off |= not NAMES.isdisjoint(parts) or "header" in parts and not in_article
+            for token in value.split():
+                parts = re.split(r"[^a-z0-9]+", token)
+                if parts[0] in STATES:
+                    continue
+                off |= not NAMES.isdisjoint(parts) or "header" in parts and not in_article and OWN.isdisjoint(parts)
     return off, main
 
 

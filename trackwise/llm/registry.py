@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trackwise.llm.decontaminate import OP3_SQL, op3_decontamination
-from trackwise.llm.embeddings import op10_embedding_dedup
+from trackwise.llm.embeddings import OP10_SQL, op10_embedding_dedup
 from trackwise.llm.html_text import op6_html_extraction
 from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
@@ -34,4 +34,5 @@ ORACLE: dict[str, str] = {
     "op2_substring_dedup": OP2_SQL,
     "op3_decontamination": OP3_SQL,
     "op4_url_filter": OP4_SQL,
+    "op10_embedding_dedup": OP10_SQL,
 }
