@@ -60,3 +60,15 @@ def test_round_trip(spark):
         sizes.append(at)
     assert max(sizes) <= 2048
     assert sum(2048 - s for s in sorted(sizes)[3:]) / (2048 * len(sizes)) < 0.02    # beside the last window of each partition
+
+
+def test_a_full_cache_changes_no_ids(monkeypatch):
+    texts = [" ".join(f"w{i % 50}x{i * 7 % 300}. abc" for i in range(k, k + 400)).encode() for k in range(0, 3000, 300)]
+    whole = pk.WordTokenizer(pk.default_tokenizer())
+    want = [[x.tolist() for x in whole.encode([t])] for t in texts]
+    for stale in (0.0, 1.0):                  # always afresh; never afresh
+        monkeypatch.setattr(pk, "CACHE_WORDS", 60)
+        monkeypatch.setattr(pk, "STALE", stale)
+        small = pk.WordTokenizer(pk.default_tokenizer())
+        assert [[x.tolist() for x in small.encode([t])] for t in texts] == want
+        assert len(small.index) <= 1000

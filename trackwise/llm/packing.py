@@ -28,7 +28,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections import deque
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,11 @@ END_ID = 1
 SENTENCE_CUT, OTHER_CUT = 3, 10
 #: where no sentence ends, a cut is possible after so many ids
 STRIDE = 32
-#: entries in a worker's cache of tokenised words
-CACHE_WORDS = 1_000_000
+#: entries that stay in a worker's cache of tokenised words; a full cache keeps the
+#: words it has (the early ones are the frequent ones) until more than STALE of a
+#: slice's words are new to it
+CACHE_WORDS = 1_200_000
+STALE = 0.2
 
 PIECE = "{key} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -104,11 +107,16 @@ class WordTokenizer:
                                             ((self.start, start), (self.size, size), (self.kind, kind)))
         self.index.update(zip(new, range(n, n + len(new))))
 
+    def forget(self, keep: int) -> None:
+        """Drop the entries after the first ``keep``."""
+        for w in list(islice(self.index, keep, None)):
+            del self.index[w]
+        self.flat = self.flat[:self.start[keep]].copy()
+        self.start, self.size, self.kind = (x[:keep].copy() for x in (self.start, self.size, self.kind))
+
     def encode(self, texts: list[bytes]):
         """(ids of all texts, each followed by the end id; ids per text; end
         positions of all words; their kinds: 0 document, 1 sentence, 2 word)."""
-        if len(self.index) > CACHE_WORDS:
-            self.reset()
         words, counts = [], []
         for text in texts:
             own = self.words(text)
@@ -117,15 +125,23 @@ class WordTokenizer:
             counts.append(len(own) + 1)
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         miss = np.flatnonzero(at < 0)
-        if len(miss):
-            new = [words[i] for i in miss]
+        if len(miss) > STALE * len(words) and len(self.index) >= CACHE_WORDS:
+            self.reset()
+            at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+            miss = np.flatnonzero(at < 0)
+        new = [words[i] for i in miss]
+        known = len(self.index)
+        if new:
             self.add(list(dict.fromkeys(new)))
             at[miss] = np.fromiter(map(self.index.get, new), np.int64, len(new))
         size = self.size[at]
         ends = np.cumsum(size)
         ids = self.flat[np.repeat(self.start[at] - (ends - size), size) + np.arange(int(ends[-1]))]
         docs = np.diff(ends[np.cumsum(counts) - 1], prepend=0)
-        return ids, docs, ends, self.kind[at]
+        kinds = self.kind[at]
+        if len(self.index) > max(known, CACHE_WORDS):
+            self.forget(max(known, CACHE_WORDS))
+        return ids, docs, ends, kinds
 
 
 def candidates(ends: np.ndarray, kinds: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
