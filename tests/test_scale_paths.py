@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _rows(df):
-    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
 
 
 def test_shuffle_join_path_equals_broadcast_path(spark):
@@ -57,3 +57,9 @@ def test_kinematic_plan_has_one_trip_exchange(spark):
     # the aggregate sits on the window output: no exchange in between
     top = plan.split("Window")[0]
     assert "Exchange" not in top
+
+
+def test_stand_in_sums_in_chunks_equal_one_window(spark, monkeypatch):
+    want = _rows(fx.gps_points(spark, SF))
+    monkeypatch.setattr(fx, "CHUNK", 50)
+    assert _rows(fx.gps_points(spark, SF)) == want

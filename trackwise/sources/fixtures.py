@@ -28,23 +28,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _running(expr, w):
-    return F.sum(expr).over(w).cast("long")
+#: events of a user whose ids lie in one range of so many are summed in one window
+CHUNK = 1_000_000
+
+
+def _running_sums(events: DataFrame, steps: dict) -> DataFrame:
+    """``events`` with the running number ``seq`` and running sums of ``steps`` per
+    user in event order, in two levels: within ranges of event ids, and over the
+    ranges, so a user with very many events is not one task."""
+    chunked = events.withColumn("chunk", F.floor(F.col("event_id") / CHUNK))
+    within = Window.partitionBy("user_id", "chunk").orderBy("event_id")
+    so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = chunked.select("*", F.row_number().over(within).alias("seq"),
+                            *[F.sum(e).over(so_far).cast("long").alias(n) for n, e in steps.items()])
+    totals = chunked.groupBy("user_id", "chunk").agg(F.count(F.lit(1)).alias("seq"),
+                                                     *[F.sum(e).cast("long").alias(n) for n, e in steps.items()])
+    before = (Window.partitionBy("user_id").orderBy("chunk")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select("user_id", "chunk", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_{n}")
+                                                  for n in ("seq", *steps)])
+    joined = inside.join(offsets, ["user_id", "chunk"])
+    return joined.select(*events.columns, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in ("seq", *steps)])
 
 
 def gps_points(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> DataFrame:
     """GPS points (imei, lat, lon, speed, direction, time_stamp ms)."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    by_user = Window.partitionBy("user_id").orderBy("event_id")
-    running = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     e = F.col("event_id")
-    c = ev.select(
-        "*",
-        F.row_number().over(by_user).alias("seq"),
-        _running((e * 37) % 21 - 10, running).alias("cy"),
-        _running((e * 53) % 21 - 10, running).alias("cx"),
-        _running((e * 13) % 21 - 10, running).alias("ch"),
-    )
+    c = _running_sums(ev, {"cy": (e * 37) % 21 - 10, "cx": (e * 53) % 21 - 10, "ch": (e * 13) % 21 - 10})
     c2 = c.unionByName(c.where((e % 89 == 0) | (e % 103 == 0)))
     u = F.col("user_id")
     lat_tail = u * F.lit(1e-2)
