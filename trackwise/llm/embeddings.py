@@ -20,6 +20,9 @@ leaves are compared. A task returns each vector's number of links and a
 spanning forest of the links, never the links themselves; connected components
 of the forests give the groups.
 
+Equal vectors of a label are one vector with a weight, so copies, however many,
+are never compared with each other; their links are counted by weight.
+
 Only centres and block counts are broadcast or planned with; where the data
 has no structure (all distances alike) no bound prunes and the work is the
 square of a label's size, in blocks.
@@ -108,22 +111,21 @@ def _near(tree: Cover, node: dict, children: list, other: Cover, reach: float, f
     return [(children[i], node) if first else (node, children[i]) for i in np.flatnonzero(gap <= limit)]
 
 
-def compare_blocks(ids_a, x_a, ids_b, x_b, threshold: float):
-    """(links per id, forest edges) between two blocks; one block with itself if ids_b is None."""
+def compare_blocks(ids_a, x_a, w_a, ids_b, x_b, w_b, threshold: float):
+    """(links per id, counted by weight; forest edges) between two blocks; one block with itself if ids_b is None."""
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK
     a = Cover(x_a, reach)
     b = a if ids_b is None else Cover(x_b, reach)
-    ids_b, x_b = (ids_a, x_a) if ids_b is None else (ids_b, x_b)
+    ids_b, x_b, w_b = (ids_a, x_a, w_a) if ids_b is None else (ids_b, x_b, w_b)
     count_a, count_b = np.zeros(len(x_a), np.int64), np.zeros(len(x_b), np.int64)
     parent: dict = {}
     for p, q in leaf_pairs(a, b, reach):
         hit = x_a[p["rows"]] @ x_b[q["rows"]].T >= threshold
         if p is q:
             np.fill_diagonal(hit, False)
-            count_a[p["rows"]] += hit.sum(1)
         else:
-            count_a[p["rows"]] += hit.sum(1)
-            count_b[q["rows"]] += hit.sum(0)
+            count_b[q["rows"]] += w_a[p["rows"]] @ hit
+        count_a[p["rows"]] += hit @ w_b[q["rows"]]
         _forest(hit, ids_a[p["rows"]], ids_b[q["rows"]], parent)
     links = [(i, n) for ids, c in ((ids_a, count_a), (ids_b, count_b)) for i, n in zip(ids.tolist(), c.tolist()) if n]
     return links, [(i, r) for i in list(parent) if (r := find(parent, i)) != i]
@@ -183,8 +185,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", label: str = "label
                     threshold: float = COSINE, sample: int = PIVOT_SAMPLE, block: int = BLOCK) -> DataFrame:
     """(key, n_links, component_id, kept) of every vector."""
     spark = vectors.sparkSession
-    valid = valid_vectors(vectors, key, label, vector)
-    valid = through_table(valid, "vectors")
+    every = through_table(valid_vectors(vectors, key, label, vector), "vectors")
+    valid = through_table(every.groupBy("label", "dim", "v").agg(F.min("id").alias("id"), F.count("*").alias("weight")),
+                          "distinct_vectors")
     sent = spark.sparkContext.broadcast(pivots(valid, sample, block))
     fields = {f.name: f.dataType.simpleString() for f in valid.schema}
 
@@ -202,7 +205,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", label: str = "label
             yield pdf.assign(cell=cell, far=far)
 
     placed = through_table(valid.mapInPandas(
-        assign, f"id long, label {fields['label']}, v {fields['v']}, dim int, cell long, far double"), "placed")
+        assign, f"label {fields['label']}, dim int, v {fields['v']}, id long, weight long, cell long, far double"), "placed")
     cells = placed.groupBy("label", "dim", "cell").agg(F.count("*").alias("n"), F.max("far").alias("radius"))
     cells = cells.withColumn("blocks", F.ceil(F.col("n") / block)).drop("n")
     centre_rows = [(k[0], k[1], i, c.tolist()) for k, cs in sent.value.items() for i, c in enumerate(cs)]
@@ -223,30 +226,34 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", label: str = "label
     )).alias("s")).select("task", "s.*")
     members = placed.join(cells.select("label", "dim", "cell", "blocks"), ["label", "dim", "cell"]).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks", "far")
-    work = members.join(sides, ["label", "dim", "cell", "block"]).select("task", "cell", "block", "id", "v")
+    work = members.join(sides, ["label", "dim", "cell", "block"]).select("task", "cell", "block", "id", "v", "weight")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         own = list(pdf.groupby(["cell", "block"]).indices.values())
-        ids = pdf["id"].to_numpy()
+        ids, weight = pdf["id"].to_numpy(), pdf["weight"].to_numpy()
         x = unit_rows(pdf["v"])
         t = pdf["task"].iloc[0]
         single = (t["cell"], t["block"]) == (t["cell_b"], t["block_b"])
         if single:
-            links, edges = compare_blocks(ids, x, None, None, threshold)
+            links, edges = compare_blocks(ids, x, weight, None, None, None, threshold)
         elif len(own) < 2:
             links, edges = [], []
         else:
             p, q = own
-            links, edges = compare_blocks(ids[p], x[p], ids[q], x[q], threshold)
+            links, edges = compare_blocks(ids[p], x[p], weight[p], ids[q], x[q], weight[q], threshold)
         return pd.DataFrame([(i, n, None) for i, n in links] + [(a, 0, b) for a, b in edges],
                             columns=["id", "n", "other"]).astype({"id": "int64", "n": "int64", "other": "Int64"})
 
     found = through_table(work.groupBy("task").applyInPandas(compare, "id long, n long, other long"), "links")
-    counts = found.where("other IS NULL").groupBy("id").agg(F.sum("n").alias("n_links"))
+    counts = found.where("other IS NULL").groupBy("id").agg(F.sum("n").alias("n"))
     component = connected_components(found.where("other IS NOT NULL"), "id", "other")
+    judged = (valid.join(counts, "id", "left").join(component.withColumnRenamed("node", "id"), "id", "left")
+              .select("label", "dim", "v", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+                      F.coalesce("component", "id").alias("component")))
+    linked = every.join(judged, ["label", "dim", "v"]).select("id", "n_links", "component")
     ids = vectors.select(F.col(key).cast("long").alias("id"))
     ids = ids.where("id IS NOT NULL").distinct().unionByName(ids.where("id IS NULL"))
-    return (ids.join(counts, "id", "left").join(component.withColumnRenamed("node", "id"), "id", "left")
+    return (ids.join(linked, "id", "left")
             .select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component", "id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False))))
