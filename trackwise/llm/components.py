@@ -1,10 +1,10 @@
 """Connected components of a link table, by alternating stars.
 
-Each round first reduces the links of every partition to a spanning forest
-(union-find inside a task over its own rows), then joins every node to the
-smallest of its neighbourhood (large star, small star). Rounds go on until
-nothing changes. Every round's table is written to the shared folder; links
-and labels are never collected.
+First the links of every partition are reduced to a spanning forest (union-find
+inside a task over its own rows). Then each round joins every node to the
+smallest of its neighbourhood (large star, small star), until nothing changes.
+Every round's table is written to the shared folder; links and labels are never
+collected.
 """
 
 from __future__ import annotations
@@ -45,26 +45,34 @@ def _forest(batches):
             [pa.array(part, pa.int64()), pa.array([find(parent, x) for x in part], pa.int64())], ["u", "v"])
 
 
+EDGE = "u long, v long"
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """Large star (neighbours above a node go to the least of its neighbourhood),
+    then small star (neighbours below it do)."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    down = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(down, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
+    return small.select("e.u", F.col("e.m").alias("v")).where("u > v").distinct()
+
+
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every node with a link: the smallest id it reaches."""
     spark = links.sparkSession
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v")
-    path, before = None, None
+    # a table, so that the plan of the links is run once and not part of every round
+    path = write_table(edges.mapInArrow(_forest, EDGE).where("u > v").distinct(), "components")
+    before = None
     while True:
-        forest = edges.mapInArrow(_forest, "u long, v long").distinct()
-        both = forest.unionByName(forest.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))
-                                                       ).alias("e")).select("e.u", F.col("e.m").alias("v")).where("u > v")
-        last, path = path, write_table(small.distinct(), "components")
-        edges = spark.read.schema("u long, v long").parquet(path)
+        edges = spark.read.schema(EDGE).parquet(path)
         now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
-        if last:
-            drop_path(spark, last)
         if now == before or now[0] == 0:
             break
-        before = now
+        before, last = now, path
+        path = write_table(_stars(edges), "components")
+        drop_path(spark, last)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
