@@ -4,9 +4,9 @@ Severity grades are 0 (not toxic) to 3. With sparse features x of a text,
 
     P(grade >= k) = 1 / (1 + exp(cut_k - w.x)),  k = 1, 2, 3,  cut_1 < cut_2 < cut_3,
 
-the weights w are shared by all thresholds and only the cuts differ. The
-expected severity is the sum of the three probabilities; a text is rejected if
-it reaches REJECT.
+the weights w (not negative: features only speak for severity) are shared by all
+thresholds and only the cuts differ. The expected severity is the sum of the
+three probabilities; a text is rejected if it reaches REJECT.
 
 Features are the distinct words of a text and their beginnings of 4 to 7 bytes
 (so compounds of a known word count too). The model is fitted on a sample of at
@@ -42,14 +42,13 @@ from trackwise.llm.licenses import WORD_BYTES
 
 SAMPLE = 8_000
 FEATURES = 4_000
-#: a feature is in so many toxic texts of the sample at least, with a chi-square
-#: that chance does not reach among millions of features
-LEAST_TEXTS, LEAST_CHI = 5, 45.0
+#: a feature is in so many toxic texts of the sample at least, with such a chi-square
+LEAST_TEXTS, LEAST_CHI = 4, 20.0
 PREFIXES = (4, 5, 6, 7)
 #: matching words from which a toxic text has grade 2 and 3
 GRADE_WORDS = (3, 6)
 REJECT = 0.75
-STEPS, RATE, DECAY = 400, 0.3, 1e-4
+STEPS, RATE, DECAY = 400, 0.3, 3e-3
 
 
 def features_of(word: bytes) -> list[bytes]:
@@ -137,7 +136,7 @@ def fit(rows: list[tuple[int, list[int]]], n_features: int) -> tuple[np.ndarray,
         step_w = np.bincount(col, error.sum(1)[row], n_features) / len(rows) * 50 * scale ** 2 + DECAY * w
         speed_w = 0.9 * speed_w - RATE * step_w
         speed_c = 0.9 * speed_c + RATE * error.mean(0)
-        w, cuts = w + speed_w, np.maximum.accumulate(cuts + speed_c)
+        w, cuts = np.maximum(w + speed_w, 0.0), np.maximum.accumulate(cuts + speed_c)
     return w, cuts
 
 
