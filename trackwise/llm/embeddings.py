@@ -57,58 +57,68 @@ def unit_rows(vectors) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
+#: centres that a level of a cover takes at a time
+BATCH = 64
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of all unit rows of x from all of y."""
+    return np.sqrt(np.maximum(0.0, 2 - 2 * (x @ y.T)))
+
+
 class Cover:
-    """Nested levels over unit vectors: a node is (level, centre row, radius, member rows, children)."""
+    """Nested levels over unit vectors. A node has a centre (a row), the covering
+    radius of its member rows, and children of half the level's radius."""
 
     def __init__(self, x: np.ndarray, least: float):
-        self.x = x
-        self.root = self._node(np.arange(len(x)), 0, 1.0, least)
-
-    def _node(self, rows: np.ndarray, centre: int, radius: float, least: float):
-        distance = self._distance(rows, centre)
-        node = {"centre": centre, "radius": float(distance.max(initial=0.0)), "rows": rows, "children": []}
-        while radius >= node["radius"] and radius > least:
+        self.x, self.least = x, least
+        self.root = self._node(np.arange(len(x)), 0, 1.0)
+
+    def _node(self, rows: np.ndarray, centre: int, radius: float) -> dict:
+        if len(rows) == 1:
+            return {"centre": centre, "radius": 0.0, "rows": rows, "children": []}
+        covering = float(distances(self.x[rows], self.x[[centre]]).max())
+        node = {"centre": centre, "radius": covering, "rows": rows, "children": []}
+        while radius >= covering and radius > self.least:
             radius /= 2              # a level that one centre covers has one node
-        if len(rows) > 1 and node["radius"] > least:
-            left = rows
-            while len(left):         # the next centre is any row that no centre of the level covers
-                c = int(left[0])
-                far = self._distance(left, c)
-                node["children"].append(self._node(left[far <= radius], c, radius / 2, least))
-                left = left[far > radius]
+        if covering > self.least:
+            node["children"] = [self._node(own, c, radius / 2) for c, own in self._level(rows, radius)]
         return node
 
-    def _distance(self, rows: np.ndarray, centre: int) -> np.ndarray:
-        return np.sqrt(np.maximum(0.0, 2 - 2 * (self.x[rows] @ self.x[centre])))
+    def _level(self, rows: np.ndarray, radius: float):
+        """(centre, rows it covers): the first row that no centre covers is the next centre."""
+        left = rows
+        while len(left):
+            first = left[:BATCH]
+            near = distances(self.x[first], self.x[first]) <= radius
+            chosen: list[int] = []
+            for i in range(len(first)):
+                if not near[i, chosen].any():
+                    chosen.append(i)
+            covered = distances(self.x[left], self.x[first[chosen]]) <= radius
+            covered[chosen, range(len(chosen))] = True
+            owner = np.where(covered.any(1), covered.argmax(1), len(chosen))
+            order = np.argsort(owner, kind="stable")
+            cuts = np.searchsorted(owner[order], np.arange(len(chosen) + 1))
+            for k, c in enumerate(first[chosen].tolist()):
+                yield c, left[order[cuts[k]:cuts[k + 1]]]
+            left = left[order[cuts[-1]:]]
 
 
 def leaf_pairs(a: Cover, b: Cover, reach: float):
     """Pairs of leaves that may hold a link; with a is b each unordered pair once."""
-    same = a is b
     stack = [(a.root, b.root)]
     while stack:
         p, q = stack.pop()
-        if p is not q:
-            gap = math.sqrt(max(0.0, 2 - 2 * float(a.x[p["centre"]] @ b.x[q["centre"]])))
-            if gap > p["radius"] + q["radius"] + reach:
-                continue
         if not p["children"] and not q["children"]:
             yield p, q
-        elif p is q and same:
-            own = p["children"]
-            stack += [(own[i], own[j]) for i in range(len(own)) for j in range(i, len(own))]
-        elif q["children"] and (not p["children"] or q["radius"] > p["radius"]):
-            stack += _near(b, p, q["children"], a, reach, False)
-        else:
-            stack += _near(a, q, p["children"], b, reach, True)
-
-
-def _near(tree: Cover, node: dict, children: list, other: Cover, reach: float, first: bool):
-    """The pairs of ``node`` (of ``other``) with those children (of ``tree``) that the bound leaves."""
-    centres = tree.x[[c["centre"] for c in children]]
-    gap = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ other.x[node["centre"]])))
-    limit = np.array([c["radius"] for c in children]) + node["radius"] + reach
-    return [(children[i], node) if first else (node, children[i]) for i in np.flatnonzero(gap <= limit)]
+            continue
+        ps, qs = p["children"] or [p], q["children"] or [q]
+        gap = distances(a.x[[c["centre"] for c in ps]], b.x[[c["centre"] for c in qs]])
+        limit = np.array([c["radius"] for c in ps])[:, None] + np.array([c["radius"] for c in qs]) + reach
+        for i, j in zip(*(x.tolist() for x in np.nonzero(gap <= limit))):
+            if p is not q or i <= j:
+                stack.append((ps[i], qs[j]))
 
 
 def compare_blocks(ids_a, x_a, w_a, ids_b, x_b, w_b, threshold: float):
