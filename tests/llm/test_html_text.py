@@ -9,6 +9,7 @@ CASES = {
     "<script>var a='<p>x</p>'</script><style>p{}</style><p>a &lt; b &#233; &copy 1 < 2</p><!-- <p>c</p> -->": "a < b é © 1 < 2",
     "<p>cut <": "cut <", "": "", "plain": "plain", "<p></p>": "", "<p hidden>x</p><p>y</p>": "y",
     "<div class='page with-sidebar'><div class='entry-header'><h1>T</h1></div><p>Text, with marks.</p><div class='site-header'>S</div></div>": "T\nText, with marks.",
+    "<table><tr><td class=menu><p>Home<td class=text><p>Some text, here.<ul><li>a<ul><li>b</ul><li>c</ul></table>": "Some text, here.\na\nb\nc",
     "<article><p>x</p><form><p>mail</p></form><aside>s</aside><ul><li>a<li>b</ul></article>": "x\na\nb",
     "<header>Site</header><main><p>x y.</p></main><div id=cookie-banner>ok</div>": "x y.",
     "<body><ul><li><a href=1>one</a><li><a href=2>two</a></ul><div><p>A sentence, with commas, that is long enough.</p></div>": "A sentence, with commas, that is long enough.",

@@ -36,12 +36,15 @@ THRESHOLD = 0.2
 RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes svg math".split())
 DROPPED = frozenset("head nav footer aside form button select menu dialog object audio video canvas map".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark
-    q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr br td th source track picture""".split())
+    q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr br source track picture""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SPACED = frozenset(("br", "td", "th", "img", "hr"))
-#: an opening element closes these if they are the innermost block
-CLOSES = {**dict.fromkeys("dd dt".split(), frozenset(("dd", "dt"))), "li": frozenset(("li",)), "tr": frozenset(("tr",)),
-          "option": frozenset(("option",))}
+SPACED = frozenset(("br", "img", "hr"))
+#: an opening element closes the last of these, unless one of its HOLDERS is nearer
+CLOSES = {**dict.fromkeys(("dd", "dt"), frozenset(("dd", "dt"))), **dict.fromkeys(("td", "th"), frozenset(("td", "th"))),
+          "li": frozenset(("li",)), "tr": frozenset(("tr",)), "option": frozenset(("option",))}
+HOLDERS = {**dict.fromkeys(("dd", "dt"), frozenset(("dl",))), **dict.fromkeys(("td", "th"), frozenset(("tr", "table"))),
+           "li": frozenset(("ul", "ol", "menu")), "tr": frozenset(("table", "tbody", "thead", "tfoot")),
+           "option": frozenset(("select",))}
 PAGE = frozenset("html body main article".split())
 # Parts of class names, ids and roles of what is not article text.
 NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsored promo promotion
@@ -137,11 +140,11 @@ def blocks_of(page: str) -> list[tuple[tuple, str, int, bool]]:
         in_link = 0
         if tag in VOID:
             continue
-        if stack and (stack[-1][0] == "p" or stack[-1][0] in CLOSES.get(tag, ())):
+        if stack and stack[-1][0] == "p":
             stack.pop()
-        elif tag in CLOSES:                           # an earlier item with open blocks of its own
+        if tag in CLOSES:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ("ul", "ol", "dl", "table", "tbody"):
+                if stack[i][0] in HOLDERS[tag]:
                     break
                 if stack[i][0] in CLOSES[tag]:
                     del stack[i:]
