@@ -11,7 +11,8 @@ block and lowered by its share of link text. The ratio of a path that is not
 mostly links is smoothed with the best ratio of the elements it stands in (taken
 over all text in them), so a heading, a list or a short paragraph follows its
 article, and the paths whose smoothed ratio reaches THRESHOLD of the best one
-are content. All their blocks are kept whole.
+are content, as are those beside or below the best path that are not mostly
+links. All their blocks are kept whole.
 
 Character references are decoded; white space inside a block becomes one space;
 blocks are trimmed and joined in page order by a line feed. <br> is white space.
@@ -181,9 +182,11 @@ def main_text(page: str | None) -> str:
         own = ratio(*s)
         above = [ratio(*parents[p[:i]]) for i in range(1, len(p)) if p[:i] in parents]
         smooth[p] = own if s[3] > 0.5 * s[1] else (own + max(above, default=own)) / 2
-    least = THRESHOLD * max(smooth.values())
-    marked = blocks[0][3]                             # in a marked article only lists of links can fail
-    kept = {p for p, v in smooth.items() if v >= least or marked and paths[p][3] < 0.5 * paths[p][1]}
+    best = max(smooth, key=smooth.__getitem__)
+    holder = best[:-1]                                # in the best path's element and in a marked article
+    whole = blocks[0][3] or bool(holder) and holder[-1] not in ("html", "body")    # only lists of links can fail
+    kept = {p for p, v in smooth.items() if v >= THRESHOLD * smooth[best]
+            or whole and (blocks[0][3] or p[:len(holder)] == holder) and paths[p][3] <= 0.5 * paths[p][1]}
     return "\n".join(text for path, text, _, _ in blocks if path in kept)
 
 
