@@ -1,6 +1,7 @@
 """Days, repeated rows and ids that the small tables do not reach."""
 
 import os
+import re
 import tempfile
 
 import pytest
@@ -102,13 +103,31 @@ def test_an_endless_interval_costs_few_rows(spark):
 
 def test_points_are_not_shuffled_before_a_broadcast_join(spark):
     pts = points(spark, [(30.0 + i * 1e-4, 120.0, 10.0, (i * 7) % 360, i) for i in range(70)])
+    j2_plan = j2.complex_trip_features(pts, trip(spark))._jdf.queryExecution().executedPlan().toString()
+    # one exchange of the collapsed rows, one by trip
+    assert j2_plan[:j2_plan.index("BroadcastHashJoin")].count("Exchange hashpartitioning") == 2
     for df in (j1.simple_trip_features(pts, trip(spark)), j2.complex_trip_features(pts, trip(spark))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         join = plan.index("BroadcastHashJoin")
         below = plan[join:].split("BroadcastExchange")[0]
         assert "Exchange" not in below.replace("BroadcastHashJoin", "")
-        # one exchange of the collapsed rows, one by trip
-        assert plan[:join].count("Exchange hashpartitioning") == 2
+
+
+def test_a_long_trip_is_spread_over_its_hours(spark):
+    """Successors, first and last rows and sums across the hours of one trip equal one plain window."""
+    from pyspark.sql import Window
+
+    pts = points(spark, [(30.0 + (i % 50) * 1e-4, 120.0 + i * 1e-6, float(i % 90), 0, i * 7.25 + (i > 900) * 9000) for i in range(2000)])
+    rows_ = j1.simple_rows(pts, trip(spark, 0, 40_000))
+    w = Window.partitionBy("imei", "tripnumber").orderBy(*[F.asc_nulls_first(c) for c in j1.ORDER])
+    plain = rows_.select("time_stamp", "lat_0", "lon_0", F.lead("lat", 1, 0.0).over(w).alias("a"), F.lead("lon", 1, 0.0).over(w).alias("b"))
+    assert plain.where("lat_0 <> a OR lon_0 <> b").count() == 0 and rows_.select(j1.PART).distinct().count() == 5
+    assert re.search(r"Exchange hashpartitioning\(imei#\d+, tripnumber#\d+, _part",
+                     rows_._jdf.queryExecution().executedPlan().toString())
+    r = j1.aggregate_trips(rows_).first()
+    kept = rows_.where("kept > 0").orderBy("time_stamp").collect()
+    assert (r["lat_st"], r["lon_st"], r["lat_end"], r["lon_end"]) == (kept[0]["lat"], kept[0]["lon"], kept[-1]["lat"], kept[-1]["lon"])
+    assert abs(r["mileage"] - sum(k["am"] for k in kept)) < 1e-9 and r["dura_valid"] == len({k["time_stamp"] for k in kept})
 
 
 def test_a_small_cohort_keeps_the_broadcast(spark):
