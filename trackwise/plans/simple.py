@@ -3,14 +3,17 @@
 Plan: points (ms -> s) -> bucketed point-in-trip join (a broadcast join where
 the trips fit, so nothing moves before it) -> collapse exact copies of the
 joined rows (map-side combine, one exchange of the distinct matched rows) ->
-exchange on (imei, tripnumber[, stat_date], hour) -> window for the successor
-point within the hour; the last point of an hour takes the first point of the
-trip's next hour with points, from a table of one row per trip and hour -> jump
-filter -> local window on (..., vid) for first/last/new-second flags -> hash
-aggregate per hour on the same partitioning -> aggregate of the hours per trip.
-So a single trip, however many points it holds, is spread over its hours. Where
-the trips do not fit a broadcast, copies are collapsed before the shuffle join
-as well.
+exchange on (imei, tripnumber[, stat_date]) -> window for the successor point
+-> jump filter -> local window on (imei, tripnumber, vid) for
+first/last/new-second flags -> hash aggregate on the same partitioning
+(fixed-width buffers, no further exchange). Where the trips do not fit a
+broadcast, copies are collapsed before the shuffle join as well.
+
+If any trip is longer than PART_SECONDS, exchange, windows and aggregate are
+keyed by the hour of the trip as well, so a single long trip is spread over its
+hours: the last point of an hour takes its successor from a table of the first
+points (one row per trip and hour), and the hours are combined per trip at the
+end. The rows are the same either way.
 
 Semantics kept from the job definition:
 * the successor of a trip's last point defaults to (0, 0), so the last
@@ -45,7 +48,7 @@ JUMP_KM = 10.0
 POINT_COLS = ["imei", "lat", "lon", "speed", "time_stamp"]
 TRIP_KEY = ["imei", "tripnumber"]
 ORDER = ["time_stamp", "lat", "lon", "speed", "vid", "tid", "s_end"]
-#: windows are cut into parts of a trip of so many seconds
+#: windows over longer trips are cut into parts of so many seconds
 PART, PART_SECONDS = "_part", 3600
 ROW_COLS = ["imei", "tid", "vid", "tripnumber", "s_end", "lat", "lon", "speed", "time_stamp"]
 
@@ -101,7 +104,22 @@ def trip_point_rows(points: DataFrame, trips: DataFrame, *, by_day: bool = False
 def successor_rows(rows: DataFrame, jump_km: float = JUMP_KM) -> DataFrame:
     """Adds lat_0/lon_0 (successor, default 0), am (km to it) and ``kept``."""
     trip = [*TRIP_KEY, *_day_cols(rows, True)]
-    rows = rows.withColumn(PART, F.floor(F.col("time_stamp") / PART_SECONDS))
+    if PART in rows.columns:
+        out = _successors_by_part(rows, trip)
+    else:
+        w = Window.partitionBy(*trip).orderBy(*[F.asc_nulls_first(c) for c in ORDER])
+        out = rows.select("*", F.lead("lat", 1, 0.0).over(w).alias("lat_0"), F.lead("lon", 1, 0.0).over(w).alias("lon_0"))
+    out = out.withColumn("am", gps_dist("lat", "lon", "lat_0", "lon_0"))
+    last_kept = F.coalesce(F.col("am") < F.lit(jump_km), F.lit(False))
+    copies_kept = F.coalesce(gps_dist("lat", "lon", "lat", "lon") < F.lit(jump_km), F.lit(False))
+    return out.withColumns({
+        "last_kept": last_kept,
+        "kept": F.when(copies_kept, F.col("copies") - 1).otherwise(F.lit(0)) + last_kept.cast("long"),
+    })
+
+
+def _successors_by_part(rows: DataFrame, trip: list[str]) -> DataFrame:
+    """lat_0/lon_0 where the windows are cut into parts of a trip."""
     # struct order is the windows' order: column by column, NULL first
     first = rows.groupBy(*trip, PART).agg(F.min(F.struct(*ORDER)).alias("_first_row"))
     by_part = Window.partitionBy(*trip).orderBy(PART)
@@ -113,14 +131,7 @@ def successor_rows(rows: DataFrame, jump_km: float = JUMP_KM) -> DataFrame:
         after = F.when(F.col("_next").isNotNull(), F.col(f"_next.{c}")).otherwise(F.lit(0.0))
         return F.when(inside, F.lead(c).over(w)).otherwise(after).alias(f"{c}_0")
 
-    out = rows.join(following, [*trip, PART]).select(*rows.columns, successor("lat"), successor("lon"))
-    out = out.withColumn("am", gps_dist("lat", "lon", "lat_0", "lon_0"))
-    last_kept = F.coalesce(F.col("am") < F.lit(jump_km), F.lit(False))
-    copies_kept = F.coalesce(gps_dist("lat", "lon", "lat", "lon") < F.lit(jump_km), F.lit(False))
-    return out.withColumns({
-        "last_kept": last_kept,
-        "kept": F.when(copies_kept, F.col("copies") - 1).otherwise(F.lit(0)) + last_kept.cast("long"),
-    })
+    return rows.join(following, [*trip, PART]).select(*rows.columns, successor("lat"), successor("lon"))
 
 
 def expand_rows(rows: DataFrame) -> DataFrame:
@@ -138,21 +149,25 @@ def expand_rows(rows: DataFrame) -> DataFrame:
 def simple_rows(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
                 jump_km: float = JUMP_KM,
                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    return successor_rows(trip_point_rows(points, trips, by_day=by_day,
-                                          bucket_seconds=bucket_seconds), jump_km)
+    rows = trip_point_rows(points, trips, by_day=by_day, bucket_seconds=bucket_seconds)
+    longest = trips.where("start > 0").agg(F.max(F.col("s_end") - F.col("start"))).first()[0]
+    if (longest or 0) > PART_SECONDS:
+        rows = rows.withColumn(PART, F.floor((F.col("time_stamp") - F.col("tripnumber")) / PART_SECONDS))
+    return successor_rows(rows, jump_km)
 
 
 def aggregate_trips(rows: DataFrame, tz: str | None = None, by_day: bool = False) -> DataFrame:
     """Per (imei, vid, tripnumber) features from successor rows (kept > 0).
 
-    First/last rows and new seconds are flagged by a window on the group and
-    hour (same hash partitioning, local sort only; a second lies in one hour), so
-    the aggregate per hour needs only fixed-width buffers and no exchange; the
-    hours of a trip are then combined.
+    First/last rows and new seconds are flagged by a window on the group (same
+    hash partitioning, local sort only), so the aggregate needs only fixed-width
+    buffers: a partial+final hash aggregate with no exchange. Parts of a trip (a
+    second lies in one part) are aggregated first and then combined.
     """
     day = _day_cols(rows, by_day)
     group = ["imei", "tripnumber", "vid", *day]
-    w = Window.partitionBy(*group, PART).orderBy(*[F.asc_nulls_first(c) for c in
+    part = [PART] if PART in rows.columns else []
+    w = Window.partitionBy(*group, *part).orderBy(*[F.asc_nulls_first(c) for c in
                                               ["time_stamp", "lat", "lon", "speed", "tid", "s_end"]])
     kept = rows.where(F.col("kept") > 0).select(
         "*",
@@ -178,14 +193,18 @@ def aggregate_trips(rows: DataFrame, tz: str | None = None, by_day: bool = False
     ]
     aggs += sums_by_value("_am_kept", "_hour", range(24), SIMPLE_HOURS)
     aggs += ceil_bin_counts("speed", "kept", SIMPLE_SPEED_BINS)
-    parts = kept.groupBy(*group, PART).agg(*aggs)
-    out = parts.groupBy(*group).agg(
-        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
-        (F.max("s_end") - F.col("tripnumber")).alias("dura"),
+    out = kept.groupBy(*group, *part).agg(*aggs)
+    if part:
+        out = _combine_parts(out, group)
+    return out.withColumn("dura", F.col("s_end") - F.col("tripnumber")).select(*SIMPLE_COLUMNS, *day)
+
+
+def _combine_parts(parts: DataFrame, group: list[str]) -> DataFrame:
+    return parts.groupBy(*group).agg(
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.max("s_end").alias("s_end"),
         *[F.min_by(c, PART).alias(c) for c in ("lat_st", "lon_st")],
         *[F.max_by(c, PART).alias(c) for c in ("lat_end", "lon_end")],
         *[F.sum(c).alias(c) for c in ("dura_valid", "mileage", *SIMPLE_HOURS, *SIMPLE_SPEED_BINS)])
-    return out.select(*SIMPLE_COLUMNS, *day)
 
 
 def simple_trip_features(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
