@@ -16,6 +16,19 @@ from trackwise.session import staging_path
 SLICE_BYTES = 4_000_000
 
 
+#: rows of text in an Arrow batch; Spark's default of 10,000 long texts fills an
+#: executor's memory on both sides of the pipe
+BATCH_ROWS = 1_000
+_SETTING, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session hand texts to Python in batches of BATCH_ROWS, unless it
+    was given a size of its own."""
+    if spark.conf.get(_SETTING, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_SETTING, str(BATCH_ROWS))
+
+
 def text_slices(batches, key: str, text: str, limit: int = SLICE_BYTES) -> Iterator[tuple[list, list[bytes]]]:
     """(keys, texts as UTF-8 bytes) in slices of at most ``limit`` bytes of text
     (one longer text makes a slice of its own); a null text is b''."""

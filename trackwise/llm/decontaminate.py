@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackwise.llm.batches import documents, text_slices, through_table
+from trackwise.llm.batches import documents, small_batches, text_slices, through_table
 from trackwise.llm.licenses import WORD_BYTES, words_of
 
 WINDOW, SHINGLE = 10, 3
@@ -138,6 +138,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
                        item: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE,
                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, n_words, windows: array of (start, length) that occur, items: ids of their items) of every row."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     bench = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
     size = bench.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0

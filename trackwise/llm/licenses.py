@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackwise.llm.batches import documents, text_slices
+from trackwise.llm.batches import documents, small_batches, text_slices
 
 MIN_MATCH, MAX_GAP = 4, 6
 MIN_COVERAGE = 0.6
@@ -201,6 +201,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, key: str = "doc_
     """(key, n_words, places: phrases by first word, spans: covered template spans) of every row."""
     from pyspark.sql.pandas.types import to_arrow_type
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     key_type = to_arrow_type(rows.schema["key"].dataType)
     sent = rows.sparkSession.sparkContext.broadcast(build_automaton(templates, phrases))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackwise.llm.batches import documents, text_slices, worker_state
+from trackwise.llm.batches import documents, small_batches, text_slices, worker_state
 
 WINDOW = 2048
 END_ID = 1
@@ -247,6 +247,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType
     key_type = to_arrow_type(kind)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackwise.llm.batches import documents, text_slices, through_table
+from trackwise.llm.batches import documents, small_batches, text_slices, through_table
 from trackwise.llm.components import connected_components
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array([fingerprint(t, shingle) for t in texts], pa.int64())], ["key", "fp"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "key long, fp long")
 

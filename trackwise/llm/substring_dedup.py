@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackwise.llm.batches import documents, text_slices, worker_state
+from trackwise.llm.batches import documents, small_batches, text_slices, worker_state
 
 WINDOW = 50
 #: the rounds: words that repeat are merged first; later, equal neighbours are
@@ -357,6 +357,7 @@ def _cut(batches, window: int):
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """(key, n_words, n_removed, kept: the remaining words, joined by one space) of every row."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("body"))

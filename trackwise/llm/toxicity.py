@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackwise.llm.batches import documents, text_slices, through_table
+from trackwise.llm.batches import documents, small_batches, text_slices, through_table
 from trackwise.llm.licenses import WORD_BYTES
 
 SAMPLE = 8_000
@@ -78,7 +78,7 @@ def sample_texts(docs: DataFrame, labels: DataFrame, key: str, text: str, label_
 
 def _count_features(batches):
     """(feature, texts it is in, toxic ones of them), summed per slice."""
-    for toxic, texts in text_slices(batches, "toxic", "text"):
+    for toxic, texts in text_slices(batches, "toxic", "text", 1_000_000):
         seen, bad = Counter(), Counter()
         for t, x in zip(toxic, texts):
             own = {f for w in set(words_of(x)) for f in features_of(w)}
@@ -143,6 +143,7 @@ def fit(rows: list[tuple[int, list[int]]], n_features: int) -> tuple[np.ndarray,
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label_key: str = "doc_id",
           label: str = "toxic", sample: int = SAMPLE, features: int = FEATURES) -> dict | None:
     """The model: index of the features, their weights, and the cuts."""
+    small_batches(docs.sparkSession)
     texts = sample_texts(docs, labels, key, text, label_key, label, sample)
     index = select_features(texts, features)
     if not index:
@@ -172,6 +173,7 @@ def severity(model: dict | None, text: bytes) -> float:
 
 def severity_of(spark: SparkSession, model: dict | None):
     """Column function: the expected severity of a text column."""
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
