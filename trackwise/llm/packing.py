@@ -45,7 +45,7 @@ STRIDE = 32
 #: entries that stay in a worker's cache of tokenised words; a full cache keeps the
 #: words it has (the early ones are the frequent ones) until more than STALE of a
 #: slice's words are new to it
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 600_000
 STALE = 0.2
 
 PIECE = "{key} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
