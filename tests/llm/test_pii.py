@@ -53,3 +53,22 @@ def test_distinct_entities_stay_distinct(spark):
 def test_the_key_decides(spark):
     texts = ["a@b.com 4111111111111111"]
     assert run(spark, texts)[0] == run(spark, texts)[0] != run(spark, texts, secret="other")[0]
+
+
+def test_a_phone_ends_where_the_next_entity_or_number_begins(spark):
+    out = run(spark, ["+1 (826) 555-4081 190.137.223.45", "call +1 (555) 123-4567 12 items", "+44 20 7946 0958 4111 1111 1111 1111",
+                      "+49 30 1234567 10.20.30.40", "+49 30 123456", "+33 1 23 45 67 89 2024", "+49 30 123456 bob@mail.example.com",
+                      "+4930123456", "+49 1512 3456789 2024-01-02", "+12 345 votes"])
+    new = {i: r["text"] for i, r in out.items()}
+    m = re.fullmatch(r"\+1 \(([2-9]\d\d)\) (\d{3}-\d{4}) (\d{3}\.\d{3}\.\d{3}\.\d\d)", new[0])
+    assert m and m[2] != "555-4081" and m[3] != "190.137.223.45" and out[0]["n_entities"] == 2
+    assert re.fullmatch(r"call \+1 \([2-9]\d\d\) \d{3}-\d{4} 12 items", new[1]) and "123-4567" not in new[1]
+    m = re.fullmatch(r"\+44 ([\d ]{12}) (4\d{3} \d{4} \d{4} \d{4})", new[2])
+    assert m and m[1] != "20 7946 0958" and m[2] != "4111 1111 1111 1111" and luhn(m[2].replace(" ", ""))
+    m = re.fullmatch(r"\+49 ([\d ]{10}) (\d\d\.\d\d\.\d\d\.\d\d)", new[3])
+    assert m and m[1] != "30 1234567" and m[2] != "10.20.30.40"
+    assert re.fullmatch(r"\+49 [2-9]\d \d{6}", new[4]) and new[4] != "+49 30 123456"
+    assert new[4].replace(" ", "") == new[7] and new[6].startswith(new[4] + " ") and "bob@" not in new[6]
+    assert re.fullmatch(r"\+33 \d( \d\d){4} 2024", new[5]) and "23 45 67 89" not in new[5]
+    assert re.fullmatch(r"\+49 \d{4} \d{7} 2024-01-02", new[8]) and "3456789" not in new[8]
+    assert out[9]["n_entities"] == 0

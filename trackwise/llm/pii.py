@@ -59,13 +59,42 @@ _word = r"\p{Lu}\p{Ll}{1,24}+"
 _keys = "password|passwd|pwd|secret|token|api_key|apikey"
 _edge = r"(?<![\w.@+-])"
 # guards, bounds and possessive repeats keep the patterns linear on long texts
+_email = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}+(?<=\.)[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
+_address = _edge + r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![\w-]|\.\d)"
+# Country codes of one and two digits (all others have three), and codes
+# whose numbers have one length, by that length.
+CODES = {1: "[17]", 2: "2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"}
+PLANS = {8: "45|47|65", 9: "27|31|32|33|34|41|48|61", 10: "1|7|44|91", 11: "86"}
+#: the most digits of a phone number with its country code (E.164)
+PHONE_DIGITS = 15
+# a phone does not go on into what begins after a blank: an address, a number that is
+# another entity or too long for a part of a phone, a date
+_four = "[0-9]{4}(?:[ -][0-9]{4}){3}"
+_gap = (rf"(?: (?!{_email}|{_address}|[0-9]{{13}}|{_four}(?:[ -]{_four})*+(?![ -][0-9]{{4}}(?![0-9]))|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}"
+        r"|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])|[0-9]{4}-[0-9]{2}-[0-9]{2}(?![\w-]))|[.-])?")
+_digit = r"(?:[0-9](?=[0-9])|(?<=[0-9])[0-9])"       # not a digit alone
+
+
+def _phone(code: str, least: int, most: int, area: tuple) -> str:
+    """A country code and ``least`` to ``most`` digits, some of them an area in brackets."""
+    return "|".join(rf"(?:{code})[ .-]?\([0-9]{{{a}}}\)(?:{_gap}{_digit}){{{max(least - a, 1)},{most - a}}}" for a in area if a) + (
+        rf"|(?:{code})(?:[ .-]?\(0\))?{_gap}[0-9](?:{_gap}{_digit}){{{max(least - 1, 1)},{most - 1}}}")
+
+
+_codes = {**CODES, 3: f"(?!{CODES[1]}|{CODES[2]})[0-9]{{3}}"}
+_phones = (
+    # of a length that is known: what follows is no part of it
+    _edge + r"\+(?:" + "|".join(_phone(c, n, n, (2, 3, 4)) for n, c in PLANS.items()) + r")(?!\w|[.-]\d)",
+    _edge + r"(?=\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}[ .-]?[0-9]{2,4})\+(?:"
+    + "|".join(_phone(c, 5 - n, PHONE_DIGITS - n, (2, 3, 4)) for n, c in _codes.items()) + r")(?!\w)",
+)
 _numbers = (
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}+(?<=\.)[A-Za-z]{2,24}+(?![A-Za-z0-9-])",
+    _email,
     _edge + r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    _edge + r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![\w-]|\.\d)",
+    _address,
     _edge + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     _edge + r"[0-9](?:[ -]?[0-9]){12,18}(?![\w-]|\.\d)",
-    _edge + r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![\w])",
+    *_phones,
     r"(?<![\w)+-])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![\w])",
     _edge + r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])",
     _edge + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
@@ -115,7 +144,7 @@ KIND = f"""CASE
     WHEN form rlike '^[0-9]([ -]?[0-9])+$' AND length({_digits}) BETWEEN 13 AND 19
         THEN CASE WHEN {_luhn(_digits)} % 10 = 0 THEN 'card' END
     ELSE 'secret' END"""
-NORM = f"""CASE WHEN kind IN ('card', 'phone', 'ssn') THEN {_digits} WHEN kind = 'email' THEN lower(form)
+NORM = f"""CASE WHEN kind IN ('card', 'ssn') THEN {_digits} WHEN kind = 'phone' THEN regexp_replace(form, '[^0-9+]', '') WHEN kind = 'email' THEN lower(form)
     WHEN kind = 'iban' THEN replace(form, ' ', '') ELSE form END"""
 
 
@@ -156,7 +185,9 @@ _local, _domain = "substring_index(norm, '@', 1)", "substring_index(norm, '@', -
 _longer = f"CASE WHEN attempt >= {LONGER} THEN char(97 + {_byte('seed', '99')} % 26) ELSE '' END"
 _body = _like("substr(norm, 2, length(norm) - 2)", "seed")
 _card = f"concat(substr(norm, 1, 1), {_body})"
-_country = "greatest(length(norm) - 10, 0)"
+#: characters of a phone that are kept: '+' and the country code after it (where six digits are left to be drawn)
+_country = (f"(CASE WHEN norm NOT LIKE '+%' THEN 0 ELSE least(greatest(length(norm) - 7, 1), CASE WHEN norm rlike '^[+](?:{CODES[1]})' THEN 2 "
+            f"WHEN norm rlike '^[+](?:{CODES[2]})' THEN 3 ELSE 4 END) END)")
 _iban = _like("substr(norm, 5)", "seed")
 _mod97 = ("aggregate(split(concat({body}, substr(norm, 1, 2), '00'), ''), 0, (s, c) -> CASE WHEN c = '' THEN s "
           "WHEN c BETWEEN '0' AND '9' THEN (s * 10 + cast(c AS int)) % 97 ELSE (s * 100 + ascii(c) - 55) % 97 END)")
@@ -178,7 +209,7 @@ _nth = "length(regexp_replace(substr(form, 1, i + 1), '[^0-9]', ''))"
 _iban_nth = "length(replace(substr(form, 1, i + 1), ' ', ''))"
 RENDER = f"""CASE
     WHEN kind IN ('card', 'phone', 'ssn') THEN array_join(transform(sequence(0, length(form) - 1), i ->
-        CASE WHEN substr(form, i + 1, 1) BETWEEN '0' AND '9' THEN substr(surrogate, {_nth}, 1) ELSE substr(form, i + 1, 1) END), '')
+        CASE WHEN substr(form, i + 1, 1) BETWEEN '0' AND '9' THEN substr(replace(surrogate, '+', ''), {_nth}, 1) ELSE substr(form, i + 1, 1) END), '')
     WHEN kind = 'iban' THEN array_join(transform(sequence(0, length(form) - 1), i ->
         CASE WHEN substr(form, i + 1, 1) = ' ' THEN ' ' ELSE substr(surrogate, {_iban_nth}, 1) END), '')
     WHEN kind = 'email' AND form = upper(form) THEN upper(surrogate) ELSE surrogate END"""
