@@ -72,3 +72,13 @@ def test_a_phone_ends_where_the_next_entity_or_number_begins(spark):
     assert re.fullmatch(r"\+33 \d( \d\d){4} 2024", new[5]) and "23 45 67 89" not in new[5]
     assert re.fullmatch(r"\+49 \d{4} \d{7} 2024-01-02", new[8]) and "3456789" not in new[8]
     assert out[9]["n_entities"] == 0
+
+
+def test_key_words_of_secrets_in_any_case(spark):
+    out = run(spark, ['token = "9233a8ec00ff00ff9233a8ec00ff00ff9233a8ec"', 'TOKEN = "9233A8EC00FF00FF9233A8EC00FF00FF9233A8EC"',
+                      "Password: hunterhunter", "API_KEY=abcdefghij"])
+    new = {i: r["text"] for i, r in out.items()}
+    assert re.fullmatch(r'token = "[0-9a-f]{40}"', new[0]) and new[1] == new[0].upper() and "9233a8ec" not in new[0]
+    assert re.fullmatch(r"Password: [a-z]{12}", new[2]) and "hunter" not in new[2]
+    assert re.fullmatch(r"API_KEY=[a-z]{10}", new[3]) and new[3] != "API_KEY=abcdefghij"
+    assert all(r["n_entities"] == 1 for r in out.values())

@@ -102,14 +102,14 @@ _numbers = (
 #: spans of a text
 SPANS = "|".join((
     *_numbers,
-    rf"(?<![A-Za-z0-9_])(?:{_keys}) {{0,2}}[=:] {{0,2}}[\"']?[0-9A-Za-z_/+-]{{8,128}}+",
+    rf"(?<![A-Za-z0-9_])(?i:{_keys}) {{0,2}}[=:] {{0,2}}[\"']?[0-9A-Za-z_/+-]{{8,128}}+",
     rf"(?<!\p{{L}})(?:{_title})[.]? {_word}(?: {_word})?(?!\p{{L}})",
     rf"(?<!\p{{L}})(?:{_first}) {_word}(?!\p{{L}})",
 ))
 #: entities of a span
 PATTERN = "|".join((
     *_numbers,
-    rf"(?<=^(?:{_keys}) {{0,2}}[=:] {{0,2}}[\"']?)[0-9A-Za-z_/+-]{{8,128}}+",
+    rf"(?<=^(?i:{_keys}) {{0,2}}[=:] {{0,2}}[\"']?)[0-9A-Za-z_/+-]{{8,128}}+",
     rf"(?<=^(?:{_title})[.]? ){_word}(?!\p{{L}})",
     rf"(?<=^(?:{_title})[.]? \p{{Lu}}\p{{Ll}}{{1,24}} ){_word}(?!\p{{L}})",
     rf"(?<=^(?:{_first}) ){_word}(?!\p{{L}})",
@@ -118,7 +118,7 @@ PATTERN = "|".join((
 #: what every text with a span holds
 CANDIDATE = " OR ".join((
     "contains(text, '@')", "text rlike '[0-9]'", "contains(text, 'AKIA')",
-    *(f"contains(text, '{k}')" for k in _keys.split("|")),
+    f"text rlike '(?i:{_keys})'",
     rf"text rlike '(?<!\\p{{L}})(?=\\p{{Lu}})(?:{_title}|{_first})[.]? \\p{{Lu}}'"))
 
 
@@ -144,7 +144,8 @@ KIND = f"""CASE
     WHEN form rlike '^[0-9]([ -]?[0-9])+$' AND length({_digits}) BETWEEN 13 AND 19
         THEN CASE WHEN {_luhn(_digits)} % 10 = 0 THEN 'card' END
     ELSE 'secret' END"""
-NORM = f"""CASE WHEN kind IN ('card', 'ssn') THEN {_digits} WHEN kind = 'phone' THEN regexp_replace(form, '[^0-9+]', '') WHEN kind = 'email' THEN lower(form)
+NORM = f"""CASE WHEN kind IN ('card', 'ssn') THEN {_digits} WHEN kind = 'phone' THEN regexp_replace(form, '[^0-9+]', '') WHEN kind = 'email'
+    OR kind = 'secret' AND form rlike '^[0-9A-F]+$' THEN lower(form)
     WHEN kind = 'iban' THEN replace(form, ' ', '') ELSE form END"""
 
 
@@ -212,7 +213,7 @@ RENDER = f"""CASE
         CASE WHEN substr(form, i + 1, 1) BETWEEN '0' AND '9' THEN substr(replace(surrogate, '+', ''), {_nth}, 1) ELSE substr(form, i + 1, 1) END), '')
     WHEN kind = 'iban' THEN array_join(transform(sequence(0, length(form) - 1), i ->
         CASE WHEN substr(form, i + 1, 1) = ' ' THEN ' ' ELSE substr(surrogate, {_iban_nth}, 1) END), '')
-    WHEN kind = 'email' AND form = upper(form) THEN upper(surrogate) ELSE surrogate END"""
+    WHEN kind = 'email' AND form = upper(form) OR kind = 'secret' AND form rlike '^[0-9A-F]+$' THEN upper(surrogate) ELSE surrogate END"""
 
 
 def draw(entities: DataFrame, secret: str) -> DataFrame:
