@@ -82,3 +82,24 @@ def test_key_words_of_secrets_in_any_case(spark):
     assert re.fullmatch(r"Password: [a-z]{12}", new[2]) and "hunter" not in new[2]
     assert re.fullmatch(r"API_KEY=[a-z]{10}", new[3]) and new[3] != "API_KEY=abcdefghij"
     assert all(r["n_entities"] == 1 for r in out.values())
+
+
+def test_secrets_are_replaced_whole(spark):
+    def pieces(text):
+        return re.findall(r"\w{3,}", text)
+
+    values = {"token = ": ["aB3" * 66 + "xy", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P", "f0" * 20_000],
+              "password: ": ["p@ss!word9", "hun$ter2=hun", "Pass'word9x", "(secret)pass.word", "парольпароль", "12345678901234", "a-------"],
+              'PWD="': ["correct horse battery staple", "it's.all(good)now", "x" * 300 + ".tail"]}
+    texts = [k + v + ('"' if k.endswith('"') else "") + " end of it" for k, vs in values.items() for v in vs]
+    out = run(spark, [*texts, "secret: ann@mail.example.com, or ann@mail.example.com", "password: p@ss!word9.", "password: ********  secret: see.",
+                      'say token="abc" and token=ab","user":"someone" there'])
+    for i, text in enumerate(texts):
+        new = out[i]["text"]
+        key = next(k for k in values if text.startswith(k))
+        assert out[i]["n_entities"] == 1 and len(new) >= len(text) and new.startswith(key) and new.endswith(" end of it")
+        assert not [p for p in pieces(text[len(key):-10]) if p in new[len(key):-10]], (text, new)
+    m = re.fullmatch(r"secret: (\S+@\S+\.com), or (\S+)", out[len(texts)]["text"])
+    assert m and m[1] == m[2] != "ann@mail.example.com"
+    assert out[len(texts) + 1]["text"] + " end of it" == out[texts.index("password: p@ss!word9 end of it")]["text"].replace(" end", ". end")
+    assert out[len(texts) + 2]["n_entities"] == out[len(texts) + 3]["n_entities"] == 0

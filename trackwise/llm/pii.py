@@ -99,22 +99,35 @@ _numbers = (
     _edge + r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w-])",
     _edge + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
 )
+# an assigned value: 8 characters or more with a letter or digit, up to the closing quote or
+# white space; after '=' a quoted one may hold blanks. Punctuation that ends it stays as it is.
+_ends = r".,;:!?)\]}>"
+_least = rf"(?=[^\s\"'\p{{L}}\p{{N}}]*+[\p{{L}}\p{{N}}])(?=\S{{7,}}[^\s\"'{_ends}])"
+_assign = rf"(?i:{_keys}) {{0,2}}"
+_value = "|".join((
+    *(rf"= {{0,2}}{q}(?=[^\r\n{q}]{{8,256}}{q})(?=[^\r\n{q}\p{{L}}\p{{N}}]*+[\p{{L}}\p{{N}}])[^\r\n{q}]++" for q in "\"'"),
+    rf"[=:] {{0,2}}\"(?=[^\s\"]{{8}}){_least}[^\s\"]++",
+    rf"[=:] {{0,2}}'(?=[^\s']{{8}}){_least}[^\s']++",
+    # a quote inside a bare value goes on before a letter or digit
+    rf"[=:] {{0,2}}(?=(?:[^\s\"']|[\"'](?=[\p{{L}}\p{{N}}])){{8}}){_least}[^\s\"']++(?:[\"'](?=[\p{{L}}\p{{N}}])[^\s\"']++){{0,8}}+"))
 #: spans of a text
 SPANS = "|".join((
     *_numbers,
-    rf"(?<![A-Za-z0-9_])(?i:{_keys}) {{0,2}}[=:] {{0,2}}[\"']?[0-9A-Za-z_/+-]{{8,128}}+",
+    rf"(?<![A-Za-z0-9_]){_assign}(?:{_value})",
     rf"(?<!\p{{L}})(?:{_title})[.]? {_word}(?: {_word})?(?!\p{{L}})",
     rf"(?<!\p{{L}})(?:{_first}) {_word}(?!\p{{L}})",
 ))
 #: entities of a span
 PATTERN = "|".join((
+    rf"(?<=^{_assign}[=:] {{0,2}}[\"']?)[^\s\"'](?s:.*)(?<![\s\"'{_ends}])",
     *_numbers,
-    rf"(?<=^(?i:{_keys}) {{0,2}}[=:] {{0,2}}[\"']?)[0-9A-Za-z_/+-]{{8,128}}+",
     rf"(?<=^(?:{_title})[.]? ){_word}(?!\p{{L}})",
     rf"(?<=^(?:{_title})[.]? \p{{Lu}}\p{{Ll}}{{1,24}} ){_word}(?!\p{{L}})",
     rf"(?<=^(?:{_first}) ){_word}(?!\p{{L}})",
     rf"^(?:{_first})(?= \p{{Lu}}\p{{Ll}})",
 ))
+#: a span of an assigned value
+ASSIGNED = rf"^{_assign}[=:]"
 #: what every text with a span holds
 CANDIDATE = " OR ".join((
     "contains(text, '@')", "text rlike '[0-9]'", "contains(text, 'AKIA')",
@@ -144,6 +157,8 @@ KIND = f"""CASE
     WHEN form rlike '^[0-9]([ -]?[0-9])+$' AND length({_digits}) BETWEEN 13 AND 19
         THEN CASE WHEN {_luhn(_digits)} % 10 = 0 THEN 'card' END
     ELSE 'secret' END"""
+#: an assigned value is a secret unless the whole of it is another entity
+KIND_ASSIGNED = f"CASE WHEN whole THEN coalesce({KIND}, 'secret') ELSE 'secret' END"
 NORM = f"""CASE WHEN kind IN ('card', 'ssn') THEN {_digits} WHEN kind = 'phone' THEN regexp_replace(form, '[^0-9+]', '') WHEN kind = 'email'
     OR kind = 'secret' AND form rlike '^[0-9A-F]+$' THEN lower(form)
     WHEN kind = 'iban' THEN replace(form, ' ', '') ELSE form END"""
@@ -192,6 +207,12 @@ _country = (f"(CASE WHEN norm NOT LIKE '+%' THEN 0 ELSE least(greatest(length(no
 _iban = _like("substr(norm, 5)", "seed")
 _mod97 = ("aggregate(split(concat({body}, substr(norm, 1, 2), '00'), ''), 0, (s, c) -> CASE WHEN c = '' THEN s "
           "WHEN c BETWEEN '0' AND '9' THEN (s * 10 + cast(c AS int)) % 97 ELSE (s * 100 + ascii(c) - 55) % 97 END)")
+# of any length: one pass over the characters; letters of other scripts are drawn as ASCII ones
+_drawn = _byte("seed", "i")
+_secret = (f"concat(array_join(transform(split(norm, ''), (c, i) -> CASE WHEN c rlike '^[0-9]$' THEN cast({_drawn} % 10 AS string) "
+           f"WHEN c rlike '^[A-Z]$' THEN char(65 + {_drawn} % 26) WHEN c rlike '^[a-z]$' THEN char(97 + {_drawn} % letters) "
+           f"WHEN c rlike '^\\\\p{{N}}$' THEN cast({_drawn} % 10 AS string) WHEN c rlike '^\\\\p{{L}}$' THEN char(97 + {_drawn} % letters) "
+           f"ELSE c END), ''), CASE WHEN attempt >= {LONGER} THEN substr(sha2(seed, 256), 1, attempt) ELSE '' END)")
 SURROGATE = f"""CASE
     WHEN kind = 'email' THEN concat({_like(_local, 'seed')}, {_longer}, '@', {_like(f"regexp_replace({_domain}, '[^.]+$', '')", "concat(secret, 'domain', " + _domain + ")")},
         substring_index(norm, '.', -1))
@@ -204,7 +225,7 @@ SURROGATE = f"""CASE
     {' '.join(_first_name(k, ns) for k, ns in FIRST.items())}
     WHEN kind = 'last' THEN {_made_up(PARTS['lat'], 'seed', f'3 + attempt div {LONGER}')}
     WHEN kind = 'last_cyr' THEN concat({_made_up(PARTS['cyr'], 'seed', f'2 + attempt div {LONGER}')}, CASE WHEN norm rlike 'а[яа]?$' THEN 'ова' ELSE 'ов' END)
-    ELSE {_like('norm', 'seed')} END"""
+    ELSE {_secret} END"""
 #: a form's replacement: the digits of the surrogate in the places of the form's own
 _nth = "length(regexp_replace(substr(form, 1, i + 1), '[^0-9]', ''))"
 _iban_nth = "length(replace(substr(form, 1, i + 1), ' ', ''))"
@@ -219,7 +240,9 @@ RENDER = f"""CASE
 def draw(entities: DataFrame, secret: str) -> DataFrame:
     """(kind, norm, attempt) with its surrogate."""
     return (entities.withColumn("secret", F.lit(secret))
-            .withColumn("seed", F.concat_ws("|", "secret", "kind", "norm", F.col("attempt").cast("string")))
+            .withColumn("seed", F.concat_ws("|", "secret", "kind", F.expr("IF(length(norm) > 128, sha2(norm, 256), norm)"),
+                                            F.col("attempt").cast("string")))
+            .withColumn("letters", F.expr("IF(norm rlike '^[0-9a-f]+$', 6, 26)"))
             .withColumn("body", F.expr(f"CASE WHEN kind = 'card' THEN {_card} WHEN kind = 'iban' THEN {_iban} END"))
             .select("kind", "norm", "attempt", F.expr(SURROGATE).alias("surrogate")))
 
@@ -266,13 +289,14 @@ def pseudonymise(docs: DataFrame, key: str = "doc_id", text: str = "text", secre
         "entity_texts")
     spans = through_table(found.select(F.explode("spans").alias("span")).distinct().select(
         "span", F.regexp_extract_all("span", F.lit(PATTERN), F.lit(0)).alias("forms"),
-        F.split("span", PATTERN, -1).alias("pieces")), "spans")
-    forms = through_table(spans.select(F.explode("forms").alias("form")).distinct()
-                          .withColumn("kind", F.expr(KIND)).where("kind IS NOT NULL")
-                          .withColumn("norm", F.expr(NORM)), "forms")
+        F.split("span", PATTERN, -1).alias("pieces"), F.col("span").rlike(ASSIGNED).alias("assigned")), "spans")
+    forms = through_table(spans.select(F.explode("forms").alias("form"), "assigned").distinct()
+                          .withColumn("whole", F.col("form").rlike(f"^(?:{'|'.join(_numbers)})$"))
+                          .withColumn("kind", F.expr(f"CASE WHEN assigned THEN {KIND_ASSIGNED} ELSE {KIND} END"))
+                          .where("kind IS NOT NULL").withColumn("norm", F.expr(NORM)).drop("whole"), "forms")
     surrogates = distinct_surrogates(forms.select("kind", "norm").distinct(), secret)
-    rendered = forms.join(surrogates, ["kind", "norm"]).select("form", F.expr(RENDER).alias("new"))
-    parts = (spans.select("span", F.posexplode("forms").alias("at", "form")).join(rendered, "form")
+    rendered = forms.join(surrogates, ["kind", "norm"]).select("form", "assigned", F.expr(RENDER).alias("new"))
+    parts = (spans.select("span", "assigned", F.posexplode("forms").alias("at", "form")).join(rendered, ["form", "assigned"])
              .groupBy("span").agg(F.map_from_entries(F.collect_set(F.struct("at", "new"))).alias("new")))
     renewed = through_table(spans.join(parts, "span").select("span", F.struct(F.expr(
         "concat(pieces[0], array_join(transform(forms, (f, i) -> concat(coalesce(new[i], f), pieces[i + 1])), ''))").alias("text"),
