@@ -25,3 +25,14 @@ def test_long_page_is_whole():
     paras = [f"Paragraph {i}, with &lt;some&gt; text." for i in range(20_000)]
     page = "<div class=nav>n</div><article>" + "".join(f"<p>{p}" for p in paras)
     assert main_text(page) == "\n".join(p.replace("&lt;", "<").replace("&gt;", ">") for p in paras)
+
+
+LONG = "A sentence, with commas, that is long; " * 5 + "end."
+
+
+@pytest.mark.parametrize("start", ["", "<body>", "<html><head><title>t</title></head><body>"])
+def test_blocks_right_in_the_body_are_kept(start):
+    links = "<div><a href=1>one</a> <a href=2>two</a></div>"
+    page = f"{start}{links}<h1>Title</h1><p>{LONG}</p><h2>Sub</h2><ul><li>short</li></ul><table><tr><td>cell</table><blockquote>said</blockquote>"
+    assert main_text(page).split("\n") == ["Title", LONG, "Sub", "short", "cell", "said"]
+    assert main_text(f"{start}{links}<h1>Title</h1><div><p>{LONG}</p><ul><li>short</li></ul></div>").split("\n") == ["Title", LONG, "short"]

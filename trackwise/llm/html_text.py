@@ -11,8 +11,9 @@ block and lowered by its share of link text. The ratio of a path that is not
 mostly links is smoothed with the best ratio of the elements it stands in (taken
 over all text in them), so a heading, a list or a short paragraph follows its
 article, and the paths whose smoothed ratio reaches THRESHOLD of the best one
-are content, as are those beside or below the best path that are not mostly
-links. All their blocks are kept whole.
+are content, as are those that are not mostly links and stand beside or below
+the best path or right in an element around it (the body included). All their
+blocks are kept whole.
 
 Character references are decoded; white space inside a block becomes one space;
 blocks are trimmed and joined in page order by a line feed. <br> is white space.
@@ -168,7 +169,7 @@ def main_text(page: str | None) -> str:
     parents: dict[tuple, list[int]] = {}
     for path, text, links, _ in blocks:
         marks = len(PUNCTUATION.findall(text))
-        above = [path[:i] for i in range(1, len(path)) if path[i - 1] not in ("html", "body")]
+        above = [path[:i] for i in range(len(path))]
         for table, k in ((paths, path), *((parents, k) for k in above)):
             s = table.setdefault(k, [0, 0, 0, 0])
             for i, v in enumerate((1, len(text), marks, links)):
@@ -180,13 +181,14 @@ def main_text(page: str | None) -> str:
     smooth = {}
     for p, s in paths.items():
         own = ratio(*s)
-        above = [ratio(*parents[p[:i]]) for i in range(1, len(p)) if p[:i] in parents]
+        above = [ratio(*parents[p[:i]]) for i in range(len(p))]
         smooth[p] = own if s[3] > 0.5 * s[1] else (own + max(above, default=own)) / 2
     best = max(smooth, key=smooth.__getitem__)
-    holder = best[:-1]                                # in the best path's element and in a marked article
-    whole = blocks[0][3] or bool(holder) and holder[-1] not in ("html", "body")    # only lists of links can fail
+    holder = best[:-1]
+    # only lists of links can fail in a marked article, in the best path's element (the body too) and
+    # right in an element around it
     kept = {p for p, v in smooth.items() if v >= THRESHOLD * smooth[best]
-            or whole and (blocks[0][3] or p[:len(holder)] == holder) and paths[p][3] <= 0.5 * paths[p][1]}
+            or (blocks[0][3] or p[:len(holder)] == holder or p[:-1] == holder[:len(p) - 1]) and paths[p][3] <= 0.5 * paths[p][1]}
     return "\n".join(text for path, text, _, _ in blocks if path in kept)
 
 
