@@ -36,3 +36,20 @@ def test_blocks_right_in_the_body_are_kept(start):
     page = f"{start}{links}<h1>Title</h1><p>{LONG}</p><h2>Sub</h2><ul><li>short</li></ul><table><tr><td>cell</table><blockquote>said</blockquote>"
     assert main_text(page).split("\n") == ["Title", LONG, "Sub", "short", "cell", "said"]
     assert main_text(f"{start}{links}<h1>Title</h1><div><p>{LONG}</p><ul><li>short</li></ul></div>").split("\n") == ["Title", LONG, "short"]
+
+
+RAW = {
+    "<p>a<svg viewBox='0 0'/> b</p><p>c</p>": "a b\nc",
+    "<article><p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p><math/><p>c</p></article>": "a x=2 b\nc",
+    "<article><p>a</p><noscript><p>b</p><p>c</p></article>": "a\nb\nc",
+    "<article><noscript><p>a</p><noscript>no</noscript><p>b</p><template><p>c</p></article>": "a\nb\nc",
+    "<p>a<svg><g/><svg><text>no</text></svg><!-- <svg> --><text>no</text></svg> b</p>": "a b",
+    "<p>a</p><template><template>no</template>no<script>'</template>'</script></template><p>b</p>": "a\nb",
+    "<p>a</p><script>s = '<svg>'; <p>no</p>": "a",
+    "<p>a <math><semantics><mi>x</mi><annotation encoding='TeX'>no</annotation></semantics></math></p>": "a x",
+}
+
+
+@pytest.mark.parametrize("page", RAW)
+def test_elements_without_an_end_tag_and_formulas(page):
+    assert main_text(page) == RAW[page]

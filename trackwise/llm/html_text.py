@@ -35,10 +35,16 @@ from pyspark.sql import functions as F
 THRESHOLD = 0.2
 
 # HTML element names by kind.
-RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes svg math".split())
+RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes svg annotation annotation-xml".split())
+#: of these, what goes on to the end of the page without an end tag; the start tag of any other is then skipped alone
+ENDLESS = frozenset("script style textarea title xmp".split())
+#: of these, what may stand in itself, and what '/>' ends
+NESTED, CLOSED = frozenset(("svg", "template")), frozenset(("svg", "annotation", "annotation-xml"))
 DROPPED = frozenset("head nav footer aside form button select menu dialog object audio video canvas map".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark
-    q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr br source track picture""".split())
+    q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr br source track picture
+    math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup
+    munder mover munderover mmultiscripts mprescripts mtable mtr mtd none""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACED = frozenset(("br", "img", "hr"))
 #: an opening element closes the last of these, unless one of its HOLDERS is nearer
@@ -84,12 +90,28 @@ def _marked(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     return off, main
 
 
+def _ends(page: str, tag: str) -> dict[int, int]:
+    """Where each RAW element of a kind is over, by the place of its start tag; without those that have no end tag."""
+    ends, opened = {}, []
+    for m in re.compile(rf"""<!--.*?(?:-->|\Z)|<script\b.*?(?:</script\s*>|\Z)|<(/?){re.escape(tag)}(?:[\s/](?:[^>"']|"[^"]*"|'[^']*')*)?>""",
+                        re.I | re.S).finditer(page):
+        if m.group(1) == "":
+            if not (tag in CLOSED and m.group().endswith("/>")):
+                opened.append(m.start())
+        elif m.group(1) and opened:
+            ends[opened.pop()] = m.end()
+            if tag not in NESTED:
+                opened.clear()
+    return ends
+
+
 def blocks_of(page: str) -> list[tuple[tuple, str, int, bool]]:
     """(path, text, characters of link text, inside the marked article) of the page's blocks."""
     blocks: list = []
     stack: list[tuple[str, bool, bool]] = []          # (element, left out, in the article)
     parts: list[str] = []
     links, in_link = 0, 0
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         nonlocal parts, links
@@ -130,8 +152,15 @@ def blocks_of(page: str) -> list[tuple[tuple, str, int, bool]]:
                 del stack[depth:]
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if tag in CLOSED and m.group().endswith("/>"):
+                continue
+            if tag in ENDLESS:
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                at = end.end() if end else len(page)
+            else:
+                if tag not in ends:
+                    ends[tag] = _ends(page, tag)
+                at = ends[tag].get(m.start(), at)
             continue
         if tag in INLINE:
             in_link = 1 if tag == "a" else in_link
