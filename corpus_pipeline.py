@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next one's docs; all but the last return the
-columns of ``documents``. Rows with a null doc_id are kept by stage 2 (they form
-no group); of rows that repeat a doc_id one stays. Null texts are kept until
+columns of ``documents``. Stage 2 groups rows by their texts, whether an id is
+null or repeated, and keeps one row of each group. Null texts are kept until
 they are packed. Empty tables pass through; further columns are carried along.
 """
 
@@ -23,14 +23,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group (3-word shingles, at most 3 differing bits)."""
-    groups = simhash.near_duplicates(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    kept = (docs.join(first, "doc_id", "left_semi").groupBy("doc_id")
-            .agg(F.min(F.struct(*rest)).alias("row")).select(*(F.col("doc_id") if c == "doc_id" else F.col("row")[c].alias(c)
-                                                               for c in docs.columns)))
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """The document with the smallest id of each group (3-word shingles, at most 3 differing bits).
+    Rows are told apart by id and text; a null id comes after all others."""
+    own = F.xxhash64("doc_id", "text")
+    groups = simhash.near_duplicates(docs.select(own.alias("row key"), "text"), key="row key", shingle=simhash.SHINGLE,
+                                     max_bits=simhash.MAX_BITS).select("row key", "component_id").distinct()
+    ids = docs.select(own.alias("row key"), "doc_id").distinct()
+    first = groups.join(ids, "row key").groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row key")).alias("first")).select(F.col("first.`row key`").alias("row key"))
+    return (docs.withColumn("row key", own).join(first.distinct(), "row key", "left_semi").groupBy("row key")
+            .agg(F.min(F.struct(*docs.columns)).alias("row")).select(*(F.col("row")[c].alias(c) for c in docs.columns)))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,3 +32,11 @@ def test_null_ids_and_repeated_rows(spark):
     assert len(cp.decontamination_stage(spark, df, SF).collect()) == 4
     assert len(cp.pii_stage(spark, df, SF).collect()) == 4
     assert len(cp.toxicity_stage(spark, df, SF).collect()) == 4
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    a, b, c = "one two three four five", "a text that is quite another one", "what nobody else has said so far"
+    rows = [(3, a), (1, a), (1, b), (None, a), (None, c), (None, c), (2, b)]
+    df = spark.createDataFrame([(i, t, "en", "s", 3) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.simhash_stage(spark, df, SF).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted([("1", a), ("1", b), ("None", c)])
