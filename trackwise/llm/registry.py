@@ -12,6 +12,7 @@ from trackwise.llm.html_text import op6_html_extraction
 from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
 from trackwise.llm.pii import op7_pii_surrogates
+from trackwise.llm.secrets import OP11_SQL, op11_secret_scan
 from trackwise.llm.simhash import op1_simhash
 from trackwise.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from trackwise.llm.toxicity import op5_toxicity
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_secret_scan": op11_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
@@ -35,4 +37,5 @@ ORACLE: dict[str, str] = {
     "op3_decontamination": OP3_SQL,
     "op4_url_filter": OP4_SQL,
     "op10_embedding_dedup": OP10_SQL,
+    "op11_secret_scan": OP11_SQL,
 }
