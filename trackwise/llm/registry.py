@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from trackwise.llm.decontaminate import OP3_SQL, op3_decontamination
 from trackwise.llm.embeddings import OP10_SQL, op10_embedding_dedup
 from trackwise.llm.html_text import op6_html_extraction
+from trackwise.llm.lexical_search import OP12_SQL, op12_ranked_search
 from trackwise.llm.licenses import op8_license_scan
 from trackwise.llm.packing import op9_packing
+from trackwise.llm.periodic_runs import op13_periodic_runs
 from trackwise.llm.pii import op7_pii_surrogates
 from trackwise.llm.secrets import OP11_SQL, op11_secret_scan
 from trackwise.llm.simhash import op1_simhash
@@ -30,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_secret_scan": op11_secret_scan,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
@@ -38,4 +42,5 @@ ORACLE: dict[str, str] = {
     "op4_url_filter": OP4_SQL,
     "op10_embedding_dedup": OP10_SQL,
     "op11_secret_scan": OP11_SQL,
+    "op12_ranked_search": OP12_SQL,
 }
