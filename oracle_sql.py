@@ -485,6 +485,9 @@ d AS (SELECT strftime(unnest(generate_series(a, b, INTERVAL 1 DAY)), '%Y%m%d') A
         "simple_trip_features": q_simple_trip_features(),
         "complex_trip_features": j2_query(COMPLEX_COLUMNS),
         "complex_date_range_backfill": j2_query(COMPLEX_COLUMNS, daily=True),
+        # computed in parts of a trip, the same result
+        "complex_trip_features_split": j2_query(COMPLEX_COLUMNS),
+        "complex_date_range_backfill_split": j2_query(COMPLEX_COLUMNS, daily=True),
         "scan_points_positional": q([f"""s AS (SELECT imei, lat, lon, lat AS alat, lon AS alon, speed, direction,
                                0 AS altitude, 1e0 AS pdop, time_stamp, 1 AS protocal_type,
                                {day_key('time_stamp/1000e0')} AS stat_date FROM gps_points)"""],

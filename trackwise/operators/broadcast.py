@@ -33,7 +33,8 @@ def broadcast_threshold(df: DataFrame) -> int:
     return int(m.group(1)) * _UNITS.get(m.group(2).lower(), 1)
 
 
-def _row_bytes(df: DataFrame):
+def row_bytes(df: DataFrame):
+    """Upper bound of a row's bytes in a broadcast relation."""
     fields = df.schema.fields
     # the relation stores the key columns beside the row: at most the row once more
     fixed = 2 * (8 * ((len(fields) + 63) // 64) + 8 * len(fields)) + ROW_OVERHEAD_BYTES
@@ -47,7 +48,7 @@ def _row_bytes(df: DataFrame):
 def unsafe_size_bounds(*dfs: DataFrame) -> list[int]:
     """Upper bounds of the bytes each DataFrame takes as UnsafeRows in a
     broadcast relation, measured together in one job."""
-    parts = [df.select(F.lit(i).alias("_side"), _row_bytes(df).alias("_bytes")) for i, df in enumerate(dfs)]
+    parts = [df.select(F.lit(i).alias("_side"), row_bytes(df).alias("_bytes")) for i, df in enumerate(dfs)]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)

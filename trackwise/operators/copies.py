@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def collapse_copies(df: DataFrame, columns: list[str], weight: str = "copies") -> DataFrame:
+def collapse_copies(df: DataFrame, columns: list[str], weight: str = "copies",
+                    marks: tuple[str, ...] = ()) -> DataFrame:
     """One row per distinct ``columns`` tuple with the number of copies.
 
-    If ``df`` already has a ``weight`` column its values are summed.
+    If ``df`` already has a ``weight`` column its values are summed. Of ``marks`` the
+    greatest value is kept; a filter on a mark is not pushed below the exchange, so
+    branches by a mark share it.
     """
     w = F.sum(weight) if weight in df.columns else F.count(F.lit(1))
-    return df.groupBy(*columns).agg(w.cast("long").alias(weight))
+    return df.groupBy(*columns).agg(w.cast("long").alias(weight), *[F.max(m).alias(m) for m in marks])
 
 
 def expand_copies(df: DataFrame, weight: str = "copies", index: str = "copy_no") -> DataFrame:

@@ -12,7 +12,7 @@ sort; none needs a second partitioning or an island table:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -64,3 +64,56 @@ def filtered_run_start(bin_col: str, k: int, w: WindowSpec) -> Column:
     for off in range(1, k):
         cond = cond & _shift(bin_col, off, w, ignore_nulls=True).eqNullSafe(b)
     return cond
+
+
+# --- runs over a filtered subsequence that is cut into parts -----------------
+#
+# Inside a part :func:`filtered_run_start` sees the part alone. Only a part's first
+# and last member can be judged otherwise by the whole sequence, and what that takes
+# are the first two and the last two members of every part: run counts are corrected
+# from a table with one row a part.
+
+def edge_neighbours(bin_col: str, w: WindowSpec) -> list[Column]:
+    """The member before and after a row within its part (NULL at the part's ends)."""
+    return [_shift(bin_col, -1, w, ignore_nulls=True).alias(f"{bin_col}_before"),
+            _shift(bin_col, 1, w, ignore_nulls=True).alias(f"{bin_col}_after")]
+
+
+def part_edges(bin_col: str) -> list[Column]:
+    """Aggregates over a part: its first two and last two members (NULL: none)."""
+    b, before, after = f"`{bin_col}`", f"`{bin_col}_before`", f"`{bin_col}_after`"
+    first, last = f"{b} IS NOT NULL AND {before} IS NULL", f"{b} IS NOT NULL AND {after} IS NULL"
+    return [F.expr(f"max(CASE WHEN {cond} THEN {x} END)").alias(f"{bin_col}{name}") for cond, x, name in
+            ((first, b, "_first"), (first, after, "_second"), (last, b, "_final"), (last, before, "_prior"))]
+
+
+def edge_corrections(edges: DataFrame, key: list[str], part: str, thresholds: dict[str, int]) -> DataFrame:
+    """Per part and bin column what its first and last member add to the run counts of
+    their bins (``<bin>_add_first``, ``<bin>_add_final``). ``edges`` has :func:`part_edges`
+    of the columns in ``thresholds``, whose runs count from 1 or 2 members on; parts
+    without members are passed over."""
+    if not set(thresholds.values()) <= {1, 2}:
+        raise ValueError("runs of a sequence in parts are counted from 1 or 2 members on")
+    w = Window.partitionBy(*key).orderBy(part)
+    earlier, later = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    carried = edges.select("*", *[c for b in thresholds for c in (
+        F.last(f"{b}_final", ignorenulls=True).over(earlier).alias(f"{b}_carried"),
+        F.first(f"{b}_first", ignorenulls=True).over(later).alias(f"{b}_coming"))])
+    out = []
+    for b, k in thresholds.items():
+        goes_on = f"{b}_carried <=> {b}_first"
+        if k == 1:
+            first, final = f"CASE WHEN {b}_first IS NOT NULL AND {goes_on} THEN -1 ELSE 0 END", "0"
+        else:
+            first = (f"CASE WHEN {b}_first IS NULL THEN 0 "
+                     f"WHEN {b}_second IS NULL THEN IF(NOT ({goes_on}) AND {b}_coming <=> {b}_first, 1, 0) "
+                     f"ELSE IF({b}_second = {b}_first AND {goes_on}, -1, 0) END")
+            final = f"IF({b}_prior IS NOT NULL AND {b}_prior <> {b}_final AND {b}_coming <=> {b}_final, 1, 0)"
+        out += [F.expr(first).alias(f"{b}_add_first"), F.expr(final).alias(f"{b}_add_final")]
+    return carried.select("*", *out)
+
+
+def added_runs(bin_col: str, i: int) -> str:
+    """SQL sum of the corrections of bin ``i``."""
+    return (f"sum(CASE WHEN `{bin_col}_first` = {i} THEN {bin_col}_add_first ELSE 0 END "
+            f"+ CASE WHEN `{bin_col}_final` = {i} THEN {bin_col}_add_final ELSE 0 END)")

@@ -13,6 +13,15 @@ Plan (no Python on executors):
   broadcast, the points are limited to the cohort and their copies collapsed
   before the shuffle join.
 
+Trips longer than PART_SECONDS go another way from the collapsed rows on: windows
+are keyed by parts of a trip (operators.parts), each with a halo of the rows its
+stencils and turn episodes reach; the size guards are sums over a table with one
+row a part; run counts are corrected from the first and last two members of every
+part (operators.sequence); quantiles come from counted values (operators.quantiles).
+The kinematic rows of these trips are written once and read by the three aggregates.
+No row-level window or value map is keyed by such a trip, and the rows are those of
+the other way; a session whose trips are all shorter runs the other way alone.
+
 Row-level definitions, for the rows of one trip sorted by time:
 
 * am: km to the next row, 0 on the last row; hour of each row.
@@ -43,13 +52,16 @@ from trackwise.functions.binning import (bin_index, count_in_intervals, interval
 from trackwise.functions.geo import (GRAVITY, gps_dist_sql, heading_sql, norm_sql,
                                      normal_acc_over_radius_sql, velocity_sql, wrap_sql)
 from trackwise.functions.timefmt import hour_of_day
-from trackwise.operators.broadcast import fits_broadcast_all, size_checked
+from trackwise.operators.broadcast import size_checked
 from trackwise.operators.copies import collapse_copies
-from trackwise.operators.range_join import (DEFAULT_BUCKET_SECONDS, expand_intervals,
-                                           points_in_intervals)
-from trackwise.operators.sequence import filtered_run_start, in_run_at_least, run_start_at_least
+from trackwise.operators.parts import HALO, with_halo
+from trackwise.operators.quantiles import exact_quantiles
+from trackwise.operators.range_join import DEFAULT_BUCKET_SECONDS, interval_facts, points_in_intervals
+from trackwise.operators.sequence import (added_runs, edge_corrections, edge_neighbours, filtered_run_start,
+                                          in_run_at_least, part_edges, run_start_at_least)
 from trackwise.schemas import (COMPLEX_COLUMNS, COMPLEX_HOURS, COMPLEX_SPEED_BINS,
                                quantile_names, run_bin_names)
+from trackwise.sources.sinks import through_staging
 
 # Fixed values of the feature definition.
 MIN_RAW_ROWS = 60          # a trip needs more raw rows than this
@@ -68,6 +80,13 @@ ROW_COLS = ["imei", "tid", "vid", "tripnumber", "time_stamp", "lat", "lon", "hea
 POINT_COLS = ["imei", "time_stamp", "lat", "lon", "heading", "speed"]
 TRIP_KEY = ["imei", "tripnumber"]
 ORDER = ["time_stamp", "lat", "lon", "heading", "speed", "tid", "vid"]
+#: trips longer than so many seconds are cut into parts of that length; LONG marks their rows
+PART_SECONDS, PART, LONG = 4 * 3600, "_part", "_long"
+#: bin column -> (run threshold, names of the counts, named from the bin next to 0 outwards)
+RUN_FAMILIES = {
+    "acc_pos": (ACC_POS_MIN_RUN, "acc_pos", False), "acc_neg": (ACC_NEG_MIN_RUN, "acc_neg", True),
+    "norm_pos": (NORM_MIN_RUN, "turn_right", False), "norm_neg": (NORM_MIN_RUN, "turn_left", True),
+}
 
 
 def trip_window(day: list[str] = ()):
@@ -98,47 +117,61 @@ def trip_points_trunc(points: DataFrame, trips: DataFrame, cohort: DataFrame | N
     return _assign(pts, trips, cohort, by_day, bucket_seconds).select(*ROW_COLS, *day)
 
 
-def _assign(pts, trips, cohort, by_day, bucket_seconds, before_shuffle=None):
+def _assign(pts, trips, cohort, by_day, bucket_seconds, before_shuffle=None, part_seconds=None):
     """Bucketed point-in-trip join of the cohort's trips.
 
-    Both broadcast candidates (cohort ids, the cohort's hour-expanded trips)
-    are measured in one job. ``before_shuffle`` reduces the points where they
-    have to be shuffled for the join.
+    One job measures both broadcast candidates (the cohort's expanded trips, cohort
+    ids) and the longest trip. ``before_shuffle`` reduces the points where they
+    have to be shuffled for the join. With ``part_seconds`` the rows of trips that are
+    longer are marked in the column LONG (left out where no trip is).
     """
     day = ["stat_date"] if by_day else []
     tr = trips.select("tid", "vid", "deviceid", F.col("start").alias("tripnumber"), "s_end",
                       *[F.col(d).alias("trip_day") for d in day])
-    expand = lambda df: expand_intervals(df, "tripnumber", "s_end", bucket_seconds)
+    mark = F.lit(False).alias(LONG)         # measured with the rows, whether it is used or not
+    measure = lambda t, *others: interval_facts(
+        t.select("*", mark), "tripnumber", "s_end", *others, bucket_seconds=bucket_seconds)
     if cohort is None:
-        (small_trips,) = fits_broadcast_all(expand(tr))
+        facts = measure(tr)
     else:
         ids = cohort.select(F.col("imei").alias("deviceid"))
-        small_ids, small_trips = fits_broadcast_all(ids, expand(tr.join(ids, "deviceid", "left_semi")))
-        ids = F.broadcast(ids) if small_ids else ids.hint("merge")
+        facts = measure(tr.join(ids, "deviceid", "left_semi"), ids)
+        ids = F.broadcast(ids) if facts.fits[1] else ids.hint("merge")
         tr = tr.join(ids, "deviceid", "left_semi")
-        if not small_trips:
+        if not facts.fits[0]:
             pts = pts.join(ids.withColumnRenamed("deviceid", "imei"), "imei", "left_semi")
-    if not small_trips and before_shuffle:
+    split = part_seconds is not None and facts.longest > part_seconds
+    if split:
+        tr = _mark_long(tr, part_seconds)
+    if not facts.fits[0] and before_shuffle:
         pts = before_shuffle(pts)
     extra = (("stat_date", "trip_day"),) if day else ()
     joined = points_in_intervals(pts, tr, point_key="imei", interval_key="deviceid",
                                  ts="time_stamp", start="tripnumber", end="s_end",
-                                 extra_keys=extra, bucket_seconds=bucket_seconds,
-                                 broadcast=small_trips)
+                                 extra_keys=extra, bucket_seconds=bucket_seconds, facts=facts)
     return joined.drop("deviceid", "s_end", *(["trip_day"] if day else []))
 
 
+def _mark_long(trips: DataFrame, part_seconds: int) -> DataFrame:
+    """Trips with the column LONG: a trip is long under all its ids and ends if it is under one."""
+    key = [c for c in ("deviceid", "tripnumber", "trip_day") if c in trips.columns]
+    long = trips.where(F.col("s_end") - F.col("tripnumber") > part_seconds).select(*key).distinct()
+    long = size_checked(long.withColumn(LONG, F.lit(True)))
+    return trips.join(long, key, "left").withColumn(LONG, F.coalesce(LONG, F.lit(False)))
+
+
 def clean_rows(points: DataFrame, trips: DataFrame, cohort: DataFrame | None = None, *,
-               by_day: bool = False,
+               by_day: bool = False, part_seconds: int | None = None,
                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Distinct complete rows of each trip with their copy count (``copies``)."""
+    """Distinct complete rows of each trip with their copy count (``copies``); with
+    ``part_seconds``, and where some trip is longer, also LONG."""
     day = ["stat_date"] if by_day else []
     pts = (truncated_points(points, tuple(day))
            .dropna(subset=POINT_COLS).where(F.col("lat") != 0))
     trips = trips.dropna(subset=["tid", "vid", "start"])
     rows = _assign(pts, trips, cohort, by_day, bucket_seconds,
-                   before_shuffle=lambda p: collapse_copies(p, POINT_COLS + day))
-    return collapse_copies(rows, ROW_COLS + day)
+                   before_shuffle=lambda p: collapse_copies(p, POINT_COLS + day), part_seconds=part_seconds)
+    return collapse_copies(rows, ROW_COLS + day, marks=tuple(c for c in (LONG,) if c in rows.columns))
 
 
 def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
@@ -148,15 +181,40 @@ def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
     """Row-level kinematics of the trips passing both size guards."""
     w = trip_window(["stat_date"] if "stat_date" in rows.columns else [])
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    guarded = rows.select("*", F.sum("copies").over(whole).alias("raw_rows"), F.count(F.lit(1)).over(whole).alias("clean_rows"))
+    return _kinematics(guarded, rows.columns, w, tz, turn_threshold, turn_min_rows,
+                       guard=(F.col("raw_rows") > min_raw_rows) & (F.col("clean_rows") > min_clean_rows))
+
+
+def kinematic_rows_by_part(rows: DataFrame, part_seconds: int = PART_SECONDS, *, min_raw_rows: int = MIN_RAW_ROWS,
+                           min_clean_rows: int = MIN_CLEAN_ROWS, tz: str | None = None,
+                           turn_threshold: float = TURN_DEG_PER_S, turn_min_rows: int = TURN_MIN_ROWS) -> DataFrame:
+    """As :func:`kinematic_rows` with windows over parts of a trip. Bin-run flags are
+    those of a part alone; the bins' neighbours in the part are added, from which
+    :func:`run_corrections` counts what the parts' edges change."""
+    trip = [*TRIP_KEY, *(["stat_date"] if "stat_date" in rows.columns else [])]
+    parted = rows.withColumn(PART, F.floor((F.col("time_stamp") - F.col("tripnumber")) / part_seconds))
+    # a stencil reaches one row back and two ahead, an episode's slices turn_min_rows - 1 either
+    # way, and a row's turn rate one more ahead
+    haloed = with_halo(parted, trip, PART, ORDER, before=max(1, turn_min_rows - 1), after=max(2, turn_min_rows),
+                       totals={"raw_rows": F.col("copies"), "clean_rows": F.lit(1)},
+                       keep=(F.col("raw_rows") > min_raw_rows) & (F.col("clean_rows") > min_clean_rows))
+    w = Window.partitionBy(*trip, PART).orderBy(*[F.asc_nulls_first(c) for c in ORDER])
+    kin = _kinematics(haloed, haloed.columns, w, tz, turn_threshold, turn_min_rows, in_parts=True)
+    return kin.where(~F.col(HALO)).drop(HALO)
+
+
+def _kinematics(rows: DataFrame, columns: list[str], w, tz, turn_threshold, turn_min_rows, guard=None, in_parts=False):
+    """Three passes over the windows ``w``; ``columns`` of the rows are kept."""
     c = F.col
-    # pass 1: guards and neighbours
+    # pass 1: neighbours (and the guards, where they are windows of the same spec)
     p1 = rows.select(
-        *rows.columns,
-        F.sum("copies").over(whole).alias("raw_rows"),
-        F.count(F.lit(1)).over(whole).alias("clean_rows"),
+        "*",
         *[F.lag(x, 1).over(w).alias(f"p_{x}") for x in ("time_stamp", "lat", "lon")],
         *[F.lead(x, 1).over(w).alias(f"n_{x}") for x in ("time_stamp", "lat", "lon", "heading", "speed")],
-    ).where((c("raw_rows") > min_raw_rows) & (c("clean_rows") > min_clean_rows))
+    )
+    if guard is not None:
+        p1 = p1.where(guard)
 
     has_prev, has_next = "p_time_stamp IS NOT NULL", "n_time_stamp IS NOT NULL"
     mid = f"({has_prev} AND {has_next})"
@@ -165,7 +223,7 @@ def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
     cx, cy = velocity_sql("n_lat", "n_lon", "lat", "lon", "n_time_stamp - time_stamp")
     e = F.expr
     k = p1.select(
-        *rows.columns,
+        *columns,
         "n_time_stamp",
         e(f"NOT {has_prev}").alias("is_first"), e(f"NOT {has_next}").alias("is_last"),
         e(f"CASE WHEN {has_next} THEN {gps_dist_sql('n_lat', 'n_lon', 'lat', 'lon')} ELSE 0D END").alias("am"),
@@ -199,6 +257,10 @@ def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
         "norm_pos_bin": F.when(c("norm_acc") > 0, bin_index("norm_acc", ACC_POS_BOUNDS)),
         "norm_neg_bin": F.when(c("norm_acc") < 0, bin_index("norm_acc", ACC_NEG_BOUNDS)),
     })
+    edges = []
+    if in_parts:        # rows of the halo are members of their own part's runs
+        k2 = k2.withColumns({f"{f}_bin": F.when(~c(HALO), c(f"{f}_bin")) for f in RUN_FAMILIES})
+        edges = [x for f in RUN_FAMILIES for x in edge_neighbours(f"{f}_bin", w)]
 
     # pass 3: episodes and bin runs (lag/lead on the same window)
     return k2.select(
@@ -207,92 +269,116 @@ def kinematic_rows(rows: DataFrame, *, min_raw_rows: int = MIN_RAW_ROWS,
         in_run_at_least("turn_state", "L", turn_min_rows, w).alias("in_left"),
         run_start_at_least("turn_state", "R", turn_min_rows, w).alias("start_right"),
         run_start_at_least("turn_state", "L", turn_min_rows, w).alias("start_left"),
-        filtered_run_start("acc_pos_bin", ACC_POS_MIN_RUN, w).alias("acc_pos_run"),
-        filtered_run_start("acc_neg_bin", ACC_NEG_MIN_RUN, w).alias("acc_neg_run"),
-        filtered_run_start("norm_pos_bin", NORM_MIN_RUN, w).alias("norm_pos_run"),
-        filtered_run_start("norm_neg_bin", NORM_MIN_RUN, w).alias("norm_neg_run"),
+        *[filtered_run_start(f"{f}_bin", k, w).alias(f"{f}_run") for f, (k, _, _) in RUN_FAMILIES.items()],
+        *edges,
     )
 
 
-def _stats(x: str, prefix: str) -> list[str]:
-    """mean, sd and the quantile array of one block (SQL text over ``x``)."""
-    return [f"avg({x}) AS `{prefix}_mean`", f"stddev_samp({x}) AS `{prefix}_sd`",
-            f"{quantiles_sql(x)} AS `_q_{prefix}`"]
+def run_corrections(kin: DataFrame) -> DataFrame:
+    """Per trip what the edges of its parts add to the run counts (columns named ``+`` and the count)."""
+    trip = [*TRIP_KEY, *(["stat_date"] if "stat_date" in kin.columns else [])]
+    edges = kin.groupBy(*trip, PART).agg(*[x for f in RUN_FAMILIES for x in part_edges(f"{f}_bin")])
+    corrected = edge_corrections(edges, trip, PART, {f"{f}_bin": k for f, (k, _, _) in RUN_FAMILIES.items()})
+    return corrected.groupBy(*trip).agg(*[
+        F.expr(added_runs(f"{f}_bin", i)).alias(f"+{name}") for f in RUN_FAMILIES for i, name in _numbered_bins(f)])
 
 
-def _q(prefix: str, pct_suffix: bool = True):
-    return quantile_columns(f"_q_{prefix}", quantile_names(prefix, pct_suffix))
+def _numbered_bins(family: str) -> list[tuple[int, str]]:
+    """(bin, name of its run count); the negative families are named from the bin next to 0 outwards."""
+    _, prefix, reverse = RUN_FAMILIES[family]
+    names = run_bin_names(prefix)
+    return [(len(names) - 1 - i if reverse else i, n) for i, n in enumerate(names)]
 
 
-def _run_counts(flag: str, bin_col: str, names: list[str], reverse: bool) -> list[str]:
-    """Runs per bin; the negative families are named from the bin next to 0 outwards."""
-    n = len(names)
-    return [f"count_if(`{flag}` AND `{bin_col}` = {n - 1 - i if reverse else i}) AS `{nm}`"
-            for i, nm in enumerate(names)]
+def _only(cond: str, x: str) -> str:
+    return f"CASE WHEN {cond} THEN {x} END"
 
 
-def aggregate_trips(kin: DataFrame) -> DataFrame:
-    """One 284-column row per trip (plus stat_date when present).
+IN_TURN = "(in_right OR in_left)"
+#: quantile block -> (value, names end in _pct)
+QUANTILE_BLOCKS = {
+    "speed": ("speed", True), "acc_overall": ("tan_acc", True),
+    "acc_pos": (_only("tan_acc > 0", "tan_acc"), True), "acc_neg": (_only("tan_acc < 0", "tan_acc"), True),
+    "turn_speed": (_only(IN_TURN, "speed"), False), "turn_left_speed": (_only("in_left", "speed"), False),
+    "turn_right_speed": (_only("in_right", "speed"), False), "turn_overall": ("norm_acc", True),
+    "turn_right": (_only("norm_acc > 0", "norm_acc"), True), "turn_left": (_only("norm_acc < 0", "norm_acc"), True),
+}
 
-    The ~180 aggregates are written as SQL text (one JVM call each)."""
-    day = ["stat_date"] if "stat_date" in kin.columns else []
-    only = lambda cond, x: f"CASE WHEN {cond} THEN {x} END"
-    in_turn = "(in_right OR in_left)"
+
+def _mean_sd(x: str, prefix: str) -> list[str]:
+    return [f"avg({x}) AS `{prefix}_mean`", f"stddev_samp({x}) AS `{prefix}_sd`"]
+
+
+def _trip_aggregates() -> list[str]:
+    """All columns but the quantiles, as SQL text (one JVM call each). Every buffer has
+    a fixed width, so the rows of a trip may lie in any number of tasks."""
     aggs = [
-        f"first({only('is_first', 'vid')}, true) AS vid",
+        f"first({_only('is_first', 'vid')}, true) AS vid",
         "min(time_stamp) AS start_time", "max(time_stamp) AS end_time",
-        f"max({only('is_first', 'lat')}) AS lat_st", f"max({only('is_first', 'lon')}) AS lon_st",
-        f"max({only('is_last', 'lat')}) AS lat_end", f"max({only('is_last', 'lon')}) AS lon_end",
+        f"max({_only('is_first', 'lat')}) AS lat_st", f"max({_only('is_first', 'lon')}) AS lon_st",
+        f"max({_only('is_last', 'lat')}) AS lat_end", f"max({_only('is_last', 'lon')}) AS lon_end",
         "count(1) AS dura_valid", "sum(am) AS mileage",
-        *_stats("speed", "speed"),
+        *_mean_sd("speed", "speed"),
         "count_if(speed = 0) AS speed_0",
-        f"avg({only('speed > 0', 'speed')}) AS speed_mean_drive",
-        f"stddev_samp({only('speed > 0', 'speed')}) AS speed_sd_drive",
-        *_stats("tan_acc", "acc_overall"),
+        f"avg({_only('speed > 0', 'speed')}) AS speed_mean_drive",
+        f"stddev_samp({_only('speed > 0', 'speed')}) AS speed_sd_drive",
+        *_mean_sd("tan_acc", "acc_overall"),
         "count_if(tan_acc > 0) AS acc_pos_dura", "count_if(tan_acc < 0) AS acc_neg_dura",
-        f"avg({only('tan_acc > 0', 'tan_acc')}) AS acc_pos_mean",
-        f"avg({only('tan_acc < 0', 'tan_acc')}) AS acc_neg_mean",
-        f"stddev_samp({only('tan_acc > 0', 'tan_acc')}) AS acc_pos_sd",
-        f"stddev_samp({only('tan_acc < 0', 'tan_acc')}) AS acc_neg_sd",
-        f"{quantiles_sql(only('tan_acc > 0', 'tan_acc'))} AS _q_acc_pos",
-        f"{quantiles_sql(only('tan_acc < 0', 'tan_acc'))} AS _q_acc_neg",
-        *_run_counts("acc_pos_run", "acc_pos_bin", run_bin_names("acc_pos"), False),
-        *_run_counts("acc_neg_run", "acc_neg_bin", run_bin_names("acc_neg"), True),
+        *_mean_sd(_only("tan_acc > 0", "tan_acc"), "acc_pos"), *_mean_sd(_only("tan_acc < 0", "tan_acc"), "acc_neg"),
+        *_mean_sd("norm_acc", "turn_overall"),
+        *_mean_sd(_only("norm_acc > 0", "norm_acc"), "turn_right"), *_mean_sd(_only("norm_acc < 0", "norm_acc"), "turn_left"),
     ]
-    for name, member, start in (("turn", in_turn, "(start_right OR start_left)"),
+    for name, member, start in (("turn", IN_TURN, "(start_right OR start_left)"),
                                 ("turn_left", "in_left", "start_left"),
                                 ("turn_right", "in_right", "start_right")):
         aggs += [f"count_if({member}) AS {name}_dura", f"count_if({start}) AS {name}_times",
-                 *_stats(only(member, "speed"), f"{name}_speed")]
-    aggs += [
-        *_stats("norm_acc", "turn_overall"),
-        f"avg({only('norm_acc > 0', 'norm_acc')}) AS turn_right_mean",
-        f"avg({only('norm_acc < 0', 'norm_acc')}) AS turn_left_mean",
-        f"stddev_samp({only('norm_acc > 0', 'norm_acc')}) AS turn_right_sd",
-        f"stddev_samp({only('norm_acc < 0', 'norm_acc')}) AS turn_left_sd",
-        f"{quantiles_sql(only('norm_acc > 0', 'norm_acc'))} AS _q_turn_right",
-        f"{quantiles_sql(only('norm_acc < 0', 'norm_acc'))} AS _q_turn_left",
-        *_run_counts("norm_pos_run", "norm_pos_bin", run_bin_names("turn_right"), False),
-        *_run_counts("norm_neg_run", "norm_neg_bin", run_bin_names("turn_left"), True),
-    ]
-    g = kin.groupBy(*TRIP_KEY, *day).agg(
-        *sums_by_value("am", "hour", range(24), COMPLEX_HOURS), *[F.expr(a) for a in aggs],
+                 *_mean_sd(_only(member, "speed"), f"{name}_speed")]
+    return aggs + [f"count_if(`{f}_run` AND `{f}_bin` = {i}) AS `{name}`" for f in RUN_FAMILIES for i, name in _numbered_bins(f)]
+
+
+def _aggregate(kin: DataFrame, key: list[str], more: list[str]) -> DataFrame:
+    return kin.groupBy(*key).agg(
+        *sums_by_value("am", "hour", range(24), COMPLEX_HOURS), *[F.expr(a) for a in _trip_aggregates() + more],
         *count_in_intervals("speed", SPEED_BOUNDS, COMPLEX_SPEED_BINS))
+
+
+def _finish(g: DataFrame, day: list[str]) -> DataFrame:
+    """Derived columns, quantile arrays spread, columns in order."""
     fly = gps_dist_sql("lat_st", "lon_st", "lat_end", "lon_end")
     g = g.select(
         "*",
         F.expr("end_time - tripnumber AS dura"),
         F.expr(f"{fly} AS fly_dist"),
         F.expr(f"try_divide(mileage, {fly}) AS curv_overall"),
-        *_q("speed"), *_q("acc_overall"), *_q("acc_pos"), *_q("acc_neg"),
-        *_q("turn_speed", False), *_q("turn_left_speed", False), *_q("turn_right_speed", False),
-        *_q("turn_overall"), *_q("turn_right"), *_q("turn_left"),
-    )
+        *[c for name, (_, pct) in QUANTILE_BLOCKS.items() for c in quantile_columns(f"_q_{name}", quantile_names(name, pct))])
     return g.select(*COMPLEX_COLUMNS, *day)
 
 
+def aggregate_trips(kin: DataFrame) -> DataFrame:
+    """One 284-column row per trip (plus stat_date when present)."""
+    day = ["stat_date"] if "stat_date" in kin.columns else []
+    quantiles = [f"{quantiles_sql(x)} AS `_q_{name}`" for name, (x, _) in QUANTILE_BLOCKS.items()]
+    return _finish(_aggregate(kin, [*TRIP_KEY, *day], quantiles), day)
+
+
+def aggregate_trips_by_part(kin: DataFrame) -> DataFrame:
+    """:func:`aggregate_trips` of rows by part: partial aggregates of any split of the rows, run
+    counts corrected at the parts' edges, quantiles from counted values. ``kin`` is read three times."""
+    day = ["stat_date"] if "stat_date" in kin.columns else []
+    trip = [*TRIP_KEY, *day]
+    g = _aggregate(kin, trip, [])
+    quantiles = exact_quantiles(kin, trip, {f"_q_{name}": x for name, (x, _) in QUANTILE_BLOCKS.items()})
+    g = g.join(run_corrections(kin), trip).join(quantiles, trip, "left")
+    counts = [name for f in RUN_FAMILIES for _, name in _numbered_bins(f)]
+    return _finish(g.withColumns({n: F.col(n) + F.col(f"+{n}") for n in counts}), day)
+
+
 def complex_trip_features(points: DataFrame, trips: DataFrame, cohort: DataFrame | None = None,
-                          *, by_day: bool = False, tz: str | None = None,
+                          *, by_day: bool = False, tz: str | None = None, part_seconds: int = PART_SECONDS,
                           bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    rows = clean_rows(points, trips, cohort, by_day=by_day, bucket_seconds=bucket_seconds)
-    return aggregate_trips(kinematic_rows(rows, tz=tz))
+    rows = clean_rows(points, trips, cohort, by_day=by_day, part_seconds=part_seconds, bucket_seconds=bucket_seconds)
+    if LONG not in rows.columns:
+        return aggregate_trips(kinematic_rows(rows, tz=tz))
+    short = aggregate_trips(kinematic_rows(rows.where(~F.col(LONG)).drop(LONG), tz=tz))
+    kin = kinematic_rows_by_part(rows.where(LONG).drop(LONG), part_seconds, tz=tz)
+    return short.unionByName(aggregate_trips_by_part(through_staging(kin, "long_trips")))

@@ -131,8 +131,7 @@ def trip_points_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select("tid", "vid", "deviceid", F.col("start").alias("tripnumber"), "s_end")
              .where(F.col("tripnumber") > 0))
     out = points_in_intervals_outer(pts, trips, point_key="imei", interval_key="deviceid",
-                                    ts="time_stamp", start="tripnumber", end="s_end",
-                                    interval_id=["tid", "vid", "deviceid", "tripnumber", "s_end"])
+                                    ts="time_stamp", start="tripnumber", end="s_end")
     return present(out.select(*TRIP_ROW_COLS))
 
 
@@ -273,16 +272,34 @@ def complex_date_range_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The kinematic job as a date-range run: CSV trips and parquet points from
     day directories (file schema, positional types), cohort from a parquet
     table, output written day-partitioned and read back."""
+    return _complex_backfill(spark, sf_dir)
+
+
+def _complex_backfill(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     cohort_path = staging_path(spark, "cohort")
     fx.cohort(spark, sf_dir).write.parquet(cohort_path)
     out = staging_path(spark, "complex_features")
     trips, points = _staged_trips(spark, sf_dir), _staged_points(spark, sf_dir)
     first, last = _days(spark, trips, points)
     backfill.run_complex(spark, trips_base=trips, points_base=points, out_base=out,
-                         first_day=first, last_day=last, cohort_source=cohort_path, tz=TZ)
+                         first_day=first, last_day=last, cohort_source=cohort_path, tz=TZ, **options)
     return present(readers.read_trip_features(spark, out).select(*COMPLEX_COLUMNS, "stat_date"))
 
 
+#: seconds of a part in the queries on split trips (the stand-in trips are short)
+SPLIT_SECONDS = 60
+
+
+def complex_trip_features_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinematic table with every trip of over SPLIT_SECONDS computed in parts."""
+    return present(j2.complex_trip_features(_points(spark, sf_dir), _trips(spark, sf_dir), fx.cohort(spark, sf_dir),
+                                            tz=TZ, part_seconds=SPLIT_SECONDS))
+
+
+def complex_date_range_backfill_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _complex_backfill(spark, sf_dir, part_seconds=SPLIT_SECONDS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_trips": scan_trips,
     "scan_points": scan_points,
@@ -318,4 +335,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "norm_bin_runs": norm_bin_runs,
     "complex_trip_features": complex_trip_features,
     "complex_date_range_backfill": complex_date_range_backfill,
+    "complex_trip_features_split": complex_trip_features_split,
+    "complex_date_range_backfill_split": complex_date_range_backfill_split,
 }

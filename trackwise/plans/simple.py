@@ -38,9 +38,8 @@ from pyspark.sql import functions as F
 from trackwise.functions.binning import ceil_bin_counts, sums_by_value
 from trackwise.functions.geo import gps_dist
 from trackwise.functions.timefmt import hour_of_day
-from trackwise.operators.broadcast import fits_broadcast
 from trackwise.operators.copies import collapse_copies, expand_copies
-from trackwise.operators.range_join import (DEFAULT_BUCKET_SECONDS, expand_intervals,
+from trackwise.operators.range_join import (DEFAULT_BUCKET_SECONDS, IntervalFacts, interval_facts,
                                            points_in_intervals)
 from trackwise.schemas import SIMPLE_COLUMNS, SIMPLE_HOURS, SIMPLE_SPEED_BINS
 
@@ -65,7 +64,7 @@ def seconds_points(points: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 def assign_trips(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                 broadcast: bool | None = None) -> DataFrame:
+                 facts: IntervalFacts | None = None) -> DataFrame:
     """Points (seconds) joined to the trips whose [start, s_end] contains them.
 
     Trips with start <= 0 are not trips. With ``by_day`` the points and trips
@@ -77,7 +76,7 @@ def assign_trips(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
     joined = points_in_intervals(points, tr, point_key="imei", interval_key="deviceid",
                                  ts="time_stamp", start="tripnumber", end="s_end",
                                  extra_keys=extra, bucket_seconds=bucket_seconds,
-                                 broadcast=broadcast)
+                                 facts=facts)
     joined = joined.drop("deviceid")
     return joined.drop("trip_day") if day else joined
 
@@ -89,15 +88,19 @@ def numbered_trips(trips: DataFrame, by_day: bool) -> DataFrame:
             .where(F.col("tripnumber") > 0))
 
 
+def trip_facts(trips: DataFrame, by_day: bool, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> IntervalFacts:
+    return interval_facts(numbered_trips(trips, by_day), "tripnumber", "s_end", bucket_seconds=bucket_seconds)
+
+
 def trip_point_rows(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
-                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS, facts: IntervalFacts | None = None) -> DataFrame:
     """Distinct (trip, point) rows with a ``copies`` weight."""
     day = _day_cols(points, by_day)
     pts = seconds_points(points, tuple(day))
-    small = fits_broadcast(expand_intervals(numbered_trips(trips, by_day), "tripnumber", "s_end", bucket_seconds))
-    if not small:       # the points are shuffled for the join: without their copies
+    facts = facts or trip_facts(trips, by_day, bucket_seconds)
+    if not facts.fits[0]:       # the points are shuffled for the join: without their copies
         pts = collapse_copies(pts, POINT_COLS + day)
-    rows = assign_trips(pts, trips, by_day=by_day, bucket_seconds=bucket_seconds, broadcast=small)
+    rows = assign_trips(pts, trips, by_day=by_day, bucket_seconds=bucket_seconds, facts=facts)
     return collapse_copies(rows, ROW_COLS + day)
 
 
@@ -149,9 +152,9 @@ def expand_rows(rows: DataFrame) -> DataFrame:
 def simple_rows(points: DataFrame, trips: DataFrame, *, by_day: bool = False,
                 jump_km: float = JUMP_KM,
                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    rows = trip_point_rows(points, trips, by_day=by_day, bucket_seconds=bucket_seconds)
-    longest = trips.where("start > 0").agg(F.max(F.col("s_end") - F.col("start"))).first()[0]
-    if (longest or 0) > PART_SECONDS:
+    facts = trip_facts(trips, by_day, bucket_seconds)
+    rows = trip_point_rows(points, trips, by_day=by_day, bucket_seconds=bucket_seconds, facts=facts)
+    if facts.longest > PART_SECONDS:
         rows = rows.withColumn(PART, F.floor((F.col("time_stamp") - F.col("tripnumber")) / PART_SECONDS))
     return successor_rows(rows, jump_km)
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackwise.session import staging_path
+
 
 def _day_files(spark: SparkSession, base: str, day_col: str) -> dict[str, tuple]:
     """Day -> names of its files, for the day directories below ``base``."""
@@ -50,6 +52,14 @@ def write_day_partitioned(df: DataFrame, base: str, day_col: str = "stat_date",
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def through_staging(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once for several
+    readers, and a lost executor costs a re-read."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _field_text(c: str, dtype: T.DataType, float_digits: int | None) -> Column:
     col = F.col(c)
     if float_digits is not None and isinstance(dtype, (T.DoubleType, T.FloatType)):
