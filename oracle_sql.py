@@ -60,31 +60,31 @@ c AS (SELECT *,
   CAST(sum((event_id*53)%21-10) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cx,
   CAST(sum((event_id*13)%21-10) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS ch FROM e),
 gps_points AS (SELECT CAST(user_id AS VARCHAR) AS imei,
-  CASE WHEN event_id%103=0 THEN NULL WHEN event_id%101=0 THEN 0e0 WHEN event_id%97=0 THEN 31e0+user_id*1e-2+cy*2e-5 ELSE 30e0+user_id*1e-2+cy*2e-5 END AS lat,
+  CASE WHEN event_id%103=0 THEN NULL WHEN event_id%101=0 THEN 0e0 WHEN event_id%97=0 THEN 31e0+user_id%500000*1e-2+cy*2e-5 ELSE 30e0+user_id%500000*1e-2+cy*2e-5 END AS lat,
   CASE WHEN event_id%103=0 THEN NULL WHEN event_id%101=0 THEN 0e0 ELSE 120e0+cx*2e-5 END AS lon,
   CASE WHEN event_id%83=0 THEN NULL WHEN event_type='error' THEN 0e0 ELSE value END AS speed,
   CAST((ch+36000)%360 AS INTEGER) AS direction,
-  CAST((1704067200+user_id*599+seq)*1000+(event_id%4)*250 AS BIGINT) AS time_stamp
+  CAST((1704067200+user_id%500000*599+seq)*1000+(event_id%4)*250 AS BIGINT) AS time_stamp
   FROM (SELECT * FROM c UNION ALL SELECT * FROM c WHERE event_id%89=0 OR event_id%103=0) c2),
 trip_stat AS (
   SELECT CAST(user_id AS VARCHAR) AS deviceid, CAST(user_id AS VARCHAR) AS tid, CAST(100000+user_id AS VARCHAR) AS vid,
-         CAST(1704067200+user_id*599 AS INTEGER) AS start, CAST(1704067200+user_id*599+66 AS INTEGER) AS s_end
+         CAST(1704067200+user_id%500000*599 AS INTEGER) AS start, CAST(1704067200+user_id%500000*599+66 AS INTEGER) AS s_end
   FROM (SELECT DISTINCT user_id FROM events) u
   UNION ALL
   SELECT CAST(user_id AS VARCHAR), CASE WHEN user_id%7<>3 THEN CAST(500000+user_id AS VARCHAR) END, CAST(100000+user_id AS VARCHAR),
-         CAST(1704067200+user_id*599+67 AS INTEGER), CAST(1704067200+user_id*599+400 AS INTEGER)
+         CAST(1704067200+user_id%500000*599+67 AS INTEGER), CAST(1704067200+user_id%500000*599+400 AS INTEGER)
   FROM (SELECT DISTINCT user_id FROM events) u
   UNION ALL
   SELECT CAST(user_id AS VARCHAR), CAST(user_id AS VARCHAR), CAST(100000+user_id AS VARCHAR),
-         CAST(1704067200+user_id*599 AS INTEGER), CAST(1704067200+user_id*599+CASE user_id%5 WHEN 2 THEN 66 ELSE 50 END AS INTEGER)
+         CAST(1704067200+user_id%500000*599 AS INTEGER), CAST(1704067200+user_id%500000*599+CASE user_id%5 WHEN 2 THEN 66 ELSE 50 END AS INTEGER)
   FROM (SELECT DISTINCT user_id FROM events WHERE user_id%5 IN (2, 4)) u),
 trip_days AS (SELECT t.*, d.stat_date FROM trip_stat t,
   unnest(list_distinct([strftime(DATE '1970-01-01' + CAST(start // 86400 AS INTEGER), '%Y%m%d'),
                         strftime(DATE '1970-01-01' + CAST(s_end // 86400 AS INTEGER), '%Y%m%d')])) d(stat_date)),
 cohort AS (SELECT CAST(c_custkey AS VARCHAR) AS imei FROM customer WHERE c_custkey%10<>3),
 validity AS (SELECT CAST(c_custkey AS VARCHAR) AS imei, c_name AS VIN,
-   CAST(1704067200+c_custkey*599 AS BIGINT) AS valid_start_utc,
-   CAST(1704067200+c_custkey*599+(c_custkey%5)*50 AS BIGINT) AS valid_end_utc
+   CAST(1704067200+c_custkey%500000*599 AS BIGINT) AS valid_start_utc,
+   CAST(1704067200+c_custkey%500000*599+(c_custkey%5)*50 AS BIGINT) AS valid_end_utc
    FROM customer WHERE c_custkey%10<>3)
 """
 
@@ -485,6 +485,17 @@ d AS (SELECT strftime(unnest(generate_series(a, b, INTERVAL 1 DAY)), '%Y%m%d') A
         "simple_trip_features": q_simple_trip_features(),
         "complex_trip_features": j2_query(COMPLEX_COLUMNS),
         "complex_date_range_backfill": j2_query(COMPLEX_COLUMNS, daily=True),
+        "resumed_backfill": with_ctes(FIXTURES, *j1_daily, f"""
+day_bounds AS (SELECT min(d) AS a, max(d) AS b FROM (SELECT stat_date AS d FROM trip_days
+               UNION ALL SELECT {day_key('time_stamp/1000e0')} FROM gps_points) x),
+all_days AS (SELECT strftime(strptime(a, '%Y%m%d') + to_days(CAST(i AS INTEGER)), '%Y%m%d') AS stat_date FROM day_bounds,
+             unnest(generate_series(0, date_diff('day', strptime(a, '%Y%m%d'), strptime(b, '%Y%m%d')))) u(i))""")
+        + "\nSELECT stat_date, 'done' AS status, (SELECT count(*) FROM j1 WHERE j1.stat_date = all_days.stat_date) AS n_rows FROM all_days",
+        "checked_trips": with_ctes(FIXTURES) + "\nSELECT tid, vid, deviceid, start, s_end, stat_date FROM trip_days "
+                         "WHERE CAST(deviceid AS BIGINT) % 11 NOT IN (3, 5)",
+        "rejected_trips": with_ctes(FIXTURES) + "\nSELECT stat_date, CASE WHEN CAST(deviceid AS BIGINT) % 11 = 3 THEN 'not a number' "
+                          "ELSE 'too few fields' END AS reason, count(*) AS n_rows FROM trip_days "
+                          "WHERE CAST(deviceid AS BIGINT) % 11 IN (3, 5) GROUP BY 1, 2",
         # computed in parts of a trip, the same result
         "complex_trip_features_split": j2_query(COMPLEX_COLUMNS),
         "complex_date_range_backfill_split": j2_query(COMPLEX_COLUMNS, daily=True),

@@ -9,20 +9,36 @@ two trips). Output goes to one directory per day with dynamic partition
 overwrite: re-running a range replaces those days only, and a day of the range
 that has no rows any more loses its directory, which makes a failed or partial
 run safe to repeat.
+
+A run keeps a manifest beside the day directories: one record a day with the input
+files it was computed from, its rows and its status. A day is marked as running before
+its files are touched and as done after they are committed, so with ``resume`` a run
+computes only the days that are not done or whose inputs have changed since, and
+:func:`read_finished` shows finished days only, also while a run goes on.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackwise.functions.timefmt import day_keys
 from trackwise.plans import complex as j2
 from trackwise.plans import simple as j1
+from trackwise.schemas import COMPLEX_SCHEMA, SIMPLE_SCHEMA
 from trackwise.sources import readers, sinks
 
+#: below the output's folder; names with an underscore are hidden from Spark's readers
+MANIFEST = "_manifest"
+MANIFEST_SCHEMA = ("job string, status string, rows long, inputs array<struct<path:string, bytes:bigint, modified:bigint>>, "
+                   "fingerprint string, stat_date string")
+
 
 def day_key(day: str) -> str:
     """'2024-01-05' or '20240105' -> '20240105'."""
@@ -67,32 +83,98 @@ def complex_for_days(points: DataFrame, trips: DataFrame, cohort: DataFrame | No
                                     by_day=True, **kw)
 
 
+def days_between(first_day: str, last_day: str) -> list[str]:
+    a, b = dt.date.fromisoformat(_iso(first_day)), dt.date.fromisoformat(_iso(last_day))
+    return [(a + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((b - a).days + 1)]
+
+
+def manifest(spark: SparkSession, out_base: str) -> DataFrame:
+    """The records of all days that a run has begun (no rows where none has)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_base}/{MANIFEST}")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    df = spark.read.schema(MANIFEST_SCHEMA).parquet(str(path))
+    return df.withColumn("stat_date", F.col("stat_date").cast("string"))
+
+
+def read_finished(spark: SparkSession, out_base: str, schema: T.StructType) -> DataFrame:
+    """The feature dataset, days that are done only."""
+    days = [r[0] for r in manifest(spark, out_base).where("status = 'done'").select("stat_date").collect()]
+    if not days:
+        return spark.createDataFrame([], T.StructType([*schema.fields, readers.DAY_FIELD]))
+    return readers.read_trip_features(spark, out_base, days, schema)
+
+
+def _record(spark: SparkSession, out_base: str, records: list[tuple]) -> None:
+    (spark.createDataFrame(records, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("stat_date").parquet(f"{out_base}/{MANIFEST}"))
+
+
+def _run_days(spark: SparkSession, job: str, compute: Callable[[str, str], DataFrame], schema: T.StructType, *,
+              inputs: list[str], out_base: str, first_day: str, last_day: str, chunk_days: int | None,
+              resume: bool, settings: dict) -> list[str]:
+    """Compute, write and record the days in chunks of consecutive days; the days computed."""
+    listings = [(base, sinks.day_files(spark, base)) for base in inputs]
+    files = {day: [(f"{base}/stat_date={day}/{name}", size, changed) for base, days in listings for name, size, changed in days.get(day, [])]
+             for day in days_between(first_day, last_day)}
+    prints = {day: hashlib.sha256(json.dumps([job, settings, fs], default=str, sort_keys=True).encode()).hexdigest() for day, fs in files.items()}
+    done = {}
+    if resume:
+        done = {r["stat_date"]: r["fingerprint"] for r in manifest(spark, out_base).where("status = 'done'").collect()}
+    computed = []
+    for first, last in _pending_ranges([d for d in files if done.get(d) != prints[d]], chunk_days):
+        days = days_between(first, last)
+        note = lambda status, rows: _record(spark, out_base, [
+            (job, status, rows.get(d, 0), files[d], prints[d], d) for d in days])
+        note("running", {})
+        sinks.write_day_partitioned(compute(first, last), out_base, days=(first, last))
+        rows = readers.read_trip_features(spark, out_base, days, schema).groupBy("stat_date").count().collect()
+        note("done", {r["stat_date"]: r["count"] for r in rows})
+        computed += days
+    return computed
+
+
+def _pending_ranges(days: list[str], chunk_days: int | None) -> list[tuple[str, str]]:
+    """Ranges of consecutive days, of at most ``chunk_days`` each."""
+    out: list[list[str]] = []
+    for d in days:
+        follows = out and days_between(out[-1][-1], d)[1:] == [d]
+        if follows and (not chunk_days or len(out[-1]) < chunk_days):
+            out[-1].append(d)
+        else:
+            out.append([d])
+    return [(r[0], r[-1]) for r in out]
+
+
 def run_simple(spark: SparkSession, *, trips_base: str, points_base: str, out_base: str,
-               first_day: str, last_day: str, chunk_days: int | None = None, **options) -> None:
-    """Read the day directories of both inputs, compute, write day-partitioned.
+               first_day: str, last_day: str, chunk_days: int | None = None, resume: bool = False,
+               **options) -> list[str]:
+    """Read the day directories of both inputs, compute, write day-partitioned; the days computed.
 
     With ``chunk_days`` the range runs as consecutive jobs of that many days,
     each committed on its own: a failure loses at most one chunk, and
-    re-running the range (or a chunk) replaces exactly its days. ``options``
+    re-running the range (or a chunk) replaces exactly its days. With ``resume`` days
+    that are done and whose input files are the same are left out. ``options``
     go to :func:`simple_for_days` (e.g. ``tz``).
     """
     pts = readers.read_gps_points(spark, points_base)
     trips = readers.read_trip_stat(spark, trips_base)
-    for a, b in day_chunks(first_day, last_day, chunk_days):
-        sinks.write_day_partitioned(simple_for_days(pts, trips, a, b, **options), out_base,
-                                    days=(day_key(a), day_key(b)))
+    return _run_days(spark, "simple", lambda a, b: simple_for_days(pts, trips, a, b, **options), SIMPLE_SCHEMA,
+                     inputs=[trips_base, points_base], out_base=out_base, first_day=first_day, last_day=last_day,
+                     chunk_days=chunk_days, resume=resume, settings=options)
 
 
 def run_complex(spark: SparkSession, *, trips_base: str, points_base: str, out_base: str,
                 first_day: str, last_day: str, cohort_source: str | None = None,
-                chunk_days: int | None = None, **options) -> None:
-    """As :func:`run_simple` for the kinematic features of the cohort's trips."""
+                chunk_days: int | None = None, resume: bool = False, **options) -> list[str]:
+    """As :func:`run_simple` for the kinematic features of the cohort's trips. A cohort
+    under another name counts as a change of all days; its contents are not compared."""
     pts = readers.read_gps_points(spark, points_base, positional_cast=True)
     trips = readers.read_trip_stat(spark, trips_base)
     cohort = readers.read_cohort(spark, cohort_source) if cohort_source else None
-    for a, b in day_chunks(first_day, last_day, chunk_days):
-        sinks.write_day_partitioned(complex_for_days(pts, trips, cohort, a, b, **options), out_base,
-                                    days=(day_key(a), day_key(b)))
+    return _run_days(spark, "complex", lambda a, b: complex_for_days(pts, trips, cohort, a, b, **options), COMPLEX_SCHEMA,
+                     inputs=[trips_base, points_base], out_base=out_base, first_day=first_day, last_day=last_day,
+                     chunk_days=chunk_days, resume=resume, settings={**options, "cohort": cohort_source})
 
 
 def day_range(*tables: DataFrame) -> tuple[str, str] | None:

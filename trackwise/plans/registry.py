@@ -23,7 +23,7 @@ from trackwise.plans import simple as j1
 from trackwise.schemas import (COMPLEX_ACC_RUNS, COMPLEX_ACC_STATS, COMPLEX_COLUMNS,
                                COMPLEX_HEAD, COMPLEX_HOURS, COMPLEX_NORM_RUNS,
                                COMPLEX_NORM_STATS, COMPLEX_SPEED_BINS, COMPLEX_SPEED_STATS,
-                               COMPLEX_TURN, SIMPLE_HOURS, SIMPLE_SPEED_BINS)
+                               COMPLEX_SCHEMA, COMPLEX_TURN, SIMPLE_HOURS, SIMPLE_SCHEMA, SIMPLE_SPEED_BINS)
 from trackwise.session import staging_path
 from trackwise.sources import fixtures as fx
 from trackwise.sources import readers, sinks
@@ -97,20 +97,59 @@ def scan_points_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_range_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = staging_path(spark, "simple_features")
     trips, points = _staged_trips(spark, sf_dir), _staged_points(spark, sf_dir)
-    first, last = _days(spark, trips, points)
-    backfill.run_simple(spark, trips_base=trips, points_base=points, out_base=out,
-                        first_day=first, last_day=last, tz=TZ)
-    return present(readers.read_trip_features(spark, out))
+    if days := _days(spark, trips, points):
+        backfill.run_simple(spark, trips_base=trips, points_base=points, out_base=out,
+                            first_day=days[0], last_day=days[1], tz=TZ)
+    return present(backfill.read_finished(spark, out, SIMPLE_SCHEMA))
 
 
-def _days(spark, trips_base: str, points_base: str) -> tuple[str, str]:
-    """First and last day of the staged inputs."""
+def resumed_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest after a run over the first day and a resumed run over all days:
+    (stat_date, status, rows) of every day."""
+    out = staging_path(spark, "simple_features")
+    trips, points = _staged_trips(spark, sf_dir), _staged_points(spark, sf_dir)
+    if days := _days(spark, trips, points):
+        run = lambda last: backfill.run_simple(
+            spark, trips_base=trips, points_base=points, out_base=out, first_day=days[0], last_day=last, chunk_days=2, resume=True, tz=TZ)
+        run(days[0])
+        run(days[1])
+    return backfill.manifest(spark, out).select("stat_date", "status", F.col("rows").alias("n_rows"))
+
+
+def _days(spark, trips_base: str, points_base: str) -> tuple[str, str] | None:
+    """First and last day of the staged inputs (None: no rows)."""
     return backfill.day_range(readers.read_trip_stat(spark, trips_base), readers.read_gps_points(spark, points_base))
 
 
 def trips_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = readers.read_trip_stat(spark, _staged_trips(spark, sf_dir))
-    return backfill.trips_per_day(trips, *backfill.day_range(trips))
+    days = backfill.day_range(trips)
+    return backfill.trips_per_day(trips, *days) if days else spark.createDataFrame([], "stat_date string, trips long")
+
+
+def _staged_trips_with_errors(spark, sf_dir) -> str:
+    """The staged trip table as it may arrive: of some devices the end is no number
+    (device % 11 = 3), or the last fields are missing (device % 11 = 5)."""
+    path = staging_path(spark, "raw_trip_stat")
+    trips = fx.with_trip_day(fx.trip_stat(spark, sf_dir, full_schema=True))
+    kind = F.pmod(F.col("deviceid").cast("long"), F.lit(11))
+    fields = [F.coalesce(F.when(kind == 3, "none").otherwise(F.col(c).cast("string")) if c == "s_end" else F.col(c).cast("string"), F.lit(""))
+              for c in trips.columns if c != "stat_date"]
+    line = F.when(kind == 5, F.concat_ws(",", *fields[:6])).otherwise(F.concat_ws(",", *fields))
+    trips.select(line.alias("value"), "stat_date").write.partitionBy("stat_date").text(path)
+    return path
+
+
+def _checked_trips(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return readers.read_trip_stat_checked(spark, _staged_trips_with_errors(spark, sf_dir), staging_path(spark, "checked_trips"))
+
+
+def checked_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked_trips(spark, sf_dir)[0]
+
+
+def rejected_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.reject_counts(_checked_trips(spark, sf_dir)[1]).withColumnRenamed("rows", "n_rows")
 
 
 # --- joins ------------------------------------------------------------------
@@ -187,7 +226,7 @@ def _feature_table(spark, sf_dir) -> DataFrame:
     sinks.write_day_partitioned(
         j1.simple_trip_features(fx.with_point_day(_points(spark, sf_dir)),
                                 fx.with_trip_day(_trips(spark, sf_dir)), by_day=True, tz=TZ), out)
-    return readers.read_trip_features(spark, out)
+    return readers.read_trip_features(spark, out, schema=SIMPLE_SCHEMA)
 
 
 def validity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,10 +319,10 @@ def _complex_backfill(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     fx.cohort(spark, sf_dir).write.parquet(cohort_path)
     out = staging_path(spark, "complex_features")
     trips, points = _staged_trips(spark, sf_dir), _staged_points(spark, sf_dir)
-    first, last = _days(spark, trips, points)
-    backfill.run_complex(spark, trips_base=trips, points_base=points, out_base=out,
-                         first_day=first, last_day=last, cohort_source=cohort_path, tz=TZ, **options)
-    return present(readers.read_trip_features(spark, out).select(*COMPLEX_COLUMNS, "stat_date"))
+    if days := _days(spark, trips, points):
+        backfill.run_complex(spark, trips_base=trips, points_base=points, out_base=out,
+                             first_day=days[0], last_day=days[1], cohort_source=cohort_path, tz=TZ, **options)
+    return present(backfill.read_finished(spark, out, COMPLEX_SCHEMA).select(*COMPLEX_COLUMNS, "stat_date"))
 
 
 #: seconds of a part in the queries on split trips (the stand-in trips are short)
@@ -305,6 +344,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_points": scan_points,
     "scan_points_positional": scan_points_positional,
     "date_range_backfill": date_range_backfill,
+    "resumed_backfill": resumed_backfill,
+    "checked_trips": checked_trips,
+    "rejected_trips": rejected_trips,
     "trips_per_day": trips_per_day,
     "trip_points": trip_points,
     "trip_points_trunc": trip_points_trunc,

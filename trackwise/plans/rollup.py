@@ -10,9 +10,9 @@ partially aggregated level.
 
 The validity table is per vehicle; it is broadcast only when its measured
 size (operators.broadcast) fits the broadcast threshold, otherwise the join
-is a shuffle join on
-(imei, salt): trips are salted so a hot vehicle is split over several tasks,
-and the aggregate that follows combines partial results map-side.
+is a shuffle join on (imei, time bucket): windows are laid into buckets of
+growing width and a trip probes by its start, so a hot vehicle is split over its
+days, and the aggregate that follows combines partial results map-side.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackwise.functions.timefmt import day_string
-from trackwise.operators.broadcast import fits_broadcast
+from trackwise.operators.range_join import expand_intervals, interval_facts
 from trackwise.schemas import ROLLUP_COLUMNS, SIMPLE_COLUMNS, SIMPLE_HOURS, SIMPLE_SPEED_BINS
 from trackwise.sources.sinks import csv_line
 
@@ -30,25 +30,27 @@ MAX_SPEED_RATIO = 1.5
 VALIDITY_COLUMNS = ["imei", "VIN", "valid_start", "valid_end", "valid_start_utc", "valid_end_utc"]
 
 
-# Salt buckets of the validity join: a device with a large share of all trips
-# is split over this many join keys.
-SALT_BUCKETS = 16
+# Buckets of the validity join: a day wide, or 4, 16, ... days for windows of more than 64 buckets.
+BUCKET_SECONDS, BUCKET_GROWTH, BUCKET_LEVELS = 86400, 4, 10
 
 
 def validity_join(features: DataFrame, validity: DataFrame,
-                  salt_buckets: int = SALT_BUCKETS, tz: str | None = None) -> DataFrame:
+                  salt_buckets: int | None = None, tz: str | None = None) -> DataFrame:
     """Trips lying inside a validity window of their device: the window must
     start no later than the trip start and end no earlier than its end.
     The features' device column is renamed imei_1; a ``day`` column (of ``tz``,
     default the session zone) is added.
 
-    The window table is measured first (operators.broadcast): if it fits the
+    The window table is measured first (operators.range_join): if it fits the
     broadcast threshold it is broadcast as is (a broadcast join has no skew).
-    Otherwise both sides are salted for a shuffle join on (imei, salt): each
-    trip gets a salt from a hash of its start and end, every window is
-    replicated to all ``salt_buckets`` salts, and a (trip, window) pair
-    matches under exactly one salt, so a device with a third of all trips is
-    spread over that many join keys instead of one task.
+    Otherwise it is a shuffle join on (imei, level, bucket): a window is
+    expanded to at most 65 time buckets of the narrowest width that allows it, a
+    trip probes the bucket of its start at each width in use. A window that holds
+    a trip holds its start, so a pair meets in exactly one bucket, and a device
+    with a third of all trips is spread over its days. A trip that ends before it
+    starts may lie in a window without its start: such rows meet every window
+    of their device. ``salt_buckets`` asks for a join by a hash salt instead
+    (every window copied to all salts).
     """
     v = validity.select(*VALIDITY_COLUMNS)
     f = (features.withColumnRenamed("imei", "imei_1")
@@ -58,9 +60,24 @@ def validity_join(features: DataFrame, validity: DataFrame,
         return ((w["imei"] == t["imei_1"]) & (w["valid_start_utc"] <= t["tripnumber"])
                 & (w["valid_end_utc"] >= t["end_time"]))
 
-    if fits_broadcast(v):
+    widths = {"bucket_seconds": BUCKET_SECONDS, "growth": BUCKET_GROWTH, "levels": BUCKET_LEVELS}
+    facts = interval_facts(v, "valid_start_utc", "valid_end_utc", v, **widths)
+    if facts.fits[1]:
         b = F.broadcast(v)
         return b.join(f, contained(b, f), "inner")
+    if salt_buckets is not None:
+        return _salted(v, f, contained, salt_buckets)
+    every = v.withColumns({"_level": F.lit(-1), "_bucket": F.lit(0).cast("long")})
+    windows = expand_intervals(v, "valid_start_utc", "valid_end_utc", **widths).unionByName(every).hint("merge")
+    probes = F.array(*[F.struct(F.lit(i).alias("l"), F.floor(F.col("tripnumber") / (BUCKET_SECONDS * BUCKET_GROWTH ** i)).cast("long").alias("b"))
+                       for i in facts.levels])
+    odd = F.array(F.struct(F.lit(-1).alias("l"), F.lit(0).cast("long").alias("b")))
+    trips = f.withColumn("_probe", F.explode(F.when(F.col("end_time") < F.col("tripnumber"), odd).otherwise(probes)))
+    same = (windows["_level"] == trips["_probe.l"]) & (windows["_bucket"] == trips["_probe.b"])
+    return windows.join(trips, contained(windows, trips) & same, "inner").drop("_level", "_bucket", "_probe")
+
+
+def _salted(v: DataFrame, f: DataFrame, contained, salt_buckets: int) -> DataFrame:
     if salt_buckets <= 1:
         m = v.hint("merge")
         return m.join(f, contained(m, f), "inner")

@@ -128,3 +128,21 @@ def complex_type(name: str) -> str:
 
 
 COMPLEX_TYPES = {c: complex_type(c) for c in COMPLEX_COLUMNS}
+
+
+def simple_type(name: str) -> str:
+    if name in ("imei", "vid"):
+        return "string"
+    if name in ("tripnumber", "dura"):
+        return "int"
+    return "long" if name == "dura_valid" or name in SIMPLE_SPEED_BINS else "double"
+
+
+def _struct(types: dict[str, str]) -> T.StructType:
+    kinds = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType()}
+    return T.StructType([T.StructField(c, kinds[t]) for c, t in types.items()])
+
+
+#: the feature datasets as written (and read again, with stat_date)
+SIMPLE_SCHEMA = _struct({c: simple_type(c) for c in SIMPLE_COLUMNS})
+COMPLEX_SCHEMA = _struct(COMPLEX_TYPES)

@@ -18,12 +18,18 @@ from trackwise.functions.timefmt import day_string, utc_day_key
 # Fixed values of the stand-in data definition.
 EPOCH0 = 1704067200          # 2024-01-01 00:00:00 UTC
 USER_STRIDE = 599            # seconds between consecutive users' tracks (some cross midnight)
+USERS = 500000               # ids go round after so many, so that times stay 32-bit seconds
 TRIP1_END = 66               # first trip: [start, start + 66]
 TRIP2_START, TRIP2_END = 67, 400
 OTHER_END = 50               # second s_end of the first trip where it is listed twice
 TRIP2_ID_OFFSET, VID_OFFSET = 500000, 100000
 
 
+def track_start(user):
+    """First second of a user's track."""
+    return F.lit(EPOCH0) + F.pmod(user, F.lit(USERS)) * USER_STRIDE
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,7 +64,7 @@ def gps_points(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> D
     c = _running_sums(ev, {"cy": (e * 37) % 21 - 10, "cx": (e * 53) % 21 - 10, "ch": (e * 13) % 21 - 10})
     c2 = c.unionByName(c.where((e % 89 == 0) | (e % 103 == 0)))
     u = F.col("user_id")
-    lat_tail = u * F.lit(1e-2)
+    lat_tail = F.pmod(u, F.lit(USERS)) * F.lit(1e-2)
     lat = (F.when(e % 103 == 0, F.lit(None).cast("double"))
            .when(e % 101 == 0, F.lit(0.0))
            .when(e % 97 == 0, F.lit(31.0) + lat_tail + F.col("cy") * F.lit(2e-5))
@@ -67,7 +73,7 @@ def gps_points(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> D
     speed = (F.when(e % 83 == 0, F.lit(None).cast("double"))
              .when(F.col("event_type") == "error", F.lit(0.0))
              .otherwise(F.col("value")))
-    ts = (F.lit(EPOCH0) + u * USER_STRIDE + F.col("seq")) * 1000 + (e % 4) * 250
+    ts = (track_start(u) + F.col("seq")) * 1000 + (e % 4) * 250
     out = c2.select(
         u.cast("string").alias("imei"), lat.alias("lat"), lon.alias("lon"),
         speed.alias("speed"), ((F.col("ch") + 36000) % 360).cast("int").alias("direction"),
@@ -81,13 +87,13 @@ def gps_points(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> D
 
 
 def trip_stat(spark: SparkSession, sf_dir: str, full_schema: bool = False) -> DataFrame:
-    """Two trips per user: [t0, t0+66] and [t0+67, t0+400], t0 = EPOCH0 + USER_STRIDE * user.
+    """Two trips per user: [t0, t0+66] and [t0+67, t0+400], t0 = EPOCH0 + USER_STRIDE * (user mod USERS).
 
     Some first trips are listed twice, as they are (user % 5 = 2) or with another
     end (user % 5 = 4); some second trips have no tid (user % 7 = 3)."""
     users = table(spark, sf_dir, "events").select("user_id").distinct()
     u = F.col("user_id")
-    t0 = F.lit(EPOCH0) + u * USER_STRIDE
+    t0 = track_start(u)
     first = users.select(u.cast("string").alias("deviceid"), u.cast("string").alias("tid"),
                          (u + VID_OFFSET).cast("string").alias("vid"),
                          t0.cast("int").alias("start"), (t0 + TRIP1_END).cast("int").alias("s_end"))
@@ -132,7 +138,7 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-vehicle validity windows of 0..200 s (imei, VIN, epoch bounds + datetime text)."""
     k = F.col("c_custkey")
-    start = F.lit(EPOCH0) + k * USER_STRIDE
+    start = track_start(k)
     end = start + (k % 5) * 50
     return (table(spark, sf_dir, "customer").where(k % 10 != 3)
             .select(k.cast("string").alias("imei"), F.col("c_name").alias("VIN"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,13 +44,36 @@ def read_gps_points(spark: SparkSession, base: str, days: Iterable[str] | None =
     """GPS parquet with the fixed schema, or with the file schema re-typed by position."""
     if not positional_cast:
         return _days(spark.read.schema(_with_day(GPS_SCHEMA)).parquet(base), days)
-    df = spark.read.parquet(base)
-    data_cols = [c for c in df.columns if c != "stat_date"]
-    typed = [F.col(c).cast(t).alias(n) for c, t, n in
+    df = _file_schema_read(spark, base)
+    data_cols = [f for f in df.schema.fields if f.name != "stat_date"]
+    check_positional(data_cols, GPS_SCHEMA.fieldNames())
+    typed = [F.col(f"`{f.name}`").cast(t).alias(n) for f, t, n in
              zip(data_cols, GPS_POSITIONAL_TYPES, GPS_SCHEMA.fieldNames())]
     return _days(df.select(*typed, F.col("stat_date").cast("string").alias("stat_date")), days)
 
 
+def _file_schema_read(spark: SparkSession, base: str) -> DataFrame:
+    """The files with their own schema; a dataset without files has the declared one."""
+    try:
+        return spark.read.parquet(base)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.schema(_with_day(GPS_SCHEMA)).parquet(base)
+
+
+def check_positional(fields: list[T.StructField], names: list[str]) -> None:
+    """Re-typing by position needs exactly the declared columns, each a number or text:
+    raises ValueError for a file with other columns instead of cutting or shifting them."""
+    if len(fields) != len(names):
+        raise ValueError(f"positional read: {len(names)} columns expected ({', '.join(names)}), "
+                         f"the files have {len(fields)} ({', '.join(f.name for f in fields)})")
+    odd = [f"{f.name} {f.dataType.simpleString()} (for {n})" for f, n in zip(fields, names)
+           if not isinstance(f.dataType, (T.NumericType, T.StringType))]
+    if odd:
+        raise ValueError(f"positional read: neither number nor text: {', '.join(odd)}")
+
+
 def read_cohort(spark: SparkSession, source: str) -> DataFrame:
     """Cohort of device ids from a catalog table name or a parquet path."""
     df = spark.read.schema(COHORT_SCHEMA).parquet(source) if "/" in source else spark.table(source)
@@ -72,9 +96,45 @@ def read_validity(spark: SparkSession, path: str, fmt: str = "parquet", tz: str
     return validity_from_datetimes(reader.format(fmt).load(path), tz=tz)
 
 
-def read_trip_features(spark: SparkSession, base: str, days: Iterable[str] | None = None) -> DataFrame:
+def read_trip_features(spark: SparkSession, base: str, days: Iterable[str] | None = None,
+                       schema: T.StructType | None = None) -> DataFrame:
     """Trip-feature dataset written day-partitioned by the feature jobs.
 
-    The day value stays text (yyyyMMdd) rather than an inferred number."""
-    df = spark.read.option("basePath", base).parquet(base)
+    With ``schema`` (SIMPLE_SCHEMA, COMPLEX_SCHEMA) nothing is inferred, and a dataset
+    without files is an empty table. The day value stays text (yyyyMMdd) rather than an
+    inferred number."""
+    reader = spark.read.option("basePath", base)
+    df = (reader.schema(_with_day(schema)) if schema else reader).parquet(base)
     return _days(df.withColumn("stat_date", F.col("stat_date").cast("string")), days)
+
+
+def read_trip_stat_checked(spark: SparkSession, base: str, staged: str, days: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects) of the trip table: rows that fit the schema, and the others.
+
+    A row with a field that is no number where one is due, or with too few or too many
+    fields, is a reject: ``stat_date, reason, row`` (the text as read). The text is read and
+    parsed once, into a table ``staged`` by quality and day; both results are read from it
+    through partition pruning. ``good`` has the columns of :func:`read_trip_stat`; the
+    staged table keeps all fields, so that a row is judged by every one of them.
+    """
+    bad = "_bad"
+    schema = T.StructType([*TRIP_SCHEMA.fields, T.StructField(bad, T.StringType()), DAY_FIELD])
+    df = (spark.read.schema(schema).option("sep", ",").option("header", False).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", bad)
+          .option("columnPruning", False)
+          .csv(base))
+    fields = F.size(F.split(bad, ",", -1))
+    reason = F.when(F.col(bad).isNull(), "").when(fields < len(TRIP_SCHEMA), "too few fields").when(
+        fields > len(TRIP_SCHEMA), "too many fields").otherwise("not a number")
+    keep = [F.when(F.col(bad).isNull(), F.col(c)).alias(c) for c in TRIP_SCHEMA.fieldNames()]
+    (_days(df, days).select(*keep, F.col(bad).alias("row"), reason.alias("reason"), F.when(F.col(bad).isNull(), "good").otherwise("reject").alias("quality"),
+                            "stat_date").write.partitionBy("quality", "stat_date").parquet(staged))
+    table = spark.read.schema(T.StructType([*TRIP_SCHEMA.fields, T.StructField("row", T.StringType()), T.StructField("reason", T.StringType()),
+                                            T.StructField("quality", T.StringType()), DAY_FIELD])).parquet(staged)
+    return (table.where("quality = 'good'").select(*TRIP_COLUMNS, "stat_date"),
+            table.where("quality = 'reject'").select("stat_date", "reason", "row"))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """(stat_date, reason, rows) of the rejects."""
+    return rejects.groupBy("stat_date", "reason").agg(F.count(F.lit(1)).alias("rows"))

@@ -17,14 +17,19 @@ from pyspark.sql import types as T
 from trackwise.session import staging_path
 
 
-def _day_files(spark: SparkSession, base: str, day_col: str) -> dict[str, tuple]:
-    """Day -> names of its files, for the day directories below ``base``."""
+def day_files(spark: SparkSession, base: str, day_col: str = "stat_date") -> dict[str, list[tuple[str, int, int]]]:
+    """Day -> its files as (name, bytes, time of change), for the day directories below ``base``."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return {}
     dirs = [d.getPath() for d in fs.listStatus(path) if d.getPath().getName().startswith(f"{day_col}=")]
-    return {d.getName().split("=", 1)[1]: tuple(sorted(f.getPath().getName() for f in fs.listStatus(d))) for d in dirs}
+    return {d.getName().split("=", 1)[1]: sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(d))
+            for d in dirs}
+
+
+def _day_files(spark: SparkSession, base: str, day_col: str) -> dict[str, tuple]:
+    return {day: tuple(name for name, _, _ in files) for day, files in day_files(spark, base, day_col).items()}
 
 
 def write_day_partitioned(df: DataFrame, base: str, day_col: str = "stat_date",
