@@ -70,3 +70,53 @@ def test_empty_text_links_like_any_other(spark):
     docs = spark.createDataFrame([(3, None), (4, ""), (9, "one two three four")], "doc_id long, text string")
     out = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
     assert out[3] == out[4] == ("0" * 16, 3) and out[9][1] == 9
+
+
+def cluster(n, rng, dense):
+    """Distinct fingerprints around one: within three bits of it, or each a bit or two from another."""
+    found = [rng.getrandbits(64)]
+    seen = set(found)
+    while len(found) < n:
+        x = found[0] if dense else rng.choice(found)
+        for b in rng.sample(range(64), rng.randint(1, 3 if dense else 2)):
+            x ^= 1 << b
+        if x not in seen:
+            seen.add(x)
+            found.append(x)
+    return [x - (1 << 64) if x >> 63 else x for x in found]
+
+
+def test_node_pairs_of_a_cluster_grow_with_it(spark, monkeypatch):
+    """Node pairs grow with the fingerprints and their links, not with all pairs of a cluster; groups are right."""
+    made, lists, masks = [], simhash._by_lists, simhash._by_masks
+
+    def counted(step):
+        def run(*args):
+            out = step(*args).cache()
+            made.append(out.count())
+            return out
+        return run
+
+    monkeypatch.setattr(simhash, "_by_lists", counted(lists))
+    monkeypatch.setattr(simhash, "_by_masks", counted(masks))
+    rows, sizes = [], []
+    for n in (400, 1600):
+        prints = cluster(n, random.Random(n), dense=True) + cluster(n, random.Random(n + 1), dense=False)
+        prints = list(dict.fromkeys(prints))
+        made.clear()
+        got = {r["fp"]: r["group"] for r in simhash.fingerprint_groups(spark.createDataFrame([(x,) for x in prints], "fp long")).collect()}
+        links = [(x, y) for i, x in enumerate(prints) for y in prints[i + 1:] if ((x ^ y) & ((1 << 64) - 1)).bit_count() <= 3]
+        rows.append(sum(made))
+        sizes.append((len(prints), len(links)))
+        if n == 400:
+            assert got == groups(prints, links)
+    (n1, l1), (n2, l2) = sizes
+    assert rows[1] <= 1.3 * rows[0] * max(n2 / n1, l2 / l1) and rows[1] < 0.05 * n2 * n2
+
+
+def test_links_between_components_only(spark):
+    leaves = spark.createDataFrame([(0, 0, 0), (1, 1, 0), (2, 2, 2), (4, 3, 3), (1 << 40, 4, 0)], "fp long, id long, component long")
+    got = {frozenset((r["a"], r["b"])) for r in simhash.trie_links(leaves, 2).collect()}
+    same = {frozenset((0, 1)), frozenset((0, 4)), frozenset((1, 4))}
+    every = {frozenset((r["a"], r["b"])) for r in simhash.trie_links(leaves.drop("component"), 2).collect()}
+    assert every - same == got and same <= every
