@@ -12,13 +12,14 @@ where the state's string ends in it and the match is at least as long.
 
 Words are maximal runs of 0-9, a-z (A-Z lower-cased) and non-ASCII characters.
 The automaton is broadcast; its templates are an argument of at most MAX_WORDS
-words. Null and empty texts have no words, places or spans; repeated rows give
-repeated results; an empty table gives none; columns beside key and text are
-ignored.
+words. Null and empty texts have no words, places or spans; null keys are kept; repeated
+rows give repeated results; an empty table gives none; columns beside key and text are
+ignored; texts of any length are streamed whole, in bounded slices or alone.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -68,8 +69,10 @@ def words_of(text: str) -> list[bytes]:
 
 def build_automaton(templates: Sequence[tuple[str, str]], phrases: Sequence[tuple[str, str]]) -> dict:
     """The automaton as plain lists: step[state][word id], link, length;
-    where[state]: {template: last word of an occurrence}; ends[state]: phrases
-    (words, label) that the state's string ends in."""
+    where[state]: {template: last words of all occurrences, ascending}; ends[state]:
+    phrases (words, label) that the state's string ends in. The places of all states
+    together are at most the sum of the templates' words times the depth of the tree of links
+    at them; the bound on the templates' words bounds both."""
     vocab: dict[bytes, int] = {}
     texts = [[vocab.setdefault(w, len(vocab)) for w in words_of(t)] 
              for t in (*(t for _, t in templates), *(p for p, _ in phrases))]
@@ -111,24 +114,25 @@ def build_automaton(templates: Sequence[tuple[str, str]], phrases: Sequence[tupl
         last = 0
         for w in text:
             last = extend(last, w)
-    where: list[dict[int, int]] = [{} for _ in step]
+    where: list[dict[int, list[int]]] = [{} for _ in step]
     whole: list[list[tuple[int, str]]] = [[] for _ in step]
     for t, text in enumerate(texts):
         s = 0
         for i, w in enumerate(text):
             s = step[s][w]
-            where[s].setdefault(t, i)
+            if t < len(templates):
+                where[s].setdefault(t, []).append(i)
         if t >= len(templates) and text:
             whole[s].append((len(text), phrases[t - len(templates)][1]))
     order = sorted(range(1, len(step)), key=length.__getitem__)
     for s in reversed(order):                 # an occurrence of a state is one of its suffix states
-        for t, i in where[s].items():
-            where[link[s]].setdefault(t, i)
+        for t, at in where[s].items():
+            where[link[s]].setdefault(t, []).extend(at)
     ends: list[tuple] = [()] * len(step)
     for s in order:
         ends[s] = (*whole[s], *ends[link[s]])
     return {"vocab": vocab, "step": step, "link": link, "length": length, "ends": ends,
-            "where": [{t: i for t, i in w.items() if t < len(templates)} for w in where],
+            "where": [{t: sorted(at) for t, at in w.items()} for w in where],
             "templates": [(label, len(text)) for (label, _), text in zip(templates, texts)]}
 
 
@@ -166,7 +170,12 @@ def stream(automaton: Mapping, words: list[bytes], min_match: int = MIN_MATCH):
 
 
 def chain(automaton: Mapping, matches, min_match: int = MIN_MATCH, max_gap: int = MAX_GAP):
-    """Covered template spans: (label, first word, words, coverage)."""
+    """Covered template spans: (label, first word, words, coverage).
+
+    A match that stands several times in a template continues an open chain at the
+    nearest place behind the chain's end there; at none it begins a chain of its own
+    at the first place.
+    """
     open_: dict[int, list] = {}     # template: [first word, end, template end, covered words]
     spans = []
 
@@ -176,18 +185,20 @@ def chain(automaton: Mapping, matches, min_match: int = MIN_MATCH, max_gap: int
         spans.append((label, first, end - first, covered / size))
 
     for end, n, s in matches:
-        for t, last in automaton["where"][s].items():
+        for t, places in automaton["where"][s].items():
             if n < min(min_match, automaton["templates"][t][1]):
                 continue
-            start, t_start, t_end = end - n, last + 1 - n, last + 1
-            c = open_.get(t)
+            start, c = end - n, open_.get(t)
             if c:
-                lap = max(0, c[1] - start, c[2] - t_start)      # words that the chain has already
-                if lap < n and start - c[1] <= max_gap and t_start - c[2] <= max_gap and t_end > c[2]:
-                    open_[t] = [c[0], end, t_end, c[3] + n - lap]
-                    continue
+                behind = bisect_right(places, c[2] - 1)                # the first place that ends behind the chain's
+                if behind < len(places):
+                    t_start, t_end = places[behind] + 1 - n, places[behind] + 1
+                    lap = max(0, c[1] - start, c[2] - t_start)      # words that the chain has already
+                    if lap < n and start - c[1] <= max_gap and t_start - c[2] <= max_gap:
+                        open_[t] = [c[0], end, t_end, c[3] + n - lap]
+                        continue
                 close(t)
-            open_[t] = [start, end, t_end, n]
+            open_[t] = [start, end, places[0] + 1, n]
     for t in list(open_):
         close(t)
     return spans
@@ -235,3 +246,15 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base, covered)), ",").alias("labels"),
         F.coalesce(F.array_max("spans.coverage"), F.lit(0.0)).alias("score"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: the base columns of the query, phrase by phrase over the words of every text
+BASE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                  '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+p AS (SELECT * FROM (VALUES {', '.join(f"({phrase.split()!r}, '{label}')" for phrase, label in PHRASES)}) t(phrase, label)),
+f AS (SELECT r, i, label FROM d, p, unnest(range(0, len(w))) u(i) WHERE list_slice(w, i + 1, i + len(phrase)) = phrase)
+SELECT any_value(doc_id) AS doc_id, any_value(len(w))::BIGINT AS n_words, count(i) AS n_base, min(i) AS first_word, max(i) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM d LEFT JOIN f USING (r) GROUP BY d.r"""
