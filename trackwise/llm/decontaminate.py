@@ -14,15 +14,19 @@ prefix. Steps:
    window in the document (positional and length bounds);
 4. the words there are compared with the window's (exact containment).
 
-The benchmark is a query set: it is handled in blocks of at most BLOCK_BYTES of
+The benchmark is a query set: it is handled in blocks of about BLOCK_BYTES of
 text, the bound of what is collected and broadcast; every block meets all
-documents.
+documents. Blocks are made of the distinct texts, and a text of more than PIECE_WORDS
+words is cut into pieces that share window - 1 words, so that neither repeated rows nor
+long items fill one; a block with too many distinct words for a shingle's code is
+halved. The items of a text are joined on at the end, in Spark.
 
 Words are maximal runs of 0-9, a-z (A-Z lower-cased) and non-ASCII characters.
 Null texts have no words; items without words have no window; items with a null
 id mark words but are not listed. Rows are judged one by one, so repeated ids
 give repeated results; empty tables give an empty result or no hits; columns
-beside key and text are ignored.
+beside key and text are ignored; texts of any length are taken whole, in bounded
+slices or alone.
 """
 
 from __future__ import annotations
@@ -38,7 +42,8 @@ from trackwise.llm.batches import documents, small_batches, text_slices, through
 from trackwise.llm.licenses import WORD_BYTES, words_of
 
 WINDOW, SHINGLE = 10, 3
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 3_000_000
+PIECE_WORDS = 50_000
 #: bits of a word id within a shingle's code
 ID_BITS = 21
 
@@ -87,16 +92,38 @@ def _posting_rows(batches, index, window: int, key_type: pa.DataType):
              pa.array(posts, pa.list_(posting))], ["row", "key", "n_words", "postings"])
 
 
+def _pieces(texts: DataFrame, window: int, piece_words: int) -> DataFrame:
+    """(item, text) of distinct texts (item, text) in pieces that hold every window."""
+    def run(batches):
+        for items, rows in text_slices(batches, "item", "text"):
+            out = []
+            for i, t in zip(items, rows):
+                words = t.translate(WORD_BYTES).split()
+                starts = range(0, max(1, len(words) - window + 1), piece_words)
+                out += [(i, b" ".join(words[a:a + piece_words + window - 1])) for a in starts if words]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.string()),
+                                                  pa.array([t for _, t in out], pa.binary()).cast(pa.string())], ["item", "text"])
+
+    return texts.mapInArrow(run, "item string, text string")
+
+
+def _in_blocks(docs: DataFrame, items: list, window: int, shingle: int) -> list[tuple[DataFrame, DataFrame]]:
+    """:func:`_block_matches` of the items, halved while they have too many distinct words."""
+    words = {w for _, t in items for w in words_of(t)}
+    if len(words) + 1 >= 1 << ID_BITS and len(items) > 1:
+        half = len(items) // 2
+        return _in_blocks(docs, items[:half], window, shingle) + _in_blocks(docs, items[half:], window, shingle)
+    return [_block_matches(docs, items, window, shingle)]
+
+
 def _block_matches(docs: DataFrame, items: list, window: int, shingle: int) -> tuple[DataFrame, DataFrame]:
     """(documents: row, key, n_words; matches: row, start, length, item) for one block of items."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = docs.sparkSession
     vocab: dict[bytes, int] = {}
-    coded = [(str(i) if i is not None else None, ids) for i, t in items
-             if (ids := [vocab.setdefault(w, len(vocab) + 1) for w in words_of(t or "")])]
-    if len(vocab) >= 1 << ID_BITS:
-        raise ValueError("a block of the benchmark has too many distinct words")
+    coded = [(i, ids) for i, t in items if (ids := [vocab.setdefault(w, len(vocab) + 1) for w in words_of(t)])]
     codes: dict[int, set] = {}
     for _, ids in coded:
         size = min(shingle, len(ids))
@@ -136,22 +163,26 @@ def _block_matches(docs: DataFrame, items: list, window: int, shingle: int) -> t
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                        item: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE,
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, piece_words: int = PIECE_WORDS) -> DataFrame:
     """(key, n_words, windows: array of (start, length) that occur, items: ids of their items) of every row."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    bench = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
-    size = bench.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
+    bench = benchmark.select(F.col(item).cast("string").alias("id"), F.sha2(F.coalesce(F.col(item_text), F.lit("")), 256).alias("item"),
+                             F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    texts = bench.select("item", "text").dropDuplicates(["item"])
+    pieces = through_table(_pieces(texts, window, piece_words), "pieces")
+    size = pieces.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     heads = matches = None
     for b in range(blocks):
-        part = bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()
-        head, found = _block_matches(rows, part, window, shingle)
-        heads = heads or head
-        matches = found if matches is None else matches.unionByName(found)
-    hits = matches.groupBy("row").agg(F.collect_set(F.struct("start", "length")).alias("windows"),
-                                      F.collect_set("item").alias("items"))
-    return heads.join(hits, "row", "left").select(
+        part = pieces.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()
+        for head, found in _in_blocks(rows, part, window, shingle):
+            heads = heads or head
+            matches = found if matches is None else matches.unionByName(found)
+    windows = matches.groupBy("row").agg(F.collect_set(F.struct("start", "length")).alias("windows"))
+    ids = (matches.select("row", "item").distinct().join(bench.where("id IS NOT NULL").select("item", "id").distinct(), "item")
+           .groupBy("row").agg(F.collect_set("id").alias("items")))
+    return heads.join(windows, "row", "left").join(ids, "row", "left").select(
         F.col("key").alias(key), "n_words", F.coalesce("windows", F.expr("array()")).alias("windows"),
         F.array_sort(F.coalesce("items", F.expr("array()"))).alias("items"))
 
@@ -180,7 +211,7 @@ x AS (SELECT r, i, n, list_slice(w, i, i + n - 1) AS gram
 h AS (SELECT r, i, n, item_id FROM x JOIN g USING (gram)),
 c AS (SELECT r, count(DISTINCT p) AS n_hit FROM h, unnest(range(i, i + n)) t(p) GROUP BY r),
 m AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
-      FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM h) GROUP BY r)
+      FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM h WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN c USING (r) LEFT JOIN m USING (r)
