@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,11 +121,16 @@ def active_features(text: bytes, index: dict[bytes, int]) -> tuple[list[int], in
 
 
 def fit(rows: list[tuple[int, list[int]]], n_features: int) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, cuts) by gradient descent on the mean log loss of the thresholds; rows are (grade, features)."""
-    grade = np.array([g for g, _ in rows])
-    size = np.array([len(f) for _, f in rows])
+    """(weights, cuts) of the model; rows are (grade, features)."""
+    return fit_arrays(np.array([g for g, _ in rows]), np.array([len(f) for _, f in rows]),
+                      np.array([i for _, f in rows for i in f], np.int64), n_features)
+
+
+def fit_arrays(grade: np.ndarray, size: np.ndarray, col: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, cuts) by gradient descent on the mean log loss of the thresholds; of every row the
+    grade and the number of its features, which follow each other in ``col``."""
+    rows = range(len(grade))
     row = np.repeat(np.arange(len(rows)), size)
-    col = np.array([i for _, f in rows for i in f], np.int64)
     target = (grade[:, None] >= np.arange(1, 4)).astype(float)
     share = np.clip(target.mean(0), 1e-4, 1 - 1e-4)
     cuts, w = -np.log(share / (1 - share)), np.zeros(n_features)
@@ -157,10 +163,19 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 [pa.array(toxic, pa.int32()), pa.array([n for _, n in found], pa.int64()),
                  pa.array([f for f, _ in found], pa.list_(pa.int32()))], ["toxic", "n", "features"])
 
+    # at most two samples of rows, as Arrow columns
     rows = texts.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(
-        active, "toxic int, n long, features array<int>").collect()
-    graded = sorted((r["toxic"] + sum(r["n"] >= m for m in GRADE_WORDS) if r["toxic"] else 0, r["features"]) for r in rows)
-    weights, cuts = fit(graded, len(index))
+        active, "toxic int, n long, features array<int>").toArrow().combine_chunks()
+    sent.destroy()
+    toxic, hits = (rows.column(c).to_numpy() for c in ("toxic", "n"))
+    grade = np.where(toxic > 0, toxic + sum((hits >= m).astype(int) for m in GRADE_WORDS), 0)
+    size = pc.list_value_length(rows.column("features")).to_numpy()
+    col = pc.list_flatten(rows.column("features")).to_numpy().astype(np.int64)
+    # in one order, whatever that of the rows: by grade, then features
+    starts = np.concatenate(([0], np.cumsum(size)[:-1]))
+    order = sorted(range(len(grade)), key=lambda i: (grade[i], col[starts[i]:starts[i] + size[i]].tobytes()))
+    col = np.concatenate([col[starts[i]:starts[i] + size[i]] for i in order])
+    weights, cuts = fit_arrays(grade[order], size[order], col, len(index))
     return {"index": index, "weights": weights, "cuts": cuts}
 
 
