@@ -40,3 +40,24 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 3) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = cp.simhash_stage(spark, df, SF).collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted([("1", a), ("1", b), ("None", c)])
+
+
+def test_further_columns_of_any_name_and_type(spark):
+    """Names that the stages use inside, a name with a dot, and a map, which has no order."""
+    a, b = "one two three four five", "a text that is quite another one"
+    rows = [(1, a), (1, a), (2, a), (3, b), (None, b), (None, "what nobody else has said so far"), (None, "what nobody else has said so far")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("bad", "row key", "key", "row", "id", "hash", "fp", "group", "first", "n", "kept_id", "n_entities", "a.b"):
+        df = df.selectExpr("*", f"'other' AS `{c}`")
+    df = df.selectExpr("*", "map('k', 1) AS tags")
+    kept = cp.simhash_stage(spark, df, SF)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted([("1", a), ("3", b), ("None", rows[-1][1])])
+    assert all(r["bad"] == r["row key"] == r["a.b"] == "other" and r["tags"] == {"k": 1} for r in got)
+    for stage in (cp.toxicity_stage, cp.decontamination_stage, cp.pii_stage):
+        out = stage(spark, df, SF)
+        assert out.columns == df.columns and out.count() == len(rows)
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    mixed = df.unionByName(df.limit(1).selectExpr("99L AS doc_id", f"{bench!r} AS text", *[f"`{c}`" for c in df.columns if c not in ("doc_id", "text")]))
+    assert 99 not in {r["doc_id"] for r in cp.decontamination_stage(spark, mixed, SF).collect()}
