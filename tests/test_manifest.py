@@ -2,6 +2,7 @@
 
 import os
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,43 @@ def test_pending_ranges():
     assert backfill._pending_ranges(days, None) == [("20240130", "20240201"), ("20240203", "20240204")]
     assert backfill._pending_ranges(days, 2) == [("20240130", "20240131"), ("20240201", "20240201"), ("20240203", "20240204")]
     assert backfill._pending_ranges([], 3) == []
+
+
+def test_chunks_run_side_by_side(spark, inputs, monkeypatch):
+    met, write = threading.Barrier(2), sinks.write_day_partitioned
+
+    def waits_for_another_chunk(df, base, **kw):
+        if kw["days"][0] != "20231231":
+            met.wait(120)
+        write(df, base, **kw)
+
+    monkeypatch.setattr(sinks, "write_day_partitioned", waits_for_another_chunk)
+    before = spark.conf.get("spark.sql.constraintPropagation.enabled")
+    out = staging_path(spark, "features")
+    assert backfill.run_simple(spark, out_base=out, chunk_days=1, **DAYS, **inputs) == ["20231231", "20240101", "20240102"]
+    assert spark.conf.get("spark.sql.constraintPropagation.enabled") == before
+    assert {s for s, _ in records(spark, out).values()} == {"done"}
+
+
+def test_only_the_days_asked_for_are_listed(spark, tmp_path):
+    for day in ("20231231", "20240101", "20240102", "20240201"):
+        os.makedirs(tmp_path / f"stat_date={day}")
+        (tmp_path / f"stat_date={day}" / "a.parquet").write_text("x")
+    assert sorted(sinks.day_files(spark, str(tmp_path))) == ["20231231", "20240101", "20240102", "20240201"]
+    assert sorted(sinks.day_files(spark, str(tmp_path), days=("20240101", "20240102"))) == ["20240101", "20240102"]
+    assert sorted(sinks.day_files(spark, str(tmp_path), days=("20231231", "20240101"))) == ["20231231", "20240101"]
+    assert sinks.day_files(spark, str(tmp_path / "none"), days=("20240101", "20240102")) == {}
+
+
+def test_staged_inputs_are_about_a_file_a_day(spark, tmp_path):
+    """Ten days of twelve users each: not a file for every task and day."""
+    users = [day * 145 + i for day in range(10) for i in range(12)]
+    spark.createDataFrame([(n * 120 + k, u, "view", 1.0) for n, u in enumerate(users) for k in range(3)],
+                          "event_id long, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for stage in (registry._staged_trips, registry._staged_points, registry._staged_trips_with_errors):
+            days = sinks.day_files(spark, stage(spark, str(tmp_path)))
+            assert len(days) >= 10 and sum(map(len, days.values())) <= len(days) + 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -23,7 +23,9 @@ import datetime as dt
 import hashlib
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +34,13 @@ from trackwise.functions.timefmt import day_keys
 from trackwise.plans import complex as j2
 from trackwise.plans import simple as j1
 from trackwise.schemas import COMPLEX_SCHEMA, SIMPLE_SCHEMA
+from trackwise.session import constraints_off
 from trackwise.sources import readers, sinks
 
 #: below the output's folder; names with an underscore are hidden from Spark's readers
 MANIFEST = "_manifest"
+#: chunks of a run under way at a time; a chunk of few days leaves most of a cluster idle
+CHUNKS_AT_ONCE = 4
 MANIFEST_SCHEMA = ("job string, status string, rows long, inputs array<struct<path:string, bytes:bigint, modified:bigint>>, "
                    "fingerprint string, stat_date string")
 
@@ -121,17 +126,37 @@ def _run_days(spark: SparkSession, job: str, compute: Callable[[str, str], DataF
     done = {}
     if resume:
         done = {r["stat_date"]: r["fingerprint"] for r in manifest(spark, out_base).where("status = 'done'").collect()}
-    computed = []
-    for first, last in _pending_ranges([d for d in files if done.get(d) != prints[d]], chunk_days):
+
+    def run(chunk: tuple[str, str]) -> list[str]:
+        first, last = chunk
         days = days_between(first, last)
         note = lambda status, rows: _record(spark, out_base, [
             (job, status, rows.get(d, 0), files[d], prints[d], d) for d in days])
         note("running", {})
         sinks.write_day_partitioned(compute(first, last), out_base, days=(first, last))
-        rows = readers.read_trip_features(spark, out_base, days, schema).groupBy("stat_date").count().collect()
-        note("done", {r["stat_date"]: r["count"] for r in rows})
-        computed += days
-    return computed
+        note("done", _written(spark, out_base, days, schema))
+        return days
+
+    # every chunk replaces days of its own, through a staging folder of its own
+    with constraints_off(spark), ThreadPoolExecutor(CHUNKS_AT_ONCE) as pool:
+        # a thread for every chunk's job group and local properties
+        begun = [pool.submit(inheritable_thread_target(spark)(run), chunk)
+                 for chunk in _pending_ranges([d for d in files if done.get(d) != prints[d]], chunk_days)]
+        try:
+            return [day for chunk in begun for day in chunk.result()]
+        except BaseException:
+            pool.shutdown(wait=True, cancel_futures=True)
+            raise
+
+
+def _written(spark: SparkSession, out_base: str, days: list[str], schema: T.StructType) -> dict[str, int]:
+    """Rows of every day that has any, without a listing of the other days' folders."""
+    found = sinks.day_files(spark, out_base, days=(days[0], days[-1]))
+    if not found:
+        return {}
+    table = spark.read.option("basePath", out_base).schema(T.StructType([*schema.fields, readers.DAY_FIELD])).parquet(
+        *[f"{out_base}/stat_date={d}" for d in days if d in found])
+    return {r["stat_date"]: r["count"] for r in table.groupBy("stat_date").count().collect()}
 
 
 def _pending_ranges(days: list[str], chunk_days: int | None) -> list[tuple[str, str]]:
@@ -152,8 +177,8 @@ def run_simple(spark: SparkSession, *, trips_base: str, points_base: str, out_ba
     """Read the day directories of both inputs, compute, write day-partitioned; the days computed.
 
     With ``chunk_days`` the range runs as consecutive jobs of that many days,
-    each committed on its own: a failure loses at most one chunk, and
-    re-running the range (or a chunk) replaces exactly its days. With ``resume`` days
+    CHUNKS_AT_ONCE of them side by side, each committed on its own: a failure loses
+    at most the chunks under way, and re-running the range (or a chunk) replaces exactly its days. With ``resume`` days
     that are done and whose input files are the same are left out. ``options``
     go to :func:`simple_for_days` (e.g. ``tz``).
     """

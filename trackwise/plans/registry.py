@@ -64,9 +64,10 @@ def _trips(spark, sf_dir):
 
 
 def _staged_trips(spark, sf_dir) -> str:
-    """Trip table written as day directories of header-less CSV."""
+    """Trip table written as day directories of header-less CSV (rebalanced by day: about
+    tasks + days files instead of tasks x days)."""
     path = staging_path(spark, "trip_stat")
-    (fx.with_trip_day(fx.trip_stat(spark, sf_dir, full_schema=True))
+    (fx.with_trip_day(fx.trip_stat(spark, sf_dir, full_schema=True)).hint("rebalance", "stat_date")
      .write.mode("overwrite").partitionBy("stat_date").option("header", False).csv(path))
     return path
 
@@ -74,7 +75,7 @@ def _staged_trips(spark, sf_dir) -> str:
 def _staged_points(spark, sf_dir) -> str:
     """GPS points written as day directories of parquet (all 11 columns)."""
     path = staging_path(spark, "gps")
-    (fx.with_point_day(fx.gps_points(spark, sf_dir, full_schema=True))
+    (fx.with_point_day(fx.gps_points(spark, sf_dir, full_schema=True)).hint("rebalance", "stat_date")
      .write.mode("overwrite").partitionBy("stat_date").parquet(path))
     return path
 
@@ -136,7 +137,7 @@ def _staged_trips_with_errors(spark, sf_dir) -> str:
     fields = [F.coalesce(F.when(kind == 3, "none").otherwise(F.col(c).cast("string")) if c == "s_end" else F.col(c).cast("string"), F.lit(""))
               for c in trips.columns if c != "stat_date"]
     line = F.when(kind == 5, F.concat_ws(",", *fields[:6])).otherwise(F.concat_ws(",", *fields))
-    trips.select(line.alias("value"), "stat_date").write.partitionBy("stat_date").text(path)
+    trips.select(line.alias("value"), "stat_date").hint("rebalance", "stat_date").write.partitionBy("stat_date").text(path)
     return path
 
 

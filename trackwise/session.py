@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,19 @@ def build_session(master: str = "local[*]", app: str = "trackwise",
     return b.getOrCreate()
 
 
+@contextmanager
+def constraints_off(spark: SparkSession) -> Iterator[None]:
+    """Constraint inference as in RECOMMENDED_CONF while plans of many generated columns run
+    one after the other, whatever the session's setting; the rows do not depend on it."""
+    name = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, RECOMMENDED_CONF[name])
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir).
 

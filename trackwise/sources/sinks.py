@@ -10,6 +10,8 @@ per output.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,19 +19,23 @@ from pyspark.sql import types as T
 from trackwise.session import staging_path
 
 
-def day_files(spark: SparkSession, base: str, day_col: str = "stat_date") -> dict[str, list[tuple[str, int, int]]]:
-    """Day -> its files as (name, bytes, time of change), for the day directories below ``base``."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+def day_files(spark: SparkSession, base: str, day_col: str = "stat_date",
+              days: tuple[str, str] | None = None) -> dict[str, list[tuple[str, int, int]]]:
+    """Day -> its files as (name, bytes, time of change), for the day directories below
+    ``base``; with ``days`` those from the first to the last day, and only these are listed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(base)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return {}
-    dirs = [d.getPath() for d in fs.listStatus(path) if d.getPath().getName().startswith(f"{day_col}=")]
-    return {d.getName().split("=", 1)[1]: sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(d))
-            for d in dirs}
+    begin = os.path.commonprefix(days) if days else ""
+    dirs = {d.getPath().getName().split("=", 1)[1]: d.getPath() for d in fs.listStatus(path, hadoop.GlobFilter(f"{day_col}={begin}*"))}
+    return {day: sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(d))
+            for day, d in dirs.items() if not days or days[0] <= day <= days[1]}
 
 
-def _day_files(spark: SparkSession, base: str, day_col: str) -> dict[str, tuple]:
-    return {day: tuple(name for name, _, _ in files) for day, files in day_files(spark, base, day_col).items()}
+def _day_files(spark: SparkSession, base: str, day_col: str, days: tuple[str, str]) -> dict[str, tuple]:
+    return {day: tuple(name for name, _, _ in files) for day, files in day_files(spark, base, day_col, days).items()}
 
 
 def write_day_partitioned(df: DataFrame, base: str, day_col: str = "stat_date",
@@ -44,15 +50,15 @@ def write_day_partitioned(df: DataFrame, base: str, day_col: str = "stat_date",
     time and are removed.
     """
     spark = df.sparkSession
-    before = _day_files(spark, base, day_col) if days else {}
+    before = _day_files(spark, base, day_col, days) if days else {}
     (df.hint("rebalance", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day_col).parquet(base))
     if not days:
         return
-    after = _day_files(spark, base, day_col)
+    after = _day_files(spark, base, day_col, days)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for day, files in before.items():
-        if days[0] <= day <= days[1] and after.get(day) == files:
+        if after.get(day) == files:
             p = path(f"{base}/{day_col}={day}")
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
