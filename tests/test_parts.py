@@ -176,3 +176,13 @@ def test_quantiles_equal_percentile_bit_for_bit(spark):
             g = got[r["k"]][n] if r["k"] in got else None
             assert g == r[n], (r["k"], n)
     assert 99 not in got and got[50]["all"] == [7.25] * 11
+
+
+def test_points_are_joined_once_for_short_and_long_trips(spark):
+    """Both ways read the joined rows from a table: no scan of the points is left in the result's plan."""
+    pts = points(spark, [(30.0 + i * 1e-4, 120.0 + (i % 7) * 1e-5, 10.0 + i % 3, (i * 7) % 360, i) for i in range(200)])
+    trips = trip(spark, 0, 90).unionByName(trip(spark, 100, 199))
+    got = j2.complex_trip_features(pts, trips, part_seconds=95)
+    assert got.select("tripnumber").count() == 2
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "LocalTableScan" not in plan

@@ -379,6 +379,7 @@ def complex_trip_features(points: DataFrame, trips: DataFrame, cohort: DataFrame
     rows = clean_rows(points, trips, cohort, by_day=by_day, part_seconds=part_seconds, bucket_seconds=bucket_seconds)
     if LONG not in rows.columns:
         return aggregate_trips(kinematic_rows(rows, tz=tz))
+    rows = through_staging(rows, "trip_rows")       # joined and collapsed once for both ways
     short = aggregate_trips(kinematic_rows(rows.where(~F.col(LONG)).drop(LONG), tz=tz))
     kin = kinematic_rows_by_part(rows.where(LONG).drop(LONG), part_seconds, tz=tz)
     return short.unionByName(aggregate_trips_by_part(through_staging(kin, "long_trips")))
